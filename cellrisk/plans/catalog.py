@@ -47,3 +47,26 @@ def monthly_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_monthly_risk_score(spark, sf_dir):
     from cellrisk.plans.monthly import monthly_scores
     return r6(monthly_scores(monthly_features(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------------------
+# hour-of-week generation
+# ---------------------------------------------------------------------------
+HOURLY_GRID_COLS = ["cell_id", "dow", "hour", "lat_r", "lon_r", "is_weekend", "hour_sin", "hour_cos",
+                    "dow_sin", "dow_cos", "crime_count", "violent_share", "arrest_rate",
+                    "cell_total_count", "neighbor_count_mean", "risk_score", "base_value", "risk_raw"]
+
+
+def hourly_events(spark, sf_dir):
+    from cellrisk.plans.hourly import clean_incidents, event_values
+    return event_values(clean_incidents(inc_hourly(spark, sf_dir)))
+
+
+def hourly_grid_df(spark, sf_dir):
+    from cellrisk.plans.hourly import hourly_grid
+    return hourly_grid(hourly_events(spark, sf_dir))
+
+
+@query("hourly_grid")
+def q_hourly_grid(spark, sf_dir):
+    return r6(hourly_grid_df(spark, sf_dir).select(*HOURLY_GRID_COLS))

@@ -100,3 +100,135 @@ select gi, gj, {period_text("pidx")} as period_str, round(gi * 1e-2, 6) as glat,
 from s
 """
 oracle("monthly_risk_score", MONTHLY_SCORE_SQL)
+
+
+# ---------------------------------------------------------------------------
+# shared DuckDB fragments
+# ---------------------------------------------------------------------------
+def strip(x: str) -> str:
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+def norm_text(x: str) -> str:
+    return (f"regexp_replace(trim(regexp_replace(upper({x}), '\\s+', ' ', 'g')), "
+            f"'\\s*/\\s*', ' / ', 'g')")
+
+
+def values_table(rows, cols) -> str:
+    body = ", ".join("(" + ", ".join(
+        ("'" + str(v).replace("'", "''") + "'") if isinstance(v, str) else dbl(v) for v in r) + ")"
+        for r in rows)
+    return f"(select * from (values {body}) as t({', '.join(cols)}))"
+
+
+ANCHOR_VALUES = values_table([(t, d, float(v)) for t, d, v in P.SEVERITY_ANCHOR],
+                             ["a_type", "a_desc", "a_sev"])
+BASE_VALUES = values_table([(t, float(v)) for t, v in P.TYPE_BASE], ["b_type", "b_sev"])
+
+
+def contains_any(d: str, words) -> str:
+    return "(" + " or ".join(f"contains({d}, '{w}')" for w in words) + ")"
+
+
+def keyword_adjust_sql(d: str, weapon_on: str = "true") -> str:
+    dd = f"upper(coalesce({d}, ''))"
+    return (f"(case when not ({weapon_on}) then 0 when {contains_any(dd, P.GUN_WORDS)} then {P.ADJ_GUN} "
+            f"when {contains_any(dd, P.BLADE_WORDS)} then {P.ADJ_BLADE} else 0 end"
+            f" + case when contains({dd}, 'AGGRAVATED') then {P.ADJ_AGGRAVATED} else 0 end"
+            f" + case when contains({dd}, 'DOMESTIC') then {P.ADJ_DOMESTIC} else 0 end"
+            f" + case when contains({dd}, 'CHILD') or contains({dd}, 'MINOR') then {P.ADJ_CHILD} else 0 end"
+            f" + case when contains({dd}, 'ATTEMPT') then {P.ADJ_ATTEMPT} else 0 end)")
+
+
+def severity_cte(src: str, t: str, d: str, name: str = "sev") -> str:
+    """CTE adding severity and severity_layer to ``src`` (t, d already
+    upper-stripped text expressions over src columns)."""
+    ess = f"coalesce({t} in ({sql_list(P.WEAPON_IS_ESSENCE)}), false)"
+    return f"""{name} as (
+  select s.*, coalesce(an.a_sev, least(greatest(coalesce(bs.b_sev, {dbl(P.GLOBAL_DEFAULT_SEVERITY)})
+      + {keyword_adjust_sql(d, 'not ' + ess)}, 1e0), 1e2)) as severity,
+    case when an.a_sev is not null then '1-anchor' when bs.b_sev is not null then '2-base+modifier'
+         else '3-default' end as sev_layer
+  from {src} s
+  left join {ANCHOR_VALUES} an on an.a_type = {t} and an.a_desc = {d}
+  left join {BASE_VALUES} bs on bs.b_type = {t})"""
+
+
+HOURLY_CLEAN_CTES = oracle_with("inc_hourly") + f""",
+c0 as (select * from inc_hourly where lat is not null and lon is not null and ts is not null
+  and lat between {dbl(P.LAT_MIN)} and {dbl(P.LAT_MAX)} and lon between {dbl(P.LON_MIN)} and {dbl(P.LON_MAX)}),
+cnt as (select iucr, yr, primary_type, count(*) as n from c0 where iucr is not null group by all),
+lasty as (select iucr, max(yr) as ly from cnt group by all),
+rec as (select cnt.iucr, primary_type, sum(n) as n from cnt join lasty on cnt.iucr = lasty.iucr and cnt.yr = lasty.ly
+  where primary_type is not null group by all),
+cm as (select iucr, primary_type as canon from (
+  select *, row_number() over (partition by iucr order by n desc, primary_type asc) as rk from rec) where rk = 1),
+c1 as (select c0.*, {strip("upper(coalesce(cm.canon, c0.primary_type))")} as ptc,
+  {norm_text("c0.description")} as dc,
+  coalesce(lower({strip("arrest_str")}) = 'true', false) as arrest
+  from c0 left join cm on cm.iucr = c0.iucr),
+{severity_cte("c1", strip("upper(s.ptc)"), strip("upper(s.dc)"))},
+refts as (select max(ts) as ref from c1),
+ev as (select sev.*, round_even(lat * 1e2, 0) / 1e2 as lat_r, round_even(lon * 1e2, 0) / 1e2 as lon_r,
+  cast(hour(ts) as int) as hour, cast(isodow(ts) - 1 as int) as dow,
+  coalesce(ptc in ({sql_list(P.VIOLENT_TYPES)}), false) as is_violent,
+  datediff('microsecond', ts, refts.ref) / 86400e6 as age_days
+  from sev, refts),
+ev2 as (select *, cast(lat_r as varchar) || '_' || cast(lon_r as varchar) as cell_id,
+  cast(round_even(lat_r / 1e-2, 0) as int) as gx, cast(round_even(lon_r / 1e-2, 0) as int) as gy,
+  pow(0.5e0, age_days / {dbl(P.HALF_LIFE_DAYS)}) as w_time,
+  severity * pow(0.5e0, age_days / {dbl(P.HALF_LIFE_DAYS)}) as event_value
+  from ev)"""
+
+HAVERSINE = (f"2e0 * {dbl(P.EARTH_RADIUS_KM)} * asin(sqrt(pow(sin((radians(b.lat_r) - radians(a.lat_r)) / 2), 2)"
+             f" + cos(radians(a.lat_r)) * cos(radians(b.lat_r)) * pow(sin((radians(b.lon_r) - radians(a.lon_r)) / 2), 2)))")
+
+HOURLY_GRID_CTES = HOURLY_CLEAN_CTES + f""",
+unit as (select cell_id, gx, gy, lat_r, lon_r, dow, hour, sum(event_value) as base_value, count(*) as crime_count,
+  avg(cast(is_violent as double)) as violent_share, avg(cast(arrest as double)) as arrest_rate
+  from ev2 group by all),
+cells as (select cell_id, gx, gy, lat_r, lon_r, count(*) as cell_total_count from ev2 group by all),
+pairs as (select a.cell_id, b.cell_id as nbr, {HAVERSINE} as d_km from cells a, cells b),
+pw as (select cell_id, nbr, exp(-(d_km * d_km) / (2e0 * {dbl(P.SIGMA_KM)} * {dbl(P.SIGMA_KM)})) as w
+  from pairs where d_km <= {dbl(P.CUTOFF_KM)}),
+wsum as (select cell_id, sum(w) as ws from pw group by all),
+raw as (select pw.cell_id, u.dow * 24 + u.hour as slot, sum(pw.w * u.base_value) as s
+  from pw join unit u on u.cell_id = pw.nbr group by all),
+spine as (select c.*, cast(r.slot as int) as slot from cells c, range(168) r(slot)),
+nb as (select a.cell_id, u.dow * 24 + u.hour as slot, sum(u.crime_count) as s
+  from cells a join unit u on abs(u.gx - a.gx) <= 1 and abs(u.gy - a.gy) <= 1
+  and not (u.gx = a.gx and u.gy = a.gy) group by all),
+g0 as (select sp.cell_id, sp.lat_r, sp.lon_r, cast(sp.slot // 24 as int) as dow, cast(sp.slot % 24 as int) as hour,
+  coalesce(u.base_value, 0e0) as base_value, cast(coalesce(u.crime_count, 0) as double) as crime_count,
+  coalesce(u.violent_share, 0e0) as violent_share, coalesce(u.arrest_rate, 0e0) as arrest_rate,
+  cast(sp.cell_total_count as double) as cell_total_count,
+  coalesce(nb.s, 0) / 8e0 as neighbor_count_mean,
+  coalesce(raw.s / wsum.ws, 0e0) as risk_raw
+  from spine sp
+  left join unit u on u.cell_id = sp.cell_id and u.dow * 24 + u.hour = sp.slot
+  left join raw on raw.cell_id = sp.cell_id and raw.slot = sp.slot
+  left join wsum on wsum.cell_id = sp.cell_id
+  left join nb on nb.cell_id = sp.cell_id and nb.slot = sp.slot),
+clipv as (select quantile_cont(risk_raw, {dbl(P.CLIP_PERCENTILE)}) as clip from g0),
+grid as (select g0.*, cast(dow >= 5 as int) as is_weekend,
+  sin(2 * pi() * hour / 24e0) as hour_sin, cos(2 * pi() * hour / 24e0) as hour_cos,
+  sin(2 * pi() * dow / 7e0) as dow_sin, cos(2 * pi() * dow / 7e0) as dow_cos,
+  case when clipv.clip <= 0 then 0e0
+       else 1e2 * pow(least(greatest(risk_raw, 0e0), clipv.clip) / clipv.clip, {dbl(P.SCORE_EXPONENT)}) end as risk_score
+  from g0, clipv)"""
+
+HOURLY_GRID_COLS = ["cell_id", "dow", "hour", "lat_r", "lon_r", "is_weekend", "hour_sin", "hour_cos",
+                    "dow_sin", "dow_cos", "crime_count", "violent_share", "arrest_rate",
+                    "cell_total_count", "neighbor_count_mean", "risk_score", "base_value", "risk_raw"]
+
+
+def rsel(cols, dbl_cols=None, src="") -> str:
+    """select list rounding the named double columns to 6 places."""
+    dbl_cols = set(dbl_cols or [])
+    return ", ".join(f"round({src}{c}, 6) as {c}" if c in dbl_cols else f"{src}{c}" for c in cols)
+
+
+GRID_DOUBLES = ["lat_r", "lon_r", "hour_sin", "hour_cos", "dow_sin", "dow_cos", "crime_count",
+                "violent_share", "arrest_rate", "cell_total_count", "neighbor_count_mean",
+                "risk_score", "base_value", "risk_raw"]
+oracle("hourly_grid", HOURLY_GRID_CTES + f"\nselect {rsel(HOURLY_GRID_COLS, GRID_DOUBLES)} from grid")
