@@ -125,3 +125,21 @@ def reject_all(req: DataFrame, **kw) -> DataFrame:
     if bad:
         raise ValueError("; ".join(r["error"] for r in bad[:1000]))
     return req
+
+
+def parse_with_fallback(df: DataFrame, text: str, out: str,
+                        fmt: str = "MM/dd/yyyy hh:mm:ss a", gate: float = 0.5) -> DataFrame:
+    """Parse with ``fmt``; when more than ``gate`` of the values fail, fall
+    back to the free-format parse for the ones that failed (the failure share
+    is one aggregate)."""
+    first = F.try_to_timestamp(F.col(text), F.lit(fmt))
+    share = df.agg(F.avg(first.isNull().cast("double")).alias("s")).first()["s"] or 0.0
+    parsed = F.coalesce(first, F.try_to_timestamp(F.col(text))) if share > gate else first
+    return df.withColumn(out, parsed)
+
+
+def partial_period(df: DataFrame, period: str, out: str = "is_partial_period") -> DataFrame:
+    """Flag rows of the latest period (the month still in progress).  The
+    latest period is one scalar aggregate, applied as a literal."""
+    pmax = df.agg(F.max(period).alias("m")).first()["m"]
+    return df.withColumn(out, (F.col(period) == F.lit(pmax)).cast("int"))

@@ -70,3 +70,272 @@ def hourly_grid_df(spark, sf_dir):
 @query("hourly_grid")
 def q_hourly_grid(spark, sf_dir):
     return r6(hourly_grid_df(spark, sf_dir).select(*HOURLY_GRID_COLS))
+
+
+# ---------------------------------------------------------------------------
+# 2.3 projections, filters, predicates (inc_hourly unless noted)
+# ---------------------------------------------------------------------------
+def _h(spark, sf_dir):
+    return inc_hourly(spark, sf_dir)
+
+
+@query("bool_parse")
+def q_bool_parse(spark, sf_dir):
+    from cellrisk.functions.text import parse_bool_lenient, parse_bool_strict
+    return _h(spark, sf_dir).select(
+        "id", parse_bool_strict("arrest_str").cast("int").alias("arrest_strict"),
+        parse_bool_lenient("arrest_str").cast("int").alias("arrest_lenient"),
+        parse_bool_strict("domestic_str").cast("int").alias("domestic_strict"),
+        parse_bool_lenient("domestic_str").cast("int").alias("domestic_lenient"))
+
+
+def _ts_strings(spark, sf_dir):
+    """Incident-style time text built from events.ts; every 13th row is junk."""
+    h = _h(spark, sf_dir)
+    return h.select("id", F.when(F.col("id") % 13 == 0, F.lit("not a date"))
+                    .otherwise(F.date_format("ts", "MM/dd/yyyy hh:mm:ss a")).alias("date_str"))
+
+
+@query("ts_parse")
+def q_ts_parse(spark, sf_dir):
+    from cellrisk.functions.timefx import parse_ts
+    d = _ts_strings(spark, sf_dir)
+    return d.select("id", F.date_format(parse_ts("date_str"), "yyyy-MM-dd HH:mm:ss").alias("parsed"))
+
+
+@query("ts_parse_fallback")
+def q_ts_parse_fallback(spark, sf_dir):
+    from cellrisk.operators.clean import parse_with_fallback
+    h = _h(spark, sf_dir)
+    d = h.select("id", F.when(F.col("id") % 3 == 0, F.date_format("ts", "MM/dd/yyyy hh:mm:ss a"))
+                 .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("date_str"))
+    out = parse_with_fallback(d, "date_str", "parsed")
+    return out.select("id", F.date_format("parsed", "yyyy-MM-dd HH:mm:ss").alias("parsed"))
+
+
+@query("bbox_predicate")
+def q_bbox(spark, sf_dir):
+    from cellrisk.functions.space import in_box
+    from cellrisk.params import HOURLY_REGION, MONTHLY_REGION
+    h = _h(spark, sf_dir)
+    return h.select("id", F.coalesce(in_box("lat", "lon", HOURLY_REGION), F.lit(False)).cast("int").alias("in_box"),
+                    F.coalesce(in_box("lat", "lon", MONTHLY_REGION), F.lit(False)).cast("int").alias("in_box_monthly"))
+
+
+@query("outlier_coords_nulled")
+def q_outlier(spark, sf_dir):
+    from cellrisk.operators.clean import null_outlier_coords
+    h = _h(spark, sf_dir).withColumn("x_coord", F.col("lat") * 1e5).withColumn("y_coord", F.col("lon") * 1e5)
+    out = null_outlier_coords(h, "lat", "lon", ["x_coord", "y_coord"])
+    return r6(out.select("id", "lat", "lon", "x_coord", "y_coord",
+                         F.col("coord_missing").cast("int").alias("coord_missing")))
+
+
+@query("missing_coord_flag")
+def q_missing_flag(spark, sf_dir):
+    from cellrisk.operators.clean import missing_coord_flag
+    h = _h(spark, sf_dir).withColumn("base_missing", F.col("id") % 17 == 0)
+    out = missing_coord_flag(h, "lat", "lon", "base_missing")
+    return out.select("id", F.col("coord_missing").cast("int").alias("coord_missing"))
+
+
+@query("geocoded_dated_filter")
+def q_geocoded(spark, sf_dir):
+    from cellrisk.plans.monthly import geocoded, incident_features
+    f = geocoded(incident_features(_h(spark, sf_dir)))
+    return f.select("id", "gi", "gj", "pidx")
+
+
+@query("start_year_filter")
+def q_start_year(spark, sf_dir):
+    m = inc_monthly(spark, sf_dir)
+    return m.filter(F.year("ts") >= 1995).select("l_orderkey", "l_linenumber",
+                                                 F.date_format("ts", "yyyy-MM-dd").alias("d"))
+
+
+@query("required_fields_drop")
+def q_required(spark, sf_dir):
+    from cellrisk.operators.clean import drop_required
+    from cellrisk.params import HOURLY_REGION
+    _, counts = drop_required(_h(spark, sf_dir), ["lat", "lon", "ts"], HOURLY_REGION)
+    return counts.select("before", "removed", "after",
+                         F.round(F.col("removed") * 100.0 / F.col("before"), 6).alias("pct_removed"))
+
+
+@query("partial_period_filter")
+def q_partial(spark, sf_dir):
+    from cellrisk.operators.clean import partial_period
+    f = monthly_features(spark, sf_dir)
+    agg = f.groupBy("gi", "gj", "pidx").agg(F.count(F.lit(1)).alias("n"))
+    flagged = partial_period(agg, "pidx")
+    return flagged.filter(F.col("is_partial_period") == 0).select("gi", "gj", "pidx", "n")
+
+
+@query("night_subset")
+def q_night(spark, sf_dir):
+    from cellrisk.operators.splits import night_subset
+    g = hourly_grid_df(spark, sf_dir)
+    return night_subset(g).select("cell_id", "dow", "hour")
+
+
+@query("class_flags")
+def q_class_flags(spark, sf_dir):
+    from cellrisk.params import PROPERTY_TYPES, VIOLENT_TYPES, VIOLENT_TYPES_MONTHLY
+    h = _h(spark, sf_dir)
+    t = F.upper(F.trim("primary_type"))
+    return h.select("id", F.coalesce(t.isin(*VIOLENT_TYPES), F.lit(False)).cast("int").alias("is_violent"),
+                    F.coalesce(t.isin(*VIOLENT_TYPES_MONTHLY), F.lit(False)).cast("int").alias("is_violent_ho"),
+                    F.coalesce(t.isin(*PROPERTY_TYPES), F.lit(False)).cast("int").alias("is_property"))
+
+
+@query("locked_feature_projection")
+def q_locked(spark, sf_dir):
+    from cellrisk.operators.clean import locked_features
+    from cellrisk.params import FEATURE_COLUMNS
+    g = hourly_grid_df(spark, sf_dir).drop("arrest_rate").withColumn(
+        "violent_share", F.when(F.col("hour") == 3, F.lit(None)).otherwise(F.col("violent_share")))
+    return r6(locked_features(g, FEATURE_COLUMNS, keep=["cell_id"]))
+
+
+@query("features_labels")
+def q_features_labels(spark, sf_dir):
+    from cellrisk.operators.clean import assert_no_leak, exclude_columns
+    from cellrisk.params import FEATURE_COLUMNS, LABEL_INGREDIENT_COLUMNS
+    from cellrisk.plans.hourly import FINAL_COLUMNS
+    assert_no_leak(FEATURE_COLUMNS)
+    g = hourly_grid_df(spark, sf_dir)
+    return r6(exclude_columns(g.select(*FINAL_COLUMNS, *LABEL_INGREDIENT_COLUMNS),
+                              LABEL_INGREDIENT_COLUMNS))
+
+
+@query("incident_table_layout")
+def q_layout(spark, sf_dir):
+    from cellrisk.plans.monthly import incident_features
+    f = incident_features(_h(spark, sf_dir), arrest="arrest_str", domestic="domestic_str")
+    cols = ["ts", "period_str", "year", "month", "hour", "dow", "primary_type", "description",
+            "location_description", "arrest_b", "domestic_b", "lat", "lon", "coord_missing", "gi", "gj",
+            "glat", "glon", "is_night", "is_weekend", "is_violent", "is_property"]
+    return f.select([c for c in cols if c in f.columns])
+
+
+@query("region_validation")
+def q_validation(spark, sf_dir):
+    from cellrisk.operators.clean import validate_points
+    req = _h(spark, sf_dir).filter(F.col("lat").isNotNull()).select(F.col("id").alias("idx"), "lat", "lon")
+    return validate_points(req)
+
+
+# ---------------------------------------------------------------------------
+# 2.9 text
+# ---------------------------------------------------------------------------
+@query("text_normalise")
+def q_text_norm(spark, sf_dir):
+    from cellrisk.functions.text import normalize_text
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", F.sha2(normalize_text("text"), 256).alias("norm_sha"),
+                    F.length(normalize_text("text")).alias("norm_len"))
+
+
+@query("place_alias_replace")
+def q_alias(spark, sf_dir):
+    from cellrisk.functions.text import alias_replace, normalize_text
+    h = _h(spark, sf_dir)
+    return h.select("id", alias_replace(normalize_text("location_description")).alias("location_clean"))
+
+
+@query("code_hygiene")
+def q_hygiene(spark, sf_dir):
+    from cellrisk.functions.text import code_hygiene, normalize_text
+    h = _h(spark, sf_dir)
+    return h.select("id", code_hygiene("iucr").alias("iucr"), normalize_text("description").alias("description"),
+                    normalize_text("primary_type").alias("primary_type"))
+
+
+@query("severity_layered")
+def q_sev_layered(spark, sf_dir):
+    from cellrisk.functions import severity as S
+    from cellrisk.functions.text import normalize_text
+    h = _h(spark, sf_dir).withColumn("d", normalize_text("description"))
+    return h.select("id", S.keyword_adjust("d").alias("adj"),
+                    S.keyword_adjust("d", False).alias("adj_no_weapon"),
+                    S.anchor_severity("primary_type", "d").alias("anchor"),
+                    S.type_base("primary_type").alias("base"),
+                    S.layered_severity("primary_type", "d").alias("severity"),
+                    S.severity_layer("primary_type", "d").alias("sev_layer"))
+
+
+@query("severity_tier_modifier")
+def q_sev_tier(spark, sf_dir):
+    from cellrisk.functions import severity as S
+    h = _h(spark, sf_dir)
+    t = F.upper(F.trim("primary_type"))
+    return r6(h.select("id", S.tier_base(t).alias("sev_base"), S.description_multiplier("description").alias("mult"),
+                       S.tier_severity(t, "description").alias("severity")))
+
+
+# ---------------------------------------------------------------------------
+# 2.10 time
+# ---------------------------------------------------------------------------
+@query("time_parts")
+def q_time_parts(spark, sf_dir):
+    from cellrisk.functions import timefx as T
+    h = _h(spark, sf_dir)
+    cp = T.calendar_parts("ts")
+    tf = T.time_features("ts")
+    return r6(h.select(
+        "id", cp["year"].alias("year"), cp["month"].alias("month"), cp["day"].alias("day"),
+        cp["dow"].alias("dow"), cp["hour"].alias("hour"), cp["doy"].alias("doy"),
+        F.date_format(cp["date"], "yyyy-MM-dd").alias("date"),
+        T.period_of_ts("ts").alias("period_str"),
+        F.date_format(T.period_start(T.period_of_ts("ts")), "yyyy-MM-dd").alias("period_start"),
+        T.quarter_of_month(cp["month"]).alias("quarter"),
+        T.is_night(cp["hour"]).alias("is_night"), tf["is_weekend"].alias("is_weekend"),
+        tf["hour_sin"].alias("hour_sin"), tf["hour_cos"].alias("hour_cos"),
+        tf["dow_sin"].alias("dow_sin"), tf["dow_cos"].alias("dow_cos"),
+        T.cyclic(cp["month"], 12)[0].alias("month_sin"), T.cyclic(cp["month"], 12)[1].alias("month_cos"),
+        T.hour_slot(cp["dow"], cp["hour"]).alias("slot"),
+        T.hour_group(cp["hour"]).alias("hour_group")))
+
+
+@query("age_days")
+def q_age(spark, sf_dir):
+    from cellrisk.functions.score import temporal_weight
+    ev = hourly_events(spark, sf_dir)
+    return r6(ev.select("id", "age_days", temporal_weight("age_days").alias("w_time"),
+                        temporal_weight("age_days", 180.0).alias("w_180"),
+                        "severity", "event_value"))
+
+
+# ---------------------------------------------------------------------------
+# 2.11 math, space, scores
+# ---------------------------------------------------------------------------
+@query("grid_cell_id")
+def q_grid_id(spark, sf_dir):
+    from cellrisk.functions.space import grid_cells, grid_index
+    h = _h(spark, sf_dir).filter(F.col("lat").isNotNull())
+    g = grid_cells("lat", "lon")
+    return r6(h.select("id", g["lat_r"].alias("lat_r"), g["lon_r"].alias("lon_r"), g["cell_id"].alias("cell_id"),
+                       grid_index(g["lat_r"]).alias("gx"), grid_index(g["lon_r"]).alias("gy"),
+                       grid_index("lat").alias("gi_raw"), grid_index("lon").alias("gj_raw")))
+
+
+@query("haversine_gaussian")
+def q_haversine(spark, sf_dir):
+    from cellrisk.functions.space import gaussian_weight, haversine_km
+    h = _h(spark, sf_dir).filter(F.col("lat").isNotNull() & (F.col("lat") != 0))
+    d = haversine_km(F.lit(41.8781), F.lit(-87.6298), "lat", "lon")
+    return r6(h.select("id", d.alias("d_km"), gaussian_weight(d, 0.7).alias("w"),
+                       gaussian_weight(d, 1.0).alias("w_sigma1")))
+
+
+@query("score_functions")
+def q_score_fns(spark, sf_dir):
+    from cellrisk.functions import score as SC
+    g = hourly_grid_df(spark, sf_dir)
+    return r6(g.select("cell_id", "dow", "hour",
+                       SC.power_score("risk_raw", 5.0, 0.5).alias("score_sqrt"),
+                       SC.power_score("risk_raw", 5.0, 1.0).alias("score_linear"),
+                       SC.power_score("risk_raw", 0.0, 0.5).alias("score_zero_clip"),
+                       SC.tier_right_closed(F.col("risk_score")).alias("tier"),
+                       SC.risk_level("risk_score").alias("level"),
+                       SC.clamp(F.col("risk_score") * 1.3 - 20).alias("clamped")))

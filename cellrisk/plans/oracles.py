@@ -232,3 +232,187 @@ GRID_DOUBLES = ["lat_r", "lon_r", "hour_sin", "hour_cos", "dow_sin", "dow_cos",
                 "violent_share", "arrest_rate", "cell_total_count", "neighbor_count_mean",
                 "risk_score", "base_value", "risk_raw"]
 oracle("hourly_grid", HOURLY_GRID_CTES + f"\nselect {rsel(HOURLY_GRID_COLS, GRID_DOUBLES)} from grid")
+
+
+# ---------------------------------------------------------------------------
+# 2.3 projections, filters, predicates
+# ---------------------------------------------------------------------------
+H = oracle_with("inc_hourly")
+MM = oracle_with("inc_monthly")
+
+
+def in_box_sql(lat="lat", lon="lon", lat_max=P.LAT_MAX) -> str:
+    return (f"coalesce({lat} between {dbl(P.LAT_MIN)} and {dbl(lat_max)} and "
+            f"{lon} between {dbl(P.LON_MIN)} and {dbl(P.LON_MAX)}, false)")
+
+
+def strict_bool(x):
+    return f"coalesce(lower({strip(x)}) = 'true', false)"
+
+
+def lenient_bool(x):
+    return f"coalesce(lower({strip(x)}) in ('true', '1', 'yes', 't'), false)"
+
+
+oracle("bool_parse", H + f"""select id,
+  cast({strict_bool('arrest_str')} as int) as arrest_strict,
+  cast({lenient_bool('arrest_str')} as int) as arrest_lenient,
+  cast({strict_bool('domestic_str')} as int) as domestic_strict,
+  cast({lenient_bool('domestic_str')} as int) as domestic_lenient
+from inc_hourly""")
+
+TS_F1 = "%m/%d/%Y %I:%M:%S %p"
+oracle("ts_parse", H + f""", d as (select id, case when id % 13 = 0 then 'not a date'
+  else strftime(ts, '{TS_F1}') end as date_str from inc_hourly)
+select id, strftime(try_strptime(date_str, '{TS_F1}'), '%Y-%m-%d %H:%M:%S') as parsed from d""")
+
+oracle("ts_parse_fallback", H + f""", d as (select id, case when id % 3 = 0 then strftime(ts, '{TS_F1}')
+  else strftime(ts, '%Y-%m-%d %H:%M:%S') end as date_str from inc_hourly)
+select id, strftime(coalesce(try_strptime(date_str, '{TS_F1}'), try_cast(date_str as timestamp)),
+  '%Y-%m-%d %H:%M:%S') as parsed from d""")
+
+oracle("bbox_predicate", H + f"""select id, cast({in_box_sql()} as int) as in_box,
+  cast({in_box_sql(lat_max=P.LAT_MAX_MONTHLY)} as int) as in_box_monthly from inc_hourly""")
+
+oracle("outlier_coords_nulled", H + f""", o as (select *, lat * 1e5 as x_coord, lon * 1e5 as y_coord,
+  (lat is not null and lon is not null and not {in_box_sql(lat_max=P.LAT_MAX_MONTHLY)}) as outl from inc_hourly)
+select id, round(case when outl then null else lat end, 6) as lat, round(case when outl then null else lon end, 6) as lon,
+  round(case when outl then null else x_coord end, 6) as x_coord,
+  round(case when outl then null else y_coord end, 6) as y_coord,
+  cast((case when outl then null else lat end) is null as int) as coord_missing from o""")
+
+oracle("missing_coord_flag", H + f"""select id, cast((id % 17 = 0) or lat is null or lon is null
+  or not {in_box_sql(lat_max=P.LAT_MAX_MONTHLY)} as int) as coord_missing from inc_hourly""")
+
+oracle("geocoded_dated_filter", H + f"""select id, cast(round_even(lat / 1e-2, 0) as int) as gi,
+  cast(round_even(lon / 1e-2, 0) as int) as gj, {MONTH_IDX} as pidx
+from inc_hourly where lat is not null and lon is not null and {in_box_sql(lat_max=P.LAT_MAX_MONTHLY)}
+  and ts is not null""")
+
+oracle("start_year_filter", MM + """select l_orderkey, l_linenumber, strftime(ts, '%Y-%m-%d') as d
+from inc_monthly where year(ts) >= 1995""")
+
+oracle("required_fields_drop", H + f""", c as (select count(*) as before,
+  count(*) filter (where not (lat is not null and lon is not null and ts is not null and {in_box_sql()})) as removed,
+  count(*) filter (where lat is not null and lon is not null and ts is not null and {in_box_sql()}) as after
+  from inc_hourly)
+select cast(before as bigint) as before, cast(removed as bigint) as removed, cast(after as bigint) as after,
+  round(removed * 1e2 / before, 6) as pct_removed from c""")
+
+oracle("partial_period_filter", MM + f""", a as (select gi, gj, {MONTH_IDX} as pidx, count(*) as n
+  from inc_monthly where gi is not null and gj is not null and ts is not null group by all)
+select gi, gj, pidx, n from a where pidx <> (select max(pidx) from a)""")
+
+oracle("night_subset", HOURLY_GRID_CTES + f"""
+select cell_id, dow, hour from grid where hour in ({', '.join(str(h) for h in P.NIGHT_HOURS)})""")
+
+oracle("class_flags", H + f"""select id,
+  cast(coalesce(upper(trim(primary_type)) in ({sql_list(P.VIOLENT_TYPES)}), false) as int) as is_violent,
+  cast(coalesce(upper(trim(primary_type)) in ({sql_list(P.VIOLENT_TYPES_MONTHLY)}), false) as int) as is_violent_ho,
+  cast(coalesce(upper(trim(primary_type)) in ({sql_list(P.PROPERTY_TYPES)}), false) as int) as is_property
+from inc_hourly""")
+
+_locked = []
+for c in P.FEATURE_COLUMNS:
+    if c == "arrest_rate":
+        _locked.append("0e0 as arrest_rate")
+    elif c == "violent_share":
+        _locked.append("round(coalesce(case when hour = 3 then null else violent_share end, 0e0), 6) as violent_share")
+    else:
+        _locked.append(f"round(coalesce(cast({c} as double), 0e0), 6) as {c}")
+oracle("locked_feature_projection", HOURLY_GRID_CTES + f"\nselect cell_id, {', '.join(_locked)} from grid")
+
+_final = ["cell_id", "dow", "hour"] + [c for c in P.FEATURE_COLUMNS if c not in ("dow", "hour")] + ["risk_score"]
+oracle("features_labels", HOURLY_GRID_CTES + f"\nselect {rsel(_final, GRID_DOUBLES)} from grid")
+
+oracle("region_validation", H + f"""select id as idx, printf('points[%d]: (lat=%s, lon=%s) outside the model region (lat %s..%s, lon %s..%s)',
+  id, cast(lat as varchar), cast(lon as varchar), '{P.LAT_MIN}', '{P.LAT_MAX}', '{P.LON_MIN}', '{P.LON_MAX}') as error
+from inc_hourly where lat is not null and not {in_box_sql()}""")
+
+# ---------------------------------------------------------------------------
+# 2.9 text
+# ---------------------------------------------------------------------------
+_doc_norm = norm_text("replace(text, 'ß', 'ss')")
+oracle("text_normalise", f"""select doc_id, sha256({_doc_norm}) as norm_sha, length({_doc_norm}) as norm_len
+from documents""")
+
+_loc = norm_text("location_description")
+_alias_case = "case " + " ".join(f"when {_loc} = '{a}' then '{b}'" for a, b in P.PLACE_ALIASES) + f" else {_loc} end"
+oracle("place_alias_replace", H + f"select id, {_alias_case} as location_clean from inc_hourly")
+
+oracle("code_hygiene", H + f"""select id, nullif({strip('upper(iucr)')}, 'NAN') as iucr,
+  {norm_text('description')} as description, {norm_text('primary_type')} as primary_type from inc_hourly""")
+
+_t = strip("upper(s.primary_type)")
+_d = strip(f"upper({norm_text('s.description')})")
+oracle("severity_layered", H + f""", {severity_cte('inc_hourly', _t, _d)}
+select s.id, {keyword_adjust_sql(_d.replace('s.', ''))} as adj,
+  {keyword_adjust_sql(_d.replace('s.', ''), 'false')} as adj_no_weapon,
+  an.a_sev as anchor, bs.b_sev as base, s.severity, s.sev_layer
+from sev s
+left join {ANCHOR_VALUES} an on an.a_type = {_t} and an.a_desc = {_d}
+left join {BASE_VALUES} bs on bs.b_type = {_t}""")
+
+oracle("severity_tier_modifier", H + f"""select id, {tier_case('upper(trim(primary_type))')} as sev_base,
+  round({mult_case('description')}, 6) as mult,
+  round({tier_case('upper(trim(primary_type))')} * {mult_case('description')}, 6) as severity from inc_hourly""")
+
+# ---------------------------------------------------------------------------
+# 2.10 time
+# ---------------------------------------------------------------------------
+def _cyc(v, p):
+    return f"round(sin(2 * pi() * {v} / {dbl(p)}), 6)", f"round(cos(2 * pi() * {v} / {dbl(p)}), 6)"
+
+
+_hg = ("case when hour(ts) > -1 and hour(ts) <= 5 then '00-05' when hour(ts) > 5 and hour(ts) <= 11 then '06-11' "
+       "when hour(ts) > 11 and hour(ts) <= 17 then '12-17' when hour(ts) > 17 and hour(ts) <= 23 then '18-23' end")
+oracle("time_parts", H + f"""select id, cast(year(ts) as int) as year, cast(month(ts) as int) as month,
+  cast(day(ts) as int) as day, cast(isodow(ts) - 1 as int) as dow, cast(hour(ts) as int) as hour,
+  cast(dayofyear(ts) as int) as doy, strftime(ts, '%Y-%m-%d') as date, strftime(ts, '%Y-%m') as period_str,
+  strftime(ts, '%Y-%m') || '-01' as period_start, cast(floor((month(ts) - 1) / 3) + 1 as int) as quarter,
+  cast(hour(ts) >= 22 or hour(ts) < 5 as int) as is_night, cast(isodow(ts) - 1 >= 5 as int) as is_weekend,
+  {_cyc('hour(ts)', 24)[0]} as hour_sin, {_cyc('hour(ts)', 24)[1]} as hour_cos,
+  {_cyc('(isodow(ts) - 1)', 7)[0]} as dow_sin, {_cyc('(isodow(ts) - 1)', 7)[1]} as dow_cos,
+  {_cyc('month(ts)', 12)[0]} as month_sin, {_cyc('month(ts)', 12)[1]} as month_cos,
+  cast((isodow(ts) - 1) * 24 + hour(ts) as int) as slot, {_hg} as hour_group
+from inc_hourly""")
+
+oracle("age_days", HOURLY_CLEAN_CTES + f"""
+select id, round(age_days, 6) as age_days, round(w_time, 6) as w_time,
+  round(pow(0.5e0, age_days / 180e0), 6) as w_180, round(severity, 6) as severity,
+  round(event_value, 6) as event_value from ev2""")
+
+# ---------------------------------------------------------------------------
+# 2.11 math, space, scores
+# ---------------------------------------------------------------------------
+oracle("grid_cell_id", H + """, g as (select id, lat, lon, round_even(lat * 1e2, 0) / 1e2 as lat_r,
+  round_even(lon * 1e2, 0) / 1e2 as lon_r from inc_hourly where lat is not null)
+select id, round(lat_r, 6) as lat_r, round(lon_r, 6) as lon_r, cast(lat_r as varchar) || '_' || cast(lon_r as varchar) as cell_id,
+  cast(round_even(lat_r / 1e-2, 0) as int) as gx, cast(round_even(lon_r / 1e-2, 0) as int) as gy,
+  cast(round_even(lat / 1e-2, 0) as int) as gi_raw, cast(round_even(lon / 1e-2, 0) as int) as gj_raw from g""")
+
+_hv = HAVERSINE.replace("a.lat_r", "41.8781e0").replace("a.lon_r", "-87.6298e0") \
+               .replace("b.lat_r", "lat").replace("b.lon_r", "lon")
+oracle("haversine_gaussian", H + f""", d as (select id, {_hv} as d_km from inc_hourly where lat is not null and lat <> 0)
+select id, round(d_km, 6) as d_km, round(exp(-(d_km * d_km) / (2e0 * 0.7e0 * 0.7e0)), 6) as w,
+  round(exp(-(d_km * d_km) / 2e0), 6) as w_sigma1 from d""")
+
+
+def _level(s):
+    c = f"greatest(0e0, least(1e2, {s}))"
+    return (f"case when {c} < 25 then 'Low' when {c} < 50 then 'Medium' when {c} < 75 then 'High' "
+            f"else 'Very High' end")
+
+
+def _tier_rc(s):
+    return (f"case when {s} > -0.01 and {s} <= 50 then 'LOW' when {s} > 50 and {s} <= 80 then 'MEDIUM' "
+            f"when {s} > 80 and {s} <= 95 then 'HIGH' when {s} > 95 and {s} <= 100.01 then 'VERY HIGH' end")
+
+
+oracle("score_functions", HOURLY_GRID_CTES + f"""
+select cell_id, dow, hour,
+  round(1e2 * pow(least(greatest(risk_raw, 0e0), 5e0) / 5e0, 0.5e0), 6) as score_sqrt,
+  round(1e2 * pow(least(greatest(risk_raw, 0e0), 5e0) / 5e0, 1e0), 6) as score_linear,
+  0e0 as score_zero_clip, {_tier_rc('risk_score')} as tier, {_level('risk_score')} as level,
+  round(greatest(0e0, least(1e2, risk_score * 1.3e0 - 20e0)), 6) as clamped
+from grid""")
