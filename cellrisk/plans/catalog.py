@@ -33,6 +33,13 @@ def r6(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), 6) for c in cols})
 
 
+def r4(df: DataFrame) -> DataFrame:
+    """Summary statistics are compared at 4 places (interpolated quantiles
+    of computed scores sit too close to a 6th-place rounding edge)."""
+    cols = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
+    return df.withColumns({c: F.round(F.col(c), 4) for c in cols})
+
+
 def monthly_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cellrisk.plans.monthly import geocoded, incident_features
     inc = inc_monthly(spark, sf_dir)
@@ -339,3 +346,345 @@ def q_score_fns(spark, sf_dir):
                        SC.tier_right_closed(F.col("risk_score")).alias("tier"),
                        SC.risk_level("risk_score").alias("level"),
                        SC.clamp(F.col("risk_score") * 1.3 - 20).alias("clamped")))
+
+
+# ---------------------------------------------------------------------------
+# monthly panel (2.4 densify / 8-neighbour mean, 2.6 windows, 2.10 calendar)
+# ---------------------------------------------------------------------------
+PANEL_COLS = ["gi", "gj", "period_str", "n_crimes", "n_violent", "n_property", "n_arrest", "n_domestic",
+              "n_types", "arrest_rate", "domestic_rate", "share_night", "share_weekend", "glat", "glon",
+              "year_idx", "pmonth", "pquarter", "pmonth_sin", "pmonth_cos", "lag_1", "lag_3", "lag_12",
+              "roll3_mean", "roll6_mean", "roll12_mean", "cell_hist_mean", "trend_3_12", "n_violent_lag1",
+              "arrest_rate_lag1", "domestic_rate_lag1", "neighbor_lag1_mean", "share_night_lag1",
+              "share_weekend_lag1"]
+
+
+def gridmonth_panel_df(spark, sf_dir):
+    from cellrisk.plans.monthly import grid_month_aggregate, gridmonth_panel
+    return gridmonth_panel(grid_month_aggregate(monthly_features(spark, sf_dir)))
+
+
+@query("gridmonth_panel")
+def q_gridmonth_panel(spark, sf_dir):
+    return r6(gridmonth_panel_df(spark, sf_dir).select(*PANEL_COLS))
+
+
+@query("grid_month_aggregate")
+def q_grid_month_agg(spark, sf_dir):
+    from cellrisk.plans.monthly import grid_month_aggregate
+    from cellrisk.functions.timefx import period_str
+    a = grid_month_aggregate(monthly_features(spark, sf_dir))
+    return r6(a.select("gi", "gj", period_str("pidx").alias("period_str"), "n_crimes", "n_violent", "n_property",
+                       "n_arrest", "n_domestic", "n_types", "night", "weekend", "arrest_rate", "domestic_rate",
+                       "share_night", "share_weekend"))
+
+
+@query("harm_table")
+def q_harm(spark, sf_dir):
+    from cellrisk.plans.monthly import harm_table
+    from cellrisk.functions.timefx import period_str
+    h = harm_table(monthly_features(spark, sf_dir))
+    return r6(h.select("gi", "gj", period_str("pidx").alias("period_str"), "harm", "n_inc", "sev_mean"))
+
+
+@query("training_table")
+def q_training_table(spark, sf_dir):
+    from cellrisk.plans.monthly import monthly_scores, training_table
+    f = monthly_features(spark, sf_dir)
+    t = training_table(gridmonth_panel_df(spark, sf_dir), monthly_scores(f))
+    return r6(t)
+
+
+# ---------------------------------------------------------------------------
+# 2.5 aggregations / profiles
+# ---------------------------------------------------------------------------
+@query("missing_profile")
+def q_missing_profile(spark, sf_dir):
+    from cellrisk.operators.profile import missing_profile
+    h = _h(spark, sf_dir)
+    return r6(missing_profile(h, ["lat", "lon", "ts", "location_description", "description", "value"]))
+
+
+@query("missing_by_group")
+def q_missing_by_group(spark, sf_dir):
+    from cellrisk.operators.profile import missing_by_group
+    return r6(missing_by_group(_h(spark, sf_dir), "event_type", ["lat", "lon", "location_description"]))
+
+
+@query("co_missing")
+def q_co_missing(spark, sf_dir):
+    from cellrisk.operators.profile import co_missing
+    return co_missing(_h(spark, sf_dir), ["lat", "lon", "location_description"])
+
+
+@query("null_rate_by_category")
+def q_null_rate(spark, sf_dir):
+    from cellrisk.operators.profile import null_rate_by_category
+    h = _h(spark, sf_dir)
+    a = null_rate_by_category(h, "primary_type", "location_description", 500).withColumn("by", F.lit("type")) \
+        .withColumnRenamed("primary_type", "category")
+    b = null_rate_by_category(h, "description", "lat", 1000).withColumn("by", F.lit("description")) \
+        .withColumnRenamed("description", "category")
+    return r6(a.unionByName(b))
+
+
+@query("key_uniqueness")
+def q_key_unique(spark, sf_dir):
+    from cellrisk.operators.profile import key_uniqueness
+    m = inc_monthly(spark, sf_dir)
+    return key_uniqueness(m, ["l_orderkey", "l_linenumber"], m.columns)
+
+
+@query("rows_per_key_histogram")
+def q_rows_per_key(spark, sf_dir):
+    from cellrisk.operators.profile import rows_per_key_histogram
+    return rows_per_key_histogram(inc_monthly(spark, sf_dir), ["l_orderkey", "l_linenumber"])
+
+
+@query("codes_per_duplicated_key")
+def q_codes_dup(spark, sf_dir):
+    from cellrisk.operators.profile import codes_per_duplicated_key
+    return codes_per_duplicated_key(inc_monthly(spark, sf_dir), ["l_orderkey", "l_linenumber"], "l_returnflag")
+
+
+@query("duplicated_key_rows")
+def q_dup_rows(spark, sf_dir):
+    from cellrisk.operators.joins import duplicated_key_rows
+    m = inc_monthly(spark, sf_dir)
+    return r6(duplicated_key_rows(m, ["l_orderkey", "l_linenumber"]).select(
+        "l_orderkey", "l_linenumber", "gi", "gj", "l_returnflag", "l_quantity"))
+
+
+@query("category_repetition")
+def q_repetition(spark, sf_dir):
+    from cellrisk.operators.profile import repetition_of_category
+    return repetition_of_category(_h(spark, sf_dir), "case_number", "primary_type", "THEFT")
+
+
+@query("consistency_counts")
+def q_consistency(spark, sf_dir):
+    from cellrisk.operators.profile import consistency_counts
+    h = _h(spark, sf_dir).withColumns({
+        "year_col": F.when(F.col("id") % 11 == 0, F.col("yr") + 1).otherwise(F.col("yr")),
+        "updated": F.when(F.col("id") % 7 == 0, F.col("ts") - F.expr("INTERVAL 1 DAY"))
+                    .otherwise(F.col("ts") + F.expr("INTERVAL 1 DAY"))})
+    return consistency_counts(h, "year_col", "ts", "updated")
+
+
+@query("taxonomy_conflicts")
+def q_conflicts(spark, sf_dir):
+    from cellrisk.operators.clean import canonical_type
+    from cellrisk.operators.profile import taxonomy_conflicts
+    h = _h(spark, sf_dir)
+    c = canonical_type(h)
+    before = taxonomy_conflicts(h, "iucr", "primary_type").withColumn("stage", F.lit("before"))
+    after = taxonomy_conflicts(c, "iucr", "primary_type_canon").withColumn("stage", F.lit("after"))
+    changed = c.agg(F.count_if(F.col("primary_type_canon") != F.upper(F.trim("primary_type"))).alias("n_conflicts")) \
+               .withColumn("stage", F.lit("rows_relabelled"))
+    return before.unionByName(after).unionByName(changed)
+
+
+@query("top_labels_per_code")
+def q_top_labels(spark, sf_dir):
+    from cellrisk.operators.profile import top_labels_per_code
+    return top_labels_per_code(_h(spark, sf_dir), "iucr", "primary_type", 3)
+
+
+@query("canonical_labels")
+def q_canonical(spark, sf_dir):
+    from cellrisk.operators.clean import canonical_map
+    return canonical_map(_h(spark, sf_dir)).withColumnRenamed("_canon", "canon")
+
+
+@query("label_span")
+def q_label_span(spark, sf_dir):
+    from cellrisk.operators.profile import label_span
+    m = inc_monthly(spark, sf_dir).withColumn("year", F.year("ts").cast("int"))
+    return label_span(m, "primary_type", "year")
+
+
+@query("spatial_outliers")
+def q_spatial_outliers(spark, sf_dir):
+    from cellrisk.operators.profile import spatial_outliers
+    from cellrisk.params import HOURLY_REGION
+    return r6(spatial_outliers(_h(spark, sf_dir), "lat", "lon", HOURLY_REGION))
+
+
+@query("grid_density")
+def q_grid_density(spark, sf_dir):
+    from cellrisk.operators.profile import grid_density
+    return r6(grid_density(monthly_features(spark, sf_dir)))
+
+
+@query("cell_size_comparison")
+def q_cell_size(spark, sf_dir):
+    from cellrisk.operators.profile import cell_size_comparison
+    h = _h(spark, sf_dir).filter(F.col("lat").isNotNull())
+    return r6(cell_size_comparison(h, "lat", "lon"))
+
+
+@query("cardinality")
+def q_cardinality(spark, sf_dir):
+    from cellrisk.operators.profile import cardinality
+    h = _h(spark, sf_dir)
+    return cardinality(h, ["id", "case_number", "iucr", "primary_type", "description", "location_description",
+                           "arrest_str", "domestic_str", "event_type"])
+
+
+@query("top_values")
+def q_top_values(spark, sf_dir):
+    from cellrisk.operators.profile import top_values
+    h = _h(spark, sf_dir)
+    parts = []
+    for c, n in [("primary_type", 20), ("location_description", 15), ("description", 15), ("event_type", None)]:
+        t = top_values(h, c, n)
+        parts.append(t.select(F.lit(c).alias("column"), F.col(c).alias("value"), "n"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("calendar_counts")
+def q_calendar(spark, sf_dir):
+    from cellrisk.operators.profile import calendar_counts
+    return calendar_counts(inc_monthly(spark, sf_dir), "ts")
+
+
+@query("hour_weekday_pivot")
+def q_pivot(spark, sf_dir):
+    from cellrisk.operators.profile import hour_weekday_pivot
+    return hour_weekday_pivot(_h(spark, sf_dir), "ts")
+
+
+@query("mean_per_calendar_month")
+def q_mean_month(spark, sf_dir):
+    from cellrisk.operators.profile import mean_per_calendar_month
+    return r6(mean_per_calendar_month(table(spark, sf_dir, "orders"), "o_orderdate"))
+
+
+@query("hourly_profile_per_day")
+def q_hourly_profile(spark, sf_dir):
+    from cellrisk.operators.profile import hourly_profile_per_day
+    return r6(hourly_profile_per_day(_h(spark, sf_dir), "ts"))
+
+
+@query("density_bins")
+def q_density_bins(spark, sf_dir):
+    from cellrisk.operators.profile import density_bins
+    return r6(density_bins(_h(spark, sf_dir), "ts", "lat", "lon"))
+
+
+@query("rates_by_category")
+def q_rates(spark, sf_dir):
+    from cellrisk.functions.text import parse_bool_lenient, parse_bool_strict
+    from cellrisk.operators.profile import rates_by_category
+    h = _h(spark, sf_dir).withColumns({"arrest": parse_bool_strict("arrest_str"),
+                                       "domestic": parse_bool_lenient("domestic_str")})
+    return rates_by_category(h, "primary_type", ["arrest", "domestic"], 20)
+
+
+@query("pair_frequency")
+def q_pairs(spark, sf_dir):
+    from cellrisk.operators.profile import pair_frequency
+    return pair_frequency(_h(spark, sf_dir), "primary_type", "description", 25)
+
+
+@query("unit_aggregate")
+def q_unit(spark, sf_dir):
+    from cellrisk.plans.hourly import unit_aggregate
+    return r6(unit_aggregate(hourly_events(spark, sf_dir)))
+
+
+@query("severity_diagnostics")
+def q_sev_diag(spark, sf_dir):
+    from cellrisk.functions import severity as S
+    from cellrisk.operators.profile import severity_diagnostics
+    m = inc_monthly(spark, sf_dir)
+    t = F.upper(F.trim("primary_type"))
+    m = m.withColumns({"ptc": t, "sev_base": S.tier_base(t), "desc_mult": S.description_multiplier("description"),
+                       "severity": S.tier_severity(t, "description")})
+    per, share = severity_diagnostics(m, "ptc", "sev_base", "severity", "desc_mult")
+    return r6(per.withColumn("pct_modified", F.lit(share.first()["pct_modified"])))
+
+
+@query("severity_layer_coverage")
+def q_layer_cov(spark, sf_dir):
+    from cellrisk.operators.profile import share_by
+    return r6(share_by(hourly_events(spark, sf_dir), "sev_layer"))
+
+
+@query("decay_mass_by_year")
+def q_decay_mass(spark, sf_dir):
+    from cellrisk.operators.profile import decay_mass_by_year
+    m = inc_monthly(spark, sf_dir)
+    ref = m.agg(F.max("ts")).first()[0]
+    m = m.withColumn("age", (F.lit(ref).cast("timestamp_ntz").cast("timestamp").cast("double")
+                             - F.col("ts").cast("timestamp").cast("double")) / 86400.0)
+    return r6(decay_mass_by_year(m, "ts", "age"))
+
+
+@query("score_summary")
+def q_score_summary(spark, sf_dir):
+    from cellrisk.operators.profile import score_summary
+    from cellrisk.plans.monthly import monthly_scores
+    s = monthly_scores(monthly_features(spark, sf_dir))
+    return r4(score_summary(s, "risk_score", ["harm", "risk_raw"]))
+
+
+@query("tier_counts")
+def q_tier_counts(spark, sf_dir):
+    from cellrisk.plans.monthly import monthly_scores
+    s = monthly_scores(monthly_features(spark, sf_dir))
+    return s.groupBy("risk_tier").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("normaliser_comparison")
+def q_normalisers(spark, sf_dir):
+    from cellrisk.operators.profile import normaliser_comparison
+    from cellrisk.operators.stats import quantiles
+    g = hourly_grid_df(spark, sf_dir)
+    clip = quantiles(g, "risk_raw", [0.99])[0]
+    return r6(normaliser_comparison(g, "risk_raw", clip))
+
+
+@query("hotspots")
+def q_hotspots(spark, sf_dir):
+    from cellrisk.operators.profile import hotspots
+    from cellrisk.plans.monthly import monthly_scores
+    s = monthly_scores(monthly_features(spark, sf_dir))
+    return r6(hotspots(s, ["glat", "glon"], "risk_score", 5))
+
+
+@query("quiet_busy_slots")
+def q_quiet_busy(spark, sf_dir):
+    from cellrisk.operators.profile import quiet_busy
+    return r6(quiet_busy(hourly_grid_df(spark, sf_dir), "risk_score", "crime_count", "neighbor_count_mean"))
+
+
+@query("spearman_score_count")
+def q_spearman(spark, sf_dir):
+    from cellrisk.operators.stats import spearman
+    g = hourly_grid_df(spark, sf_dir)
+    v = spearman(g, "risk_score", "crime_count")
+    p = g.agg(F.corr("risk_score", "crime_count").alias("pearson"))
+    return r6(p.withColumn("spearman", F.lit(v).cast("double")))
+
+
+@query("run_summary")
+def q_run_summary(spark, sf_dir):
+    from cellrisk.functions.text import parse_bool_lenient, parse_bool_strict
+    h = _h(spark, sf_dir)
+    return r6(h.agg(F.count(F.lit(1)).alias("rows"),
+                    F.date_format(F.min("ts"), "yyyy-MM-dd HH:mm:ss").alias("first_ts"),
+                    F.date_format(F.max("ts"), "yyyy-MM-dd HH:mm:ss").alias("last_ts"),
+                    F.count_distinct("primary_type").alias("n_types"),
+                    (F.avg(F.col("lat").isNull().cast("double")) * 100).alias("pct_missing_lat"),
+                    (F.avg(parse_bool_strict("arrest_str").cast("double")) * 100).alias("arrest_pct"),
+                    (F.avg(parse_bool_lenient("domestic_str").cast("double")) * 100).alias("domestic_pct")))
+
+
+@query("dataset_fingerprint")
+def q_fingerprint(spark, sf_dir):
+    from cellrisk.operators.profile import fingerprint
+    return fingerprint(hourly_grid_df(spark, sf_dir).select(*HOURLY_GRID_COLS))

@@ -206,3 +206,15 @@ def score_log_minmax(k: DataFrame, r: str, clip_pctl: float, grid: float) -> Dat
     }).withColumn("risk_tier", SC.tier_right_closed("risk_score"))
         .select("gi", "gj", "period_str", "glat", "glon", "n_crimes", "harm", "harm_temporal",
                 "harm_spatial", "risk_raw", "risk_score", "risk_tier", "is_partial_period"))
+
+
+LABEL_ADD = ["risk_score", "risk_tier", "harm", "harm_temporal", "harm_spatial", "risk_raw",
+             "is_partial_period"]
+
+
+def training_table(panel: DataFrame, labels: DataFrame) -> DataFrame:
+    """Panel features with the label columns attached (left equi-join on the
+    cell-month key; duplicate columns come from the panel)."""
+    lab = labels.select("gi", "gj", "period_str", *LABEL_ADD)
+    keep = [c for c in panel.columns if c not in LABEL_ADD and c not in ("pidx", "night", "weekend", "year")]
+    return panel.select(*keep).join(lab, ["gi", "gj", "period_str"], "left")

@@ -416,3 +416,311 @@ select cell_id, dow, hour,
   0e0 as score_zero_clip, {_tier_rc('risk_score')} as tier, {_level('risk_score')} as level,
   round(greatest(0e0, least(1e2, risk_score * 1.3e0 - 20e0)), 6) as clamped
 from grid""")
+
+
+# ---------------------------------------------------------------------------
+# monthly panel
+# ---------------------------------------------------------------------------
+MONTHLY_FEAT = MM + f""", mf as (select *, {MONTH_IDX} as pidx, upper(trim(primary_type)) as t,
+  cast(coalesce(upper(trim(primary_type)) in ({sql_list(P.VIOLENT_TYPES_MONTHLY)}), false) as int) as is_violent,
+  cast(coalesce(upper(trim(primary_type)) in ({sql_list(P.PROPERTY_TYPES)}), false) as int) as is_property,
+  cast({lenient_bool('cast(arrest_flag as varchar)')} as int) as arrest_b,
+  cast({lenient_bool('cast(domestic_flag as varchar)')} as int) as domestic_b,
+  cast(hour(ts) >= 22 or hour(ts) < 5 as int) as is_night, cast(isodow(ts) - 1 >= 5 as int) as is_weekend
+  from inc_monthly where gi is not null and gj is not null and ts is not null),
+agg as (select gi, gj, pidx, count(*) as n_crimes, cast(sum(is_violent) as bigint) as n_violent,
+  cast(sum(is_property) as bigint) as n_property, cast(sum(arrest_b) as bigint) as n_arrest,
+  cast(sum(domestic_b) as bigint) as n_domestic, count(distinct t) as n_types,
+  cast(sum(is_night) as bigint) as night, cast(sum(is_weekend) as bigint) as weekend
+  from mf group by all),
+agg2 as (select *, n_arrest / n_crimes as arrest_rate, n_domestic / n_crimes as domestic_rate,
+  night / n_crimes as share_night, weekend / n_crimes as share_weekend from agg)"""
+
+_roll = lambda k: (f"case when count(n_crimes) over (w rows between {k} preceding and 1 preceding) = {k} "
+                   f"then avg(n_crimes) over (w rows between {k} preceding and 1 preceding) end")
+PANEL_CTES = MONTHLY_FEAT + f""",
+cells as (select distinct gi, gj from agg2), periods as (select distinct pidx from agg2),
+y0 as (select min(floor(pidx / 12)) as y0 from agg2),
+pn as (select c.gi, c.gj, p.pidx,
+  coalesce(a.n_crimes, 0) as n_crimes, coalesce(a.n_violent, 0) as n_violent, coalesce(a.n_property, 0) as n_property,
+  coalesce(a.n_arrest, 0) as n_arrest, coalesce(a.n_domestic, 0) as n_domestic, coalesce(a.n_types, 0) as n_types,
+  coalesce(a.arrest_rate, 0e0) as arrest_rate, coalesce(a.domestic_rate, 0e0) as domestic_rate,
+  coalesce(a.share_night, 0e0) as share_night, coalesce(a.share_weekend, 0e0) as share_weekend
+  from cells c cross join periods p left join agg2 a on a.gi = c.gi and a.gj = c.gj and a.pidx = p.pidx),
+pf as (select pn.*, gi * 1e-2 as glat, gj * 1e-2 as glon, {period_text('pidx')} as period_str,
+  cast(floor(pidx / 12) - y0.y0 as int) as year_idx, cast(pidx % 12 + 1 as int) as pmonth,
+  cast(floor((pidx % 12) / 3) + 1 as int) as pquarter,
+  sin(2 * pi() * (pidx % 12 + 1) / 12e0) as pmonth_sin, cos(2 * pi() * (pidx % 12 + 1) / 12e0) as pmonth_cos,
+  cast(lag(n_crimes, 1) over w as double) as lag_1, cast(lag(n_crimes, 3) over w as double) as lag_3,
+  cast(lag(n_crimes, 12) over w as double) as lag_12,
+  {_roll(3)} as roll3_mean, {_roll(6)} as roll6_mean, {_roll(12)} as roll12_mean,
+  avg(n_crimes) over (w rows between unbounded preceding and 1 preceding) as cell_hist_mean,
+  cast(lag(n_violent, 1) over w as double) as n_violent_lag1, lag(arrest_rate, 1) over w as arrest_rate_lag1,
+  lag(domestic_rate, 1) over w as domestic_rate_lag1, lag(share_night, 1) over w as share_night_lag1,
+  lag(share_weekend, 1) over w as share_weekend_lag1
+  from pn, y0 window w as (partition by gi, gj order by pidx)),
+nbm as (select a.gi, a.gj, a.pidx, avg(b.lag_1) as nb from pf a join pf b on b.pidx = a.pidx
+  and abs(b.gi - a.gi) <= 1 and abs(b.gj - a.gj) <= 1 and not (b.gi = a.gi and b.gj = a.gj)
+  and b.lag_1 is not null group by all),
+panel as (select pf.*, roll3_mean - roll12_mean as trend_3_12, nbm.nb as neighbor_lag1_mean
+  from pf left join nbm on nbm.gi = pf.gi and nbm.gj = pf.gj and nbm.pidx = pf.pidx)"""
+
+_feat_fill = set(P.FEATURE_COLUMNS_MONTHLY)
+_panel_dbl = {"arrest_rate", "domestic_rate", "share_night", "share_weekend", "glat", "glon", "pmonth_sin",
+              "pmonth_cos", "lag_1", "lag_3", "lag_12", "roll3_mean", "roll6_mean", "roll12_mean",
+              "cell_hist_mean", "trend_3_12", "n_violent_lag1", "arrest_rate_lag1", "domestic_rate_lag1",
+              "neighbor_lag1_mean", "share_night_lag1", "share_weekend_lag1"}
+PANEL_COLS = ["gi", "gj", "period_str", "n_crimes", "n_violent", "n_property", "n_arrest", "n_domestic",
+              "n_types", "arrest_rate", "domestic_rate", "share_night", "share_weekend", "glat", "glon",
+              "year_idx", "pmonth", "pquarter", "pmonth_sin", "pmonth_cos", "lag_1", "lag_3", "lag_12",
+              "roll3_mean", "roll6_mean", "roll12_mean", "cell_hist_mean", "trend_3_12", "n_violent_lag1",
+              "arrest_rate_lag1", "domestic_rate_lag1", "neighbor_lag1_mean", "share_night_lag1",
+              "share_weekend_lag1"]
+
+
+def _panel_expr(c):
+    e = c
+    if c in _feat_fill and c in _panel_dbl:
+        e = f"coalesce({c}, 0e0)"
+    return f"round({e}, 6) as {c}" if c in _panel_dbl else c
+
+
+PANEL_SELECT = ", ".join(_panel_expr(c) for c in PANEL_COLS)
+oracle("gridmonth_panel", PANEL_CTES + f"\nselect {PANEL_SELECT} from panel")
+
+oracle("grid_month_aggregate", MONTHLY_FEAT + f"""
+select gi, gj, {period_text('pidx')} as period_str, n_crimes, n_violent, n_property, n_arrest, n_domestic, n_types,
+  night, weekend, round(arrest_rate, 6) as arrest_rate, round(domestic_rate, 6) as domestic_rate,
+  round(share_night, 6) as share_night, round(share_weekend, 6) as share_weekend from agg2""")
+
+oracle("harm_table", MM + f""", f as (select gi, gj, {MONTH_IDX} as pidx,
+  {tier_case("upper(trim(primary_type))")} * {mult_case("description")} as severity
+  from inc_monthly where gi is not null and gj is not null and ts is not null)
+select gi, gj, {period_text('pidx')} as period_str, round(sum(severity), 6) as harm, count(*) as n_inc,
+  round(avg(severity), 6) as sev_mean from f group by gi, gj, pidx""")
+
+_lab_sql = MONTHLY_SCORE_SQL.split("with inc_monthly as", 1)[1]
+PANEL_SELECT_Q = ", ".join(_panel_expr(c).replace(c, "panel." + c, 1) if c not in _panel_dbl
+                           else _panel_expr(c).replace(f"({c}", f"(panel.{c}", 1) for c in PANEL_COLS)
+oracle("training_table", PANEL_CTES + ", lab0 as (with inc_monthly as" + _lab_sql + ")\nselect "
+       + PANEL_SELECT_Q
+       + ", lab0.risk_score, lab0.risk_tier, lab0.harm, lab0.harm_temporal, lab0.harm_spatial, lab0.risk_raw,"
+         " lab0.is_partial_period from panel left join lab0 on lab0.gi = panel.gi and lab0.gj = panel.gj"
+         " and lab0.period_str = panel.period_str")
+
+# ---------------------------------------------------------------------------
+# 2.5 aggregations / profiles
+# ---------------------------------------------------------------------------
+_mp_cols = ["lat", "lon", "ts", "location_description", "description", "value"]
+oracle("missing_profile", H + ", " + "m as (" + " union all ".join(
+    f"select '{c}' as column, count(*) filter (where {c} is null) as n_missing, count(*) as n from inc_hourly"
+    for c in _mp_cols) + """)
+select "column", cast(n_missing as bigint) as n_missing, round(n_missing * 1e2 / n, 6) as pct_missing
+from m where n_missing > 0""")
+
+oracle("missing_by_group", H + " " + " union all ".join(
+    f"select event_type, '{c}' as column, round(avg(cast({c} is null as double)) * 1e2, 6) as pct_missing "
+    f"from inc_hourly group by event_type" for c in ["lat", "lon", "location_description"]))
+
+_cm = [("lat", "lon"), ("lat", "location_description"), ("lon", "location_description")]
+oracle("co_missing", H + " " + " union all ".join(
+    f"select '{a}&{b}' as pair, cast(count(*) filter (where {a} is null and {b} is null) as bigint) as n_both_missing "
+    f"from inc_hourly" for a, b in _cm))
+
+oracle("null_rate_by_category", H + """
+(select primary_type as category, count(*) as n, round(avg(cast(location_description is null as double)) * 1e2, 6) as pct_null,
+  'type' as by from inc_hourly group by 1 having count(*) >= 500 order by pct_null desc, category asc nulls first limit 15)
+union all
+(select description as category, count(*) as n, round(avg(cast(lat is null as double)) * 1e2, 6) as pct_null,
+  'description' as by from inc_hourly group by 1 having count(*) >= 1000 order by pct_null desc, category asc nulls first limit 15)""")
+
+_mcols = "l_orderkey, l_linenumber, gi, gj, ts, l_returnflag, l_quantity, l_extendedprice, primary_type, description, arrest_flag, domestic_flag"
+oracle("key_uniqueness", MM + f""", g as (select {_mcols}, count(*) as c from inc_monthly group by all),
+k as (select cast(sum(c) as bigint) as n_rows, count(distinct (l_orderkey, l_linenumber)) as n_distinct_keys,
+  cast(sum(case when c > 1 then c - 1 else 0 end) as bigint) as full_row_dups from g)
+select n_rows, n_distinct_keys, n_rows - n_distinct_keys as dup_keys, full_row_dups,
+  cast(n_rows = n_distinct_keys as int) as is_unique from k""")
+
+oracle("rows_per_key_histogram", MM + """, k as (select l_orderkey, l_linenumber, count(*) as rows_per_key
+  from inc_monthly group by all) select rows_per_key, count(*) as n_keys from k group by 1""")
+
+oracle("codes_per_duplicated_key", MM + """, k as (select l_orderkey, l_linenumber, count(*) as n,
+  count(distinct l_returnflag) as codes from inc_monthly group by all having count(*) > 1)
+select count(*) as dup_keys, count(*) filter (where codes = 1) as same_code,
+  count(*) filter (where codes > 1) as different_code from k""")
+
+oracle("duplicated_key_rows", MM + """, d as (select l_orderkey, l_linenumber from inc_monthly group by all having count(*) > 1)
+select m.l_orderkey, m.l_linenumber, m.gi, m.gj, m.l_returnflag, round(m.l_quantity, 6) as l_quantity
+from inc_monthly m semi join d on d.l_orderkey = m.l_orderkey and d.l_linenumber = m.l_linenumber""")
+
+oracle("category_repetition", H + """, k as (select case_number, count(*) as n from inc_hourly
+  where primary_type = 'THEFT' group by 1)
+select cast(sum(n) as bigint) as rows, count(*) as distinct_keys, count(*) filter (where n > 1) as keys_repeated from k""")
+
+oracle("consistency_counts", H + """, c as (select *, case when id % 11 = 0 then yr + 1 else yr end as year_col,
+  case when id % 7 = 0 then ts - interval 1 day else ts + interval 1 day end as updated from inc_hourly)
+select count(*) filter (where year_col <> year(ts)) as year_mismatch,
+  count(*) filter (where ts > updated) as date_after_updated, count(*) filter (where ts is null) as null_dates from c""")
+
+_canon_ctes = H + f""", cnt as (select iucr, yr, primary_type, count(*) as n from inc_hourly where iucr is not null group by all),
+lasty as (select iucr, max(yr) as ly from cnt group by all),
+rec as (select cnt.iucr, primary_type, sum(n) as n from cnt join lasty on cnt.iucr = lasty.iucr and cnt.yr = lasty.ly
+  where primary_type is not null group by all),
+cm as (select iucr, primary_type as canon from (
+  select *, row_number() over (partition by iucr order by n desc, primary_type asc) as rk from rec) where rk = 1),
+c1 as (select h.*, {strip('upper(coalesce(cm.canon, h.primary_type))')} as ptc from inc_hourly h left join cm on cm.iucr = h.iucr)"""
+oracle("taxonomy_conflicts", _canon_ctes + """
+select count(*) filter (where k > 1) as n_conflicts, 'before' as stage from (
+  select iucr, count(distinct primary_type) as k from inc_hourly where iucr is not null group by 1)
+union all
+select count(*) filter (where k > 1), 'after' from (select iucr, count(distinct ptc) as k from c1 where iucr is not null group by 1)
+union all
+select count(*) filter (where ptc <> upper(trim(primary_type))), 'rows_relabelled' from c1""")
+
+oracle("top_labels_per_code", H + """, c as (select iucr, primary_type, count(*) as n from inc_hourly where iucr is not null group by all),
+k as (select iucr from c group by 1 having count(*) > 1),
+r as (select c.*, row_number() over (partition by c.iucr order by n desc, primary_type asc) as rank
+  from c semi join k on k.iucr = c.iucr)
+select iucr, primary_type, n, cast(rank as int) as rank from r where rank <= 3""")
+
+oracle("canonical_labels", _canon_ctes + "\nselect iucr, canon from cm")
+
+oracle("label_span", MM + """select primary_type, cast(min(year(ts)) as int) as first_year,
+  cast(max(year(ts)) as int) as last_year, count(*) as n from inc_monthly group by 1""")
+
+_desc = lambda c: (f"count({c}) as {c}_count, round(avg({c}), 6) as {c}_mean, round(stddev_samp({c}), 6) as {c}_std, "
+                   f"round(min({c}), 6) as {c}_min, round(quantile_cont({c}, 0.25), 6) as {c}_p25, "
+                   f"round(quantile_cont({c}, 0.5), 6) as {c}_p50, round(quantile_cont({c}, 0.75), 6) as {c}_p75, "
+                   f"round(max({c}), 6) as {c}_max")
+oracle("spatial_outliers", H + f"""select
+  count(*) filter (where lat is not null and lon is not null and not ({in_box_sql()})) as n_out_of_box,
+  count(*) filter (where lat is not null and lon is not null and abs(lat) < 1 and abs(lon) < 1) as n_near_zero,
+  {_desc('lat')}, {_desc('lon')} from inc_hourly""")
+
+oracle("grid_density", MM + """, p as (select gi, gj, count(*) as n from inc_monthly where gi is not null and gj is not null
+  and ts is not null group by all)
+select count(*) as cells, round(avg(n), 6) as mean, round(stddev_samp(n), 6) as std, min(n) as min,
+  round(quantile_cont(n, 0.25), 6) as p25, round(quantile_cont(n, 0.5), 6) as p50, round(quantile_cont(n, 0.75), 6) as p75,
+  max(n) as max, round(skewness(n), 6) as skew from p""")
+
+oracle("cell_size_comparison", H + """, e as (select s.size, cast(floor(lat / s.size) as bigint) * 100000
+  + cast(floor(lon / s.size) as bigint) as cell from inc_hourly,
+  (select unnest([0.02e0, 0.01e0, 0.005e0]) as size) s where lat is not null),
+p as (select size, count(*) as events, count(distinct cell) as active_cells from e group by 1)
+select round(size, 6) as size, active_cells, cast(round(events / active_cells) as bigint) as events_per_cell,
+  round(round(events / (active_cells * 168), 1), 6) as events_per_unit from p""")
+
+_card_cols = ["id", "case_number", "iucr", "primary_type", "description", "location_description",
+              "arrest_str", "domestic_str", "event_type"]
+oracle("cardinality", H + " " + " union all ".join(
+    f"select '{c}' as column, count(distinct {c}) as n_unique from inc_hourly" for c in _card_cols))
+
+oracle("top_values", H + " " + " union all ".join(
+    f"(select '{c}' as column, {c} as value, count(*) as n from inc_hourly group by 2 "
+    f"order by n desc, value asc nulls first {'limit ' + str(n) if n else ''})"
+    for c, n in [("primary_type", 20), ("location_description", 15), ("description", 15), ("event_type", None)]))
+
+oracle("calendar_counts", MM + """, t as (select * from inc_monthly where ts is not null)
+select 'year' as part, cast(year(ts) as int) as value, count(*) as n from t group by 2
+union all select 'month', cast(month(ts) as int), count(*) from t group by 2
+union all select 'dow', cast(isodow(ts) - 1 as int), count(*) from t group by 2
+union all select 'hour', cast(hour(ts) as int), count(*) from t group by 2""")
+
+oracle("hour_weekday_pivot", H + ", c as (select cast(isodow(ts) - 1 as int) as dow, hour(ts) as h, count(*) as n "
+       "from inc_hourly where ts is not null group by all)\nselect d.dow, "
+       + ", ".join(f"cast(coalesce(sum(n) filter (where h = {h}), 0) as bigint) as h{h:02d}" for h in range(24))
+       + " from (select cast(range as int) as dow from range(7)) d left join c on c.dow = d.dow group by d.dow")
+
+oracle("mean_per_calendar_month", """with o as (select * from orders where o_orderdate is not null),
+y as (select count(distinct year(o_orderdate)) as ny from o)
+select cast(month(o_orderdate) as int) as month, round(count(*) / any_value(y.ny), 6) as mean_count from o, y group by 1""")
+
+oracle("hourly_profile_per_day", H + """, s as (select cast(isodow(ts) - 1 >= 5 as int) as is_weekend,
+  cast(hour(ts) as int) as hour, cast(ts as date) as d from inc_hourly where ts is not null),
+days as (select is_weekend, count(distinct d) as nd from s group by 1)
+select s.is_weekend, s.hour, round(count(*) / any_value(days.nd), 6) as per_day from s
+join days on days.is_weekend = s.is_weekend group by 1, 2""")
+
+oracle("density_bins", H + """, b as (select * from inc_hourly where ts is not null and lat is not null and lon is not null),
+e as (select 'year=' || cast(year(ts) as varchar) as slice, cast(floor(lat / 1e-2) as int) as bi,
+  cast(floor(lon / 1e-2) as int) as bj from b
+  union all select case when hour(ts) between 6 and 17 then 'half=day' else 'half=night' end,
+  cast(floor(lat / 1e-2) as int), cast(floor(lon / 1e-2) as int) from b)
+select slice, bi, bj, round(ln(count(*)), 6) as log_count from e group by all""")
+
+oracle("rates_by_category", H + f"""select primary_type, count(*) as n,
+  round(avg(cast({strict_bool('arrest_str')} as double)) * 100, 1) as arrest_pct,
+  round(avg(cast({lenient_bool('domestic_str')} as double)) * 100, 1) as domestic_pct
+from inc_hourly group by 1 order by n desc, primary_type asc nulls first limit 20""")
+
+oracle("pair_frequency", H + """, p as (select primary_type, description, count(*) as n from inc_hourly group by all)
+select p.*, (select count(*) from p) as n_groups from p order by n desc, primary_type asc nulls first,
+  description asc nulls first limit 25""")
+
+oracle("unit_aggregate", HOURLY_GRID_CTES + """
+select cell_id, gx, gy, round(lat_r, 6) as lat_r, round(lon_r, 6) as lon_r, dow, hour, round(base_value, 6) as base_value,
+  crime_count, round(violent_share, 6) as violent_share, round(arrest_rate, 6) as arrest_rate from unit""")
+
+oracle("severity_diagnostics", MM + f""", s as (select upper(trim(primary_type)) as ptc,
+  {tier_case('upper(trim(primary_type))')} as sev_base, {mult_case('description')} as desc_mult,
+  {tier_case('upper(trim(primary_type))')} * {mult_case('description')} as severity from inc_monthly),
+sh as (select avg(cast(desc_mult <> 1e0 as double)) * 1e2 as pct from s)
+select ptc, round(min(sev_base), 6) as base, round(avg(severity), 6) as final_mean, round(max(severity), 6) as final_max,
+  count(*) as n, round(any_value(sh.pct), 6) as pct_modified from s, sh group by 1
+order by final_mean desc, ptc asc limit 12""")
+
+oracle("severity_layer_coverage", HOURLY_CLEAN_CTES + """, t as (select count(*) as tot from ev2)
+select sev_layer, count(*) as n, round(count(*) * 1e2 / any_value(t.tot), 6) as pct from ev2, t group by 1""")
+
+oracle("decay_mass_by_year", MM + """, r as (select max(ts) as ref from inc_monthly),
+a as (select year(ts) as year, datediff('microsecond', ts, r.ref) / 86400e6 as age from inc_monthly, r),
+e as (select h.H, cast(year as int) as year, sum(pow(0.5e0, age / h.H)) as w from a,
+  (select unnest([180e0, 365e0, 730e0]) as H) h group by all),
+t as (select H, sum(w) as tw from e group by 1)
+select round(e.H, 6) as H, e.year, round(e.w / t.tw * 1e2, 6) as pct from e join t on t.H = e.H""")
+
+_lab_body = MONTHLY_SCORE_SQL
+oracle("score_summary", "with lab as (" + _lab_body + """)
+select count(risk_score) as n, round(avg(risk_score), 4) as mean, round(quantile_cont(risk_score, 0.5), 4) as median,
+  round(skewness(risk_score), 4) as skew, round(stddev_samp(risk_score), 4) as std, round(min(risk_score), 4) as min,
+  round(quantile_cont(risk_score, 0.25), 4) as p25, round(quantile_cont(risk_score, 0.75), 4) as p75,
+  round(max(risk_score), 4) as max, round(corr(risk_score, harm), 4) as corr_harm,
+  round(corr(risk_score, risk_raw), 4) as corr_risk_raw from lab""")
+
+oracle("tier_counts", "with lab as (" + _lab_body + ")\nselect risk_tier, count(*) as n from lab group by 1")
+
+_curves = {"A_linear": "1e2 * pow(least(greatest(risk_raw, 0e0), c.clip) / c.clip, 1e0)",
+           "B_sqrt": "1e2 * pow(least(greatest(risk_raw, 0e0), c.clip) / c.clip, 0.5e0)",
+           "C_pow035": "1e2 * pow(least(greatest(risk_raw, 0e0), c.clip) / c.clip, 0.35e0)",
+           "D_log1p": "1e2 * ln(1 + least(greatest(risk_raw, 0e0), c.clip)) / ln(1 + c.clip)"}
+oracle("normaliser_comparison", HOURLY_GRID_CTES + ", clipc as (select quantile_cont(risk_raw, 0.99) as clip from grid), v as ("
+       + " union all ".join(f"select '{k}' as curve, {e} as v from grid, clipc c" for k, e in _curves.items())
+       + """) select curve, round(quantile_cont(v, 0.5), 6) as median, round(quantile_cont(v, 0.25), 6) as q1,
+  round(quantile_cont(v, 0.75), 6) as q3, round(avg(cast(v < 25 as double)) * 100, 6) as pct_lt25,
+  round(avg(cast(v > 75 as double)) * 100, 6) as pct_gt75 from v group by 1""")
+
+oracle("hotspots", "with lab as (" + _lab_body + """)
+select glat, glon, round(avg(risk_score), 6) as mean_score from lab group by 1, 2
+order by mean_score desc, glat asc, glon asc limit 5""")
+
+oracle("quiet_busy_slots", HOURLY_GRID_CTES + """, q as (select 'quiet' as subset, count(*) as n,
+  round(quantile_cont(risk_score, 0.5), 6) as median_score from grid where crime_count = 0 and neighbor_count_mean = 0),
+b0 as (select * from grid order by crime_count desc, risk_score desc, cell_id, dow, hour
+  limit (select cast(floor(0.01 * count(*)) as bigint) from grid)),
+b as (select 'busiest_1pct' as subset, count(*) as n, round(quantile_cont(risk_score, 0.5), 6) as median_score from b0)
+select * from q union all select * from b""")
+
+
+def avg_rank_sql(src: str, col: str, out: str) -> str:
+    return (f"(rank() over (order by {col}) + (count(*) over (partition by {col}) - 1) / 2e0) as {out}")
+
+
+oracle("spearman_score_count", HOURLY_GRID_CTES + f""", r as (select risk_score, crime_count,
+  {avg_rank_sql('grid', 'risk_score', 'rx')}, {avg_rank_sql('grid', 'crime_count', 'ry')} from grid)
+select round(corr(risk_score, crime_count), 6) as pearson, round(corr(rx, ry), 6) as spearman from r""")
+
+oracle("run_summary", H + f"""select count(*) as rows, strftime(min(ts), '%Y-%m-%d %H:%M:%S') as first_ts,
+  strftime(max(ts), '%Y-%m-%d %H:%M:%S') as last_ts, count(distinct primary_type) as n_types,
+  round(avg(cast(lat is null as double)) * 100, 6) as pct_missing_lat,
+  round(avg(cast({strict_bool('arrest_str')} as double)) * 100, 6) as arrest_pct,
+  round(avg(cast({lenient_bool('domestic_str')} as double)) * 100, 6) as domestic_pct from inc_hourly""")
