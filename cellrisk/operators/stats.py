@@ -111,6 +111,14 @@ def average_rank(df: DataFrame, col: str, out: str = "rank",
     return vc.withColumn(out, rank.cast("double")).select(col, out, "_cnt")
 
 
+def safe_corr(a, b) -> Column:
+    """Pearson correlation that is null (not an ANSI error, not rounding
+    noise from merged partial variances) when either side is constant:
+    ``covar_pop / (stddev_pop * stddev_pop)`` guarded by an exact min == max."""
+    const = (F.min(a) == F.max(a)) | (F.min(b) == F.max(b))
+    return F.when(~const, F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)))
+
+
 def spearman(df: DataFrame, x: str, y: str) -> float | None:
     """Spearman correlation (average ranks); null/NaN if either side is
     constant, like the reference."""
@@ -118,7 +126,7 @@ def spearman(df: DataFrame, x: str, y: str) -> float | None:
     rx = average_rank(d, "_x", "_rx").drop("_cnt")
     ry = average_rank(d, "_y", "_ry").drop("_cnt")
     j = d.join(rx, "_x").join(ry, "_y")
-    v = j.agg(F.corr("_rx", "_ry").alias("c")).first()["c"]
+    v = j.agg(safe_corr("_rx", "_ry").alias("c")).first()["c"]
     return None if v is None or (isinstance(v, float) and math.isnan(v)) else float(v)
 
 

@@ -688,3 +688,280 @@ def q_run_summary(spark, sf_dir):
 def q_fingerprint(spark, sf_dir):
     from cellrisk.operators.profile import fingerprint
     return fingerprint(hourly_grid_df(spark, sf_dir).select(*HOURLY_GRID_COLS))
+
+
+# ---------------------------------------------------------------------------
+# 2.12 splits, baselines, encodings (hour-of-week grid)
+# ---------------------------------------------------------------------------
+GRID_KEY = ["cell_id", "dow", "hour"]
+
+
+def grid_protocols(spark, sf_dir):
+    from cellrisk.operators.splits import protocol_tags
+    from cellrisk.operators.panel import materialize
+    return materialize(protocol_tags(hourly_grid_df(spark, sf_dir), GRID_KEY))
+
+
+@query("protocol_splits")
+def q_protocols(spark, sf_dir):
+    return grid_protocols(spark, sf_dir).select(*GRID_KEY, "split_A", "split_B", "split_C")
+
+
+@query("unseen_cell_fraction")
+def q_unseen(spark, sf_dir):
+    from cellrisk.operators.joins import unseen_fraction
+    from cellrisk.operators.splits import protocol_frames
+    pf = protocol_frames(grid_protocols(spark, sf_dir))
+    rows = []
+    for p in ("A", "B", "C"):
+        tr, te = pf[p]["train"], pf[p]["test"]
+        rows.append((p, unseen_fraction(tr, te), tr.count(), te.count()))
+    df = spark.createDataFrame(rows, "protocol string, unseen_cell_pct double, train_rows long, test_rows long")
+    return r6(df)
+
+
+@query("shrinkage_m_selection")
+def q_shrink_m(spark, sf_dir):
+    from cellrisk.operators.baselines import select_shrinkage_m
+    from cellrisk.operators.splits import protocol_frames
+    tr = protocol_frames(grid_protocols(spark, sf_dir))["B"]["train"]
+    best, table = select_shrinkage_m(tr, ["cell_id", "hour"], GRID_KEY)
+    return r6(table.withColumn("best_m", F.lit(best)))
+
+
+def _ladder(spark, sf_dir, protocol="B"):
+    from cellrisk.operators.baselines import baseline_ladder
+    from cellrisk.operators.splits import protocol_frames
+    pf = protocol_frames(grid_protocols(spark, sf_dir))[protocol]
+    return baseline_ladder(pf["train"], pf["test"], GRID_KEY)
+
+
+@query("baseline_ladder")
+def q_ladder(spark, sf_dir):
+    long, _ = _ladder(spark, sf_dir, "B")
+    return r6(long)
+
+
+@query("baseline_comparison")
+def q_comparison(spark, sf_dir):
+    from cellrisk.operators.evaluate import add_improvement, metrics
+    parts = []
+    for p in ("A", "B", "C"):
+        long, _ = _ladder(spark, sf_dir, p)
+        parts.append(long.withColumn("protocol", F.lit(p)))
+    allp = parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumn("predictor_type", F.lit("baseline"))
+    m = metrics(allp, ["protocol", "predictor", "predictor_type"])
+    return r4(add_improvement(m))
+
+
+@query("target_encoding")
+def q_target_enc(spark, sf_dir):
+    from cellrisk.operators.baselines import target_encoding
+    from cellrisk.operators.splits import protocol_frames
+    tr = protocol_frames(grid_protocols(spark, sf_dir))["B"]["train"]
+    enc, g = target_encoding(tr)
+    return r6(enc.withColumn("global_mean", F.lit(g)))
+
+
+@query("quantile_bins")
+def q_qbins(spark, sf_dir):
+    from cellrisk.operators.evaluate import quantile_bins
+    from cellrisk.params import QUINTILE_LABELS
+    g = hourly_grid_df(spark, sf_dir)
+    return quantile_bins(g, "risk_score", 5, QUINTILE_LABELS).select(*GRID_KEY, "quantile")
+
+
+def _segmented(spark, sf_dir):
+    from cellrisk.operators.evaluate import segmented
+    long, _ = _ladder(spark, sf_dir, "B")
+    wide = long.groupBy(*GRID_KEY, "y").pivot("predictor").agg(F.first("pred"))
+    seg = wide.select(*GRID_KEY, "y", F.col("`Baseline: Sel+Jam (shrinkage)`").alias("pred_model"),
+                      F.col("`Baseline: Rata-rata per Jam+Hari`").alias("pred_baseline"))
+    return segmented(seg)
+
+
+@query("segmented_by_quintile")
+def q_seg_q(spark, sf_dir):
+    return r6(_segmented(spark, sf_dir)["per_quintile"])
+
+
+@query("segmented_by_hour_group")
+def q_seg_h(spark, sf_dir):
+    return r6(_segmented(spark, sf_dir)["per_hour_group"])
+
+
+@query("large_error_shares")
+def q_seg_large(spark, sf_dir):
+    return r6(_segmented(spark, sf_dir)["large_error_fractions"])
+
+
+@query("worst_cells")
+def q_worst(spark, sf_dir):
+    return r6(_segmented(spark, sf_dir)["worst_cells"])
+
+
+# ---------------------------------------------------------------------------
+# monthly training table: chronological protocol, lag-risk, persistence
+# ---------------------------------------------------------------------------
+TRAIN_END, VAL_END = "1995-12", "1996-12"
+
+
+def monthly_model_table(spark, sf_dir):
+    """Training table without the partial month, with risk lags defaulted to
+    the train mean (the modelling table of the monthly generation)."""
+    from cellrisk.operators.panel import materialize
+    from cellrisk.plans.monthly import add_risk_lags
+    from cellrisk.plans.monthly import monthly_scores, training_table
+    f = monthly_features(spark, sf_dir)
+    t = training_table(gridmonth_panel_df(spark, sf_dir), monthly_scores(f))
+    t = t.filter(F.col("is_partial_period") == 0)
+    return materialize(add_risk_lags(t, TRAIN_END))
+
+
+@query("chrono_split")
+def q_chrono(spark, sf_dir):
+    from cellrisk.operators.splits import split_chrono
+    t = monthly_model_table(spark, sf_dir)
+    parts = zip(("train", "val", "test"), split_chrono(t, TRAIN_END, VAL_END))
+    out = None
+    for name, d in parts:
+        a = d.agg(F.lit(name).alias("split"), F.count(F.lit(1)).alias("rows"),
+                  F.min("period_str").alias("first_period"), F.max("period_str").alias("last_period"))
+        out = a if out is None else out.unionByName(a)
+    return out
+
+
+@query("disjoint_periods")
+def q_disjoint(spark, sf_dir):
+    from cellrisk.operators.splits import split_chrono
+    tr, va, te = split_chrono(monthly_model_table(spark, sf_dir), TRAIN_END, VAL_END)
+    p = lambda d: d.select("period_str").distinct()
+    a = p(tr).intersect(p(va)).agg(F.count(F.lit(1)).alias("n")).withColumn("pair", F.lit("train&val"))
+    b = p(va).intersect(p(te)).agg(F.count(F.lit(1)).alias("n")).withColumn("pair", F.lit("val&test"))
+    c = p(tr).intersect(p(te)).agg(F.count(F.lit(1)).alias("n")).withColumn("pair", F.lit("train&test"))
+    return a.unionByName(b).unionByName(c)
+
+
+@query("risk_lags")
+def q_risk_lags(spark, sf_dir):
+    t = monthly_model_table(spark, sf_dir)
+    return r6(t.select("gi", "gj", "period_str", "risk_score", "risk_lag_1", "risk_lag_3", "risk_lag_12"))
+
+
+def _monthly_baselines(spark, sf_dir):
+    from cellrisk.operators.baselines import global_mean, group_mean, predict_group_mean
+    from cellrisk.operators.splits import split_chrono
+    t = monthly_model_table(spark, sf_dir)
+    tr, _, te = split_chrono(t, TRAIN_END, VAL_END)
+    gm = global_mean(tr)
+    cm = group_mean(tr, ["gi", "gj"])
+    p = te.select("gi", "gj", "period_str", F.col("risk_score").alias("y"), "prev_risk")
+    p = p.withColumn("GlobalMean", F.lit(gm))
+    p = predict_group_mean(p, cm, ["gi", "gj"], gm, "CellMean")
+    p = p.withColumn("Persistence", F.coalesce(F.col("prev_risk"), F.lit(gm)))
+    return p, gm, tr
+
+
+@query("monthly_baseline_metrics")
+def q_monthly_baselines(spark, sf_dir):
+    from cellrisk.operators.evaluate import metrics
+    p, _, _ = _monthly_baselines(spark, sf_dir)
+    long = p.select("y", F.expr("stack(3, 'GlobalMean', GlobalMean, 'CellMean', CellMean, "
+                                "'Persistence', Persistence) as (model, pred)"))
+    return r4(metrics(long, ["model"], r2_zero_if_constant=False))
+
+
+@query("hard_cases")
+def q_hard_cases(spark, sf_dir):
+    from cellrisk.operators.stats import quantiles
+    p, gm, tr = _monthly_baselines(spark, sf_dir)
+    d = p.withColumn("chg", F.abs(F.col("y") - F.col("Persistence")))
+    thr = quantiles(d, "chg", [0.75])[0]
+    vol = tr.groupBy("gi", "gj").agg(F.stddev_samp("risk_score").alias("sd"))
+    vthr = quantiles(vol, "sd", [0.75])[0]
+    d = d.join(vol, ["gi", "gj"], "left").withColumn("sd", F.coalesce("sd", F.lit(0.0)))
+    tagged = d.select("y", "Persistence", "CellMean", F.explode(F.array(
+        F.lit("all"), F.when(F.col("chg") >= thr, F.lit("large_change")),
+        F.when(F.col("sd") >= vthr, F.lit("volatile_cells")))).alias("subset")).filter(F.col("subset").isNotNull())
+    return r4(tagged.groupBy("subset").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(F.abs(F.col("y") - F.col("CellMean"))).alias("MAE_cellmean"),
+        F.avg(F.abs(F.col("y") - F.col("Persistence"))).alias("MAE_persistence")))
+
+
+@query("tier_accuracy")
+def q_tier_acc(spark, sf_dir):
+    from cellrisk.functions.score import tier_right_closed
+    from cellrisk.operators.evaluate import tier_accuracy
+    p, _, _ = _monthly_baselines(spark, sf_dir)
+    t = p.select(tier_right_closed("y").alias("a"), tier_right_closed("Persistence").alias("b"))
+    return r6(tier_accuracy(t, "a", "b"))
+
+
+@query("last_periods_holdout")
+def q_last_periods(spark, sf_dir):
+    from cellrisk.operators.drift import holdout_periods
+    t = monthly_model_table(spark, sf_dir)
+    return holdout_periods(t, "1997-12", 6)
+
+
+@query("batch_slice_by_year")
+def q_batch_slice(spark, sf_dir):
+    t = monthly_model_table(spark, sf_dir)
+    y = F.substring("period_str", 1, 4)
+    return t.groupBy(y.alias("batch")).agg(F.count(F.lit(1)).alias("rows"),
+                                         F.count_distinct("period_str").alias("periods"))
+
+
+# ---------------------------------------------------------------------------
+# 2.14 drift
+# ---------------------------------------------------------------------------
+@query("psi_events")
+def q_psi_events(spark, sf_dir):
+    from cellrisk.operators.drift import psi_table
+    h = _h(spark, sf_dir).select("value", "k", F.hour("ts").alias("hour"), F.dayofmonth("ts").alias("day"))
+    ref, act = h.filter(F.col("day") <= 15), h.filter(F.col("day") > 15)
+    return r6(psi_table(ref, act, ["value", "k", "hour"]))
+
+
+def monthly_drift_features():
+    from cellrisk.operators.drift import drift_features
+    from cellrisk.params import FEATURE_COLUMNS_MONTHLY, RISK_LAG_COLUMNS
+    return drift_features(FEATURE_COLUMNS_MONTHLY + RISK_LAG_COLUMNS)
+
+
+def _drift_profile(spark, sf_dir):
+    from cellrisk.operators.drift import drift_profile, psi_table
+    t = monthly_model_table(spark, sf_dir)
+    feats = monthly_drift_features()
+    ref = t.filter(F.col("period_str") <= TRAIN_END)
+    out = None
+    for year in ("1996", "1997", "1998"):
+        b = t.filter(F.col("period_str").startswith(year))
+        prof = drift_profile(psi_table(ref, b, feats), feats).withColumn("batch", F.lit(year))
+        out = prof if out is None else out.unionByName(prof)
+    return out
+
+
+@query("drift_profile")
+def q_drift_profile(spark, sf_dir):
+    return r4(_drift_profile(spark, sf_dir))
+
+
+@query("drift_decision")
+def q_drift_decision(spark, sf_dir):
+    from cellrisk.operators.baselines import global_mean, group_mean, predict_group_mean
+    from cellrisk.operators.drift import drift_decision
+    prof = _drift_profile(spark, sf_dir)
+    t = monthly_model_table(spark, sf_dir)
+    tr = t.filter(F.col("period_str") <= TRAIN_END)
+    gm = global_mean(tr)
+    cm = group_mean(tr, ["gi", "gj"])
+    ref_mae = predict_group_mean(tr, cm, ["gi", "gj"], gm, "p").agg(
+        F.avg(F.abs(F.col("risk_score") - F.col("p")))).first()[0]
+    mon = (predict_group_mean(t, cm, ["gi", "gj"], gm, "p")
+           .groupBy(F.substring("period_str", 1, 4).alias("batch"))
+           .agg(F.avg(F.abs(F.col("risk_score") - F.col("p"))).alias("MAE_batch")))
+    d = prof.join(mon, "batch", "left")
+    return r4(d.select("batch", "psi_max", "MAE_batch", F.lit(ref_mae).alias("ref_mae"),
+                       drift_decision(F.col("psi_max"), F.col("MAE_batch"), F.lit(ref_mae))
+                       .cast("int").alias("drift_detected")))

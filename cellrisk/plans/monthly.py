@@ -218,3 +218,13 @@ def training_table(panel: DataFrame, labels: DataFrame) -> DataFrame:
     lab = labels.select("gi", "gj", "period_str", *LABEL_ADD)
     keep = [c for c in panel.columns if c not in LABEL_ADD and c not in ("pidx", "night", "weekend", "year")]
     return panel.select(*keep).join(lab, ["gi", "gj", "period_str"], "left")
+
+
+def add_risk_lags(t: DataFrame, train_end: str, lags=(1, 3, 12), target: str = "risk_score") -> DataFrame:
+    """``risk_lag_L`` per cell (missing -> train mean of the target) and the
+    raw previous value ``prev_risk`` for persistence."""
+    gm = t.filter(F.col("period_str") <= train_end).agg(F.avg(target)).first()[0]
+    w = PN.cell_window(CELL, "period_str")
+    cols = {f"risk_lag_{k}": F.coalesce(F.lag(target, k).over(w), F.lit(gm)) for k in lags}
+    cols["prev_risk"] = F.lag(target, 1).over(w)
+    return t.withColumns(cols)

@@ -724,3 +724,272 @@ oracle("run_summary", H + f"""select count(*) as rows, strftime(min(ts), '%Y-%m-
   round(avg(cast(lat is null as double)) * 100, 6) as pct_missing_lat,
   round(avg(cast({strict_bool('arrest_str')} as double)) * 100, 6) as arrest_pct,
   round(avg(cast({lenient_bool('domestic_str')} as double)) * 100, 6) as domestic_pct from inc_hourly""")
+
+
+# ---------------------------------------------------------------------------
+# 2.12 splits, baselines (hour-of-week grid)
+# ---------------------------------------------------------------------------
+def md5u(seed, *cols) -> str:
+    key = " || '|' || ".join([f"'{seed}'"] + [f"cast({c} as varchar)" for c in cols])
+    return f"(('0x' || substr(md5({key}), 1, 8))::BIGINT / 4294967296e0)"
+
+
+PROT_CTES = HOURLY_GRID_CTES + f""",
+pt as (select grid.*, case when {md5u(42, 'cell_id', 'dow', 'hour')} < 0.2 then 'test' else 'train' end as split_A,
+  case when {md5u(42, 'cell_id')} < 0.2 then 'test' else 'train' end as split_B from grid),
+pt2 as (select *, case when split_B = 'train' then 'train'
+  when hour in ({', '.join(str(h) for h in P.NIGHT_HOURS)}) then 'test' end as split_C from pt)"""
+
+oracle("protocol_splits", PROT_CTES + "\nselect cell_id, dow, hour, split_A, split_B, split_C from pt2")
+
+oracle("unseen_cell_fraction", PROT_CTES + "\n" + " union all ".join(
+    f"""select '{p}' as protocol,
+  round(100e0 * (select count(*) from pt2 t where split_{p} = 'test' and cell_id not in
+     (select cell_id from pt2 where split_{p} = 'train')) / (select count(*) from pt2 where split_{p} = 'test'), 6)
+     as unseen_cell_pct,
+  (select count(*) from pt2 where split_{p} = 'train') as train_rows,
+  (select count(*) from pt2 where split_{p} = 'test') as test_rows""" for p in ("A", "B", "C")))
+
+_MGRID = ", ".join(f"({i}, {dbl(m)})" for i, m in enumerate(P.SHRINKAGE_GRID))
+
+
+def ladder_ctes(p: str) -> str:
+    """train/test of protocol p and the four baseline predictions (long)."""
+    return f""",
+tr_{p} as (select * from pt2 where split_{p} = 'train'), te_{p} as (select * from pt2 where split_{p} = 'test'),
+inner_{p} as (select * from tr_{p} where {md5u(43, 'cell_id', 'dow', 'hour')} >= 0.2),
+val_{p} as (select * from tr_{p} where {md5u(43, 'cell_id', 'dow', 'hour')} < 0.2),
+ist_{p} as (select cell_id, hour, sum(risk_score) as s, count(*) as n from inner_{p} group by all),
+ipm_{p} as (select cell_id, avg(risk_score) as pm from inner_{p} group by all),
+igm_{p} as (select avg(risk_score) as gm from inner_{p}),
+mt_{p} as (select mg.i, mg.m, avg(abs(v.risk_score - coalesce((st.s + mg.m * pm.pm) / (st.n + mg.m), pm.pm, igm_{p}.gm)))
+  as mae_val from val_{p} v cross join (select * from (values {_MGRID}) as t(i, m)) mg
+  left join ist_{p} st on st.cell_id = v.cell_id and st.hour = v.hour
+  left join ipm_{p} pm on pm.cell_id = v.cell_id cross join igm_{p} group by all),
+bm_{p} as (select m from mt_{p} order by mae_val, i limit 1),
+gm_{p} as (select avg(risk_score) as gm from tr_{p}),
+cm_{p} as (select cell_id, avg(risk_score) as v from tr_{p} group by all),
+hd_{p} as (select dow, hour, avg(risk_score) as v from tr_{p} group by all),
+st_{p} as (select cell_id, hour, sum(risk_score) as s, count(*) as n from tr_{p} group by all),
+lad_{p} as (select te.cell_id, te.dow, te.hour, te.risk_score as y, gm_{p}.gm as p_global,
+  coalesce(cm.v, gm_{p}.gm) as p_cell, coalesce(hd.v, gm_{p}.gm) as p_hour_dow,
+  coalesce((st.s + bm_{p}.m * cm.v) / (st.n + bm_{p}.m), cm.v, gm_{p}.gm) as p_cell_hour_shrunk
+  from te_{p} te cross join gm_{p} cross join bm_{p}
+  left join cm_{p} cm on cm.cell_id = te.cell_id
+  left join hd_{p} hd on hd.dow = te.dow and hd.hour = te.hour
+  left join st_{p} st on st.cell_id = te.cell_id and st.hour = te.hour),
+long_{p} as (select cell_id, dow, hour, y, unnest(['Baseline: Global Mean', 'Baseline: Rata-rata per Sel',
+  'Baseline: Rata-rata per Jam+Hari', 'Baseline: Sel+Jam (shrinkage)']) as predictor,
+  unnest([p_global, p_cell, p_hour_dow, p_cell_hour_shrunk]) as pred from lad_{p})"""
+
+
+oracle("shrinkage_m_selection", PROT_CTES + ladder_ctes("B") + """
+select round(m, 6) as m, round(mae_val, 6) as mae_val, round((select m from bm_B), 6) as best_m from mt_B""")
+
+oracle("baseline_ladder", PROT_CTES + ladder_ctes("B") + """
+select cell_id, dow, hour, round(y, 6) as y, predictor, round(pred, 6) as pred from long_B""")
+
+
+def metrics_sql(src: str, groups: list[str], y: str = "y", p: str = "pred", digits: int = 4) -> str:
+    g = ", ".join(groups)
+    part = f"partition by {g}" if groups else ""
+    return f"""(select {g + ',' if g else ''} count(*) as n, round(avg(abs({y} - {p})), {digits}) as MAE,
+  round(sqrt(avg(({y} - {p}) * ({y} - {p}))), {digits}) as RMSE,
+  round(case when var_pop({y}) > 0 then 1 - sum(({y} - {p}) * ({y} - {p})) / (var_pop({y}) * count(*)) end, {digits}) as R2,
+  round(corr(rp, ry), {digits}) as Spearman
+  from (select *, rank() over ({part} order by {p}) + (count(*) over ({part}{',' if g else 'partition by'} {p}) - 1) / 2e0 as rp,
+    rank() over ({part} order by {y}) + (count(*) over ({part}{',' if g else 'partition by'} {y}) - 1) / 2e0 as ry
+    from {src}) {'group by ' + g if g else ''})"""
+
+
+_allp = " union all ".join(f"select '{p}' as protocol, * from long_{p}" for p in ("A", "B", "C"))
+oracle("baseline_comparison", PROT_CTES + ladder_ctes("A") + ladder_ctes("B") + ladder_ctes("C") + f""",
+allp as (select *, 'baseline' as predictor_type from ({_allp})),
+mt as {metrics_sql('allp', ['protocol', 'predictor', 'predictor_type'], digits=12)},
+best as (select protocol, min(MAE) as b from mt where predictor_type = 'baseline' group by 1)
+select mt.protocol, mt.predictor, mt.predictor_type, mt.n, round(mt.MAE, 4) as MAE, round(mt.RMSE, 4) as RMSE,
+  round(mt.R2, 4) as R2, round(mt.Spearman, 4) as Spearman,
+  round((1 - mt.MAE / best.b) * 100, 4) as improvement_vs_strongest_baseline_pct
+from mt left join best on best.protocol = mt.protocol""")
+
+oracle("target_encoding", PROT_CTES + """, tr as (select * from pt2 where split_B = 'train'),
+g as (select avg(risk_score) as g from tr)
+select cell_id, round((sum(risk_score) + 10e0 * any_value(g.g)) / (count(*) + 10e0), 6) as cell_risk_mean,
+  round(any_value(g.g), 6) as global_mean from tr, g group by cell_id""")
+
+
+def qcut_sql(x: str, src: str, labels) -> str:
+    lab = "[" + ", ".join(f"'{l}'" for l in labels) + "]"
+    return f"""(select *, {lab}[1 + len(list_filter(e[2:len(e) - 1], lambda v: {x} > v))] as quantile
+  from {src}, (select list_sort(list_distinct(quantile_cont({x}, [0e0, 0.2e0, 0.4e0, 0.6e0, 0.8e0, 1e0]))) as e
+  from {src}) qe)"""
+
+
+oracle("quantile_bins", HOURLY_GRID_CTES + f"\nselect cell_id, dow, hour, quantile from {qcut_sql('risk_score', 'grid', P.QUINTILE_LABELS)}")
+
+SEG_CTES = PROT_CTES + ladder_ctes("B") + f""",
+seg0 as (select cell_id, dow, hour, y, p_cell_hour_shrunk as pred_model, p_hour_dow as pred_baseline,
+  abs(y - p_cell_hour_shrunk) as err_model, abs(y - p_hour_dow) as err_baseline from lad_B),
+seg as {qcut_sql('y', 'seg0', P.QUINTILE_LABELS)}"""
+oracle("segmented_by_quintile", SEG_CTES + """
+select quantile, round(avg(err_model), 6) as err_model, round(avg(err_baseline), 6) as err_baseline,
+  round((1 - avg(err_model) / avg(err_baseline)) * 100, 6) as improvement_pct from seg group by 1""")
+oracle("segmented_by_hour_group", SEG_CTES + """
+select case when hour > -1 and hour <= 5 then '00-05' when hour > 5 and hour <= 11 then '06-11'
+  when hour > 11 and hour <= 17 then '12-17' when hour > 17 and hour <= 23 then '18-23' end as hour_group,
+  round(avg(err_model), 6) as err_model, round(avg(err_baseline), 6) as err_baseline from seg group by 1""")
+oracle("large_error_shares", SEG_CTES + "\nselect " + ", ".join(
+    f"round(avg(cast(err_model > {t} as double)) * 100, 6) as model_gt{t}, "
+    f"round(avg(cast(err_baseline > {t} as double)) * 100, 6) as baseline_gt{t}"
+    for t in P.LARGE_ERROR_THRESHOLDS) + " from seg")
+oracle("worst_cells", SEG_CTES + """
+select cell_id, round(avg(err_model), 6) as mean, count(*) as count from seg group by 1 having count(*) >= 10
+order by mean desc, cell_id asc limit 5""")
+
+# ---------------------------------------------------------------------------
+# monthly training table protocol
+# ---------------------------------------------------------------------------
+_TT_TRAIN_END, _TT_VAL_END = "1995-12", "1996-12"
+
+
+def _tt_expr(c):
+    return f"coalesce(panel.{c}, 0e0) as {c}" if (c in _feat_fill and c in _panel_dbl) else f"panel.{c}"
+
+
+TT_CTES = PANEL_CTES + ", lab0 as (with inc_monthly as" + _lab_sql + "),\ntt0 as (select " + ", ".join(
+    _tt_expr(c) for c in PANEL_COLS) + """, lab0.risk_score, lab0.risk_tier, lab0.is_partial_period
+  from panel left join lab0 on lab0.gi = panel.gi and lab0.gj = panel.gj and lab0.period_str = panel.period_str
+  where lab0.is_partial_period = 0),
+ttg as (select avg(risk_score) as gm from tt0 where period_str <= '""" + _TT_TRAIN_END + """'),
+tt as (select tt0.*, coalesce(lag(risk_score, 1) over w, ttg.gm) as risk_lag_1,
+  coalesce(lag(risk_score, 3) over w, ttg.gm) as risk_lag_3, coalesce(lag(risk_score, 12) over w, ttg.gm) as risk_lag_12,
+  lag(risk_score, 1) over w as prev_risk from tt0, ttg window w as (partition by gi, gj order by period_str))"""
+
+oracle("chrono_split", TT_CTES + f"""
+select 'train' as split, count(*) as rows, min(period_str) as first_period, max(period_str) as last_period
+  from tt where period_str <= '{_TT_TRAIN_END}'
+union all select 'val', count(*), min(period_str), max(period_str) from tt
+  where period_str > '{_TT_TRAIN_END}' and period_str <= '{_TT_VAL_END}'
+union all select 'test', count(*), min(period_str), max(period_str) from tt where period_str > '{_TT_VAL_END}'""")
+
+oracle("disjoint_periods", TT_CTES + f""", a as (select distinct period_str from tt where period_str <= '{_TT_TRAIN_END}'),
+b as (select distinct period_str from tt where period_str > '{_TT_TRAIN_END}' and period_str <= '{_TT_VAL_END}'),
+c as (select distinct period_str from tt where period_str > '{_TT_VAL_END}')
+select count(*) as n, 'train&val' as pair from (select * from a intersect select * from b)
+union all select count(*), 'val&test' from (select * from b intersect select * from c)
+union all select count(*), 'train&test' from (select * from a intersect select * from c)""")
+
+oracle("risk_lags", TT_CTES + """
+select gi, gj, period_str, round(risk_score, 6) as risk_score, round(risk_lag_1, 6) as risk_lag_1,
+  round(risk_lag_3, 6) as risk_lag_3, round(risk_lag_12, 6) as risk_lag_12 from tt""")
+
+MB_CTES = TT_CTES + f""",
+mtr as (select * from tt where period_str <= '{_TT_TRAIN_END}'), mte as (select * from tt where period_str > '{_TT_VAL_END}'),
+mgm as (select avg(risk_score) as gm from mtr),
+mcm as (select gi, gj, avg(risk_score) as v from mtr group by all),
+mp as (select te.gi, te.gj, te.period_str, te.risk_score as y, mgm.gm as GlobalMean, coalesce(mcm.v, mgm.gm) as CellMean,
+  coalesce(te.prev_risk, mgm.gm) as Persistence from mte te cross join mgm left join mcm on mcm.gi = te.gi and mcm.gj = te.gj)"""
+
+oracle("monthly_baseline_metrics", MB_CTES + """,
+ml as (select y, unnest(['GlobalMean', 'CellMean', 'Persistence']) as model, unnest([GlobalMean, CellMean, Persistence]) as pred from mp)
+select * from """ + metrics_sql("ml", ["model"]))
+
+oracle("hard_cases", MB_CTES + """,
+d as (select *, abs(y - Persistence) as chg from mp),
+thr as (select quantile_cont(chg, 0.75) as t from d),
+vol as (select gi, gj, stddev_samp(risk_score) as sd from mtr group by all),
+vthr as (select quantile_cont(sd, 0.75) as t from vol),
+d2 as (select d.*, coalesce(vol.sd, 0e0) as sd from d left join vol on vol.gi = d.gi and vol.gj = d.gj),
+tg as (select y, Persistence, CellMean, 'all' as subset from d2
+  union all select y, Persistence, CellMean, 'large_change' from d2, thr where chg >= thr.t
+  union all select y, Persistence, CellMean, 'volatile_cells' from d2, vthr where sd >= vthr.t)
+select subset, count(*) as n, round(avg(abs(y - CellMean)), 4) as MAE_cellmean,
+  round(avg(abs(y - Persistence)), 4) as MAE_persistence from tg group by 1""")
+
+oracle("tier_accuracy", MB_CTES + f"""
+select round(avg(cast(coalesce({_tier_rc('y')} = {_tier_rc('Persistence')}, false) as double)), 6) as tier_accuracy from mp""")
+
+oracle("last_periods_holdout", TT_CTES + """
+select distinct period_str from tt where period_str <= '1997-12' order by period_str desc limit 6""")
+
+oracle("batch_slice_by_year", TT_CTES + """
+select substr(period_str, 1, 4) as batch, count(*) as rows, count(distinct period_str) as periods from tt group by 1""")
+
+
+# ---------------------------------------------------------------------------
+# 2.14 drift
+# ---------------------------------------------------------------------------
+def psi_sql(ref: str, act: str, features: list[str], bins: int = P.PSI_BINS) -> str:
+    """CTE body list computing (feature, psi) from two sources."""
+    qs = "[" + ", ".join(dbl(i / bins) for i in range(bins + 1)) + "]"
+    stack = lambda src: " union all ".join(
+        f"select '{f}' as feature, cast({f} as double) as value from {src}" for f in features)
+    return f"""rl as ({stack(ref)}), al as ({stack(act)}),
+ed as (select feature, list_sort(list_distinct(quantile_cont(value, {qs}))) as e from rl group by 1),
+ed2 as (select feature, len(e) - 1 as n_bins, e[2:len(e) - 1] as inner_e from ed),
+rb as (select rl.feature, len(list_filter(inner_e, lambda x: rl.value >= x)) as bin from rl join ed2 on ed2.feature = rl.feature where n_bins >= 1),
+ab as (select al.feature, len(list_filter(inner_e, lambda x: al.value >= x)) as bin from al join ed2 on ed2.feature = al.feature where n_bins >= 1),
+rn as (select feature, count(*) as n from rl group by 1), an as (select feature, count(*) as n from al group by 1),
+rc as (select feature, bin, count(*) as c from rb group by all), ac as (select feature, bin, count(*) as c from ab group by all),
+sp as (select feature, unnest(range(n_bins)) as bin from ed2 where n_bins >= 1),
+sh as (select sp.feature, greatest(coalesce(rc.c, 0) / greatest(rn.n, 1), 1e-6) as e,
+  greatest(coalesce(ac.c, 0) / greatest(an.n, 1), 1e-6) as a from sp
+  left join rc on rc.feature = sp.feature and rc.bin = sp.bin left join ac on ac.feature = sp.feature and ac.bin = sp.bin
+  left join rn on rn.feature = sp.feature left join an on an.feature = sp.feature),
+ps as (select feature, sum((a - e) * ln(a / e)) as psi from sh group by 1),
+psi as (select ed2.feature, coalesce(ps.psi, 0e0) as psi from ed2 left join ps on ps.feature = ed2.feature)"""
+
+
+oracle("psi_events", H + f""", hv as (select value, k, hour(ts) as hour, day(ts) as day from inc_hourly),
+href as (select * from hv where day <= 15), hact as (select * from hv where day > 15),
+{psi_sql('href', 'hact', ['value', 'k', 'hour'])}
+select feature, round(psi, 6) as psi from psi""")
+
+_DRIFT_FEATS = [f for f in P.FEATURE_COLUMNS_MONTHLY + P.RISK_LAG_COLUMNS if f not in P.DRIFT_EXCLUDE]
+_forder = "[" + ", ".join(f"'{f}'" for f in _DRIFT_FEATS) + "]"
+
+
+def drift_profile_ctes(years) -> str:
+    """(batch, feature) PSI against one reference, every batch in one pass."""
+    qs = "[" + ", ".join(dbl(i / P.PSI_BINS) for i in range(P.PSI_BINS + 1)) + "]"
+    rl = " union all ".join(f"select '{f}' as feature, cast({f} as double) as value from dref" for f in _DRIFT_FEATS)
+    al = " union all ".join(f"select substr(period_str, 1, 4) as batch, '{f}' as feature, cast({f} as double) as value "
+                            f"from tt where substr(period_str, 1, 4) in ({sql_list(years)})" for f in _DRIFT_FEATS)
+    return f"""drl as ({rl}), dal as ({al}),
+ded as (select feature, list_sort(list_distinct(quantile_cont(value, {qs}))) as e from drl group by 1),
+ded2 as (select feature, len(e) - 1 as n_bins, e[2:len(e) - 1] as inner_e from ded),
+drb as (select drl.feature, len(list_filter(inner_e, lambda x: drl.value >= x)) as bin from drl join ded2 using (feature) where n_bins >= 1),
+dab as (select dal.batch, dal.feature, len(list_filter(inner_e, lambda x: dal.value >= x)) as bin from dal join ded2 using (feature) where n_bins >= 1),
+drn as (select feature, count(*) as n from drl group by 1), dan as (select batch, feature, count(*) as n from dal group by all),
+drc as (select feature, bin, count(*) as c from drb group by all), dac as (select batch, feature, bin, count(*) as c from dab group by all),
+dbt as (select distinct batch from dal),
+dsp as (select dbt.batch, ded2.feature, unnest(range(n_bins)) as bin from ded2, dbt where n_bins >= 1),
+dsh as (select dsp.batch, dsp.feature, greatest(coalesce(drc.c, 0) / greatest(drn.n, 1), 1e-6) as e,
+  greatest(coalesce(dac.c, 0) / greatest(dan.n, 1), 1e-6) as a from dsp
+  left join drc on drc.feature = dsp.feature and drc.bin = dsp.bin
+  left join dac on dac.batch = dsp.batch and dac.feature = dsp.feature and dac.bin = dsp.bin
+  left join drn on drn.feature = dsp.feature left join dan on dan.batch = dsp.batch and dan.feature = dsp.feature),
+dps as (select batch, feature, sum((a - e) * ln(a / e)) as psi from dsh group by all),
+dpsi as (select dbt.batch, ded2.feature, coalesce(dps.psi, 0e0) as psi from ded2 cross join dbt
+  left join dps on dps.feature = ded2.feature and dps.batch = dbt.batch),
+prof as (select batch, max(psi) as psi_max, avg(psi) as psi_mean,
+  array_to_string(list(feature || '=' || printf('%.2f', psi) order by psi desc, list_position({_forder}, feature))[1:3], ', ')
+  as top_drift from dpsi group by batch)"""
+
+
+_YEARS = ["1996", "1997", "1998"]
+DRIFT_CTES = TT_CTES + f""", dref as (select * from tt where period_str <= '{_TT_TRAIN_END}'),
+{drift_profile_ctes(_YEARS)}"""
+
+oracle("drift_profile", DRIFT_CTES + """
+select batch, round(psi_max, 4) as psi_max, round(psi_mean, 4) as psi_mean, top_drift from prof""")
+
+oracle("drift_decision", DRIFT_CTES + f""",
+dtr as (select * from tt where period_str <= '{_TT_TRAIN_END}'), dgm as (select avg(risk_score) as gm from dtr),
+dcm as (select gi, gj, avg(risk_score) as v from dtr group by all),
+dp as (select t.*, coalesce(dcm.v, dgm.gm) as p from tt t cross join dgm left join dcm on dcm.gi = t.gi and dcm.gj = t.gj),
+refm as (select avg(abs(risk_score - p)) as ref_mae from dp where period_str <= '{_TT_TRAIN_END}'),
+mon as (select substr(period_str, 1, 4) as batch, avg(abs(risk_score - p)) as mae from dp group by 1)
+select prof.batch, round(psi_max, 4) as psi_max, round(mon.mae, 4) as MAE_batch, round(refm.ref_mae, 4) as ref_mae,
+  cast(psi_max >= {dbl(P.PSI_THRESHOLD)} or coalesce(mon.mae >= {dbl(1 + P.DEGRADE_TOL)} * refm.ref_mae, false) as int)
+  as drift_detected from prof left join mon on mon.batch = prof.batch cross join refm""")
