@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cellrisk import params as P
 from cellrisk.functions.timefx import hour_group
-from cellrisk.operators.stats import quantiles, spearman
+from cellrisk.operators.stats import quantiles, spearman, spearman_by
 
 
 def metrics(pred: DataFrame, groups: list[str], y: str = "y", p: str = "pred",
@@ -20,6 +20,8 @@ def metrics(pred: DataFrame, groups: list[str], y: str = "y", p: str = "pred",
 
     R2 = 1 - SS_res / SS_tot with SS_tot = n * var_pop(y); a constant target
     gives -inf/NaN like scikit-learn, or 0 when ``r2_zero_if_constant``."""
+    from cellrisk.operators.panel import materialize
+    pred = materialize(pred)
     err = F.col(y) - F.col(p)
     agg = pred.groupBy(*groups).agg(
         F.count(F.lit(1)).alias("n"),
@@ -34,19 +36,7 @@ def metrics(pred: DataFrame, groups: list[str], y: str = "y", p: str = "pred",
         return out
     if not groups:
         return out.withColumn("Spearman", F.lit(spearman(pred, p, y)).cast("double"))
-    # a handful of (protocol, predictor) groups: one distributed rank job each;
-    # the values are attached with a literal map keyed by the group text
-    sep = "\u001f"
-    keys = [tuple(r) for r in pred.select(*groups).distinct().collect()]
-    kv = []
-    for k in keys:
-        sub = pred
-        for c, v in zip(groups, k):
-            sub = sub.filter(F.col(c) == v) if v is not None else sub.filter(F.col(c).isNull())
-        kv += [F.lit(sep.join("" if v is None else str(v) for v in k)),
-               F.lit(spearman(sub, p, y)).cast("double")]
-    gkey = F.concat_ws(sep, *[F.coalesce(F.col(g).cast("string"), F.lit("")) for g in groups])
-    return out.withColumn("Spearman", F.try_element_at(F.create_map(*kv), gkey))
+    return out.join(spearman_by(pred, groups, p, y), groups, "left")
 
 
 def add_improvement(results: DataFrame, protocol: str = "protocol", kind: str = "predictor_type") -> DataFrame:

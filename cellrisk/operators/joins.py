@@ -11,15 +11,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_MAX_ROWS = 2_000_000
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Optimizer size estimate of a plan (no job is run)."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:
+        return None
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join with a broadcast of ``small`` when its row count is within
-    ``max_rows`` (checked with one count), else a regular join."""
-    n = small.count()
-    side = F.broadcast(small) if n <= max_rows else small
+               max_bytes: int | None = None) -> DataFrame:
+    """Join that broadcasts ``small`` only when the optimizer's size estimate
+    is within ``max_bytes`` (default: the session's broadcast threshold).
+    Otherwise a regular join is planned and AQE may still switch it to a
+    broadcast at runtime from the real shuffle size - a checked size either
+    way, and no extra job."""
+    if max_bytes is None:
+        conf = small.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        max_bytes = int(str(conf).rstrip("b").rstrip("B") or 10485760)
+    est = estimated_bytes(small)
+    side = F.broadcast(small) if est is not None and 0 <= est <= max_bytes else small
     return big.join(side, on, how)
 
 

@@ -133,3 +133,35 @@ def spearman(df: DataFrame, x: str, y: str) -> float | None:
 def ranked(df: DataFrame, col: str, out: str = "rank") -> DataFrame:
     """Rows of ``df`` with the average rank of ``col`` attached."""
     return df.join(average_rank(df, col, out).drop("_cnt"), col, "left")
+
+
+def average_rank_by(df: DataFrame, groups: list[str], col: str, out: str = "rank",
+                    buckets: int | None = None) -> DataFrame:
+    """Tie-averaged rank of ``col`` within each group, for all groups in one
+    distributed pass: distinct (group, value) counts, per-group value buckets
+    cut at approximate quantiles, per-(group, bucket) prefix offsets (a
+    window over the small totals table), then a running count inside each
+    (group, bucket) partition.  Returns (groups..., col, out)."""
+    nb = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    vc = df.groupBy(*groups, col).agg(F.count(F.lit(1)).alias("_cnt")).filter(F.col(col).isNotNull())
+    qs = F.array(*[F.lit(i / nb) for i in range(1, nb)])
+    edges = vc.groupBy(*groups).agg(F.array_sort(F.array_distinct(
+        F.percentile_approx(col, qs, 10_000))).alias("_e"))
+    b = vc.join(edges, groups, "left").withColumn(
+        "_b", F.size(F.filter("_e", lambda e: F.col(col) >= e)).cast("int")).drop("_e")
+    tot = b.groupBy(*groups, "_b").agg(F.sum("_cnt").alias("_t"))
+    wo = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    tot = tot.withColumn("_off", F.coalesce(F.sum("_t").over(wo), F.lit(0))).drop("_t")
+    b = b.join(tot, groups + ["_b"], "left")
+    w = Window.partitionBy(*groups, "_b").orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
+    rank = F.col("_off") + F.sum("_cnt").over(w) - (F.col("_cnt") - 1) / 2.0
+    return b.select(*groups, col, rank.cast("double").alias(out))
+
+
+def spearman_by(df: DataFrame, groups: list[str], x: str, y: str, out: str = "Spearman") -> DataFrame:
+    """Spearman correlation per group (null when a side is constant)."""
+    d = df.select(*groups, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+    rx = average_rank_by(d, groups, "_x", "_rx")
+    ry = average_rank_by(d, groups, "_y", "_ry")
+    j = d.join(rx, groups + ["_x"]).join(ry, groups + ["_y"])
+    return j.groupBy(*groups).agg(safe_corr("_rx", "_ry").alias(out))

@@ -18,6 +18,31 @@ from pyspark.sql import functions as F
 from cellrisk.sources.adapters import inc_hourly, inc_monthly, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_MEMO: dict = {}
+
+
+def memo(name: str):
+    """Share one materialised intermediate (grid, panel, protocol table)
+    between the queries of a session and data folder."""
+    def deco(fn):
+        def wrapper(spark, sf_dir):
+            key = (id(spark), sf_dir, name)
+            if key not in _MEMO:
+                from cellrisk.operators.panel import materialize
+                _MEMO[key] = materialize(fn(spark, sf_dir))
+            return _MEMO[key]
+        wrapper.__name__ = fn.__name__
+        return wrapper
+    return deco
+
+
+def clear_memo() -> None:
+    for df in _MEMO.values():
+        try:
+            df.unpersist()
+        except Exception:
+            pass
+    _MEMO.clear()
 
 
 def query(name: str):
@@ -40,6 +65,7 @@ def r4(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), 4) for c in cols})
 
 
+@memo("monthly_features")
 def monthly_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cellrisk.plans.monthly import geocoded, incident_features
     inc = inc_monthly(spark, sf_dir)
@@ -64,11 +90,13 @@ HOURLY_GRID_COLS = ["cell_id", "dow", "hour", "lat_r", "lon_r", "is_weekend", "h
                     "cell_total_count", "neighbor_count_mean", "risk_score", "base_value", "risk_raw"]
 
 
+@memo("hourly_events")
 def hourly_events(spark, sf_dir):
     from cellrisk.plans.hourly import clean_incidents, event_values
     return event_values(clean_incidents(inc_hourly(spark, sf_dir)))
 
 
+@memo("hourly_grid")
 def hourly_grid_df(spark, sf_dir):
     from cellrisk.plans.hourly import hourly_grid
     return hourly_grid(hourly_events(spark, sf_dir))
@@ -359,6 +387,7 @@ PANEL_COLS = ["gi", "gj", "period_str", "n_crimes", "n_violent", "n_property", "
               "share_weekend_lag1"]
 
 
+@memo("gridmonth_panel")
 def gridmonth_panel_df(spark, sf_dir):
     from cellrisk.plans.monthly import grid_month_aggregate, gridmonth_panel
     return gridmonth_panel(grid_month_aggregate(monthly_features(spark, sf_dir)))
@@ -696,6 +725,7 @@ def q_fingerprint(spark, sf_dir):
 GRID_KEY = ["cell_id", "dow", "hour"]
 
 
+@memo("grid_protocols")
 def grid_protocols(spark, sf_dir):
     from cellrisk.operators.splits import protocol_tags
     from cellrisk.operators.panel import materialize
@@ -730,6 +760,15 @@ def q_shrink_m(spark, sf_dir):
 
 
 def _ladder(spark, sf_dir, protocol="B"):
+    key = (id(spark), sf_dir, "ladder_" + protocol)
+    if key not in _MEMO:
+        from cellrisk.operators.panel import materialize
+        long, m = _ladder_build(spark, sf_dir, protocol)
+        _MEMO[key] = (materialize(long), m)
+    return _MEMO[key]
+
+
+def _ladder_build(spark, sf_dir, protocol="B"):
     from cellrisk.operators.baselines import baseline_ladder
     from cellrisk.operators.splits import protocol_frames
     pf = protocol_frames(grid_protocols(spark, sf_dir))[protocol]
@@ -806,6 +845,7 @@ def q_worst(spark, sf_dir):
 TRAIN_END, VAL_END = "1995-12", "1996-12"
 
 
+@memo("monthly_model_table")
 def monthly_model_table(spark, sf_dir):
     """Training table without the partial month, with risk lags defaulted to
     the train mean (the modelling table of the monthly generation)."""
@@ -965,3 +1005,41 @@ def q_drift_decision(spark, sf_dir):
     return r4(d.select("batch", "psi_max", "MAE_batch", F.lit(ref_mae).alias("ref_mae"),
                        drift_decision(F.col("psi_max"), F.col("MAE_batch"), F.lit(ref_mae))
                        .cast("int").alias("drift_detected")))
+
+
+# ---------------------------------------------------------------------------
+# 2.4 radius join, serving joins, zone resolution
+# ---------------------------------------------------------------------------
+@query("radius_pairs")
+def q_radius_pairs(spark, sf_dir):
+    from cellrisk.operators.neighbours import radius_pairs
+    from cellrisk.plans.hourly import cells_of
+    cells = cells_of(hourly_events(spark, sf_dir))
+    return r6(radius_pairs(cells.select("cell_id", "lat_r", "lon_r")))
+
+
+def _requests(spark, sf_dir):
+    """Request points derived from the incident view: in-box coordinates with
+    ISO times; every third carries an offset, every fifth a 'Z'."""
+    h = _h(spark, sf_dir).filter(F.col("lat").isNotNull() & (F.col("lat") != 0))
+    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    text = (F.when(F.col("id") % 5 == 0, F.concat(iso, F.lit("Z")))
+            .when(F.col("id") % 3 == 0, F.concat(iso, F.lit("+07:00"))).otherwise(iso))
+    return h.select(F.col("id").alias("idx"), "lat", "lon", text.alias("datetime"))
+
+
+@query("zone_resolution")
+def q_zone(spark, sf_dir):
+    from cellrisk.plans.serve import resolve_requests
+    r = resolve_requests(_requests(spark, sf_dir))
+    return r.select("idx", "datetime", F.date_format("local_ts", "yyyy-MM-dd HH:mm:ss").alias("local_ts"),
+                    "time_error")
+
+
+@query("serve_batch_features")
+def q_serve_features(spark, sf_dir):
+    from cellrisk.plans.serve import build_features_batch, resolve_requests
+    r = resolve_requests(_requests(spark, sf_dir))
+    f = build_features_batch(r, hourly_grid_df(spark, sf_dir))
+    from cellrisk.params import FEATURE_COLUMNS
+    return r6(f.select("idx", "cell_id", *FEATURE_COLUMNS, "data_coverage"))

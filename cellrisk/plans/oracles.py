@@ -993,3 +993,36 @@ mon as (select substr(period_str, 1, 4) as batch, avg(abs(risk_score - p)) as ma
 select prof.batch, round(psi_max, 4) as psi_max, round(mon.mae, 4) as MAE_batch, round(refm.ref_mae, 4) as ref_mae,
   cast(psi_max >= {dbl(P.PSI_THRESHOLD)} or coalesce(mon.mae >= {dbl(1 + P.DEGRADE_TOL)} * refm.ref_mae, false) as int)
   as drift_detected from prof left join mon on mon.batch = prof.batch cross join refm""")
+
+
+# ---------------------------------------------------------------------------
+# 2.4 radius join, serving, zones
+# ---------------------------------------------------------------------------
+oracle("radius_pairs", HOURLY_GRID_CTES + """
+select p.cell_id, p.nbr, round(p.d_km, 6) as d_km, round(w.w, 6) as w from pairs p
+join pw w on w.cell_id = p.cell_id and w.nbr = p.nbr""")
+
+REQ_CTES = f""", req as (select id as idx, lat, lon,
+  case when id % 5 = 0 then strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z'
+       when id % 3 = 0 then strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+07:00'
+       else strftime(ts, '%Y-%m-%dT%H:%M:%S') end as datetime from inc_hourly where lat is not null and lat <> 0),
+rq as (select *, case when id5 then cast(timezone('{P.REGION_TIMEZONE}', cast(datetime as timestamptz)) as timestamp)
+  else cast(datetime as timestamp) end as local_ts from (select *, (datetime like '%Z' or datetime like '%+07:00') as id5 from req))"""
+
+oracle("zone_resolution", H + REQ_CTES + """
+select idx, datetime, strftime(local_ts, '%Y-%m-%d %H:%M:%S') as local_ts, cast(null as varchar) as time_error from rq""")
+
+_sf_cols = ", ".join(f"round({c}, 6) as {c}" for c in P.FEATURE_COLUMNS if c not in ("hour", "dow", "is_weekend"))
+oracle("serve_batch_features", HOURLY_GRID_CTES.replace(oracle_with("inc_hourly"), oracle_with("inc_hourly"), 1)
+       + REQ_CTES + f""",
+rf as (select rq.idx, round_even(lat * 1e2, 0) / 1e2 as lat_r, round_even(lon * 1e2, 0) / 1e2 as lon_r,
+  cast(hour(local_ts) as int) as hour, cast(isodow(local_ts) - 1 as int) as dow from rq),
+rf2 as (select rf.*, cast(lat_r as varchar) || '_' || cast(lon_r as varchar) as cell_id,
+  cast(dow >= 5 as int) as is_weekend, sin(2 * pi() * hour / 24e0) as hour_sin, cos(2 * pi() * hour / 24e0) as hour_cos,
+  sin(2 * pi() * dow / 7e0) as dow_sin, cos(2 * pi() * dow / 7e0) as dow_cos from rf),
+sv as (select rf2.*, coalesce(g.crime_count, 0e0) as crime_count, coalesce(g.violent_share, 0e0) as violent_share,
+  coalesce(g.arrest_rate, 0e0) as arrest_rate, coalesce(g.cell_total_count, 0e0) as cell_total_count,
+  coalesce(g.neighbor_count_mean, 0e0) as neighbor_count_mean
+  from rf2 left join grid g on g.cell_id = rf2.cell_id and g.dow = rf2.dow and g.hour = rf2.hour)
+select idx, cell_id, hour, dow, is_weekend, {_sf_cols},
+  case when cell_total_count > 0 then 'historical_data' else 'no_historical_data' end as data_coverage from sv""")
