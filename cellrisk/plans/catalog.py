@@ -1043,3 +1043,149 @@ def q_serve_features(spark, sf_dir):
     f = build_features_batch(r, hourly_grid_df(spark, sf_dir))
     from cellrisk.params import FEATURE_COLUMNS
     return r6(f.select("idx", "cell_id", *FEATURE_COLUMNS, "data_coverage"))
+
+
+# ---------------------------------------------------------------------------
+# 2.1 sources, 2.2 sinks (files are written under the shared checkpoint dir)
+# ---------------------------------------------------------------------------
+def _scratch(spark, name):
+    from cellrisk.operators.models import scratch_path
+    return scratch_path(spark, name)
+
+
+def _raw_frame(spark, sf_dir):
+    """The incident view laid out like the raw incident file."""
+    h = _h(spark, sf_dir)
+    return h.select(F.col("id").alias("ID"), F.col("case_number").alias("Case Number"),
+                    F.date_format("ts", "MM/dd/yyyy hh:mm:ss a").alias("Date"),
+                    F.lit(None).cast("string").alias("Block"), F.col("iucr").alias("IUCR"),
+                    F.col("primary_type").alias("Primary Type"), F.col("description").alias("Description"),
+                    F.col("location_description").alias("Location Description"),
+                    F.col("arrest_str").alias("Arrest"), F.col("domestic_str").alias("Domestic"),
+                    F.lit(None).cast("double").alias("Beat"), F.lit(None).cast("double").alias("District"),
+                    F.lit(None).cast("double").alias("Ward"), F.lit(None).cast("double").alias("Community Area"),
+                    F.lit(None).cast("string").alias("FBI Code"), (F.col("lat") * 1e5).alias("X Coordinate"),
+                    (F.col("lon") * 1e5).alias("Y Coordinate"), F.col("yr").cast("double").alias("Year"),
+                    F.date_format("ts", "MM/dd/yyyy hh:mm:ss a").alias("Updated On"),
+                    F.col("lat").alias("Latitude"), F.col("lon").alias("Longitude"),
+                    F.lit("(x, y)").alias("Location"))
+
+
+def _csv_written(spark, sf_dir, drop=None):
+    path = _scratch(spark, "raw_csv")
+    df = _raw_frame(spark, sf_dir)
+    if drop:
+        df = df.drop(*drop)
+    (df.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
+    return path
+
+
+RAW_OUT = [("ID", "id"), ("Case Number", "case_number"), ("IUCR", "iucr"), ("Primary Type", "primary_type"),
+           ("Description", "description"), ("Location Description", "location_description"),
+           ("Arrest", "arrest"), ("Domestic", "domestic"), ("Latitude", "lat"), ("Longitude", "lon"),
+           ("Year", "year")]
+
+
+@query("csv_scan_declared")
+def q_csv_scan(spark, sf_dir):
+    from cellrisk.sources.files import RAW_KEEP, RAW_SCHEMA
+    path = _csv_written(spark, sf_dir)
+    df = (spark.read.schema(RAW_SCHEMA).option("header", True).option("ignoreLeadingWhiteSpace", False)
+          .option("ignoreTrailingWhiteSpace", False).csv(path).select(*[F.col(f"`{c}`") for c in RAW_KEEP]))
+    return r6(df.select(*[F.col(f"`{a}`").alias(b) for a, b in RAW_OUT]))
+
+
+@query("csv_profile_subset")
+def q_csv_profile(spark, sf_dir):
+    from cellrisk.sources.files import PROFILE_COLUMNS
+    from pyspark.sql import types as T
+    path = _csv_written(spark, sf_dir, drop=["Arrest"])      # one listed column absent from the file
+    header = spark.read.option("header", True).csv(path).columns
+    schema = T.StructType([T.StructField(c, T.LongType() if c == "ID" else
+                                         T.DoubleType() if c in ("Latitude", "Longitude", "Year")
+                                         else T.StringType()) for c in header])
+    df = (spark.read.schema(schema).option("header", True).option("ignoreLeadingWhiteSpace", False)
+          .option("ignoreTrailingWhiteSpace", False).csv(path))
+    cols = [c for c in PROFILE_COLUMNS if c in df.columns]
+    out = df.select(*[F.col(f"`{c}`") for c in cols])
+    names = dict(RAW_OUT + [("Date", "date")])
+    return r6(out.select(*[F.col(f"`{c}`").alias(names[c]) for c in cols]))
+
+
+@query("parquet_first_existing")
+def q_first_existing(spark, sf_dir):
+    from cellrisk.sources.files import first_existing
+    df, src = first_existing(spark, [f"{sf_dir}/no_such_table.parquet", f"{sf_dir}/lineitem.parquet"])
+    return df.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.lit(src.rsplit("/", 1)[-1]).alias("source"))
+
+
+@query("recursive_lookup")
+def q_recursive(spark, sf_dir):
+    from cellrisk.sources.files import find_recursive
+    root = _scratch(spark, "nested")
+    m = inc_monthly(spark, sf_dir).withColumn("yr", F.year("ts"))
+    m.write.mode("overwrite").partitionBy("yr").parquet(root + "/a/b")
+    df = find_recursive(spark, root, "*.parquet")
+    return df.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("params_json_read")
+def q_params_json(spark, sf_dir):
+    from cellrisk.params import LabelParams
+    from cellrisk.sources.files import frozen_params_row, read_params, write_json
+    g, clip = _grid_with_clip(spark, sf_dir)
+    ref = hourly_events(spark, sf_dir).agg(F.max("ts")).first()[0]
+    row = frozen_params_row(spark, str(ref), clip, g.select("cell_id").distinct().count(), g.count(), LabelParams())
+    path = _scratch(spark, "label_params")
+    write_json(row.coalesce(1), path)
+    return read_params(spark, path, defaults={"risk_lag_cols": ["risk_lag_1", "risk_lag_3", "risk_lag_12"]})
+
+
+def _grid_with_clip(spark, sf_dir):
+    from cellrisk.operators.stats import quantiles
+    g = hourly_grid_df(spark, sf_dir)
+    return g, quantiles(g, "risk_raw", [0.99])[0]
+
+
+@query("hash_sample")
+def q_hash_sample(spark, sf_dir):
+    from cellrisk.sources.files import hash_sample
+    return hash_sample(_h(spark, sf_dir), ["id"], 0.1).select("id", "event_type")
+
+
+@query("parquet_sink_roundtrip")
+def q_parquet_sink(spark, sf_dir):
+    from cellrisk.plans.monthly import monthly_scores
+    from cellrisk.sources.files import write_parquet
+    s = monthly_scores(monthly_features(spark, sf_dir))
+    path = write_parquet(s, _scratch(spark, "labels"), partition_by=["period_str"])
+    back = spark.read.parquet(path).filter(F.col("period_str") == "1995-06")   # partition pruning
+    return r6(back.select("gi", "gj", "period_str", "n_crimes", "risk_score", "risk_tier"))
+
+
+@query("csv_sink_roundtrip")
+def q_csv_sink(spark, sf_dir):
+    from cellrisk.sources.files import write_csv
+    g = hourly_grid_df(spark, sf_dir).select("cell_id", "dow", "hour", "crime_count", "risk_score")
+    path = write_csv(g, _scratch(spark, "grid_csv"))
+    back = spark.read.schema("cell_id string, dow int, hour int, crime_count double, risk_score double") \
+                .option("header", True).csv(path)
+    return r6(back)
+
+
+@query("export_sample_sorted")
+def q_export(spark, sf_dir):
+    from cellrisk.sources.files import export_sample
+    g = hourly_grid_df(spark, sf_dir).select("cell_id", "dow", "hour", "risk_score")
+    return r6(export_sample(g, ["cell_id", "dow", "hour"], 5000))
+
+
+@query("json_sink_sanitized")
+def q_json_sink(spark, sf_dir):
+    from cellrisk.sources.files import write_json
+    m = q_comparison(spark, sf_dir)
+    m = m.withColumn("Spearman", F.when(F.col("Spearman").isNull(), F.lit(float("nan"))).otherwise(F.col("Spearman")))
+    path = write_json(m, _scratch(spark, "metrics_json"))
+    back = spark.read.schema(m.schema).json(path)
+    return back.select("protocol", "predictor", "MAE", "Spearman")

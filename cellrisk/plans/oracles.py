@@ -1026,3 +1026,32 @@ sv as (select rf2.*, coalesce(g.crime_count, 0e0) as crime_count, coalesce(g.vio
   from rf2 left join grid g on g.cell_id = rf2.cell_id and g.dow = rf2.dow and g.hour = rf2.hour)
 select idx, cell_id, hour, dow, is_weekend, {_sf_cols},
   case when cell_total_count > 0 then 'historical_data' else 'no_historical_data' end as data_coverage from sv""")
+
+
+# ---------------------------------------------------------------------------
+# 2.1 sources / 2.2 sinks: the files hold the view's rows, so the oracle is
+# the view itself
+# ---------------------------------------------------------------------------
+oracle("csv_scan_declared", H + """select id, case_number, iucr, primary_type, description, location_description,
+  arrest_str as arrest, domestic_str as domestic, round(lat, 6) as lat, round(lon, 6) as lon,
+  round(cast(yr as double), 6) as year from inc_hourly""")
+
+oracle("csv_profile_subset", H + """select id, strftime(ts, '%m/%d/%Y %I:%M:%S %p') as date, iucr, primary_type,
+  description, round(lat, 6) as lat, round(lon, 6) as lon, round(cast(yr as double), 6) as year from inc_hourly""")
+
+oracle("parquet_first_existing", """select l_returnflag, count(*) as n, 'lineitem.parquet' as source
+from lineitem group by 1""")
+
+oracle("recursive_lookup", "select l_returnflag, count(*) as n from lineitem group by 1")
+
+oracle("hash_sample", H + f"select id, event_type from inc_hourly where {md5u(42, 'id')} < 0.1")
+
+oracle("parquet_sink_roundtrip", "with lab as (" + MONTHLY_SCORE_SQL + """)
+select gi, gj, period_str, n_crimes, risk_score, risk_tier from lab where period_str = '1995-06'""")
+
+oracle("csv_sink_roundtrip", HOURLY_GRID_CTES + """
+select cell_id, dow, hour, round(crime_count, 6) as crime_count, round(risk_score, 6) as risk_score from grid""")
+
+oracle("export_sample_sorted", HOURLY_GRID_CTES + f"""
+select cell_id, dow, hour, round(risk_score, 6) as risk_score from grid
+order by {md5u(42, 'cell_id', 'dow', 'hour')}, cell_id, dow, hour limit 5000""")
