@@ -1189,3 +1189,68 @@ def q_json_sink(spark, sf_dir):
     path = write_json(m, _scratch(spark, "metrics_json"))
     back = spark.read.schema(m.schema).json(path)
     return back.select("protocol", "predictor", "MAE", "Spearman")
+
+
+# ---------------------------------------------------------------------------
+# 2.6-2.8 remaining windows, top-k, set operations
+# ---------------------------------------------------------------------------
+@query("moving_avg_30")
+def q_moving_avg(spark, sf_dir):
+    from pyspark.sql import Window
+    from cellrisk.operators.panel import moving_avg_short_start
+    o = table(spark, sf_dir, "orders")
+    daily = o.groupBy(F.to_date("o_orderdate").alias("d")).agg(F.count(F.lit(1)).alias("n"))
+    # the daily table is calendar-bounded (one row per day), so one ordered
+    # window over it is small by construction
+    w = Window.orderBy("d")
+    return r6(daily.select(F.date_format("d", "yyyy-MM-dd").alias("d"), "n",
+                           moving_avg_short_start("n", 30, w).alias("ma30")))
+
+
+@query("group_max_per_code")
+def q_group_max(spark, sf_dir):
+    from cellrisk.operators.joins import join_small
+    h = _h(spark, sf_dir)
+    mx = h.filter(F.col("iucr").isNotNull()).groupBy("iucr").agg(F.max("yr").alias("last_year"))
+    return join_small(h.select("id", "iucr"), mx, ["iucr"], "left")
+
+
+@query("per_group_sample")
+def q_group_sample(spark, sf_dir):
+    from pyspark.sql import Window
+    from cellrisk.operators.evaluate import quantile_bins
+    from cellrisk.operators.splits import seeded_unit
+    g = hourly_grid_df(spark, sf_dir)
+    cm = g.groupBy("cell_id").agg(F.avg("risk_score").alias("cell_mean"))
+    cm = quantile_bins(cm, "cell_mean", 5)
+    w = Window.partitionBy("quantile").orderBy(seeded_unit(42, "cell_id"), "cell_id")
+    return cm.withColumn("rn", F.row_number().over(w)).filter("rn <= 5").select("quantile", "cell_id")
+
+
+@query("concat_dedupe_sorted")
+def q_concat(spark, sf_dir):
+    from cellrisk.operators.evaluate import dedupe_first
+    m = q_monthly_baselines(spark, sf_dir)
+    both = m.unionByName(m.withColumn("MAE", F.col("MAE") + 1.0))
+    return dedupe_first(both, "model", [F.asc("MAE")]).orderBy("MAE").select("model", "MAE", "RMSE")
+
+
+@query("distinct_cells_periods")
+def q_distinct(spark, sf_dir):
+    f = monthly_features(spark, sf_dir)
+    cells = f.select("gi", "gj").distinct().agg(F.count(F.lit(1)).alias("n")).withColumn("what", F.lit("cells"))
+    per = f.select("pidx").distinct().agg(F.count(F.lit(1)).alias("n")).withColumn("what", F.lit("periods"))
+    return cells.unionByName(per)
+
+
+@query("decay_kernel_sweep")
+def q_sweep(spark, sf_dir):
+    from cellrisk.functions.score import temporal_weight
+    from cellrisk.functions.space import gaussian_weight, haversine_km
+    ev = hourly_events(spark, sf_dir)
+    d = haversine_km("lat", "lon", "lat_r", "lon_r")
+    grid = F.array(*[F.struct(F.lit(float(h)).alias("H"), F.lit(float(s)).alias("sigma"))
+                     for h in (180, 365, 730) for s in (0.5, 0.7, 1.0)])
+    ex = ev.select("severity", "age_days", d.alias("d_km"), F.explode(grid).alias("p"))
+    v = F.col("severity") * temporal_weight("age_days", F.col("p.H")) * gaussian_weight(F.col("d_km"), F.col("p.sigma"))
+    return r6(ex.groupBy(F.col("p.H").alias("H"), F.col("p.sigma").alias("sigma")).agg(F.sum(v).alias("total_value")))

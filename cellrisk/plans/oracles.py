@@ -1055,3 +1055,35 @@ select cell_id, dow, hour, round(crime_count, 6) as crime_count, round(risk_scor
 oracle("export_sample_sorted", HOURLY_GRID_CTES + f"""
 select cell_id, dow, hour, round(risk_score, 6) as risk_score from grid
 order by {md5u(42, 'cell_id', 'dow', 'hour')}, cell_id, dow, hour limit 5000""")
+
+
+# ---------------------------------------------------------------------------
+# 2.6-2.8 remaining
+# ---------------------------------------------------------------------------
+oracle("moving_avg_30", """with daily as (select cast(o_orderdate as date) as d, count(*) as n from orders group by 1)
+select strftime(d, '%Y-%m-%d') as d, n, round(avg(n) over (order by d rows between 29 preceding and current row), 6) as ma30
+from daily""")
+
+oracle("group_max_per_code", H + """, mx as (select iucr, max(yr) as last_year from inc_hourly where iucr is not null group by 1)
+select h.id, h.iucr, mx.last_year from inc_hourly h left join mx on mx.iucr = h.iucr""")
+
+oracle("per_group_sample", HOURLY_GRID_CTES + f""", cmean as (select cell_id, avg(risk_score) as cell_mean from grid group by 1),
+cq as {qcut_sql('cell_mean', 'cmean', ['Q1', 'Q2', 'Q3', 'Q4', 'Q5'])}
+select quantile, cell_id from (select *, row_number() over (partition by quantile order by {md5u(42, 'cell_id')}, cell_id) as rn
+  from cq) where rn <= 5""")
+
+oracle("concat_dedupe_sorted", MB_CTES + """,
+ml as (select y, unnest(['GlobalMean', 'CellMean', 'Persistence']) as model, unnest([GlobalMean, CellMean, Persistence]) as pred from mp),
+m as """ + metrics_sql("ml", ["model"]) + """
+select model, MAE, RMSE from m""")
+
+oracle("distinct_cells_periods", MONTHLY_FEAT + """
+select count(*) as n, 'cells' as what from (select distinct gi, gj from mf)
+union all select count(*), 'periods' from (select distinct pidx from mf)""")
+
+_sweep_hv = HAVERSINE.replace("a.lat_r", "lat").replace("a.lon_r", "lon").replace("b.lat_r", "lat_r").replace("b.lon_r", "lon_r")
+oracle("decay_kernel_sweep", HOURLY_CLEAN_CTES + f""", sw as (select severity, age_days, {_sweep_hv} as d_km from ev2),
+pg as (select * from (values {', '.join(f'({dbl(h)}, {dbl(s)})' for h in (180, 365, 730) for s in (0.5, 0.7, 1.0))}) as t(H, sigma))
+select round(pg.H, 6) as H, round(pg.sigma, 6) as sigma,
+  round(sum(severity * pow(0.5e0, age_days / pg.H) * exp(-(d_km * d_km) / (2e0 * pg.sigma * pg.sigma))), 6) as total_value
+from sw cross join pg group by all""")
