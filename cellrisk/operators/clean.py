@@ -82,7 +82,7 @@ def locked_features(df: DataFrame, cols: list[str] = P.FEATURE_COLUMNS,
                     dtype: str = "double", keep: list[str] | None = None) -> DataFrame:
     """Exact set and order of feature columns; missing column -> 0.0,
     null -> 0.0, cast to ``dtype``."""
-    exprs = [F.col(k) for k in (keep or [])]
+    exprs = [F.col(k) for k in dict.fromkeys(keep or []) if k not in cols]
     for c in cols:
         v = F.col(c).cast(dtype) if c in df.columns else F.lit(0.0).cast(dtype)
         exprs.append(F.coalesce(v, F.lit(0.0).cast(dtype)).alias(c))

@@ -1254,3 +1254,222 @@ def q_sweep(spark, sf_dir):
     ex = ev.select("severity", "age_days", d.alias("d_km"), F.explode(grid).alias("p"))
     v = F.col("severity") * temporal_weight("age_days", F.col("p.H")) * gaussian_weight(F.col("d_km"), F.col("p.sigma"))
     return r6(ex.groupBy(F.col("p.H").alias("H"), F.col("p.sigma").alias("sigma")).agg(F.sum(v).alias("total_value")))
+
+
+# ---------------------------------------------------------------------------
+# 2.13 models and evaluation (rows-only checks: no SQL form for MLlib fits)
+# ---------------------------------------------------------------------------
+def _protocol_b(spark, sf_dir):
+    from cellrisk.operators.splits import protocol_frames
+    return protocol_frames(grid_protocols(spark, sf_dir))["B"]
+
+
+def _candidates(spark, sf_dir):
+    key = (id(spark), sf_dir, "candidates")
+    if key not in _MEMO:
+        from cellrisk.operators.models import candidate_models, train_candidates
+        from cellrisk.params import FEATURE_COLUMNS
+        b = _protocol_b(spark, sf_dir)
+        ests = candidate_models(b["train"], small=True)
+        table, fitted = train_candidates(b["train"], b["test"], FEATURE_COLUMNS, GRID_KEY, ests)
+        from cellrisk.operators.panel import materialize
+        _MEMO[key] = (materialize(table), fitted)
+    return _MEMO[key]
+
+
+@query("model_candidates")
+def q_model_candidates(spark, sf_dir):
+    table, _ = _candidates(spark, sf_dir)
+    return r4(table.drop("train_seconds", "artifact_kb"))
+
+
+@query("champion_selection")
+def q_champion(spark, sf_dir):
+    from cellrisk.operators.models import select_champion
+    table, _ = _candidates(spark, sf_dir)
+    return select_champion(table).select("champion", "reason")
+
+
+@query("ridge_closed_form_check")
+def q_ridge(spark, sf_dir):
+    """Ridge through MLlib's normal equations vs the closed form
+    ``(X'X + alpha I)^-1 X'y`` on centred data, from one Gram aggregate."""
+    import numpy as np
+    from cellrisk.operators.models import prepare, ridge
+    from pyspark.ml.feature import VectorAssembler
+    feats = ["crime_count", "neighbor_count_mean", "cell_total_count", "hour_sin", "hour_cos"]
+    tr = prepare(_protocol_b(spark, sf_dir)["train"], feats, keep=["risk_score"])
+    s = tr.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("risk_score").alias("sd")).first()
+    x = VectorAssembler(inputCols=feats, outputCol="features").transform(tr)
+    model = ridge(1.0, s["n"], s["sd"]).fit(x)
+    # Gram matrix of centred features: one aggregate of k*(k+1)/2 + k sums
+    means = tr.agg(*[F.avg(c).alias(c) for c in feats + ["risk_score"]]).first()
+    cen = tr.select(*[(F.col(c) - F.lit(means[c])).alias(c) for c in feats + ["risk_score"]])
+    k = len(feats)
+    sums = cen.agg(*[F.sum(F.col(a) * F.col(b)).alias(f"{i}_{j}") for i, a in enumerate(feats)
+                     for j, b in enumerate(feats) if j >= i],
+                   *[F.sum(F.col(a) * F.col("risk_score")).alias(f"y_{i}") for i, a in enumerate(feats)]).first()
+    g = np.zeros((k, k))
+    for i in range(k):
+        for j in range(i, k):
+            g[i, j] = g[j, i] = sums[f"{i}_{j}"]
+    xy = np.array([sums[f"y_{i}"] for i in range(k)])
+    beta = np.linalg.solve(g + 1.0 * np.eye(k), xy)
+    rows = [(f, float(model.coefficients[i]), float(beta[i])) for i, f in enumerate(feats)]
+    return r4(spark.createDataFrame(rows, "feature string, mllib double, closed_form double"))
+
+
+@query("permutation_importance")
+def q_perm(spark, sf_dir):
+    from cellrisk.operators.models import permutation_importance
+    from cellrisk.params import FEATURE_COLUMNS
+    table, fitted = _candidates(spark, sf_dir)
+    model = fitted["Model: Ridge Regression"]
+    return r4(permutation_importance(model, _protocol_b(spark, sf_dir)["test"], FEATURE_COLUMNS, GRID_KEY, repeats=2))
+
+
+@query("target_encoding_ablation")
+def q_ablation(spark, sf_dir):
+    from cellrisk.operators.models import ridge, target_encoding_ablation
+    from cellrisk.operators.splits import protocol_frames
+    from cellrisk.params import FEATURE_COLUMNS
+    pf = protocol_frames(grid_protocols(spark, sf_dir))
+
+    def est(df):
+        s = df.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("risk_score").alias("sd")).first()
+        return ridge(1.0, s["n"], s["sd"] or 1.0)
+    return r4(target_encoding_ablation(pf, FEATURE_COLUMNS, GRID_KEY, est).drop("train_seconds", "artifact_kb"))
+
+
+def _final_bundle(spark, sf_dir):
+    key = (id(spark), sf_dir, "bundle")
+    if key not in _MEMO:
+        from pyspark.ml import Pipeline
+        from cellrisk.operators.models import assembler, prepare, ridge, save_bundle, scratch_path
+        from cellrisk.params import FEATURE_COLUMNS
+        g = hourly_grid_df(spark, sf_dir)
+        tr = prepare(g, FEATURE_COLUMNS, keep=GRID_KEY + ["risk_score"])
+        s = tr.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("risk_score").alias("sd")).first()
+        model = Pipeline(stages=[assembler(FEATURE_COLUMNS), ridge(1.0, s["n"], s["sd"])]).fit(tr)
+        path = scratch_path(spark, "bundle")
+        meta = save_bundle(model, "Ridge", {"refit": "100% rows"}, g.select(*GRID_KEY, "risk_score"),
+                           {"half_life_days": 365.0, "sigma_km": 0.7}, path)
+        _MEMO[key] = (model, meta, path)
+    return _MEMO[key]
+
+
+@query("final_bundle_registry")
+def q_bundle(spark, sf_dir):
+    from cellrisk.operators.models import append_registry, load_bundle, registry_entry
+    model, meta, path = _final_bundle(spark, sf_dir)
+    _, meta2 = load_bundle(spark, path)
+    reg = path + "_registry"
+    append_registry(registry_entry(meta2, path), reg)
+    return spark.read.parquet(reg).select("version", "algorithm", "dataset_n_rows", "status")
+
+
+@query("batch_scoring")
+def q_batch_scoring(spark, sf_dir):
+    from cellrisk.plans.serve import build_features_batch, predict_batch, resolve_requests, score_rows
+    model, _, _ = _final_bundle(spark, sf_dir)
+    r = resolve_requests(_requests(spark, sf_dir))
+    scored = predict_batch(model, build_features_batch(r, hourly_grid_df(spark, sf_dir)))
+    return score_rows(scored)
+
+
+@query("score_sheet")
+def q_score_sheet(spark, sf_dir):
+    """Up to 25 cells stratified by mean score x 4 time slots, scored."""
+    from pyspark.sql import Window
+    from cellrisk.operators.evaluate import quantile_bins
+    from cellrisk.operators.splits import seeded_unit
+    from cellrisk.plans.serve import build_features_batch, predict_batch, resolve_requests, score_rows
+    model, _, _ = _final_bundle(spark, sf_dir)
+    g = hourly_grid_df(spark, sf_dir)
+    cm = quantile_bins(g.groupBy("cell_id", "lat_r", "lon_r").agg(F.avg("risk_score").alias("m")), "m", 5)
+    w = Window.partitionBy("quantile").orderBy(seeded_unit(42, "cell_id"), "cell_id")
+    cells = cm.withColumn("rn", F.row_number().over(w)).filter("rn <= 5")
+    slots = F.array(*[F.lit(s) for s in ("2026-04-11T03:00:00", "2026-04-11T08:00:00",
+                                         "2026-04-11T18:00:00", "2026-04-11T23:00:00")])
+    req = cells.select(F.col("lat_r").alias("lat"), F.col("lon_r").alias("lon"),
+                       F.explode(slots).alias("datetime"))
+    scored = predict_batch(model, build_features_batch(resolve_requests(req), g))
+    return score_rows(scored)
+
+
+# ---------------------------------------------------------------------------
+# 2.14 champion / challenger, decision log
+# ---------------------------------------------------------------------------
+def _monitor_run(spark, sf_dir):
+    key = (id(spark), sf_dir, "monitor")
+    if key not in _MEMO:
+        from cellrisk.operators.models import ridge
+        from cellrisk.plans.monitor import Monitor
+        from cellrisk.params import FEATURE_COLUMNS_MONTHLY, RISK_LAG_COLUMNS
+        t = monthly_model_table(spark, sf_dir)
+
+        def est(df):
+            s = df.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("risk_score").alias("sd")).first()
+            return ridge(1.0, s["n"], s["sd"] or 1.0, standardize=True)
+        mon = Monitor(features=FEATURE_COLUMNS_MONTHLY + RISK_LAG_COLUMNS, estimator_fn=est)
+        mon.init(t, TRAIN_END)
+        for y in ("1996", "1997", "1998"):
+            mon.step(t, y)
+        _MEMO[key] = mon
+    return _MEMO[key]
+
+
+@query("champion_challenger_log")
+def q_cc_log(spark, sf_dir):
+    return _monitor_run(spark, sf_dir).decision_log(spark).select(
+        "seq", "version", "batch", "train_end", "decision", "drift_detected", "holdout_end")
+
+
+@query("production_champion")
+def q_prod(spark, sf_dir):
+    from cellrisk.plans.monitor import current_champion
+    return current_champion(_monitor_run(spark, sf_dir).decision_log(spark))
+
+
+# ---------------------------------------------------------------------------
+# 2.15 streaming (availableNow)
+# ---------------------------------------------------------------------------
+@query("stream_scoring")
+def q_stream_scoring(spark, sf_dir):
+    from cellrisk.streaming.scoring import start_scoring
+    model, _, _ = _final_bundle(spark, sf_dir)
+    base = _scratch(spark, "stream")
+    req = _requests(spark, sf_dir)
+    req.filter(F.col("idx") % 2 == 0).write.mode("overwrite").parquet(base + "/in/part1")
+    for q in start_scoring(spark, base + "/in/*", base + "/out", base + "/ckpt", hourly_grid_df(spark, sf_dir), model):
+        q.awaitTermination()
+    req.filter(F.col("idx") % 2 == 1).write.mode("overwrite").parquet(base + "/in/part2")
+    for q in start_scoring(spark, base + "/in/*", base + "/out", base + "/ckpt", hourly_grid_df(spark, sf_dir), model):
+        q.awaitTermination()
+    # a third run with no new files adds nothing
+    for q in start_scoring(spark, base + "/in/*", base + "/out", base + "/ckpt", hourly_grid_df(spark, sf_dir), model):
+        q.awaitTermination()
+    return spark.read.parquet(base + "/out/scores").select("idx", "cell_id", "risk_score", "level", "data_coverage")
+
+
+@query("stream_period_monitor")
+def q_stream_monitor(spark, sf_dir):
+    from cellrisk.operators.models import ridge
+    from cellrisk.plans.monitor import Monitor
+    from cellrisk.params import FEATURE_COLUMNS_MONTHLY, RISK_LAG_COLUMNS
+    from cellrisk.streaming.scoring import start_period_monitor
+    t = monthly_model_table(spark, sf_dir)
+    base = _scratch(spark, "arrivals")
+    hist = t.filter(F.col("period_str") <= "1996-12")
+    t.filter(F.col("period_str").startswith("1997")).write.mode("overwrite").parquet(base + "/in/1997")
+
+    def est(df):
+        s = df.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("risk_score").alias("sd")).first()
+        return ridge(1.0, s["n"], s["sd"] or 1.0, standardize=True)
+    mon = Monitor(features=FEATURE_COLUMNS_MONTHLY + RISK_LAG_COLUMNS, estimator_fn=est)
+    mon.init(hist, TRAIN_END)
+    q = start_period_monitor(spark, base + "/in/*", t.schema, mon, base + "/log", base + "/ckpt")
+    q.awaitTermination()
+    q = start_period_monitor(spark, base + "/in/*", t.schema, mon, base + "/log", base + "/ckpt")
+    q.awaitTermination()
+    return spark.read.parquet(base + "/log/decisions").select("seq", "version", "batch", "decision")

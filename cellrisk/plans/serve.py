@@ -42,12 +42,11 @@ def build_features_batch(req: DataFrame, grid: DataFrame, ts: str = "local_ts",
 
 def predict_batch(model, feats: DataFrame, version: str = P.MODEL_VERSION,
                   last_updated: str | None = None) -> DataFrame:
-    """Locked feature vector -> model -> raw and clamped score, level and the
+    """Locked feature columns -> fitted pipeline (its first stage assembles
+    the vector in the locked order) -> raw and clamped score, level and the
     response fields."""
-    from pyspark.ml.feature import VectorAssembler
     keep = [c for c in feats.columns if c not in P.FEATURE_COLUMNS]
     x = locked_features(feats, P.FEATURE_COLUMNS, keep=keep)
-    x = VectorAssembler(inputCols=P.FEATURE_COLUMNS, outputCol="features").transform(x)
     out = model.transform(x).withColumnRenamed("prediction", "risk_score_raw")
     out = out.withColumn("risk_score", SC.clamp("risk_score_raw"))
     return out.withColumns({

@@ -24,7 +24,7 @@ _DEFAULTS = {
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int = 8,
-              driver_memory: str = "16g", app: str = "cellrisk") -> SparkSession:
+              driver_memory: str = "8g", app: str = "cellrisk") -> SparkSession:
     """Local session for tests and the bench (cluster jobs pass their own)."""
     master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
     b = (SparkSession.builder.master(master).appName(app)
