@@ -70,8 +70,8 @@ def event_values(clean: DataFrame, ts: str = "ts", half_life: float = P.HALF_LIF
         "severity": SEV.layered_severity("primary_type_canon", "desc_canon"),
         "sev_layer": SEV.severity_layer("primary_type_canon", "desc_canon"),
         "is_violent": F.coalesce(F.col("primary_type_canon").isin(*P.VIOLENT_TYPES), F.lit(False)),
-        "age_days": (F.lit(reference_ts).cast("timestamp_ntz").cast("timestamp").cast("double")
-                     - F.col(ts).cast("timestamp").cast("double")) / F.lit(86400.0),
+        "age_days": F.timestamp_diff("MICROSECOND", F.col(ts).cast("timestamp_ntz"),
+                                     F.lit(str(reference_ts)).cast("timestamp_ntz")) / F.lit(86400e6),
     })
     return out.withColumns({"w_time": SC.temporal_weight("age_days", half_life)}) \
               .withColumn("event_value", F.col("severity") * F.col("w_time"))

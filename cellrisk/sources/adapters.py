@@ -91,14 +91,23 @@ VIEWS = {"inc_hourly": INC_HOURLY_SQL, "inc_monthly": INC_MONTHLY_SQL}
 def register_tables(spark: SparkSession, sf_dir: str,
                     tables: list[str] | None = None) -> None:
     """Register driver tables (lazy parquet scans) and the adapter views."""
+    pin_utc(spark)
     for t in tables or TABLES:
         spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
     for name, sql in VIEWS.items():
         spark.sql(sql).createOrReplaceTempView(name)
 
 
+def pin_utc(spark: SparkSession) -> None:
+    """Calendar time is naive wall time stored as timestamp_ntz; the session
+    zone must be UTC so instant parsing and literals do not shift."""
+    if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table or adapter view as a DataFrame."""
+    pin_utc(spark)
     if name in VIEWS:
         base = "lineitem" if name == "inc_monthly" else "events"
         spark.read.parquet(f"{sf_dir}/{base}.parquet").createOrReplaceTempView(base)
