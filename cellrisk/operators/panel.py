@@ -24,11 +24,13 @@ def _c(c) -> Column:
 def materialize(df: DataFrame, how: str | None = None) -> DataFrame:
     """Reuse a DataFrame across several actions.
 
-    ``persist``: memory-and-disk blocks (lost blocks are recomputed from
-    lineage).  ``checkpoint``: written to the shared ``spark.checkpoint.dir``
-    (lineage cut).  Default comes from ``cellrisk.materialize``.
+    ``checkpoint`` (default): written to the shared ``spark.checkpoint.dir``;
+    the lineage is cut, later plans start from a flat scan (small plans, no
+    recomputation after an executor loss).  ``persist``: memory-and-disk
+    blocks (lost blocks are recomputed from lineage).  The default can be
+    changed with ``cellrisk.materialize``.
     """
-    how = how or df.sparkSession.conf.get("cellrisk.materialize", "persist")
+    how = how or df.sparkSession.conf.get("cellrisk.materialize", "checkpoint")
     if how == "checkpoint":
         from cellrisk.session import checkpoint_dir
         checkpoint_dir(df.sparkSession)

@@ -20,6 +20,7 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.maxPlanStringLength": "1000000",
 }
 
 

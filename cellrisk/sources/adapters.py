@@ -103,6 +103,9 @@ def pin_utc(spark: SparkSession) -> None:
     zone must be UTC so instant parsing and literals do not shift."""
     if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # plan text of deep reuse graphs is capped (it is only for display)
+    if str(spark.conf.get("spark.sql.maxPlanStringLength", "2147483632")).startswith("2147483"):
+        spark.conf.set("spark.sql.maxPlanStringLength", "1000000")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
