@@ -1473,3 +1473,19 @@ def q_stream_monitor(spark, sf_dir):
     q = start_period_monitor(spark, base + "/in/*", t.schema, mon, base + "/log", base + "/ckpt")
     q.awaitTermination()
     return spark.read.parquet(base + "/log/decisions").select("seq", "version", "batch", "decision")
+
+
+@query("average_rank")
+def q_average_rank(spark, sf_dir):
+    from cellrisk.operators.stats import ranked
+    g = hourly_grid_df(spark, sf_dir).select(*GRID_KEY, "crime_count")
+    return ranked(g, "crime_count", "rank").select(*GRID_KEY, "rank")
+
+
+@query("score_anchor")
+def q_score_anchor(spark, sf_dir):
+    from cellrisk.operators.stats import quantiles
+    g = hourly_grid_df(spark, sf_dir)
+    clip = quantiles(g, "risk_raw", [0.99])[0]
+    return r6(g.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("cell_id").alias("n_cells"))
+              .withColumn("score_clip_value", F.lit(clip)))

@@ -1087,3 +1087,12 @@ pg as (select * from (values {', '.join(f'({dbl(h)}, {dbl(s)})' for h in (180, 3
 select round(pg.H, 6) as H, round(pg.sigma, 6) as sigma,
   round(sum(severity * pow(0.5e0, age_days / pg.H) * exp(-(d_km * d_km) / (2e0 * pg.sigma * pg.sigma))), 6) as total_value
 from sw cross join pg group by all""")
+
+
+oracle("average_rank", HOURLY_GRID_CTES + """
+select cell_id, dow, hour, rank() over (order by crime_count) + (count(*) over (partition by crime_count) - 1) / 2e0 as rank
+from grid""")
+
+oracle("score_anchor", HOURLY_GRID_CTES + """
+select count(*) as n_rows, count(distinct cell_id) as n_cells, round(quantile_cont(risk_raw, 0.99), 6) as score_clip_value
+from grid""")
