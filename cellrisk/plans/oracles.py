@@ -1096,3 +1096,5 @@ from grid""")
 oracle("score_anchor", HOURLY_GRID_CTES + """
 select count(*) as n_rows, count(distinct cell_id) as n_cells, round(quantile_cont(risk_raw, 0.99), 6) as score_clip_value
 from grid""")
+
+oracle("json_sink_sanitized", "select protocol, predictor, MAE, Spearman from (" + ORACLES["baseline_comparison"] + ")")
