@@ -16,6 +16,18 @@ from cellrisk import params as P
 from cellrisk.functions.space import in_box
 
 
+def percentile_fn(df: DataFrame, exact: bool | None = None):
+    """Exact ``percentile`` (numpy-equal) when the input is within the exact
+    limit, else ``percentile_approx`` - an exact percentile keeps every
+    distinct value of a group in one task, which does not scale."""
+    from cellrisk.operators.stats import EXACT_LIMIT
+    if exact is None:
+        exact = df.count() <= EXACT_LIMIT
+    if exact:
+        return lambda c, q: F.percentile(c, q)
+    return lambda c, q: F.percentile_approx(c, q, 100_000).cast("double")
+
+
 def _stack(names_values: list[tuple[str, Column]], key: str, val: str) -> Column:
     parts = ", ".join(f"'{n}', `{n}`" for n, _ in names_values)
     return F.expr(f"stack({len(names_values)}, {parts}) as ({key}, {val})")
@@ -122,9 +134,10 @@ def label_span(df: DataFrame, label: str, year: str) -> DataFrame:
 
 
 def spatial_outliers(df: DataFrame, lat: str, lon: str, region: P.Region,
-                     zero_tol: float = 1.0) -> DataFrame:
+                     zero_tol: float = 1.0, exact: bool | None = None) -> DataFrame:
     """Rows with coordinates outside the box, near (0, 0), and the 8-number
     summary of both coordinates (count, mean, std, min, quartiles, max)."""
+    pct = percentile_fn(df, exact)
     has = F.col(lat).isNotNull() & F.col(lon).isNotNull()
     aggs = [F.count_if(has & ~in_box(lat, lon, region)).alias("n_out_of_box"),
             F.count_if(has & (F.abs(F.col(lat)) < zero_tol) & (F.abs(F.col(lon)) < zero_tol))
@@ -132,8 +145,8 @@ def spatial_outliers(df: DataFrame, lat: str, lon: str, region: P.Region,
     for c in (lat, lon):
         aggs += [F.count(c).alias(f"{c}_count"), F.avg(c).alias(f"{c}_mean"),
                  F.stddev_samp(c).alias(f"{c}_std"), F.min(c).alias(f"{c}_min"),
-                 F.percentile(c, 0.25).alias(f"{c}_p25"), F.percentile(c, 0.5).alias(f"{c}_p50"),
-                 F.percentile(c, 0.75).alias(f"{c}_p75"), F.max(c).alias(f"{c}_max")]
+                 pct(c, 0.25).alias(f"{c}_p25"), pct(c, 0.5).alias(f"{c}_p50"),
+                 pct(c, 0.75).alias(f"{c}_p75"), F.max(c).alias(f"{c}_max")]
     return df.agg(*aggs)
 
 
@@ -142,13 +155,14 @@ def pandas_skew(c: Column, n: Column) -> Column:
     return F.when(n > 2, c * F.sqrt(n * (n - 1)) / (n - 2))
 
 
-def grid_density(df: DataFrame, gi: str = "gi", gj: str = "gj") -> DataFrame:
+def grid_density(df: DataFrame, gi: str = "gi", gj: str = "gj", exact: bool | None = None) -> DataFrame:
     """Incidents per cell: count, mean, std, min, quartiles, max, skewness."""
     per = df.groupBy(gi, gj).agg(F.count(F.lit(1)).alias("n"))
+    pct = percentile_fn(per, exact)
     return per.agg(F.count(F.lit(1)).alias("cells"), F.avg("n").alias("mean"),
                    F.stddev_samp("n").alias("std"), F.min("n").alias("min"),
-                   F.percentile("n", 0.25).alias("p25"), F.percentile("n", 0.5).alias("p50"),
-                   F.percentile("n", 0.75).alias("p75"), F.max("n").alias("max"),
+                   pct("n", 0.25).alias("p25"), pct("n", 0.5).alias("p50"),
+                   pct("n", 0.75).alias("p75"), F.max("n").alias("max"),
                    pandas_skew(F.skewness("n"), F.count(F.lit(1)).cast("double")).alias("skew"))
 
 
@@ -280,29 +294,32 @@ def decay_mass_by_year(df: DataFrame, ts: str, age: str, half_lives=(180, 365, 7
         "H", F.col("year").cast("int").alias("year"), (F.col("_w") / F.col("_t") * 100.0).alias("pct"))
 
 
-def score_summary(df: DataFrame, score: str, others: list[str], tier: str | None = None) -> DataFrame:
+def score_summary(df: DataFrame, score: str, others: list[str], tier: str | None = None,
+                  exact: bool | None = None) -> DataFrame:
     """Mean, median, bias-adjusted skew, quartiles, correlation to inputs."""
+    pct = percentile_fn(df, exact)
     n = F.count(score).cast("double")
     aggs = [F.count(score).alias("n"), F.avg(score).alias("mean"),
-            F.percentile(score, 0.5).alias("median"),
+            pct(score, 0.5).alias("median"),
             pandas_skew(F.skewness(score), n).alias("skew"),
             F.stddev_samp(score).alias("std"), F.min(score).alias("min"),
-            F.percentile(score, 0.25).alias("p25"), F.percentile(score, 0.75).alias("p75"),
+            pct(score, 0.25).alias("p25"), pct(score, 0.75).alias("p75"),
             F.max(score).alias("max")]
     aggs += [F.corr(score, o).alias(f"corr_{o}") for o in others]
     return df.agg(*aggs)
 
 
-def normaliser_comparison(df: DataFrame, raw: str, clip: float) -> DataFrame:
+def normaliser_comparison(df: DataFrame, raw: str, clip: float, exact: bool | None = None) -> DataFrame:
     """median, Q1, Q3, % < 25, % > 75 for four score curves."""
+    pct = percentile_fn(df, exact)
     from cellrisk.functions.score import log_anchor_score, power_score
     curves = [("A_linear", power_score(raw, clip, 1.0)), ("B_sqrt", power_score(raw, clip, 0.5)),
               ("C_pow035", power_score(raw, clip, 0.35)), ("D_log1p", log_anchor_score(raw, clip))]
     wide = df.select(*[c.alias(n) for n, c in curves])
     long = wide.select(_stack([(n, None) for n, _ in curves], "curve", "v"))
     return long.groupBy("curve").agg(
-        F.percentile("v", 0.5).alias("median"), F.percentile("v", 0.25).alias("q1"),
-        F.percentile("v", 0.75).alias("q3"),
+        pct("v", 0.5).alias("median"), pct("v", 0.25).alias("q1"),
+        pct("v", 0.75).alias("q3"),
         (F.avg((F.col("v") < 25).cast("double")) * 100).alias("pct_lt25"),
         (F.avg((F.col("v") > 75).cast("double")) * 100).alias("pct_gt75"))
 
@@ -318,12 +335,14 @@ def quiet_busy(df: DataFrame, score: str, count: str, nbr: str, busy_frac: float
     of the busiest 1 % of slots (by count, ties by score then cell order)."""
     n = df.count()
     k = int(busy_frac * n)
+    from cellrisk.operators.stats import EXACT_LIMIT
+    pct = percentile_fn(df, n <= EXACT_LIMIT)
     quiet = df.filter((F.col(count) == 0) & (F.col(nbr) == 0)).agg(
         F.lit("quiet").alias("subset"), F.count(F.lit(1)).alias("n"),
-        F.percentile(score, 0.5).alias("median_score"))
+        pct(score, 0.5).alias("median_score"))
     busy = df.orderBy(F.desc(count), F.desc(score), "cell_id", "dow", "hour").limit(k) \
              .agg(F.lit("busiest_1pct").alias("subset"), F.count(F.lit(1)).alias("n"),
-                  F.percentile(score, 0.5).alias("median_score"))
+                  pct(score, 0.5).alias("median_score"))
     return quiet.unionByName(busy)
 
 
