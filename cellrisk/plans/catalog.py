@@ -1489,3 +1489,11 @@ def q_score_anchor(spark, sf_dir):
     clip = quantiles(g, "risk_raw", [0.99])[0]
     return r6(g.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("cell_id").alias("n_cells"))
               .withColumn("score_clip_value", F.lit(clip)))
+
+
+@query("feature_table_load")
+def q_feature_table_load(spark, sf_dir):
+    from cellrisk.plans.hourly import FINAL_COLUMNS
+    from cellrisk.sources.files import load_feature_table, write_csv
+    path = write_csv(hourly_grid_df(spark, sf_dir).select(*FINAL_COLUMNS), _scratch(spark, "features_labels"))
+    return r6(load_feature_table(spark, path))

@@ -1098,3 +1098,5 @@ select count(*) as n_rows, count(distinct cell_id) as n_cells, round(quantile_co
 from grid""")
 
 oracle("json_sink_sanitized", "select protocol, predictor, MAE, Spearman from (" + ORACLES["baseline_comparison"] + ")")
+
+oracle("feature_table_load", ORACLES["features_labels"])

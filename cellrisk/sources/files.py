@@ -153,3 +153,17 @@ def frozen_params_row(spark: SparkSession, reference_date: str, clip_value: floa
            "feature_columns": list(params.feature_columns), "target": "risk_score",
            "label_ingredient_columns": ["base_value", "risk_raw"]}
     return spark.createDataFrame([row])
+
+
+GRID_TABLE_SCHEMA = T.StructType(
+    [T.StructField("cell_id", T.StringType()), T.StructField("dow", T.IntegerType()),
+     T.StructField("hour", T.IntegerType())]
+    + [T.StructField(c, T.IntegerType() if c == "is_weekend" else T.DoubleType())
+       for c in ["lat_r", "lon_r", "is_weekend", "hour_sin", "hour_cos", "dow_sin", "dow_cos",
+                 "crime_count", "violent_share", "arrest_rate", "cell_total_count",
+                 "neighbor_count_mean", "risk_score"]])
+
+
+def load_feature_table(spark: SparkSession, path: str) -> DataFrame:
+    """The published grid table (16 columns) with an explicit schema."""
+    return spark.read.schema(GRID_TABLE_SCHEMA).option("header", True).csv(path)
