@@ -37,7 +37,9 @@ def canonical_type(df: DataFrame, code: str = "iucr", ptype: str = "primary_type
     if code not in df.columns:
         return df.withColumn(out, normalise(ptype))
     cmap = canonical_map(df, code, ptype, year)
-    j = join_small(df, cmap, [code], "left")
+    # one row per code: measured, then broadcast so the incident rows are
+    # never shuffled for this lookup (a hot code would skew that shuffle)
+    j = join_small(df, cmap, [code], "left", max_rows=1_000_000)
     return j.withColumn(out, normalise(F.coalesce(F.col("_canon"), F.col(ptype)))).drop("_canon")
 
 

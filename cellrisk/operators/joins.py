@@ -22,12 +22,20 @@ def estimated_bytes(df: DataFrame) -> int | None:
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
-               max_bytes: int | None = None) -> DataFrame:
-    """Join that broadcasts ``small`` only when the optimizer's size estimate
-    is within ``max_bytes`` (default: the session's broadcast threshold).
-    Otherwise a regular join is planned and AQE may still switch it to a
-    broadcast at runtime from the real shuffle size - a checked size either
-    way, and no extra job."""
+               max_bytes: int | None = None, max_rows: int | None = None) -> DataFrame:
+    """Join that broadcasts ``small`` only behind a size check.
+
+    ``max_rows`` given: the small side is materialised once and counted, and
+    broadcast when the measured row count is within the bound (use it when
+    the big side is raw data that must not be shuffled).  Otherwise the
+    optimizer's size estimate is compared with ``max_bytes`` (default: the
+    session's broadcast threshold) and, beyond it, a regular join is planned
+    that AQE may still switch to a broadcast from real sizes."""
+    if max_rows is not None:
+        from cellrisk.operators.panel import materialize
+        small = materialize(small)
+        side = F.broadcast(small) if small.count() <= max_rows else small
+        return big.join(side, on, how)
     if max_bytes is None:
         conf = small.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
         max_bytes = int(str(conf).rstrip("b").rstrip("B") or 10485760)

@@ -21,15 +21,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _MEMO: dict = {}
 
 
-def memo(name: str):
-    """Share one materialised intermediate (grid, panel, protocol table)
-    between the queries of a session and data folder."""
+def memo(name: str, materialized: bool = True):
+    """Share one intermediate between the queries of a session and data
+    folder.  Aggregated tables (grid, panel, protocol and model tables) are
+    materialised; incident-level tables are only shared as lazy plans -
+    copying raw rows would cost as much as the input itself."""
     def deco(fn):
         def wrapper(spark, sf_dir):
             key = (id(spark), sf_dir, name)
             if key not in _MEMO:
                 from cellrisk.operators.panel import materialize
-                _MEMO[key] = materialize(fn(spark, sf_dir))
+                df = fn(spark, sf_dir)
+                _MEMO[key] = materialize(df) if materialized else df
             return _MEMO[key]
         wrapper.__name__ = fn.__name__
         return wrapper
@@ -65,7 +68,7 @@ def r4(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), 4) for c in cols})
 
 
-@memo("monthly_features")
+@memo("monthly_features", materialized=False)
 def monthly_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cellrisk.plans.monthly import geocoded, incident_features
     inc = inc_monthly(spark, sf_dir)
@@ -90,7 +93,7 @@ HOURLY_GRID_COLS = ["cell_id", "dow", "hour", "lat_r", "lon_r", "is_weekend", "h
                     "cell_total_count", "neighbor_count_mean", "risk_score", "base_value", "risk_raw"]
 
 
-@memo("hourly_events")
+@memo("hourly_events", materialized=False)
 def hourly_events(spark, sf_dir):
     from cellrisk.plans.hourly import clean_incidents, event_values
     return event_values(clean_incidents(inc_hourly(spark, sf_dir)))
@@ -729,7 +732,7 @@ GRID_KEY = ["cell_id", "dow", "hour"]
 def grid_protocols(spark, sf_dir):
     from cellrisk.operators.splits import protocol_tags
     from cellrisk.operators.panel import materialize
-    return materialize(protocol_tags(hourly_grid_df(spark, sf_dir), GRID_KEY))
+    return protocol_tags(hourly_grid_df(spark, sf_dir), GRID_KEY)
 
 
 @query("protocol_splits")
@@ -855,7 +858,7 @@ def monthly_model_table(spark, sf_dir):
     f = monthly_features(spark, sf_dir)
     t = training_table(gridmonth_panel_df(spark, sf_dir), monthly_scores(f))
     t = t.filter(F.col("is_partial_period") == 0)
-    return materialize(add_risk_lags(t, TRAIN_END))
+    return add_risk_lags(t, TRAIN_END)
 
 
 @query("chrono_split")
