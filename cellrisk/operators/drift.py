@@ -22,16 +22,21 @@ from cellrisk import params as P
 EXACT_EDGE_ROWS = 20_000_000
 
 
-def _long(df: DataFrame, features: list[str]) -> DataFrame:
+def _long(df: DataFrame, features: list[str], group: str | None = None) -> DataFrame:
     parts = ", ".join(f"'{f}', cast(`{f}` as double)" for f in features)
-    return df.select(F.expr(f"stack({len(features)}, {parts}) as (feature, value)"))
+    cols = [F.col(group)] if group else []
+    return df.select(*cols, F.expr(f"stack({len(features)}, {parts}) as (feature, value)"))
 
 
 def psi_table(reference: DataFrame, actual: DataFrame, features: list[str],
-              bins: int = P.PSI_BINS, floor: float = 1e-6, exact: bool | None = None) -> DataFrame:
-    """One row per feature: ``feature, psi``."""
+              bins: int = P.PSI_BINS, floor: float = 1e-6, exact: bool | None = None,
+              group: str | None = None) -> DataFrame:
+    """One row per feature (and per ``group`` value of ``actual`` when given,
+    e.g. the batch): ``[group,] feature, psi``.  The reference side - edges,
+    counts, totals - is computed once for all groups."""
+    g = [group] if group else []
     ref = _long(reference, features)
-    act = _long(actual, features)
+    act = _long(actual, features, group)
     qs = F.array(*[F.lit(i / bins) for i in range(bins + 1)])
     if exact is None:
         exact = reference.count() * len(features) <= EXACT_EDGE_ROWS
@@ -42,36 +47,39 @@ def psi_table(reference: DataFrame, actual: DataFrame, features: list[str],
         "inner": F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0)))})
     edges = F.broadcast(edges.select("feature", "n_bins", "inner"))   # one row per feature
 
-    def counts(side: DataFrame, name: str) -> DataFrame:
+    def binned(side: DataFrame) -> DataFrame:
         b = side.join(edges, "feature").filter(F.col("n_bins") >= 1)
-        b = b.withColumn("bin", F.size(F.filter("inner", lambda e: F.col("value") >= e)))
-        tot = side.groupBy("feature").agg(F.count(F.lit(1)).alias(f"{name}_n"))
-        c = b.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias(f"{name}_c"))
-        return c, tot
-
-    rc, rn = counts(ref, "e")
-    ac, an = counts(act, "a")
-    spine = edges.filter(F.col("n_bins") >= 1).select(
-        "feature", F.explode(F.sequence(F.lit(0), F.col("n_bins") - 1)).alias("bin"))
-    t = (spine.join(rc, ["feature", "bin"], "left").join(ac, ["feature", "bin"], "left")
-         .join(rn, "feature", "left").join(an, "feature", "left").fillna(0, subset=["e_c", "a_c"]))
+        return b.withColumn("bin", F.size(F.filter("inner", lambda e: F.col("value") >= e)))
+
+    rc = binned(ref).groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("e_c"))
+    rn = ref.groupBy("feature").agg(F.count(F.lit(1)).alias("e_n"))
+    ac = binned(act).groupBy(*g, "feature", "bin").agg(F.count(F.lit(1)).alias("a_c"))
+    an = act.groupBy(*g, "feature").agg(F.count(F.lit(1)).alias("a_n"))
+    # bin spine per (group, feature): the actual totals exploded over the
+    # feature's bins (equi-join on feature, no cross join)
+    spine = an.join(edges.filter(F.col("n_bins") >= 1), "feature").select(
+        *g, "feature", "a_n", F.explode(F.sequence(F.lit(0), F.col("n_bins") - 1)).alias("bin"))
+    t = (spine.join(rc, ["feature", "bin"], "left").join(ac, g + ["feature", "bin"], "left")
+         .join(rn, "feature", "left").fillna(0, subset=["e_c", "a_c"]))
     e = F.greatest(F.col("e_c") / F.greatest(F.col("e_n"), F.lit(1)), F.lit(floor))
     a = F.greatest(F.col("a_c") / F.greatest(F.col("a_n"), F.lit(1)), F.lit(floor))
-    psi = t.groupBy("feature").agg(F.sum((a - e) * F.log(a / e)).alias("psi"))
-    all_f = edges.select("feature")
-    return all_f.join(psi, "feature", "left").fillna(0.0, subset=["psi"])
+    psi = t.groupBy(*g, "feature").agg(F.sum((a - e) * F.log(a / e)).alias("psi"))
+    keys = an.select(*g, "feature")
+    return keys.join(psi, g + ["feature"], "left").fillna(0.0, subset=["psi"])
 
 
-def drift_profile(psi: DataFrame, features: list[str], top: int = 3) -> DataFrame:
+def drift_profile(psi: DataFrame, features: list[str], top: int = 3,
+                  group: str | None = None) -> DataFrame:
     """psi_max, psi_mean and the top-k ``name=value`` text (ties keep the
-    feature list order)."""
+    feature list order), per ``group`` when given."""
     order = F.create_map(*[F.lit(x) for i, f in enumerate(features) for x in (f, i)])
     p = psi.withColumn("_o", F.try_element_at(order, F.col("feature")))
     items = F.sort_array(F.collect_list(F.struct((-F.col("psi")).alias("k"), F.col("_o").alias("o"),
                                                  F.col("feature").alias("f"), F.col("psi").alias("v"))))
     top_txt = F.array_join(F.transform(F.slice(items, 1, top),
                                        lambda s: F.format_string("%s=%.2f", s["f"], s["v"])), ", ")
-    return p.agg(F.max("psi").alias("psi_max"), F.avg("psi").alias("psi_mean"), top_txt.alias("top_drift"))
+    aggs = [F.max("psi").alias("psi_max"), F.avg("psi").alias("psi_mean"), top_txt.alias("top_drift")]
+    return p.groupBy(group).agg(*aggs) if group else p.agg(*aggs)
 
 
 def drift_decision(psi_max: Column, mae: Column, ref_mae: Column,
