@@ -38,12 +38,16 @@ def scalars(df: DataFrame, **exprs: Column) -> dict:
 
 
 def quantiles(df: DataFrame, col: str, qs: Sequence[float],
-              exact_limit: int = EXACT_LIMIT, accuracy: int = APPROX_ACCURACY) -> list[float | None]:
-    """Exact linear-interpolation quantiles of the non-null values of ``col``."""
+              exact_limit: int = EXACT_LIMIT, accuracy: int = APPROX_ACCURACY,
+              n: int | None = None) -> list[float | None]:
+    """Exact linear-interpolation quantiles of the non-null values of ``col``.
+    ``n`` (the count of non-null, non-NaN values) may be passed when the
+    caller already has it from a fused aggregate."""
     qs = [float(q) for q in qs]
     vals = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull()
                                                                   & ~F.isnan("x"))
-    n = vals.count()
+    if n is None:
+        n = vals.count()
     if n == 0:
         return [None] * len(qs)
     if n <= exact_limit:

@@ -190,8 +190,11 @@ def monthly_scores(feat: DataFrame, ptype: str = "primary_type", desc: str = "de
 def score_log_minmax(k: DataFrame, r: str, clip_pctl: float, grid: float) -> DataFrame:
     """log1p -> winsorise at the percentile -> min-max to 0..100; a zero
     span gives 0.  Tier (right-closed) and partial-period flag attached."""
-    cap = quantiles(k, r, [clip_pctl / 100.0])[0]
-    s = scalars(k, rmin=F.min(r), rmax=F.max(r), pmax=F.max("pidx"))
+    # one fused aggregate for the count, range and latest period; the
+    # quantile job reuses the count
+    ok = F.col(r).isNotNull() & ~F.isnan(r)
+    s = scalars(k, n=F.count_if(ok), rmin=F.min(r), rmax=F.max(r), pmax=F.max("pidx"))
+    cap = quantiles(k, r, [clip_pctl / 100.0], n=s["n"])[0]
     lo = min(max(s["rmin"], 0.0), cap)
     hi = min(max(s["rmax"], 0.0), cap)
     span = hi - lo
