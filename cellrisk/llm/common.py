@@ -136,10 +136,11 @@ class BitTable:
     leave out work that an exact later step would find useless.  At most
     2**bits / 8 bytes go to the driver and to each Python worker."""
 
-    def __init__(self, spark: SparkSession, bits: int, rows: list):
+    def __init__(self, spark: SparkSession, bits: int, rows: list, block: int = BLOCK):
+        """Of rows (block, bits), each with 2**block bits of the table."""
         table = np.zeros(1 << (bits - 3), np.uint8)
         for r in rows:
-            table[r["block"] << (BLOCK - 3):(r["block"] + 1) << (BLOCK - 3)] |= np.frombuffer(r["bits"], np.uint8)
+            table[r["block"] << (block - 3):(r["block"] + 1) << (block - 3)] |= np.frombuffer(r["bits"], np.uint8)
         self.bits, self.shared = bits, spark.sparkContext.broadcast(table)
 
     @classmethod
@@ -150,9 +151,6 @@ class BitTable:
                 .collect())
         return cls(names.sparkSession, bits, rows)
 
-    def __contains__(self, x) -> bool:
-        return bool(self.has(np.array([x]))[0])
-
     def has(self, names: np.ndarray) -> np.ndarray:
         spot = names.astype(np.int64, copy=False) & ((1 << self.bits) - 1)
         return (self.shared.value[spot >> 3] >> (7 - (spot & 7)).astype(np.uint8) & 1).astype(bool)

@@ -8,12 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cellrisk.llm.exactdedup import exact_dedup
 from cellrisk.llm.linededup import line_digests
+from cellrisk.llm.passages import passage_digests
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_digests(_table(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digests(_table(spark, sf_dir, "documents"))
 
@@ -23,14 +28,27 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_substring_dedup": op3_substring_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_exact_dedup": op7_exact_dedup,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]"
 
 ORACLES: dict[str, str] = {
+    "op3_substring_dedup": f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+s AS (SELECT doc_id, p, array_to_string(w[p:p + 12], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 12)) AS p FROM d WHERE len(w) >= 13)),
+lost AS (SELECT doc_id, p FROM (SELECT *, min(doc_id) OVER (PARTITION BY g) AS first FROM s) WHERE doc_id > first),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(p, p + 12)) AS p FROM lost),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+kept AS (SELECT w.* FROM words w ANTI JOIN gone g ON w.doc_id = g.doc_id AND w.p = g.p),
+k AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FROM kept GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id""",
     "op6_line_dedup": f"""
 WITH lines AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
