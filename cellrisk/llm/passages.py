@@ -37,7 +37,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,7 +44,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellrisk.llm.common import MIX, NO_ID, BitTable, as_bytes, documents, mixed, null_id, starts_of, window_names, word_names
+from cellrisk.llm.common import MIX, NO_ID, BitTable, as_bytes, documents, mixed, null_id, starts_of, window_names
+from cellrisk.llm.sharing import Chunk, chunks, shared_names, spots
 
 WIDTH = 13
 #: Words that a task settles among themselves.
@@ -107,102 +107,16 @@ def recompressed(names: np.ndarray, owner: np.ndarray, width: int) -> Symbols:
     return s.pairs(width)
 
 
-class _Chunk:
-    def __init__(self):
-        self.names, self.ids, self.keys, self.size = [], [], [], 0
-
-    def add(self, doc: int, key: int, text: bytes) -> None:
-        self.names.append(word_names(text.split()))
-        self.ids.append(doc)
-        self.keys.append(key)
-        self.size += len(self.names[-1])
-
-    def arrays(self) -> tuple[np.ndarray, ...]:
-        n = np.array([len(x) for x in self.names], np.int64)
-        owner = np.repeat(np.arange(len(n)), n)
-        return np.concatenate(self.names), owner, np.cumsum(n) - n, np.array(self.ids, np.int64), np.array(self.keys, np.int64)
-
-
-def _chunks(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[_Chunk]:
-    chunk = _Chunk()
-    for b in batches:
-        for doc, key, text in zip(b.column("doc_id").to_pylist(), b.column("text_key").to_pylist(), as_bytes(b.column("text"))):
-            chunk.add(doc, key, text)
-            if chunk.size >= least:
-                yield chunk
-                chunk = _Chunk()
-    if chunk.size:
-        yield chunk
-
-
-def _pack(names: np.ndarray, many: np.ndarray) -> bytes:
-    """Sorted distinct names as zlib of delta bytes, plane by plane, and flags."""
-    d = np.diff(names, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T
-    planes = int(np.flatnonzero(d[:, 1:].any(axis=1))[-1]) + 1 if len(names) > 1 and d[:, 1:].any() else 0
-    body = names[:1].tobytes() + bytes([planes]) + np.ascontiguousarray(d[:planes, 1:]).tobytes()
-    return len(names).to_bytes(4, "little") + body + zlib.compress(np.packbits(many).tobytes(), 1)
-
-
-def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = int.from_bytes(blob[:4], "little")
-    planes = blob[12]
-    d = np.zeros((n, 8), np.uint8)
-    d[0] = np.frombuffer(blob, np.uint8, 8, 4)
-    d[1:, :planes] = np.frombuffer(blob, np.uint8, planes * (n - 1), 13).reshape(planes, n - 1).T
-    many = np.unpackbits(np.frombuffer(zlib.decompress(blob[13 + planes * (n - 1):]), np.uint8))[:n].astype(bool)
-    return np.cumsum(d.view(np.uint64).ravel(), dtype=np.uint64), many
-
-
-def _names_of(width: int, chunk: int, range_bits: int):
-    def names_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in _chunks(batches, chunk):
+def _names_of(width: int, chunk_words: int):
+    """Pair names of each chunk, with the document that owns each."""
+    def names_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for c in chunks(batches, chunk_words):
             names, owner, *_ = c.arrays()
             s = recompressed(names, owner, width)
-            if not len(s.name):
-                continue
-            name = s.name >> np.uint64(16)  # 48 bits
-            o = np.lexsort((s.owner, name))
-            name, who = name[o], s.owner[o]
-            new = starts_of(name)
-            at = np.flatnonzero(new)
-            ends = np.r_[at[1:], len(name)] - 1
-            name, many = name[at], who[ends] != who[at]
-            part = name >> np.uint64(48 - range_bits)
-            cut = np.flatnonzero(starts_of(part))
-            blobs = [_pack(name[i:j], many[i:j]) for i, j in zip(cut, [*cut[1:], len(name)])]
-            yield pa.RecordBatch.from_arrays([pa.array(part[cut].astype(np.int64)), pa.array(blobs, pa.binary())], ["part", "names"])
+            yield s.name, s.owner
     return names_of
 
 
-def _shared(range_bits: int, filter_bits: int):
-    """Rows sorted by range: bits of the names that two documents hold."""
-    width = filter_bits - range_bits
-
-    def bits_of(part: int, names: list, many: list) -> pa.RecordBatch:
-        x, m = np.concatenate(names), np.concatenate(many)
-        o = np.argsort(x, kind="stable")
-        x, m = x[o], m[o]
-        m[1:] |= x[1:] == x[:-1]
-        bits = np.zeros(1 << width, bool)
-        bits[(x[m] >> np.uint64(48 - filter_bits)).astype(np.int64) & ((1 << width) - 1)] = True
-        return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([np.packbits(bits).tobytes()], pa.binary())], ["block", "bits"])
-
-    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, names, many = None, [], []
-        for b in batches:
-            for part, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if part != at and names:
-                    yield bits_of(at, names, many)
-                    names, many = [], []
-                at = part
-                x, m = _unpack(blob)
-                names.append(x)
-                many.append(m)
-        if names:
-            yield bits_of(at, names, many)
-    return shared
-
-
 def _by_document(doc: np.ndarray, key: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
     """A row for each document with its positions as little-endian uint32."""
     o = np.lexsort((pos, key, doc))
@@ -216,13 +130,13 @@ _CLAIMS = "h1 long, h2 int, doc_id long, text_key long, position int, positions
 
 
 def _claims(width: int, chunk: int, table: BitTable, filter_bits: int):
-    def settle(c: _Chunk) -> Iterator[pa.RecordBatch]:
+    def settle(c: Chunk) -> Iterator[pa.RecordBatch]:
         names, owner, begin, ids, keys = c.arrays()
         n = len(names) - width + 1
         if n <= 0:
             return
         s = recompressed(names, owner, width)
-        alone = ~table.has((s.name >> np.uint64(64 - filter_bits)).astype(np.int64))
+        alone = ~table.has(spots(s.name, filter_bits))
         # a pair that nobody shares rules out every passage that determines it
         out = np.zeros(len(names) + 1, np.int32)
         np.add.at(out, np.maximum(s.end[alone] - width, 0), 1)
@@ -249,7 +163,7 @@ def _claims(width: int, chunk: int, table: BitTable, filter_bits: int):
                                              ["h1", "h2", "doc_id", "text_key", "position", "positions"])
 
     def claims(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in _chunks(batches, chunk):
+        for c in chunks(batches, chunk):
             for whole in settle(c):
                 for i in range(0, whole.num_rows, 50_000):
                     yield whole.slice(i, 50_000)
@@ -290,14 +204,8 @@ def _marked(hold: int = 300_000):
 def repeated_passages(docs: DataFrame, width: int = WIDTH, chunk_words: int = CHUNK_WORDS, filter_bits: int = FILTER_BITS) -> DataFrame:
     """(doc_id, text_key, positions): for each document that loses words, where
     its repeated passages start, as a list of little-endian uint32 blocks."""
-    spark = docs.sparkSession
     texts = documents(docs)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    range_bits = min(14, max(8, (4 * parts).bit_length()))
-    rows = (texts.mapInArrow(_names_of(width, chunk_words, range_bits), "part long, names binary")
-            .repartition("part").sortWithinPartitions("part")
-            .mapInArrow(_shared(range_bits, filter_bits), "block long, bits binary").collect())  # 2**filter_bits bits at most
-    table = BitTable(spark, filter_bits, rows, filter_bits - range_bits)
+    table = shared_names(texts, _names_of(width, chunk_words), filter_bits)
     claims = texts.mapInArrow(_claims(width, chunk_words, table, filter_bits), _CLAIMS)
     return (claims.repartition(F.coalesce("h1", "text_key")).sortWithinPartitions("h1", "h2", "doc_id")
             .mapInArrow(_marked(), "doc_id long, text_key long, positions binary")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cellrisk.llm.exactdedup import exact_dedup
+from cellrisk.llm.jaccard import jaccard_groups
 from cellrisk.llm.linededup import line_digests
 from cellrisk.llm.passages import passage_digests
 
@@ -15,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passage_digests(_table(spark, sf_dir, "documents"))
 
@@ -28,6 +33,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_substring_dedup": op3_substring_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_exact_dedup": op7_exact_dedup,
@@ -38,6 +44,15 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]"
 
 ORACLES: dict[str, str] = {
+    "op2_ngram_jaccard_join": f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS p FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM i JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * i >= 80 * (x.n + y.n - i)),
+reach AS (SELECT doc_id AS d, doc_id AS r FROM documents UNION SELECT d, b FROM reach JOIN links ON r = a)
+SELECT d AS doc_id, coalesce(max(n), 0) AS n_shingles, min(r) AS component_id FROM reach LEFT JOIN n ON d = doc_id GROUP BY d""",
     "op3_substring_dedup": f"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
 s AS (SELECT doc_id, p, array_to_string(w[p:p + 12], ' ') AS g
