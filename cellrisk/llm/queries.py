@@ -5,11 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cellrisk.llm.chat import format_conversations, formatted_digests
 from cellrisk.llm.exactdedup import exact_dedup
 from cellrisk.llm.jaccard import jaccard_groups
 from cellrisk.llm.linededup import line_digests
+from cellrisk.llm.packing import pack_documents
 from cellrisk.llm.passages import passage_digests
+from cellrisk.llm.urlfilter import judge_urls, labelled_by_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,16 +36,38 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack_documents(_table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return formatted_digests(format_conversations(turns.union(extra)))
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return judge_urls(pages, labelled_by_rules(pages)).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_substring_dedup": op3_substring_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_packing": op8_packing,
+    "op9_chat_formatting": op9_chat_formatting,
+    "op10_url_filter": op10_url_filter,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]"
+#: What the chat template escapes.
+CONTROL = r"\\|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>|<<ROLE>>|<<TEXT>>|<</ROLE>>"
 
 ORACLES: dict[str, str] = {
     "op2_ngram_jaccard_join": f"""
@@ -79,4 +105,17 @@ WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS cp, regexp_replace(coale
 w AS (SELECT *, first_value(doc_id) OVER g AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size FROM n
       WINDOW g AS (PARTITION BY norm ORDER BY cp DESC, doc_id))
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM w""",
+    "op9_chat_formatting": rf"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
+  UNION ALL SELECT -1, * FROM (VALUES (0, 'user', '</s>[INST] ok [/INST]'), (1, 'assistant', '</s>[INST] ok [/INST]'))),
+o AS (SELECT *, lag(r) OVER w AS before, row_number() OVER w AS p FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, r, x)),
+s AS (SELECT *, coalesce((before IS NULL AND r IN ('system', 'user')) OR (before = 'system' AND r = 'user') OR (before = 'user' AND r = 'assistant') OR (before = 'assistant' AND r = 'user'), false) AS fits,
+  CASE r WHEN 'system' THEN 18 WHEN 'user' THEN 15 WHEN 'assistant' THEN 10 ELSE 30 + length(r) + len(regexp_extract_all(r, '{CONTROL}')) END
+    + length(x) + len(regexp_extract_all(x, '{CONTROL}')) AS chars FROM o)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || x || chr(10), '' ORDER BY p)) AS turns_sha256,
+  CAST(coalesce(sum(length(x)) FILTER (r = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(x, '' ORDER BY p) FILTER (r = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars, bool_and(fits) AND arg_max(r, p) = 'assistant' AS valid
+FROM s GROUP BY conv_id""",
 }
