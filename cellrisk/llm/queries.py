@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellrisk.llm import langid, toxicity
 from cellrisk.llm.chat import format_conversations, formatted_digests
 from cellrisk.llm.exactdedup import exact_dedup
 from cellrisk.llm.jaccard import jaccard_groups
@@ -28,6 +29,22 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passage_digests(_table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = langid.held_out(F.col("doc_id"))
+    model = langid.learn(docs.where(~out))
+    return langid.identify(docs, model).select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    out = langid.held_out(F.col("doc_id"))
+    model = toxicity.learn(docs.where(~out).join(labels, "doc_id"))
+    return (toxicity.with_toxicity(docs, model)
+            .select("doc_id", out.alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= toxicity.THRESHOLD).cast("int").alias("predicted")))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digests(_table(spark, sf_dir, "documents"))
 
@@ -56,6 +73,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_language_id": op4_language_id,
+    "op5_toxicity": op5_toxicity,
     "op6_line_dedup": op6_line_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_packing": op8_packing,
