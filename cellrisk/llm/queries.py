@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cellrisk.llm import langid, toxicity
 from cellrisk.llm.chat import format_conversations, formatted_digests
+from cellrisk.llm.decontaminate import contaminated
 from cellrisk.llm.exactdedup import exact_dedup
 from cellrisk.llm.jaccard import jaccard_groups
 from cellrisk.llm.linededup import line_digests
@@ -21,6 +22,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -71,6 +76,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_language_id": op4_language_id,
@@ -89,6 +95,14 @@ SPACE = r"[\x20\x09-\x0D]"
 CONTROL = r"\\|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>|<<ROLE>>|<<TEXT>>|<</ROLE>>"
 
 ORACLES: dict[str, str] = {
+    "op1_decontamination": r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
+v AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark),
+d AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS g FROM (SELECT *, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS p FROM w WHERE len(w) > 0)),
+b AS (SELECT DISTINCT item_id, array_to_string(w[p:p + 4], ' ') AS g FROM (SELECT *, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS p FROM v WHERE len(w) > 0)),
+n AS (SELECT item_id, count(*) AS n_shingles FROM b GROUP BY item_id),
+s AS (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN b ON d.g = b.g GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment FROM s JOIN n USING (item_id) WHERE 100 * n_shared >= 80 * n_shingles""",
     "op2_ngram_jaccard_join": f"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS g
