@@ -36,7 +36,7 @@ from cellrisk.llm.common import starts_of
 MAX_LABELLED, MAX_FEATURES = 20_000, 20_000
 LEAST_TEXTS, LEAST_Z = 4, 2.5
 #: Weight of the counterfactual penalty and of the squared weights.
-SWAP, SHRINK = 5.0, 2e-4
+SWAP, SHRINK = 20.0, 2e-4
 THRESHOLD = 0.3
 BEGINNING = 5
 #: Terms that name a group; those of a row stand in for one another.
@@ -65,12 +65,15 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def swaps(text: str) -> list[tuple[int, int]]:
-    """(term, stand-in) names for each identity term of each sentence."""
+def swaps(text: str) -> list[tuple[int, ...]]:
+    """For each identity term of each sentence and each stand-in: names of the
+    term, its beginning, the stand-in, its beginning (0 if it has none)."""
+    def both(w: str) -> tuple[int, int]:
+        return name(w), name(f"{w[:BEGINNING]}*") if len(w) > BEGINNING else 0
     out = []
     for sentence in _SENTENCE.split(text):
         for w in set(words_of(sentence)) & KIN.keys():
-            out += [(name(w), name(x)) for x in KIN[w]]
+            out += [(*both(w), *both(x)) for x in KIN[w]]
     return out
 
 
@@ -99,7 +102,7 @@ class Classifier:
 
 
 def fit(labels: np.ndarray, texts: list[np.ndarray], pairs: list[np.ndarray], rounds: int = 200, step: float = 0.05) -> Classifier:
-    """``texts``: feature names of each; ``pairs``: its (term, stand-in) names."""
+    """``texts``: feature names of each; ``pairs``: its rows of ``swaps``."""
     y = labels.astype(float)
     none = np.zeros(0, np.uint64)
     if not len(y) or y.min() == y.max():
@@ -124,10 +127,10 @@ def fit(labels: np.ndarray, texts: list[np.ndarray], pairs: list[np.ndarray], ro
     place = np.minimum(np.searchsorted(names, col), len(names) - 1)
     has = names[place] == col
     row, col = row[has], place[has]
-    pair = [p.reshape(-1, 2) for p in pairs if len(p)]
-    pair = np.concatenate(pair) if pair else np.zeros((0, 2), np.uint64)
+    pair = [p for p in pairs if len(p)]
+    pair = np.concatenate(pair) if pair else np.zeros((0, 4), np.uint64)
     spot = np.minimum(np.searchsorted(names, pair), len(names) - 1)
-    known = names[spot] == pair  # a term that the model lacks weighs nothing
+    sign = np.where(names[spot] == pair, [1, 1, -1, -1], 0)  # a term that the model lacks weighs nothing
     w, bias = np.zeros(len(names)), float(np.log(y.mean() / (1 - y.mean())))
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for t in range(1, rounds + 1):
@@ -135,8 +138,8 @@ def fit(labels: np.ndarray, texts: list[np.ndarray], pairs: list[np.ndarray], ro
         e = (p - y) / len(y)
         g = np.bincount(col, e[row], len(w)) + SHRINK * w
         if len(pair):
-            change = w[spot[:, 0]] * known[:, 0] - w[spot[:, 1]] * known[:, 1]
-            g += 2 * SWAP / len(pair) * (np.bincount(spot[:, 0], change * known[:, 0], len(w)) - np.bincount(spot[:, 1], change * known[:, 1], len(w)))
+            change = (w[spot] * sign).sum(axis=1, keepdims=True)
+            g += 2 * SWAP / len(pair) * np.bincount(spot.ravel(), (change * sign).ravel(), len(w))
         g = np.r_[g, e.sum()]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = step * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
@@ -150,7 +153,7 @@ def learn(labelled: DataFrame, max_labelled: int = MAX_LABELLED) -> Classifier:
               .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "label").limit(max_labelled))
     rows = sample.select("label", "text").mapInArrow(_rows, "label int, features binary, swaps binary").collect()
     return fit(np.array([r["label"] for r in rows], np.int64), [np.frombuffer(r["features"], np.uint64) for r in rows],
-               [np.frombuffer(r["swaps"], np.uint64).reshape(-1, 2) for r in rows])
+               [np.frombuffer(r["swaps"], np.uint64).reshape(-1, 4) for r in rows])
 
 
 def with_toxicity(docs: DataFrame, model: Classifier) -> DataFrame:
