@@ -120,16 +120,19 @@ def parse_ts_two_formats(text, fmt: str = INCIDENT_TS_FORMAT) -> Column:
 def resolve_request_time(text, zone: str = REGION_TIMEZONE) -> dict[str, Column]:
     """Zone resolution of request times.
 
-    * no offset  -> the text is local wall time in ``zone``;
-    * an offset  -> converted to ``zone`` wall time;
-    * unparsable, or a local time in the DST gap or the doubled hour -> error.
+    * no offset  -> the text is local wall time in ``zone`` (a date alone is
+      its midnight);
+    * an offset after a time -> converted to ``zone`` wall time;
+    * unparsable, a suffix other than an offset, or a local time in the DST gap or the doubled hour -> error.
 
     Returns ``local_ts`` (timestamp_ntz wall time, null when rejected) and
     ``time_error`` (null when accepted).
     """
     s = F.trim(_c(text))
-    has_offset = s.rlike(r"(Z|[+-]\d{2}(:?\d{2})?)$")
-    naive = F.try_to_timestamp(s).cast("timestamp_ntz")
+    clock = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?"
+    has_offset = F.coalesce(s.rlike(clock + r" ?(Z|[+-]\d{2}(:?\d{2})?)$"), F.lit(False))
+    plain = s.rlike(clock + "$") | s.rlike(r"^\d{4}-\d{2}(-\d{2})?$")
+    naive = F.when(plain, F.try_to_timestamp(s)).cast("timestamp_ntz")
     # with an offset: parse as an instant (session zone UTC), then shift to zone
     instant = F.try_to_timestamp(s)
     from_offset = F.convert_timezone(F.lit("UTC"), F.lit(zone), instant.cast("timestamp_ntz"))

@@ -120,12 +120,23 @@ def validate_points(req: DataFrame, idx: str = "idx", lat: str = "lat", lon: str
     return req.filter(~ok).select(F.col(idx), msg.alias("error"))
 
 
+class PointsRejected(ValueError):
+    """Raised by ``reject_all``; ``errors`` is the table of all bad points."""
+
+    def __init__(self, count: int, shown: list[str], errors: DataFrame):
+        more = f" and {count - len(shown)} more" if count > len(shown) else ""
+        super().__init__(f"{count} point(s) rejected: {'; '.join(shown)}{more}")
+        self.count, self.errors = count, errors
+
+
 def reject_all(req: DataFrame, **kw) -> DataFrame:
-    """Reject-all validation: raise with every bad point when any is bad."""
+    """Reject-all validation: raise when any point is bad.  The exception
+    holds the full error table, however long it is, and its count."""
     errs = validate_points(req, **kw)
-    bad = errs.orderBy(kw.get("idx", "idx")).limit(1001).collect()
-    if bad:
-        raise ValueError("; ".join(r["error"] for r in bad[:1000]))
+    idx = kw.get("idx", "idx")
+    shown = [r["error"] for r in errs.orderBy(idx).limit(20).collect()]   # the message; all are in the table
+    if shown:
+        raise PointsRejected(errs.count(), shown, errs)
     return req
 
 

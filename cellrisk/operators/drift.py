@@ -5,9 +5,8 @@ PSI (reference vs actual) with reference quantile edges: duplicate edges
 dropped, outer edges open (-inf, +inf), bins closed on the left, shares
 floored at 1e-6; fewer than two distinct edges -> 0.
 
-Plan: both samples are stacked to a long (feature, value) table; the
-edges of every feature come from one grouped ``percentile`` (exact below a
-size argument, ``percentile_approx`` above it); the bin of a value is the
+Plan: both samples are stacked to a long (feature, value) table; the exact
+edges of every feature come from one grouped ``quantile_table``; the bin of a value is the
 number of inner edges <= value (an array ``filter`` - no join); counts per
 (feature, bin) for both sides are joined on a per-feature bin spine.
 """
@@ -18,9 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellrisk import params as P
-
-EXACT_EDGE_ROWS = 20_000_000
-
+from cellrisk.operators.stats import quantile_table
 
 def _long(df: DataFrame, features: list[str], group: str | None = None) -> DataFrame:
     parts = ", ".join(f"'{f}', cast(`{f}` as double)" for f in features)
@@ -29,7 +26,7 @@ def _long(df: DataFrame, features: list[str], group: str | None = None) -> DataF
 
 
 def psi_table(reference: DataFrame, actual: DataFrame, features: list[str],
-              bins: int = P.PSI_BINS, floor: float = 1e-6, exact: bool | None = None,
+              bins: int = P.PSI_BINS, floor: float = 1e-6,
               group: str | None = None) -> DataFrame:
     """One row per feature (and per ``group`` value of ``actual`` when given,
     e.g. the batch): ``[group,] feature, psi``.  The reference side - edges,
@@ -37,11 +34,8 @@ def psi_table(reference: DataFrame, actual: DataFrame, features: list[str],
     g = [group] if group else []
     ref = _long(reference, features)
     act = _long(actual, features, group)
-    qs = F.array(*[F.lit(i / bins) for i in range(bins + 1)])
-    if exact is None:
-        exact = reference.count() * len(features) <= EXACT_EDGE_ROWS
-    pct = F.percentile("value", qs) if exact else F.percentile_approx("value", qs, 100_000)
-    edges = ref.groupBy("feature").agg(F.array_distinct(F.array_sort(pct)).alias("edges"))
+    edges = (quantile_table(ref, "value", [i / bins for i in range(bins + 1)], ["feature"])
+             .select("feature", F.array_distinct(F.array_sort("q")).alias("edges")))
     edges = edges.withColumns({
         "n_bins": F.size("edges") - 1,
         "inner": F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0)))})

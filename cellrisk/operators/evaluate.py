@@ -20,8 +20,6 @@ def metrics(pred: DataFrame, groups: list[str], y: str = "y", p: str = "pred",
 
     R2 = 1 - SS_res / SS_tot with SS_tot = n * var_pop(y); a constant target
     gives -inf/NaN like scikit-learn, or 0 when ``r2_zero_if_constant``."""
-    from cellrisk.operators.panel import materialize
-    pred = materialize(pred)
     err = F.col(y) - F.col(p)
     agg = pred.groupBy(*groups).agg(
         F.count(F.lit(1)).alias("n"),

@@ -21,6 +21,18 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def broadcast_threshold(spark) -> int:
+    """The session's broadcast threshold in bytes, in any notation Spark takes
+    (``10485760``, ``10m``, ``100MB``; -1 is off)."""
+    text = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
+    number = text.rstrip("abcdefghijklmnopqrstuvwxyz")
+    return int(number) * _UNITS[text[len(number):]]
+
+
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
                max_bytes: int | None = None, max_rows: int | None = None) -> DataFrame:
     """Join that broadcasts ``small`` only behind a size check.
@@ -37,8 +49,7 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
         side = F.broadcast(small) if small.count() <= max_rows else small
         return big.join(side, on, how)
     if max_bytes is None:
-        conf = small.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-        max_bytes = int(str(conf).rstrip("b").rstrip("B") or 10485760)
+        max_bytes = broadcast_threshold(small.sparkSession)
     est = estimated_bytes(small)
     side = F.broadcast(small) if est is not None and 0 <= est <= max_bytes else small
     return big.join(side, on, how)

@@ -14,8 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-MAX_PERIODS = 100_000   # calendar-bounded spine width (months / slots)
-
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -45,10 +43,9 @@ def densify(obs: DataFrame, cell_keys: list[str], period: str,
             periods: DataFrame | None = None) -> DataFrame:
     """Cells x observed periods, observations left-joined, listed columns -> 0.
 
-    The spine is built per cell by exploding the period range (calendar
-    bounded, checked against ``MAX_PERIODS``) and, when the observed periods
-    have gaps, semi-joined to the broadcast distinct periods (size bounded by
-    the same check).  No cross join.
+    The spine is built per cell by exploding the period range and, when the
+    observed periods have gaps, semi-joined to the distinct periods.  No
+    cross join.
     """
     per = periods if periods is not None else obs.select(period).distinct()
     s = per.agg(F.min(period).alias("lo"), F.max(period).alias("hi"),
@@ -56,12 +53,10 @@ def densify(obs: DataFrame, cell_keys: list[str], period: str,
     lo, hi, n = s["lo"], s["hi"], s["n"]
     if lo is None:
         return obs.limit(0)
-    if hi - lo + 1 > MAX_PERIODS:
-        raise ValueError(f"period range {hi - lo + 1} exceeds MAX_PERIODS")
     cells = cells if cells is not None else obs.select(*cell_keys).distinct()
     spine = cells.withColumn(period, F.explode(F.sequence(F.lit(int(lo)), F.lit(int(hi)))))
     if n < hi - lo + 1:
-        spine = spine.join(F.broadcast(per.select(period)), period, "left_semi")
+        spine = spine.join(per.select(period), period, "left_semi")
     panel = spine.join(obs, cell_keys + [period], "left")
     if fill_zero:
         panel = panel.fillna(0, subset=fill_zero)

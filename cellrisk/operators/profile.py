@@ -14,18 +14,7 @@ from pyspark.sql import functions as F
 
 from cellrisk import params as P
 from cellrisk.functions.space import in_box
-
-
-def percentile_fn(df: DataFrame, exact: bool | None = None):
-    """Exact ``percentile`` (numpy-equal) when the input is within the exact
-    limit, else ``percentile_approx`` - an exact percentile keeps every
-    distinct value of a group in one task, which does not scale."""
-    from cellrisk.operators.stats import EXACT_LIMIT
-    if exact is None:
-        exact = df.count() <= EXACT_LIMIT
-    if exact:
-        return lambda c, q: F.percentile(c, q)
-    return lambda c, q: F.percentile_approx(c, q, 100_000).cast("double")
+from cellrisk.operators.stats import quantile_table, quantiles
 
 
 def _stack(names_values: list[tuple[str, Column]], key: str, val: str) -> Column:
@@ -134,19 +123,22 @@ def label_span(df: DataFrame, label: str, year: str) -> DataFrame:
 
 
 def spatial_outliers(df: DataFrame, lat: str, lon: str, region: P.Region,
-                     zero_tol: float = 1.0, exact: bool | None = None) -> DataFrame:
+                     zero_tol: float = 1.0) -> DataFrame:
     """Rows with coordinates outside the box, near (0, 0), and the 8-number
     summary of both coordinates (count, mean, std, min, quartiles, max)."""
-    pct = percentile_fn(df, exact)
+    long = df.select(F.explode(F.array(F.struct(F.lit(lat).alias("c"), F.col(lat).cast("double").alias("v")),
+                                       F.struct(F.lit(lon).alias("c"), F.col(lon).cast("double").alias("v")))).alias("p")).select("p.c", "p.v")
+    got = {r["c"]: r["q"] for r in quantile_table(long, "v", [0.25, 0.5, 0.75], ["c"]).collect()}   # two rows
     has = F.col(lat).isNotNull() & F.col(lon).isNotNull()
     aggs = [F.count_if(has & ~in_box(lat, lon, region)).alias("n_out_of_box"),
             F.count_if(has & (F.abs(F.col(lat)) < zero_tol) & (F.abs(F.col(lon)) < zero_tol))
             .alias("n_near_zero")]
     for c in (lat, lon):
+        p25, p50, p75 = (F.lit(v).cast("double") for v in got.get(c, [None] * 3))
         aggs += [F.count(c).alias(f"{c}_count"), F.avg(c).alias(f"{c}_mean"),
                  F.stddev_samp(c).alias(f"{c}_std"), F.min(c).alias(f"{c}_min"),
-                 pct(c, 0.25).alias(f"{c}_p25"), pct(c, 0.5).alias(f"{c}_p50"),
-                 pct(c, 0.75).alias(f"{c}_p75"), F.max(c).alias(f"{c}_max")]
+                 p25.alias(f"{c}_p25"), p50.alias(f"{c}_p50"),
+                 p75.alias(f"{c}_p75"), F.max(c).alias(f"{c}_max")]
     return df.agg(*aggs)
 
 
@@ -155,14 +147,13 @@ def pandas_skew(c: Column, n: Column) -> Column:
     return F.when(n > 2, c * F.sqrt(n * (n - 1)) / (n - 2))
 
 
-def grid_density(df: DataFrame, gi: str = "gi", gj: str = "gj", exact: bool | None = None) -> DataFrame:
+def grid_density(df: DataFrame, gi: str = "gi", gj: str = "gj") -> DataFrame:
     """Incidents per cell: count, mean, std, min, quartiles, max, skewness."""
     per = df.groupBy(gi, gj).agg(F.count(F.lit(1)).alias("n"))
-    pct = percentile_fn(per, exact)
+    p25, p50, p75 = (F.lit(v).cast("double") for v in quantiles(per, "n", [0.25, 0.5, 0.75]))
     return per.agg(F.count(F.lit(1)).alias("cells"), F.avg("n").alias("mean"),
                    F.stddev_samp("n").alias("std"), F.min("n").alias("min"),
-                   pct("n", 0.25).alias("p25"), pct("n", 0.5).alias("p50"),
-                   pct("n", 0.75).alias("p75"), F.max("n").alias("max"),
+                   p25.alias("p25"), p50.alias("p50"), p75.alias("p75"), F.max("n").alias("max"),
                    pandas_skew(F.skewness("n"), F.count(F.lit(1)).cast("double")).alias("skew"))
 
 
@@ -182,10 +173,14 @@ def cell_size_comparison(df: DataFrame, lat: str, lon: str,
 
 
 def cardinality(df: DataFrame, cols: list[str], approx: bool = False) -> DataFrame:
-    """Distinct values per column (exact by default), largest first."""
-    fn = (lambda c: F.approx_count_distinct(c)) if approx else (lambda c: F.count_distinct(c))
-    agg = df.agg(*[fn(c).alias(c) for c in cols])
-    return agg.select(_stack([(c, None) for c in cols], "column", "n_unique"))
+    """Distinct values per column (exact by default): values are stacked to
+    (column, value), made distinct with map-side combine, then counted."""
+    if approx:
+        agg = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols])
+        return agg.select(_stack([(c, None) for c in cols], "column", "n_unique"))
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])
+    seen = df.select(F.explode(each).alias("p")).select("p.column", "p.value").distinct()
+    return seen.groupBy("column").agg(F.count("value").alias("n_unique"))
 
 
 def top_values(df: DataFrame, col: str, n: int | None) -> DataFrame:
@@ -294,34 +289,32 @@ def decay_mass_by_year(df: DataFrame, ts: str, age: str, half_lives=(180, 365, 7
         "H", F.col("year").cast("int").alias("year"), (F.col("_w") / F.col("_t") * 100.0).alias("pct"))
 
 
-def score_summary(df: DataFrame, score: str, others: list[str], tier: str | None = None,
-                  exact: bool | None = None) -> DataFrame:
+def score_summary(df: DataFrame, score: str, others: list[str], tier: str | None = None) -> DataFrame:
     """Mean, median, bias-adjusted skew, quartiles, correlation to inputs."""
-    pct = percentile_fn(df, exact)
+    p25, p50, p75 = (F.lit(v).cast("double") for v in quantiles(df, score, [0.25, 0.5, 0.75]))
     n = F.count(score).cast("double")
     aggs = [F.count(score).alias("n"), F.avg(score).alias("mean"),
-            pct(score, 0.5).alias("median"),
+            p50.alias("median"),
             pandas_skew(F.skewness(score), n).alias("skew"),
             F.stddev_samp(score).alias("std"), F.min(score).alias("min"),
-            pct(score, 0.25).alias("p25"), pct(score, 0.75).alias("p75"),
+            p25.alias("p25"), p75.alias("p75"),
             F.max(score).alias("max")]
     aggs += [F.corr(score, o).alias(f"corr_{o}") for o in others]
     return df.agg(*aggs)
 
 
-def normaliser_comparison(df: DataFrame, raw: str, clip: float, exact: bool | None = None) -> DataFrame:
+def normaliser_comparison(df: DataFrame, raw: str, clip: float) -> DataFrame:
     """median, Q1, Q3, % < 25, % > 75 for four score curves."""
-    pct = percentile_fn(df, exact)
     from cellrisk.functions.score import log_anchor_score, power_score
     curves = [("A_linear", power_score(raw, clip, 1.0)), ("B_sqrt", power_score(raw, clip, 0.5)),
               ("C_pow035", power_score(raw, clip, 0.35)), ("D_log1p", log_anchor_score(raw, clip))]
     wide = df.select(*[c.alias(n) for n, c in curves])
     long = wide.select(_stack([(n, None) for n, _ in curves], "curve", "v"))
-    return long.groupBy("curve").agg(
-        pct("v", 0.5).alias("median"), pct("v", 0.25).alias("q1"),
-        pct("v", 0.75).alias("q3"),
-        (F.avg((F.col("v") < 25).cast("double")) * 100).alias("pct_lt25"),
-        (F.avg((F.col("v") > 75).cast("double")) * 100).alias("pct_gt75"))
+    shares = long.groupBy("curve").agg((F.avg((F.col("v") < 25).cast("double")) * 100).alias("pct_lt25"),
+                                       (F.avg((F.col("v") > 75).cast("double")) * 100).alias("pct_gt75"))
+    q = quantile_table(long, "v", [0.25, 0.5, 0.75], ["curve"])
+    return q.join(shares, "curve").select("curve", q["q"][1].alias("median"), q["q"][0].alias("q1"), q["q"][2].alias("q3"),
+                                          "pct_lt25", "pct_gt75")
 
 
 def hotspots(df: DataFrame, keys: list[str], score: str, top: int = 5) -> DataFrame:
@@ -335,19 +328,18 @@ def quiet_busy(df: DataFrame, score: str, count: str, nbr: str, busy_frac: float
     of the busiest 1 % of slots (by count, ties by score then cell order)."""
     n = df.count()
     k = int(busy_frac * n)
-    from cellrisk.operators.stats import EXACT_LIMIT
-    pct = percentile_fn(df, n <= EXACT_LIMIT)
-    quiet = df.filter((F.col(count) == 0) & (F.col(nbr) == 0)).agg(
-        F.lit("quiet").alias("subset"), F.count(F.lit(1)).alias("n"),
-        pct(score, 0.5).alias("median_score"))
-    busy = df.orderBy(F.desc(count), F.desc(score), "cell_id", "dow", "hour").limit(k) \
-             .agg(F.lit("busiest_1pct").alias("subset"), F.count(F.lit(1)).alias("n"),
-                  pct(score, 0.5).alias("median_score"))
-    return quiet.unionByName(busy)
+    quiet = df.filter((F.col(count) == 0) & (F.col(nbr) == 0)).select(F.lit("quiet").alias("subset"), score)
+    busy = (df.orderBy(F.desc(count), F.desc(score), "cell_id", "dow", "hour").limit(k)
+            .select(F.lit("busiest_1pct").alias("subset"), score))
+    both = quiet.unionByName(busy)
+    n_of = both.groupBy("subset").agg(F.count(F.lit(1)).alias("n"))
+    q = quantile_table(both, score, [0.5], ["subset"]).select("subset", F.col("q")[0].alias("median_score"))
+    return n_of.join(q, "subset", "left")
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """Row count + order-free 16-hex digest (xor of 64-bit row hashes)."""
+    """Row count + order-free 16-hex digest of the sum of 64-bit row hashes
+    (a sum, so equal rows do not cancel)."""
     h = F.xxhash64(*[F.col(c) for c in df.columns])
-    return df.agg(F.count(F.lit(1)).alias("n_rows"),
-                  F.lower(F.lpad(F.hex(F.bit_xor(h)), 16, "0")).alias("digest"))
+    total = F.coalesce(F.sum(h.cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.substring(F.md5(total.cast("string")), 1, 16).alias("digest"))

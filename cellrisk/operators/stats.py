@@ -2,16 +2,15 @@
 
 * ``scalars``: one aggregate row (a handful of numbers) brought to the driver
   to parametrise later expressions - bounded by construction.
-* ``quantiles``: exact linear-interpolated quantiles (numpy ``percentile``).
-  Small inputs use Spark's exact ``percentile``; above ``exact_limit`` rows a
-  two-pass selection is used: ``percentile_approx`` brackets each target
-  rank (rank error <= n/accuracy, a proven bound), the rows inside the
-  bracket are counted, and only that bounded bracket is ordered.
-* ``average_rank``: tie-averaged ranks (pandas ``rank()``) by counting
-  distinct values, cutting the value range into buckets at approximate
-  quantiles, prefix offsets per bucket, and a running count inside each
-  bucket - a window *partitioned* by bucket, never a global window.
-* ``spearman``: Pearson correlation of average ranks.
+* ``running_counts``: every distinct value with how many rows lie before it.
+  Values are counted first (map-side, so ties cost one row), then numbered
+  inside buckets that are a fixed monotone function of the value; only the
+  bucket totals, at most ``2 * 2100 * BUCKETS_PER_OCTAVE`` rows whatever the
+  input, are ordered in one window.
+* ``quantile_table`` / ``quantiles``: exact linear-interpolated quantiles
+  (numpy ``percentile``), grouped or global, one method at every size.
+* ``average_rank``: tie-averaged ranks (pandas ``rank()``).
+* ``spearman``: correlation of average ranks over distinct (x, y) pairs.
 """
 
 from __future__ import annotations
@@ -22,9 +21,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-EXACT_LIMIT = 20_000_000
-APPROX_ACCURACY = 1_000_000
-BRACKET_LIMIT = 2_000_000
+BUCKETS_PER_OCTAVE = 128
 
 
 def _c(c) -> Column:
@@ -37,82 +34,73 @@ def scalars(df: DataFrame, **exprs: Column) -> dict:
     return row.asDict() if row is not None else {k: None for k in exprs}
 
 
-def quantiles(df: DataFrame, col: str, qs: Sequence[float],
-              exact_limit: int = EXACT_LIMIT, accuracy: int = APPROX_ACCURACY,
-              n: int | None = None) -> list[float | None]:
-    """Exact linear-interpolation quantiles of the non-null values of ``col``.
-    ``n`` (the count of non-null, non-NaN values) may be passed when the
-    caller already has it from a fused aggregate."""
-    qs = [float(q) for q in qs]
-    vals = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull()
-                                                                  & ~F.isnan("x"))
-    if n is None:
-        n = vals.count()
-    if n == 0:
-        return [None] * len(qs)
-    if n <= exact_limit:
-        r = vals.agg(F.percentile("x", F.array(*[F.lit(q) for q in qs])).alias("p")).first()["p"]
-        return [float(v) for v in r]
-    return [_two_pass_quantile(vals, n, q, accuracy) for q in qs]
-
-
-def _two_pass_quantile(vals: DataFrame, n: int, q: float, accuracy: int) -> float:
-    pos = q * (n - 1)
-    lo = int(math.floor(pos))
-    hi = min(lo + 1, n - 1)
-    frac = pos - lo
-    eps = 2.0 / accuracy
-    while True:
-        qa, qb = max(0.0, q - eps), min(1.0, q + eps)
-        a, b = vals.agg(F.percentile_approx("x", F.array(F.lit(qa), F.lit(qb)), accuracy)
-                        .alias("p")).first()["p"]
-        cnt = vals.agg(F.count_if(F.col("x") < a).alias("below"),
-                       F.count_if((F.col("x") >= a) & (F.col("x") <= b)).alias("inside")).first()
-        below, inside = cnt["below"], cnt["inside"]
-        if below <= lo and below + inside > hi and inside <= BRACKET_LIMIT:
-            break
-        if inside > BRACKET_LIMIT:
-            accuracy *= 4
-        eps *= 2
-        if eps > 1:
-            raise RuntimeError("quantile bracket did not converge")
-    # the bracket is bounded (<= BRACKET_LIMIT rows): order it and pick the ranks
-    w = Window.orderBy("x")
-    picked = (vals.filter((F.col("x") >= a) & (F.col("x") <= b))
-              .withColumn("_r", F.row_number().over(w) - 1 + F.lit(below))
-              .filter(F.col("_r").isin(lo, hi)).select("_r", "x").collect())
-    got = {r["_r"]: r["x"] for r in picked}
-    return got[lo] + frac * (got[hi] - got[lo])
-
-
-def average_rank(df: DataFrame, col: str, out: str = "rank",
-                 buckets: int | None = None) -> DataFrame:
+def value_bucket(x: Column) -> Column:
+    """Monotone bucket number of a finite double: BUCKETS_PER_OCTAVE equal
+    steps between two powers of two, mirrored below zero.  A power of two
+    that ``log2`` rounds to either side gets the same number both ways."""
+    a = F.greatest(F.abs(x), F.lit(1e-300))
+    e = F.floor(F.log2(a))
+    step = F.floor((a / F.pow(F.lit(2.0), e) - 1) * BUCKETS_PER_OCTAVE)
+    b = ((e + 1050) * BUCKETS_PER_OCTAVE + step).cast("long")
+    return F.when(x == 0, F.lit(0).cast("long")).otherwise(F.signum(x).cast("long") * b)
+
+
+def running_counts(df: DataFrame, col: str, groups: Sequence[str] = ()) -> DataFrame:
+    """Distinct non-null, non-NaN values per group: (groups..., col, _cnt,
+    _before, _n) - rows with the value, rows with a smaller one, all rows."""
+    g = list(groups)
+    x = F.col(col).cast("double")
+    vc = (df.select(*g, x.alias(col)).filter(F.col(col).isNotNull() & ~F.isnan(col))
+          .groupBy(*g, col).agg(F.count(F.lit(1)).alias("_cnt")).withColumn("_b", value_bucket(F.col(col))))
+    tot = vc.groupBy(*g, "_b").agg(F.sum("_cnt").alias("_t"))
+    whole = Window.partitionBy(*g)
+    tot = tot.select(*g, "_b", F.coalesce(F.sum("_t").over(whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
+                     F.sum("_t").over(whole).alias("_n"))
+    w = Window.partitionBy(*g, "_b").orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
+    on = [*(F.col(f"v.{c}").eqNullSafe(F.col(f"t.{c}")) for c in g), F.col("v._b") == F.col("t._b")]
+    cond = on[0]
+    for c in on[1:]:
+        cond = cond & c
+    j = vc.alias("v").join(tot.alias("t"), cond).select(*[F.col(f"v.{c}") for c in (*g, col, "_cnt", "_b")], "_off", "_n")
+    return j.withColumn("_before", F.col("_off") + F.sum("_cnt").over(w) - F.col("_cnt")).select(*g, col, "_cnt", "_before", "_n")
+
+
+def quantile_table(df: DataFrame, col: str, qs: Sequence[float], groups: Sequence[str] = (), out: str = "q") -> DataFrame:
+    """(groups..., ``out``: array of the quantiles, ``n``), numpy-equal."""
+    rc = running_counts(df, col, groups)
+    n, before, cnt = F.col("_n"), F.col("_before"), F.col("_cnt")
+    aggs, parts = [F.max("_n").alias("n")], []
+    for i, q in enumerate(qs):
+        pos = F.lit(float(q)) * (n - 1)
+        lo = F.floor(pos)
+        for k, rank in (("lo", lo), ("hi", F.least(lo + 1, n - 1))):
+            aggs.append(F.max(F.when((before <= rank) & (rank < before + cnt), F.col(col))).alias(f"_{k}{i}"))
+        p = F.lit(float(q)) * (F.col("n") - 1)
+        parts.append(F.col(f"_lo{i}") + (p - F.floor(p)) * (F.col(f"_hi{i}") - F.col(f"_lo{i}")))
+    got = rc.groupBy(*groups).agg(*aggs)
+    return got.select(*groups, F.array(*parts).alias(out), "n")
+
+
+def quantiles(df: DataFrame, col: str, qs: Sequence[float]) -> list[float | None]:
+    """Exact linear-interpolation quantiles of the non-null values of ``col``."""
+    row = quantile_table(df, col, qs).first()
+    got = row["q"] if row is not None and row["n"] else [None] * len(qs)
+    return [None if v is None else float(v) for v in got]
+
+
+def _rank() -> Column:
+    return (F.col("_before") + (F.col("_cnt") + 1) / 2.0).cast("double")
+
+
+def average_rank(df: DataFrame, col: str, out: str = "rank") -> DataFrame:
     """Distinct values of ``col`` with their tie-averaged rank (1-based) and
     count.  Join back on ``col`` to rank rows."""
-    vc = df.groupBy(col).agg(F.count(F.lit(1)).alias("_cnt")).filter(F.col(col).isNotNull())
-    nb = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if nb > 1:
-        edges = vc.agg(F.percentile_approx(col, F.array(*[F.lit(i / nb) for i in range(1, nb)]),
-                                           10_000).alias("e")).first()["e"] or []
-        edges = sorted(set(e for e in edges if e is not None))
-    else:
-        edges = []
-    if edges:
-        bucket = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: F.col(col) >= e))
-    else:
-        bucket = F.lit(0)
-    vc = vc.withColumn("_b", bucket.cast("int"))
-    totals = {r["_b"]: r["t"] for r in vc.groupBy("_b").agg(F.sum("_cnt").alias("t")).collect()}
-    offs, acc = {}, 0
-    for b in sorted(totals):
-        offs[b] = acc
-        acc += totals[b]
-    off_map = F.create_map(*[F.lit(x) for b in sorted(offs) for x in (b, offs[b])]) if offs \
-        else F.create_map(F.lit(0), F.lit(0))
-    w = Window.partitionBy("_b").orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
-    cum = F.sum("_cnt").over(w)
-    rank = F.try_element_at(off_map, F.col("_b")) + cum - (F.col("_cnt") - 1) / 2.0
-    return vc.withColumn(out, rank.cast("double")).select(col, out, "_cnt")
+    return running_counts(df, col).select(col, _rank().alias(out), "_cnt")
+
+
+def average_rank_by(df: DataFrame, groups: list[str], col: str, out: str = "rank") -> DataFrame:
+    """Tie-averaged rank of ``col`` within each group, (groups..., col, out)."""
+    return running_counts(df, col, groups).select(*groups, col, _rank().alias(out))
 
 
 def safe_corr(a, b) -> Column:
@@ -123,49 +111,30 @@ def safe_corr(a, b) -> Column:
     return F.when(~const, F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)))
 
 
+def spearman_by(df: DataFrame, groups: list[str], x: str, y: str, out: str = "Spearman") -> DataFrame:
+    """Spearman correlation per group (null when a side is constant).
+
+    Rows are first counted by (x, y), so only distinct pairs meet the rank
+    tables; ranks are centred on their known mean before they are summed."""
+    d = (df.select(*groups, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+         .filter(F.col("_x").isNotNull() & F.col("_y").isNotNull() & ~F.isnan("_x") & ~F.isnan("_y")))
+    pairs = d.groupBy(*groups, "_x", "_y").agg(F.count(F.lit(1)).alias("_k"))
+    rx = running_counts(d, "_x", groups).select(*groups, "_x", (_rank() - (F.col("_n") + 1) / 2.0).alias("_rx"))
+    ry = running_counts(d, "_y", groups).select(*groups, "_y", (_rank() - (F.col("_n") + 1) / 2.0).alias("_ry"))
+    j = pairs.join(rx, [*groups, "_x"]).join(ry, [*groups, "_y"])
+    k, a, b = F.col("_k"), F.col("_rx"), F.col("_ry")
+    const = (F.min(a) == F.max(a)) | (F.min(b) == F.max(b))
+    corr = F.try_divide(F.sum(k * a * b), F.sqrt(F.sum(k * a * a)) * F.sqrt(F.sum(k * b * b)))
+    return j.groupBy(*groups).agg(F.when(~const, corr).alias(out))
+
+
 def spearman(df: DataFrame, x: str, y: str) -> float | None:
-    """Spearman correlation (average ranks); null/NaN if either side is
-    constant, like the reference."""
-    d = df.select(F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
-    rx = average_rank(d, "_x", "_rx").drop("_cnt")
-    ry = average_rank(d, "_y", "_ry").drop("_cnt")
-    j = d.join(rx, "_x").join(ry, "_y")
-    v = j.agg(safe_corr("_rx", "_ry").alias("c")).first()["c"]
-    return None if v is None or (isinstance(v, float) and math.isnan(v)) else float(v)
+    """Spearman correlation (average ranks); null if either side is constant."""
+    v = spearman_by(df, [], x, y).first()["Spearman"]
+    return None if v is None or math.isnan(v) else float(v)
 
 
 def ranked(df: DataFrame, col: str, out: str = "rank") -> DataFrame:
     """Rows of ``df`` with the average rank of ``col`` attached."""
-    return df.join(average_rank(df, col, out).drop("_cnt"), col, "left")
-
-
-def average_rank_by(df: DataFrame, groups: list[str], col: str, out: str = "rank",
-                    buckets: int | None = None) -> DataFrame:
-    """Tie-averaged rank of ``col`` within each group, for all groups in one
-    distributed pass: distinct (group, value) counts, per-group value buckets
-    cut at approximate quantiles, per-(group, bucket) prefix offsets (a
-    window over the small totals table), then a running count inside each
-    (group, bucket) partition.  Returns (groups..., col, out)."""
-    nb = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    vc = df.groupBy(*groups, col).agg(F.count(F.lit(1)).alias("_cnt")).filter(F.col(col).isNotNull())
-    qs = F.array(*[F.lit(i / nb) for i in range(1, nb)])
-    edges = vc.groupBy(*groups).agg(F.array_sort(F.array_distinct(
-        F.percentile_approx(col, qs, 10_000))).alias("_e"))
-    b = vc.join(edges, groups, "left").withColumn(
-        "_b", F.size(F.filter("_e", lambda e: F.col(col) >= e)).cast("int")).drop("_e")
-    tot = b.groupBy(*groups, "_b").agg(F.sum("_cnt").alias("_t"))
-    wo = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.withColumn("_off", F.coalesce(F.sum("_t").over(wo), F.lit(0))).drop("_t")
-    b = b.join(tot, groups + ["_b"], "left")
-    w = Window.partitionBy(*groups, "_b").orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
-    rank = F.col("_off") + F.sum("_cnt").over(w) - (F.col("_cnt") - 1) / 2.0
-    return b.select(*groups, col, rank.cast("double").alias(out))
-
-
-def spearman_by(df: DataFrame, groups: list[str], x: str, y: str, out: str = "Spearman") -> DataFrame:
-    """Spearman correlation per group (null when a side is constant)."""
-    d = df.select(*groups, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
-    rx = average_rank_by(d, groups, "_x", "_rx")
-    ry = average_rank_by(d, groups, "_y", "_ry")
-    j = d.join(rx, groups + ["_x"]).join(ry, groups + ["_y"])
-    return j.groupBy(*groups).agg(safe_corr("_rx", "_ry").alias(out))
+    ranks = average_rank(df, col, out).drop("_cnt").withColumnRenamed(col, "_v")
+    return df.join(ranks, F.col(col).cast("double") == F.col("_v"), "left").drop("_v")

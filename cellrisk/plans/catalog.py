@@ -187,7 +187,7 @@ def q_geocoded(spark, sf_dir):
 @query("start_year_filter")
 def q_start_year(spark, sf_dir):
     m = inc_monthly(spark, sf_dir)
-    return m.filter(F.year("ts") >= 1995).select("l_orderkey", "l_linenumber",
+    return m.filter(F.year("ts") >= 1997).select("l_orderkey", "l_linenumber",
                                                  F.date_format("ts", "yyyy-MM-dd").alias("d"))
 
 
@@ -977,8 +977,7 @@ def _drift_profile(spark, sf_dir):
     t = monthly_model_table(spark, sf_dir)
     feats = monthly_drift_features()
     ref = t.filter(F.col("period_str") <= TRAIN_END)
-    years = ["1996", "1997", "1998"]
-    act = t.withColumn("batch", F.substring("period_str", 1, 4)).filter(F.col("batch").isin(*years))
+    act = t.filter(F.col("period_str") > TRAIN_END).withColumn("batch", F.substring("period_str", 1, 4))   # every arriving year
     # every batch against the one reference in a single grouped pass
     return drift_profile(psi_table(ref, act, feats, group="batch"), feats, group="batch")
 
@@ -1025,7 +1024,13 @@ def _requests(spark, sf_dir):
     h = _h(spark, sf_dir).filter(F.col("lat").isNotNull() & (F.col("lat") != 0))
     iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
     text = (F.when(F.col("id") % 5 == 0, F.concat(iso, F.lit("Z")))
-            .when(F.col("id") % 3 == 0, F.concat(iso, F.lit("+07:00"))).otherwise(iso))
+            .when(F.col("id") % 3 == 0, F.concat(iso, F.lit("+07:00")))
+            .when(F.col("id") % 11 == 0, F.date_format("ts", "yyyy-MM-dd"))                     # a date alone
+            .when(F.col("id") % 13 == 0, F.concat(iso, F.lit(" America/New_York")))             # no offset: rejected
+            .when(F.col("id") % 17 == 0, F.concat(F.year("ts").cast("string"), F.lit("-13-40")))   # junk
+            .when(F.col("id") % 19 == 0, F.lit("2025-03-09T02:30:00"))                          # in the gap
+            .when(F.col("id") % 23 == 0, F.lit("2025-11-02T01:30:00"))                          # doubled hour
+            .otherwise(iso))
     return h.select(F.col("id").alias("idx"), "lat", "lon", text.alias("datetime"))
 
 
@@ -1039,13 +1044,20 @@ def q_zone(spark, sf_dir):
 
 @query("serve_batch_features")
 def q_serve_features(spark, sf_dir):
-    from cellrisk.plans.serve import build_features_batch, resolve_requests
-    r = resolve_requests(_requests(spark, sf_dir))
+    from cellrisk.plans.serve import build_features_batch, split_requests
+    r, _ = split_requests(_requests(spark, sf_dir))
     f = build_features_batch(r, hourly_grid_df(spark, sf_dir))
     from cellrisk.params import FEATURE_COLUMNS
     return r6(f.select("idx", "cell_id", *FEATURE_COLUMNS, "data_coverage"))
 
 
+@query("batch_rejects")
+def q_batch_rejects(spark, sf_dir):
+    from cellrisk.plans.serve import split_requests
+    _, bad = split_requests(_requests(spark, sf_dir))
+    return bad.select("idx", "error")
+
+
 # ---------------------------------------------------------------------------
 # 2.1 sources, 2.2 sinks (files are written under the shared checkpoint dir)
 # ---------------------------------------------------------------------------
@@ -1090,28 +1102,19 @@ RAW_OUT = [("ID", "id"), ("Case Number", "case_number"), ("IUCR", "iucr"), ("Pri
 
 @query("csv_scan_declared")
 def q_csv_scan(spark, sf_dir):
-    from cellrisk.sources.files import RAW_KEEP, RAW_SCHEMA
+    from cellrisk.sources.files import RAW_KEEP, RAW_SCHEMA, read_csv
     path = _csv_written(spark, sf_dir)
-    df = (spark.read.schema(RAW_SCHEMA).option("header", True).option("ignoreLeadingWhiteSpace", False)
-          .option("ignoreTrailingWhiteSpace", False).csv(path).select(*[F.col(f"`{c}`") for c in RAW_KEEP]))
+    df = read_csv(spark, path, RAW_SCHEMA, RAW_KEEP)
     return r6(df.select(*[F.col(f"`{a}`").alias(b) for a, b in RAW_OUT]))
 
 
 @query("csv_profile_subset")
 def q_csv_profile(spark, sf_dir):
-    from cellrisk.sources.files import PROFILE_COLUMNS
-    from pyspark.sql import types as T
+    from cellrisk.sources.files import PROFILE_COLUMNS, RAW_SCHEMA, read_csv
     path = _csv_written(spark, sf_dir, drop=["Arrest"])      # one listed column absent from the file
-    header = spark.read.option("header", True).csv(path).columns
-    schema = T.StructType([T.StructField(c, T.LongType() if c == "ID" else
-                                         T.DoubleType() if c in ("Latitude", "Longitude", "Year")
-                                         else T.StringType()) for c in header])
-    df = (spark.read.schema(schema).option("header", True).option("ignoreLeadingWhiteSpace", False)
-          .option("ignoreTrailingWhiteSpace", False).csv(path))
-    cols = [c for c in PROFILE_COLUMNS if c in df.columns]
-    out = df.select(*[F.col(f"`{c}`") for c in cols])
+    out = read_csv(spark, path, RAW_SCHEMA, PROFILE_COLUMNS)
     names = dict(RAW_OUT + [("Date", "date")])
-    return r6(out.select(*[F.col(f"`{c}`").alias(names[c]) for c in cols]))
+    return r6(out.select(*[F.col(f"`{c}`").alias(names[c]) for c in out.columns]))
 
 
 @query("parquet_first_existing")
@@ -1158,10 +1161,10 @@ def q_hash_sample(spark, sf_dir):
 @query("parquet_sink_roundtrip")
 def q_parquet_sink(spark, sf_dir):
     from cellrisk.plans.monthly import monthly_scores
-    from cellrisk.sources.files import write_parquet
+    from cellrisk.sources.files import write_table
     s = monthly_scores(monthly_features(spark, sf_dir))
-    path = write_parquet(s, _scratch(spark, "labels"), partition_by=["period_str"])
-    back = spark.read.parquet(path).filter(F.col("period_str") == "1995-06")   # partition pruning
+    path = write_table(s, _scratch(spark, "labels"), partition_by=["period_str"])
+    back = spark.read.parquet(path)
     return r6(back.select("gi", "gj", "period_str", "n_crimes", "risk_score", "risk_tier"))
 
 
@@ -1371,13 +1374,22 @@ def q_bundle(spark, sf_dir):
 
 @query("batch_scoring")
 def q_batch_scoring(spark, sf_dir):
-    from cellrisk.plans.serve import build_features_batch, predict_batch, resolve_requests, score_rows
+    from cellrisk.plans.serve import build_features_batch, predict_batch, score_rows, split_requests
     model, _, _ = _final_bundle(spark, sf_dir)
-    r = resolve_requests(_requests(spark, sf_dir))
-    scored = predict_batch(model, build_features_batch(r, hourly_grid_df(spark, sf_dir)))
+    r, _ = split_requests(_requests(spark, sf_dir))
+    scored = predict_batch(model, build_features_batch(r, hourly_grid_df(spark, sf_dir)), last_updated=_reference_date(spark, sf_dir))
     return score_rows(scored)
 
 
+def _reference_date(spark, sf_dir):
+    return str(hourly_events(spark, sf_dir).agg(F.max("ts")).first()[0])[:10]
+
+
+#: Time slots of the score sheet: label and local time.
+SHEET_SLOTS = [("Tue 09:00", "2026-04-14T09:00:00"), ("Tue 23:00", "2026-04-14T23:00:00"),
+               ("Sat 23:00", "2026-04-11T23:00:00"), ("Sun 02:00", "2026-04-12T02:00:00")]
+
+
 @query("score_sheet")
 def q_score_sheet(spark, sf_dir):
     """Up to 25 cells stratified by mean score x 4 time slots, scored."""
@@ -1390,17 +1402,23 @@ def q_score_sheet(spark, sf_dir):
     cm = quantile_bins(g.groupBy("cell_id", "lat_r", "lon_r").agg(F.avg("risk_score").alias("m")), "m", 5)
     w = Window.partitionBy("quantile").orderBy(seeded_unit(42, "cell_id"), "cell_id")
     cells = cm.withColumn("rn", F.row_number().over(w)).filter("rn <= 5")
-    slots = F.array(*[F.lit(s) for s in ("2026-04-11T03:00:00", "2026-04-11T08:00:00",
-                                         "2026-04-11T18:00:00", "2026-04-11T23:00:00")])
-    req = cells.select(F.col("lat_r").alias("lat"), F.col("lon_r").alias("lon"),
-                       F.explode(slots).alias("datetime"))
-    scored = predict_batch(model, build_features_batch(resolve_requests(req), g))
-    return score_rows(scored)
+    slots = F.array(*[F.struct(F.lit(a).alias("slot"), F.lit(b).alias("datetime")) for a, b in SHEET_SLOTS])
+    req = (cells.select(F.col("lat_r").alias("lat"), F.col("lon_r").alias("lon"), F.explode(slots).alias("s"))
+           .select("lat", "lon", F.col("s.slot").alias("slot"), F.col("s.datetime").alias("datetime")))
+    scored = predict_batch(model, build_features_batch(resolve_requests(req), g), last_updated=_reference_date(spark, sf_dir))
+    label = F.create_map(*[F.lit(x) for a, b in SHEET_SLOTS for x in (b, a)])
+    return score_rows(scored).withColumn("slot", label[F.col("datetime")])
 
 
 # ---------------------------------------------------------------------------
 # 2.14 champion / challenger, decision log
 # ---------------------------------------------------------------------------
+def _arriving_years(t):
+    """Years after the training window, from the data (a handful)."""
+    y = t.filter(F.col("period_str") > TRAIN_END).select(F.substring("period_str", 1, 4).alias("y")).distinct()
+    return [r["y"] for r in y.orderBy("y").collect()]
+
+
 def _monitor_run(spark, sf_dir):
     key = (id(spark), sf_dir, "monitor")
     if key not in _MEMO:
@@ -1412,9 +1430,9 @@ def _monitor_run(spark, sf_dir):
         def est(df):
             s = df.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("risk_score").alias("sd")).first()
             return ridge(1.0, s["n"], s["sd"] or 1.0, standardize=True)
-        mon = Monitor(features=FEATURE_COLUMNS_MONTHLY + RISK_LAG_COLUMNS, estimator_fn=est)
+        mon = Monitor(features=FEATURE_COLUMNS_MONTHLY + RISK_LAG_COLUMNS, estimator_fn=est, store=_scratch(spark, "monitor"))
         mon.init(t, TRAIN_END)
-        for y in ("1996", "1997", "1998"):
+        for y in _arriving_years(t):
             mon.step(t, y)
         _MEMO[key] = mon
     return _MEMO[key]
@@ -1461,19 +1479,20 @@ def q_stream_monitor(spark, sf_dir):
     from cellrisk.streaming.scoring import start_period_monitor
     t = monthly_model_table(spark, sf_dir)
     base = _scratch(spark, "arrivals")
-    hist = t.filter(F.col("period_str") <= "1996-12")
-    t.filter(F.col("period_str").startswith("1997")).write.mode("overwrite").parquet(base + "/in/1997")
+    hist = t.filter(F.col("period_str") <= TRAIN_END)
+    years = _arriving_years(t)
 
     def est(df):
         s = df.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("risk_score").alias("sd")).first()
         return ridge(1.0, s["n"], s["sd"] or 1.0, standardize=True)
-    mon = Monitor(features=FEATURE_COLUMNS_MONTHLY + RISK_LAG_COLUMNS, estimator_fn=est)
-    mon.init(hist, TRAIN_END)
-    q = start_period_monitor(spark, base + "/in/*", t.schema, mon, base + "/log", base + "/ckpt")
-    q.awaitTermination()
-    q = start_period_monitor(spark, base + "/in/*", t.schema, mon, base + "/log", base + "/ckpt")
-    q.awaitTermination()
-    return spark.read.parquet(base + "/log/decisions").select("seq", "version", "batch", "decision")
+    def monitor():   # a new object each time, as after a restart: the state is in the store
+        return Monitor(features=FEATURE_COLUMNS_MONTHLY + RISK_LAG_COLUMNS, estimator_fn=est, store=base + "/store")
+    monitor().init(hist, TRAIN_END)
+    for y in [*years, None]:   # each year arrives; the last run finds nothing new
+        if y:
+            t.filter(F.col("period_str").startswith(y)).write.mode("overwrite").parquet(f"{base}/in/{y}")
+        start_period_monitor(spark, base + "/in/*", t.schema, monitor(), hist, base + "/ckpt").awaitTermination()
+    return monitor().decision_log(spark).select("seq", "version", "batch", "decision")
 
 
 @query("average_rank")

@@ -290,7 +290,7 @@ from inc_hourly where lat is not null and lon is not null and {in_box_sql(lat_ma
   and ts is not null""")
 
 oracle("start_year_filter", MM + """select l_orderkey, l_linenumber, strftime(ts, '%Y-%m-%d') as d
-from inc_monthly where year(ts) >= 1995""")
+from inc_monthly where year(ts) >= 1997""")
 
 oracle("required_fields_drop", H + f""", c as (select count(*) as before,
   count(*) filter (where not (lat is not null and lon is not null and ts is not null and {in_box_sql()})) as removed,
@@ -949,12 +949,12 @@ _DRIFT_FEATS = [f for f in P.FEATURE_COLUMNS_MONTHLY + P.RISK_LAG_COLUMNS if f n
 _forder = "[" + ", ".join(f"'{f}'" for f in _DRIFT_FEATS) + "]"
 
 
-def drift_profile_ctes(years) -> str:
+def drift_profile_ctes() -> str:
     """(batch, feature) PSI against one reference, every batch in one pass."""
     qs = "[" + ", ".join(dbl(i / P.PSI_BINS) for i in range(P.PSI_BINS + 1)) + "]"
     rl = " union all ".join(f"select '{f}' as feature, cast({f} as double) as value from dref" for f in _DRIFT_FEATS)
     al = " union all ".join(f"select substr(period_str, 1, 4) as batch, '{f}' as feature, cast({f} as double) as value "
-                            f"from tt where substr(period_str, 1, 4) in ({sql_list(years)})" for f in _DRIFT_FEATS)
+                            f"from tt where period_str > '{_TT_TRAIN_END}'" for f in _DRIFT_FEATS)
     return f"""drl as ({rl}), dal as ({al}),
 ded as (select feature, list_sort(list_distinct(quantile_cont(value, {qs}))) as e from drl group by 1),
 ded2 as (select feature, len(e) - 1 as n_bins, e[2:len(e) - 1] as inner_e from ded),
@@ -977,9 +977,8 @@ prof as (select batch, max(psi) as psi_max, avg(psi) as psi_mean,
   as top_drift from dpsi group by batch)"""
 
 
-_YEARS = ["1996", "1997", "1998"]
 DRIFT_CTES = TT_CTES + f""", dref as (select * from tt where period_str <= '{_TT_TRAIN_END}'),
-{drift_profile_ctes(_YEARS)}"""
+{drift_profile_ctes()}"""
 
 oracle("drift_profile", DRIFT_CTES + """
 select batch, round(psi_max, 4) as psi_max, round(psi_mean, 4) as psi_mean, top_drift from prof""")
@@ -1005,12 +1004,25 @@ join pw w on w.cell_id = p.cell_id and w.nbr = p.nbr""")
 REQ_CTES = f""", req as (select id as idx, lat, lon,
   case when id % 5 = 0 then strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z'
        when id % 3 = 0 then strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+07:00'
+       when id % 11 = 0 then strftime(ts, '%Y-%m-%d')
+       when id % 13 = 0 then strftime(ts, '%Y-%m-%dT%H:%M:%S') || ' America/New_York'
+       when id % 17 = 0 then year(ts) || '-13-40'
+       when id % 19 = 0 then '2025-03-09T02:30:00'
+       when id % 23 = 0 then '2025-11-02T01:30:00'
        else strftime(ts, '%Y-%m-%dT%H:%M:%S') end as datetime from inc_hourly where lat is not null and lat <> 0),
-rq as (select *, case when id5 then cast(timezone('{P.REGION_TIMEZONE}', cast(datetime as timestamptz)) as timestamp)
-  else cast(datetime as timestamp) end as local_ts from (select *, (datetime like '%Z' or datetime like '%+07:00') as id5 from req))"""
+rq0 as (select *, case when datetime like '%America%' or datetime like '%-13-40' then 'unparsable'
+  when datetime = '2025-03-09T02:30:00' then 'dst_gap' when datetime = '2025-11-02T01:30:00' then 'dst_ambiguous' end as time_error from req),
+rqa as (select *, case when time_error is not null then null
+  when id5 then cast(timezone('{P.REGION_TIMEZONE}', cast(datetime as timestamptz)) as timestamp)
+  else cast(datetime as timestamp) end as local_ts from (select *, (datetime like '%Z' or datetime like '%+07:00') as id5 from rq0)),
+rqe as (select *, coalesce(time_error, case when not coalesce({in_box_sql()}, false) then 'outside_region' end) as error from rqa),
+rq as (select * from rqe where error is null)"""
 
 oracle("zone_resolution", H + REQ_CTES + """
-select idx, datetime, strftime(local_ts, '%Y-%m-%d %H:%M:%S') as local_ts, cast(null as varchar) as time_error from rq""")
+select idx, datetime, strftime(local_ts, '%Y-%m-%d %H:%M:%S') as local_ts, time_error from rqa""")
+
+oracle("batch_rejects", H + REQ_CTES + """
+select idx, error from rqe where error is not null""")
 
 _sf_cols = ", ".join(f"round({c}, 6) as {c}" for c in P.FEATURE_COLUMNS if c not in ("hour", "dow", "is_weekend"))
 oracle("serve_batch_features", HOURLY_GRID_CTES.replace(oracle_with("inc_hourly"), oracle_with("inc_hourly"), 1)
@@ -1047,7 +1059,7 @@ oracle("recursive_lookup", "select l_returnflag, count(*) as n from lineitem gro
 oracle("hash_sample", H + f"select id, event_type from inc_hourly where {md5u(42, 'id')} < 0.1")
 
 oracle("parquet_sink_roundtrip", "with lab as (" + MONTHLY_SCORE_SQL + """)
-select gi, gj, period_str, n_crimes, risk_score, risk_tier from lab where period_str = '1995-06'""")
+select gi, gj, period_str, n_crimes, risk_score, risk_tier from lab""")
 
 oracle("csv_sink_roundtrip", HOURLY_GRID_CTES + """
 select cell_id, dow, hour, round(crime_count, 6) as crime_count, round(risk_score, 6) as risk_score from grid""")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cellrisk import params as P
 from cellrisk.functions import score as SC
 from cellrisk.functions import timefx as T
-from cellrisk.functions.space import grid_cells
+from cellrisk.functions.space import grid_cells, in_box
 from cellrisk.operators.clean import locked_features
 
 DISCLAIMER = ("Statistical estimate from historical incident patterns; not a prediction "
@@ -27,6 +27,18 @@ def resolve_requests(req: DataFrame, text: str = "datetime") -> DataFrame:
     return req.withColumns({"local_ts": r["local_ts"], "time_error": r["time_error"]})
 
 
+def split_requests(req: DataFrame, text: str = "datetime", lat: str = "lat", lon: str = "lon",
+                   region: P.Region = P.HOURLY_REGION) -> tuple[DataFrame, DataFrame]:
+    """(accepted with ``local_ts``, rejected with ``error``): a request whose
+    time cannot be resolved or whose point lies outside the box is never scored."""
+    r = resolve_requests(req, text)
+    outside = ~F.coalesce(in_box(lat, lon, region), F.lit(False))
+    error = F.coalesce(F.col("time_error"), F.when(outside, F.lit("outside_region")))
+    r = r.withColumn("error", error)
+    return (r.filter(F.col("error").isNull()).drop("error", "time_error"),
+            r.filter(F.col("error").isNotNull()).drop("time_error"))
+
+
 def build_features_batch(req: DataFrame, grid: DataFrame, ts: str = "local_ts",
                          lat: str = "lat", lon: str = "lon") -> DataFrame:
     """Request rows with cell, time features and the five grid aggregates
@@ -58,10 +70,19 @@ def predict_batch(model, feats: DataFrame, version: str = P.MODEL_VERSION,
     }).drop("features")
 
 
-def score_rows(scored: DataFrame) -> DataFrame:
-    """The 11-field response row."""
-    return scored.select("lat", "lon", F.col("datetime"),
-                         F.date_format("local_ts", "yyyy-MM-dd'T'HH:mm:ss").alias("resolved_local_datetime"),
+def score_rows(scored: DataFrame, zone: str = P.REGION_TIMEZONE) -> DataFrame:
+    """The 11-field response row, after the request's ``idx`` if it has one:
+    ``datetime`` is the resolved local wall time, ``resolved_local_datetime``
+    the same with its offset."""
+    wall = F.date_format("local_ts", "yyyy-MM-dd'T'HH:mm:ss")
+    minutes = F.round((F.unix_micros(F.col("local_ts").cast("timestamp"))
+                       - F.unix_micros(F.to_utc_timestamp(F.col("local_ts"), zone))) / 60e6).cast("int")
+    offset = F.concat(F.when(minutes < 0, F.lit("-")).otherwise(F.lit("+")),
+                      F.lpad((F.abs(minutes) / 60).cast("int").cast("string"), 2, "0"), F.lit(":"),
+                      F.lpad((F.abs(minutes) % 60).cast("string"), 2, "0"))
+    first = ["idx"] if "idx" in scored.columns else []
+    return scored.select(*first, "lat", "lon", wall.alias("datetime"),
+                         F.concat(wall, offset).alias("resolved_local_datetime"),
                          "cell_id", F.col("risk_score_2dp").alias("risk_score"), "level", "data_coverage",
                          "model_version", "last_updated", "disclaimer")
 

@@ -42,13 +42,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is only read.  When
-    it is unset (local tests) a fresh scratch folder is created and registered,
-    so ``DataFrame.checkpoint()`` works; a machine-local folder is never chosen
-    when the cluster already names one.
+    On a cluster this setting points at shared storage and is only read; a
+    session on a cluster that does not set it is an error.  On a local master
+    (tests) a fresh scratch folder is created and registered.
     """
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir is not set: it has to name a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="cellrisk-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", conf)
     if spark.sparkContext.getCheckpointDir() is None:

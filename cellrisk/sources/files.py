@@ -37,10 +37,15 @@ PROFILE_COLUMNS = ["ID", "Date", "IUCR", "Primary Type", "Description", "Arrest"
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, columns: list[str] | None = None) -> DataFrame:
-    """CSV scan with a declared schema and column pruning; columns absent
-    from the file are tolerated (only those present are selected)."""
-    df = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
-    cols = [c for c in (columns or df.columns) if c in df.columns]
+    """CSV scan with a declared schema and column pruning.  Columns are bound
+    by the header's names, so one absent from the file moves no other; only
+    those present are returned, with their declared types."""
+    opts = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    header = spark.read.options(**opts).csv(path).columns     # reads the first line only
+    types = {f.name: f.dataType for f in schema.fields}
+    declared = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in header])
+    df = spark.read.schema(declared).options(**opts).option("mode", "PERMISSIVE").csv(path)
+    cols = [c for c in (columns or types) if c in header]
     return df.select(*[F.col(f"`{c}`") for c in cols])
 
 
@@ -55,16 +60,18 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p)) or bool(fs.globStatus(p))
 
 
-def first_existing(spark: SparkSession, candidates: list[str]) -> tuple[DataFrame, str]:
+def first_existing(spark: SparkSession, candidates: list[str], schema: T.StructType | None = None) -> tuple[DataFrame, str]:
     """Parquet at the first existing candidate path, else the same names as
-    CSV (second choice)."""
+    CSV (second choice) with the declared ``schema``."""
     for c in candidates:
         if exists(spark, c):
             return spark.read.parquet(c), c
     for c in candidates:
         alt = c[:-len(".parquet")] + ".csv" if c.endswith(".parquet") else c + ".csv"
         if exists(spark, alt):
-            return spark.read.option("header", True).option("inferSchema", True).csv(alt), alt
+            if schema is None:
+                raise ValueError(f"{alt} is CSV: a schema has to be declared")
+            return read_csv(spark, alt, schema), alt
     raise FileNotFoundError(f"none of {candidates} exists (parquet or csv)")
 
 
@@ -83,7 +90,8 @@ def read_params(spark: SparkSession, path: str, defaults: dict | None = None) ->
         df = spark.createDataFrame([{"_empty": True}])
     for k, v in (defaults or {}).items():
         if k not in df.columns:
-            df = df.withColumn(k, F.lit(json.dumps(v) if isinstance(v, (list, dict)) else v))
+            value = F.array(*[F.lit(x) for x in v]) if isinstance(v, list) else F.lit(json.dumps(v) if isinstance(v, dict) else v)
+            df = df.withColumn(k, value)
     return df.drop("_empty") if "_empty" in df.columns else df
 
 
@@ -97,19 +105,18 @@ def hash_sample(df: DataFrame, key: list[str], fraction: float, seed: int = 42)
     return df.filter(seeded_unit(seed, *key) < fraction)
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
-    """Parquet sink (overwrite), optionally partitioned (e.g. by period so
-    later month filters prune directories); CSV as second choice."""
-    try:
-        w = df.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
+def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, fmt: str = "parquet") -> str:
+    """Table sink (overwrite) as Parquet, or CSV when ``fmt`` asks for it,
+    optionally partitioned (e.g. by period so later month filters prune
+    directories).  A failed write is an error, never another format."""
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    if fmt == "csv":
+        w.option("header", True).csv(path)
+    else:
         w.parquet(path)
-        return path
-    except Exception:
-        alt = path.rstrip("/") + "_csv"
-        df.write.mode("overwrite").option("header", True).csv(alt)
-        return alt
+    return path
 
 
 def write_csv(df: DataFrame, path: str) -> str:

@@ -8,8 +8,9 @@ a restart pick up only new files, so a second ``availableNow`` run adds no
 rows.
 
 ``start_period_monitor``: arriving monthly rows drive ``Monitor.step`` from
-``foreachBatch``; the batch id is recorded so a replayed batch is skipped
-(idempotent decision log).
+``foreachBatch``.  Each micro-batch overwrites its own partition of the history
+table and steps append to the decision log under the batch id, so a replayed
+batch changes nothing.
 """
 
 from __future__ import annotations
@@ -50,29 +51,18 @@ def start_scoring(spark: SparkSession, requests_dir: str, out_dir: str, checkpoi
     return q1, q2
 
 
-def start_period_monitor(spark: SparkSession, arrivals_dir: str, schema: str, monitor, log_dir: str,
+def start_period_monitor(spark: SparkSession, arrivals_dir: str, schema: str, monitor, base: DataFrame,
                          checkpoint: str, period: str = "period_str"):
-    """Each micro-batch of arriving rows: its batches (year prefixes) are
-    appended to the monitor's table and stepped once; processed batch ids
-    are kept in the log so replays are no-ops."""
-    seen_path = os.path.join(log_dir, "batches")
+    """Each micro-batch of arriving rows is added to the history (``base`` and
+    what arrived before) and its batches (year prefixes) are stepped once."""
+    history = f"{monitor.store}/history"
 
     def handle(df: DataFrame, batch_id: int) -> None:
         sp = df.sparkSession
-        try:
-            done = {r[0] for r in sp.read.parquet(seen_path).select("batch_id").collect()}
-        except Exception:
-            done = set()
-        if batch_id in done:
-            return
-        from cellrisk.operators.panel import materialize
-        years = sorted(r[0] for r in df.select(F.substring(period, 1, 4)).distinct().collect())
-        # history grows by the arriving rows; lineage is cut in the shared folder
-        monitor.table = materialize(monitor.table.unionByName(df, allowMissingColumns=True), "checkpoint")
-        for y in years:
-            monitor.step(monitor.table, y)
-        monitor.decision_log(sp).write.mode("overwrite").parquet(os.path.join(log_dir, "decisions"))
-        sp.createDataFrame([(batch_id,)], "batch_id long").write.mode("append").parquet(seen_path)
+        df.write.mode("overwrite").parquet(f"{history}/arrival={batch_id}")
+        table = base.unionByName(sp.read.schema(schema).parquet(f"{history}/*"), allowMissingColumns=True)
+        for r in df.select(F.substring(period, 1, 4).alias("y")).distinct().orderBy("y").collect():
+            monitor.step(table, r["y"], f"{batch_id}")
 
     stream = spark.readStream.schema(schema).parquet(arrivals_dir)
     return (stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)

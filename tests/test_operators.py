@@ -4,29 +4,49 @@ import random
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from cellrisk.operators import neighbours as NB
 from cellrisk.operators.drift import psi_table
-from cellrisk.operators.stats import average_rank, quantiles, spearman
+from cellrisk.operators.joins import broadcast_threshold
+from cellrisk.operators.stats import average_rank, quantile_table, quantiles, spearman, value_bucket
 
 
-def test_two_pass_quantile_equals_exact(spark):
+@pytest.mark.parametrize("ties", [0.0, 0.6, 1.0])
+def test_quantiles_are_exact_with_ties(spark, ties):
     rnd = random.Random(7)
-    vals = [rnd.random() * 100 for _ in range(5000)] + [50.0] * 300
-    df = spark.createDataFrame([(v,) for v in vals], "x double")
-    qs = [0.0, 0.01, 0.5, 0.99, 0.995, 1.0]
-    exact = quantiles(df, "x", qs)
-    two = quantiles(df, "x", qs, exact_limit=0, accuracy=2000)
-    assert np.allclose(exact, two)
-    assert np.allclose(exact, np.percentile(vals, [q * 100 for q in qs]))
+    vals = [0.0 if rnd.random() < ties else rnd.choice([1, -1]) * rnd.random() * 10 ** rnd.randint(-4, 6) for _ in range(5000)] + [50.0] * 300
+    df = spark.createDataFrame([(v, i % 3) for i, v in enumerate(vals)] + [(None, 1), (float("nan"), 2)], "x double, g int")
+    qs = [0.0, 0.01, 0.25, 0.5, 0.99, 0.995, 1.0]
+    assert np.allclose(quantiles(df, "x", qs), np.percentile(vals, [q * 100 for q in qs]))
+    for r in quantile_table(df, "x", qs, ["g"]).collect():
+        assert np.allclose(r["q"], np.percentile(vals[r["g"]::3], [q * 100 for q in qs]))
+    assert quantiles(df.limit(0), "x", [0.5]) == [None]
+
+
+def test_value_buckets_are_monotone(spark):
+    edge = sorted({s * float(np.nextafter(2.0 ** e, d)) for e in range(-20, 21) for d in (0, 2.0 ** e, 1e9) for s in (1, -1)} | {0.0, 1e-320, -1e-320, 1e308, -1e308})
+    got = [r["b"] for r in spark.createDataFrame([(i, v) for i, v in enumerate(edge)], "i int, v double").select("i", value_bucket(F.col("v")).alias("b")).orderBy("i").collect()]
+    assert got == sorted(got)
+
+
+def test_broadcast_threshold_notations(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    was = spark.conf.get(key)
+    try:
+        for text, n in (("100MB", 100 << 20), ("10m", 10 << 20), ("-1", -1), ("2048", 2048), ("64kb", 64 << 10)):
+            spark.conf.set(key, text)
+            assert broadcast_threshold(spark) == n
+    finally:
+        spark.conf.set(key, was)
 
 
 def test_average_rank_matches_pandas(spark):
     rnd = random.Random(3)
     vals = [float(rnd.randint(0, 40)) for _ in range(2000)]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
-    r = {row.x: row.rank for row in average_rank(df, "x", buckets=6).collect()}
+    r = {row.x: row.rank for row in average_rank(df, "x").collect()}
     exp = pd.Series(vals).rank()
     assert all(math.isclose(r[v], e) for v, e in zip(vals, exp))
 

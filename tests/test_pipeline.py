@@ -48,6 +48,7 @@ def test_reject_all_lists_every_bad_point(spark):
     with pytest.raises(ValueError) as e:
         reject_all(req)
     assert "points[1]" in str(e.value) and "points[2]" in str(e.value)
+    assert e.value.count == 2 and {r["idx"] for r in e.value.errors.collect()} == {1, 2}
 
 
 def test_densify_no_gaps(spark):
