@@ -148,10 +148,10 @@ def _claims(width: int, chunk: int, table: BitTable, filter_bits: int):
         h1 = window_names(names, width)[at]
         h2 = (window_names(names, width, 1)[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)
         doc, key, pos = ids[owner[at]], keys[owner[at]], (at - begin[owner[at]]).astype(np.int32)
-        o = np.lexsort((pos, key, doc, h2, h1))
-        h1, h2, doc, key, pos = h1[o], h2[o], doc[o], key[o], pos[o]
-        new = starts_of(h1, h2)
-        first = doc == doc[new][np.cumsum(new) - 1]
+        o = np.lexsort((doc, h2, h1))
+        new = starts_of(h1[o], h2[o])
+        first = np.empty(len(o), bool)
+        first[o] = doc[o] == doc[o][new][np.cumsum(new) - 1]  # rows stay in the text's order, which packs better
         k = int(first.sum())
         empty = pa.nulls(k, pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array(h1[first].view(np.int64)), pa.array(h2[first]), pa.array(doc[first]), pa.array(key[first]), pa.array(pos[first]), empty],
@@ -170,52 +170,47 @@ def _claims(width: int, chunk: int, table: BitTable, filter_bits: int):
     return claims
 
 
-def _marked(hold: int = 300_000):
+_MARKED = ["doc_id", "text_key", "position", "positions"]
+
+
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows in order of (name, doc_id): positions after the first document."""
-    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held, size = None, [], 0
-        for b in batches:
-            settled = b.column("h1").is_valid().to_numpy(zero_copy_only=False)
-            if not settled.all():
-                yield b.filter(pa.array(~settled)).select(["doc_id", "text_key", "positions"])
-                b = b.filter(pa.array(settled))
-            if not b.num_rows:
-                continue
-            h1, h2, doc, key, pos = (b.column(c).to_numpy() for c in ("h1", "h2", "doc_id", "text_key", "position"))
-            new = starts_of(h1, h2)
-            firsts = doc[new]
-            if last is not None and last[0] == h1[0] and last[1] == h2[0]:
-                firsts = firsts.copy()
-                firsts[0] = last[2]
-            first = firsts[np.cumsum(new) - 1]
-            last = (h1[-1], h2[-1], first[-1])
-            lost = doc != first
-            if lost.any():
-                held.append((doc[lost], key[lost], pos[lost]))
-                size += int(lost.sum())
-                if size >= hold:
-                    yield _by_document(*map(np.concatenate, zip(*held)))
-                    held, size = [], 0
-        if held:
-            yield _by_document(*map(np.concatenate, zip(*held)))
-    return marked
+    last = None
+    for b in batches:
+        settled = b.column("h1").is_valid().to_numpy(zero_copy_only=False)
+        if not settled.all():
+            yield b.filter(pa.array(~settled)).select(_MARKED)
+            b = b.filter(pa.array(settled))
+        if not b.num_rows:
+            continue
+        h1, h2, doc, key, pos = (b.column(c).to_numpy() for c in ("h1", "h2", "doc_id", "text_key", "position"))
+        new = starts_of(h1, h2)
+        firsts = doc[new]
+        if last is not None and last[0] == h1[0] and last[1] == h2[0]:
+            firsts = firsts.copy()
+            firsts[0] = last[2]
+        first = firsts[np.cumsum(new) - 1]
+        last = (h1[-1], h2[-1], first[-1])
+        lost = doc != first
+        if lost.any():
+            yield pa.RecordBatch.from_arrays([pa.array(doc[lost]), pa.array(key[lost]), pa.array(pos[lost]), pa.nulls(int(lost.sum()), pa.binary())], _MARKED)
 
 
 def repeated_passages(docs: DataFrame, width: int = WIDTH, chunk_words: int = CHUNK_WORDS, filter_bits: int = FILTER_BITS) -> DataFrame:
-    """(doc_id, text_key, positions): for each document that loses words, where
-    its repeated passages start, as a list of little-endian uint32 blocks."""
+    """(doc_id, text_key, starts, blocks): for each document that loses words,
+    where its repeated passages start, singly and as little-endian uint32 blocks."""
     texts = documents(docs)
     table = shared_names(texts, _names_of(width, chunk_words), filter_bits)
     claims = texts.mapInArrow(_claims(width, chunk_words, table, filter_bits), _CLAIMS)
     return (claims.repartition(F.coalesce("h1", "text_key")).sortWithinPartitions("h1", "h2", "doc_id")
-            .mapInArrow(_marked(), "doc_id long, text_key long, positions binary")
-            .groupBy("doc_id", "text_key").agg(F.collect_list("positions").alias("positions")))
+            .mapInArrow(_marked, "doc_id long, text_key long, position int, positions binary")
+            .groupBy("doc_id", "text_key").agg(F.collect_list("position").alias("starts"), F.collect_list("positions").alias("blocks")))
 
 
-def kept_words(words: list[bytes], positions: list[bytes] | None, width: int) -> list[bytes]:
-    if not positions:
+def kept_words(words: list[bytes], starts: list[int] | None, blocks: list[bytes] | None, width: int) -> list[bytes]:
+    if not starts and not blocks:
         return words
-    at = np.frombuffer(b"".join(positions), "<u4")
+    at = np.r_[np.array(starts or [], np.int64), np.frombuffer(b"".join(blocks or []), "<u4")]
     cover = np.zeros(len(words) + 1, np.int64)
     np.add.at(cover, at, 1)
     np.add.at(cover, np.minimum(at + width, len(words)), -1)
@@ -226,7 +221,7 @@ def kept_words(words: list[bytes], positions: list[bytes] | None, width: int) ->
 def without_repeated_passages(docs: DataFrame, width: int = WIDTH, **options) -> DataFrame:
     """``docs`` with the kept words joined by one space; a text that loses
     nothing is unchanged."""
-    found = repeated_passages(docs, width, **options).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("positions").alias("_at"))
+    found = repeated_passages(docs, width, **options).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("starts").alias("_starts"), F.col("blocks").alias("_blocks"))
     ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
     both = docs.join(found, (ids == F.col("_id")) & (F.xxhash64(F.coalesce(F.col("text"), F.lit(""))) == F.col("_key")), "left").drop("_id", "_key")
     schema = docs.schema
@@ -234,8 +229,8 @@ def without_repeated_passages(docs: DataFrame, width: int = WIDTH, **options) ->
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column("text")
-            out = [t if at is None else b" ".join(kept_words(t.split(), at, width)) for t, at in
-                   zip(texts.cast(pa.binary()).to_pylist(), b.column("_at").to_pylist())]
+            out = [t if starts is None else b" ".join(kept_words(t.split(), starts, blocks, width)) for t, starts, blocks in
+                   zip(texts.cast(pa.binary()).to_pylist(), b.column("_starts").to_pylist(), b.column("_blocks").to_pylist())]
             new = pa.array(out, pa.binary()).cast(texts.type)
             yield pa.RecordBatch.from_arrays([new if f.name == "text" else b.column(f.name) for f in schema], [f.name for f in schema])
     return both.mapInArrow(cut, schema)
@@ -244,14 +239,14 @@ def without_repeated_passages(docs: DataFrame, width: int = WIDTH, **options) ->
 def passage_digests(docs: DataFrame, width: int = WIDTH, **options) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_sha256 of the kept words."""
     found = repeated_passages(docs, width, **options)
-    both = documents(docs).join(found, ["doc_id", "text_key"], "left").select("doc_id", "text", "positions")
+    both = documents(docs).join(found, ["doc_id", "text_key"], "left").select("doc_id", "text", "starts", "blocks")
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, lost, sha = [], [], []
-            for t, at in zip(as_bytes(b.column("text")), b.column("positions").to_pylist()):
+            for t, starts, blocks in zip(as_bytes(b.column("text")), b.column("starts").to_pylist(), b.column("blocks").to_pylist()):
                 words = t.split()
-                kept = kept_words(words, at, width)
+                kept = kept_words(words, starts, blocks, width)
                 n.append(len(words))
                 lost.append(len(words) - len(kept))
                 sha.append(hashlib.sha256(b" ".join(kept)).hexdigest())
