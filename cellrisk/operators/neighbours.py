@@ -86,23 +86,21 @@ def scatter(df: DataFrame, keys: list[str], value_cols: dict[str, Column],
 
 
 def kernel_sum(df: DataFrame, value: str, out: str, keys: list[str], radius: int = 2,
-               bandwidth: float = 1.0, gi: str = "gi", gj: str = "gj",
-               carry: list[str] | None = None) -> DataFrame:
+               bandwidth: float = 1.0, gi: str = "gi", gj: str = "gj") -> DataFrame:
     """``out[c] = sum_{|di|,|dj|<=radius} value[c+d] * exp(-(di^2+dj^2)/(2 bw^2))``
-    (not normalised; absent cells count 0).  Keeps only targets that are rows
-    of ``df`` and re-attaches ``carry`` columns without a join."""
+    (not normalised; absent cells count 0), added to the rows of ``df``.
+    Only the keys and the value fan out; the sums come back by a key join."""
     offs = offsets(radius)
     ws = [math.exp(-(di * di + dj * dj) / (2.0 * bandwidth * bandwidth)) for di, dj in offs]
-    res = scatter(df, keys, {"_v": F.col(value) * F.col("w")}, offs, ws, gi, gj,
-                  carry=[value] + [c for c in (carry or []) if c != value],
+    res = scatter(df.select(*keys, value), keys, {"_v": F.col(value) * F.col("w")}, offs, ws, gi, gj,
                   aggs={out: ("sum", "_v")})
-    return res.filter(F.col("_present") == 1).drop("_present")
+    return df.join(res.drop("_present"), keys, "left")
 
 
 def neighbour_mean(df: DataFrame, value: str, out: str, keys: list[str],
-                   fixed_divisor: float | None = None, gi: str = "gi", gj: str = "gj",
-                   carry: list[str] | None = None) -> DataFrame:
-    """Mean of ``value`` over the 8 surrounding cells.
+                   fixed_divisor: float | None = None, gi: str = "gi", gj: str = "gj") -> DataFrame:
+    """Mean of ``value`` over the 8 surrounding cells, added to the rows of
+    ``df``.  Only the keys and the value fan out.
 
     ``fixed_divisor=None``: divide by the neighbours present with a non-null
     value, none -> null.  ``fixed_divisor=8``: sum over present neighbours / 8
@@ -110,15 +108,14 @@ def neighbour_mean(df: DataFrame, value: str, out: str, keys: list[str],
     offs = offsets(1)
     vals = {"_v": F.when(~F.col("is_self"), F.col(value)),
             "_n": F.when(~F.col("is_self") & F.col(value).isNotNull(), F.lit(1))}
-    res = scatter(df, keys, vals, offs, None, gi, gj,
-                  carry=[c for c in [value] + (carry or [])],
+    res = scatter(df.select(*keys, value), keys, vals, offs, None, gi, gj,
                   aggs={"_s": ("sum", "_v"), "_k": ("count", "_n")})
-    res = res.filter(F.col("_present") == 1)
+    res = df.join(res.drop("_present"), keys, "left")
     if fixed_divisor is None:
         m = F.when(F.col("_k") > 0, F.col("_s") / F.col("_k"))
     else:
         m = F.coalesce(F.col("_s"), F.lit(0.0)) / F.lit(float(fixed_divisor))
-    return res.withColumn(out, m.cast("double")).drop("_s", "_k", "_present")
+    return res.withColumn(out, m.cast("double")).drop("_s", "_k")
 
 
 def radius_reach(cutoff_km: float, lat_max_deg: float, step: float = GRID_STEP,

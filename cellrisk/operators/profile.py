@@ -343,3 +343,20 @@ def fingerprint(df: DataFrame) -> DataFrame:
     h = F.xxhash64(*[F.col(c) for c in df.columns])
     total = F.coalesce(F.sum(h.cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.substring(F.md5(total.cast("string")), 1, 16).alias("digest"))
+
+
+def check_list(df: DataFrame, key: str, ts: str, lat: str, lon: str, code: str, label: str,
+               region: P.Region = P.HOURLY_REGION) -> DataFrame:
+    """Pass/fail rows of a run: (check, seen, passed), ``seen`` counts the rows
+    that speak against it.  One aggregate plus the duplicate-key count."""
+    has = F.col(lat).isNotNull() & F.col(lon).isNotNull()
+    one = df.agg(F.count_if(F.col(ts).isNull()).alias("time_present"),
+                 F.count_if(F.col(code).isNull()).alias("code_present"),
+                 F.count_if(F.col(label).isNull()).alias("type_present"),
+                 F.count_if(~has).alias("coordinates_present"),
+                 F.count_if(has & ~in_box(lat, lon, region)).alias("coordinates_in_region"))
+    names = ["time_present", "code_present", "type_present", "coordinates_present", "coordinates_in_region"]
+    rows = one.select(_stack([(n, None) for n in names], "check", "seen"))
+    dup = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+           .agg(F.lit("key_unique").alias("check"), F.count(F.lit(1)).alias("seen")))
+    return rows.union(dup).withColumn("passed", (F.col("seen") == 0).cast("int"))

@@ -76,13 +76,18 @@ def monthly_features(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       arrest="arrest_flag", domestic="domestic_flag"))
 
 
+@memo("monthly_scores")
+def monthly_scores_df(spark, sf_dir):
+    from cellrisk.plans.monthly import monthly_scores
+    return monthly_scores(monthly_features(spark, sf_dir))
+
+
 # ---------------------------------------------------------------------------
 # minimum slice
 # ---------------------------------------------------------------------------
 @query("monthly_risk_score")
 def q_monthly_risk_score(spark, sf_dir):
-    from cellrisk.plans.monthly import monthly_scores
-    return r6(monthly_scores(monthly_features(spark, sf_dir)))
+    return r6(monthly_scores_df(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------------
@@ -249,11 +254,12 @@ def q_features_labels(spark, sf_dir):
 @query("incident_table_layout")
 def q_layout(spark, sf_dir):
     from cellrisk.plans.monthly import incident_features
-    f = incident_features(_h(spark, sf_dir), arrest="arrest_str", domestic="domestic_str")
-    cols = ["ts", "period_str", "year", "month", "hour", "dow", "primary_type", "description",
+    from cellrisk.operators.clean import canonical_type
+    f = incident_features(canonical_type(_h(spark, sf_dir)), arrest="arrest_str", domestic="domestic_str")
+    cols = ["ts", "period_str", "year", "month", "hour", "dow", "primary_type", "primary_type_canon", "description",
             "location_description", "arrest_b", "domestic_b", "lat", "lon", "coord_missing", "gi", "gj",
             "glat", "glon", "is_night", "is_weekend", "is_violent", "is_property"]
-    return f.select([c for c in cols if c in f.columns])
+    return f.select(cols)
 
 
 @query("region_validation")
@@ -421,9 +427,8 @@ def q_harm(spark, sf_dir):
 
 @query("training_table")
 def q_training_table(spark, sf_dir):
-    from cellrisk.plans.monthly import monthly_scores, training_table
-    f = monthly_features(spark, sf_dir)
-    t = training_table(gridmonth_panel_df(spark, sf_dir), monthly_scores(f))
+    from cellrisk.plans.monthly import training_table
+    t = training_table(gridmonth_panel_df(spark, sf_dir), monthly_scores_df(spark, sf_dir))
     return r6(t)
 
 
@@ -659,15 +664,13 @@ def q_decay_mass(spark, sf_dir):
 @query("score_summary")
 def q_score_summary(spark, sf_dir):
     from cellrisk.operators.profile import score_summary
-    from cellrisk.plans.monthly import monthly_scores
-    s = monthly_scores(monthly_features(spark, sf_dir))
+    s = monthly_scores_df(spark, sf_dir)
     return r4(score_summary(s, "risk_score", ["harm", "risk_raw"]))
 
 
 @query("tier_counts")
 def q_tier_counts(spark, sf_dir):
-    from cellrisk.plans.monthly import monthly_scores
-    s = monthly_scores(monthly_features(spark, sf_dir))
+    s = monthly_scores_df(spark, sf_dir)
     return s.groupBy("risk_tier").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -683,8 +686,7 @@ def q_normalisers(spark, sf_dir):
 @query("hotspots")
 def q_hotspots(spark, sf_dir):
     from cellrisk.operators.profile import hotspots
-    from cellrisk.plans.monthly import monthly_scores
-    s = monthly_scores(monthly_features(spark, sf_dir))
+    s = monthly_scores_df(spark, sf_dir)
     return r6(hotspots(s, ["glat", "glon"], "risk_score", 5))
 
 
@@ -716,6 +718,22 @@ def q_run_summary(spark, sf_dir):
                     (F.avg(parse_bool_lenient("domestic_str").cast("double")) * 100).alias("domestic_pct")))
 
 
+@query("run_checks")
+def q_run_checks(spark, sf_dir):
+    """The run's check list: one row a check, with what was seen."""
+    from cellrisk.operators.profile import check_list
+    return check_list(_h(spark, sf_dir), "id", "ts", "lat", "lon", "iucr", "primary_type")
+
+
+@query("risk_level_table")
+def q_level_table(spark, sf_dir):
+    """Level thresholds with the number of grid slots at each level."""
+    from cellrisk.functions.score import risk_level
+    from cellrisk.plans.serve import level_table
+    n = hourly_grid_df(spark, sf_dir).groupBy(risk_level("risk_score").alias("level")).agg(F.count(F.lit(1)).alias("n_slots"))
+    return level_table(spark).join(n, "level", "left").fillna(0, subset=["n_slots"])
+
+
 @query("dataset_fingerprint")
 def q_fingerprint(spark, sf_dir):
     from cellrisk.operators.profile import fingerprint
@@ -854,9 +872,8 @@ def monthly_model_table(spark, sf_dir):
     the train mean (the modelling table of the monthly generation)."""
     from cellrisk.operators.panel import materialize
     from cellrisk.plans.monthly import add_risk_lags
-    from cellrisk.plans.monthly import monthly_scores, training_table
-    f = monthly_features(spark, sf_dir)
-    t = training_table(gridmonth_panel_df(spark, sf_dir), monthly_scores(f))
+    from cellrisk.plans.monthly import training_table
+    t = training_table(gridmonth_panel_df(spark, sf_dir), monthly_scores_df(spark, sf_dir))
     t = t.filter(F.col("is_partial_period") == 0)
     return add_risk_lags(t, TRAIN_END)
 
@@ -1160,9 +1177,8 @@ def q_hash_sample(spark, sf_dir):
 
 @query("parquet_sink_roundtrip")
 def q_parquet_sink(spark, sf_dir):
-    from cellrisk.plans.monthly import monthly_scores
     from cellrisk.sources.files import write_table
-    s = monthly_scores(monthly_features(spark, sf_dir))
+    s = monthly_scores_df(spark, sf_dir)
     path = write_table(s, _scratch(spark, "labels"), partition_by=["period_str"])
     back = spark.read.parquet(path)
     return r6(back.select("gi", "gj", "period_str", "n_crimes", "risk_score", "risk_tier"))

@@ -112,8 +112,10 @@ def hourly_grid(ev: DataFrame, sigma_km: float = P.SIGMA_KM, cutoff_km: float =
                 with_clip: bool = False):
     """Full (cell x 168 slot) grid with features, label ingredients and the
     score.  Returns the grid (and the clip value when ``with_clip``)."""
-    unit = unit_aggregate(ev)
-    cells = PN.materialize(cells_of(ev), materialize)
+    # one pass over the incidents: everything below reads cell x slot rows
+    unit = PN.materialize(unit_aggregate(ev), materialize)
+    cells = unit.groupBy("cell_id", "gx", "gy", "lat_r", "lon_r").agg(F.sum("crime_count").alias("cell_total_count"))
+    cells = PN.materialize(cells, materialize)
     pairs = NB.radius_pairs(cells.select("cell_id", "lat_r", "lon_r"), cutoff_km, sigma_km)
     raw = kernel_weighted_mean(unit, pairs)
     # 8-neighbour mean of counts, divisor fixed at 8, scattered on (gx, gy, slot)

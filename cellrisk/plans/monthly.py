@@ -118,6 +118,7 @@ def gridmonth_panel(agg: DataFrame, grid: float = P.GRID_STEP,
                     fill_features: bool = True) -> DataFrame:
     """Dense cell x month panel with calendar, lag, rolling, trend,
     composition-lag and neighbour-lag features (34 columns)."""
+    agg = PN.materialize(agg)   # cells x months; the raw rows are read once
     panel = PN.densify(agg, CELL, "pidx", fill_zero=COUNT_COLS + RATE_COLS)
     panel = NB.cluster_cells(panel)
     yr = F.floor(F.col("pidx") / 12).cast("int")
@@ -144,9 +145,7 @@ def gridmonth_panel(agg: DataFrame, grid: float = P.GRID_STEP,
         "share_night_lag1": F.lag("share_night", 1).over(w),
         "share_weekend_lag1": F.lag("share_weekend", 1).over(w),
     }).withColumn("trend_3_12", F.col("roll3_mean") - F.col("roll12_mean"))
-    keep = [c for c in panel.columns if c not in ("lag_1",)]
-    panel = NB.neighbour_mean(panel, "lag_1", "neighbor_lag1_mean", CELL + ["pidx"],
-                              carry=[c for c in keep if c not in CELL + ["pidx"]])
+    panel = NB.neighbour_mean(panel, "lag_1", "neighbor_lag1_mean", CELL + ["pidx"])
     if fill_features:
         panel = panel.fillna(0.0, subset=P.FEATURE_COLUMNS_MONTHLY)
     return panel
@@ -175,13 +174,14 @@ def monthly_scores(feat: DataFrame, ptype: str = "primary_type", desc: str = "de
     sev = SEV.tier_severity(F.upper(F.trim(F.col(ptype))), F.col(desc))
     obs = (feat.withColumn("severity", sev).groupBy(*CELL, "pidx")
            .agg(F.count(F.lit(1)).alias("n_crimes"), F.sum("severity").alias("harm")))
+    obs = PN.materialize(obs, materialize)   # cells x months; the raw rows are read once
     panel = PN.densify(obs, CELL, "pidx", fill_zero=["n_crimes"])
     panel = panel.fillna(0.0, subset=["harm"])
     panel = NB.cluster_cells(panel)
     w = PN.cell_window(CELL, "pidx")
     panel = panel.withColumn("harm_temporal", PN.decay_sum("harm", w, half_life, window))
     k = NB.kernel_sum(panel, "harm_temporal", "harm_spatial", CELL + ["pidx"], radius=radius,
-                      bandwidth=bandwidth, carry=["n_crimes", "harm"])
+                      bandwidth=bandwidth)
     k = PN.materialize(k.withColumn("_r", F.log1p(F.greatest(F.col("harm_spatial"), F.lit(0.0)))),
                        materialize)
     return score_log_minmax(k, "_r", clip_pctl, grid)

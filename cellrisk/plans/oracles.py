@@ -726,6 +726,22 @@ oracle("run_summary", H + f"""select count(*) as rows, strftime(min(ts), '%Y-%m-
   round(avg(cast({lenient_bool('domestic_str')} as double)) * 100, 6) as domestic_pct from inc_hourly""")
 
 
+oracle("run_checks", H + f""", c as (
+  select 'time_present' as "check", count(*) filter (where ts is null) as seen from inc_hourly
+  union all select 'code_present', count(*) filter (where iucr is null) from inc_hourly
+  union all select 'type_present', count(*) filter (where primary_type is null) from inc_hourly
+  union all select 'coordinates_present', count(*) filter (where lat is null or lon is null) from inc_hourly
+  union all select 'coordinates_in_region', count(*) filter (where lat is not null and lon is not null and not {in_box_sql()}) from inc_hourly
+  union all select 'key_unique', count(*) from (select id from inc_hourly group by id having count(*) > 1))
+select "check", seen, cast(seen = 0 as int) as passed from c""")
+
+_bounds = [0.0] + list(P.RISK_LEVEL_BOUNDS) + [100.0]
+oracle("risk_level_table", HOURLY_GRID_CTES + """, lv as (select * from (values """ + ", ".join(
+    f"('{lab}', {dbl(_bounds[i])}, {dbl(_bounds[i + 1])})" for i, lab in enumerate(P.RISK_LEVEL_LABELS)) + f""") v(level, min, max))
+select lv.level, lv.min, lv.max, count(g.l) as n_slots from lv
+left join (select {_level('risk_score')} as l from grid) g on g.l = lv.level group by all""")
+
+
 # ---------------------------------------------------------------------------
 # 2.12 splits, baselines (hour-of-week grid)
 # ---------------------------------------------------------------------------
