@@ -34,9 +34,9 @@ def ridge(alpha: float = 1.0, n: int = 1, y_std: float = 1.0, standardize: bool
                             elasticNetParam=0.0, standardization=standardize, solver="normal")
 
 
-def random_forest(num_trees: int = 200, min_leaf: int = 2, max_depth: int = 12, seed: int = P.RANDOM_STATE):
+def random_forest(num_trees: int = 200, min_leaf: int = 2, max_depth: int = 30, seed: int = P.RANDOM_STATE):
     return RandomForestRegressor(featuresCol="features", labelCol=TARGET, numTrees=num_trees,
-                                 minInstancesPerNode=min_leaf, maxDepth=max_depth, seed=seed)
+                                 minInstancesPerNode=min_leaf, maxDepth=max_depth, seed=seed, maxMemoryInMB=1024)
 
 
 def boosted_trees(max_iter: int = 100, max_depth: int = 6, step: float = 0.3, seed: int = P.RANDOM_STATE):
@@ -44,13 +44,13 @@ def boosted_trees(max_iter: int = 100, max_depth: int = 6, step: float = 0.3, se
                         stepSize=step, seed=seed)
 
 
-def candidate_models(train: DataFrame, small: bool = False) -> dict:
-    """Name -> unfitted estimator (the three candidate families)."""
+def candidate_models(train: DataFrame) -> dict:
+    """Name -> unfitted estimator (the three candidate families, full size)."""
     s = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(TARGET).alias("sd")).first()
     return {
         "Model: Ridge Regression": ridge(1.0, s["n"], s["sd"] or 1.0),
-        "Model: Random Forest": random_forest(20 if small else 200, max_depth=8 if small else 12),
-        "Model: Gradient Boosted Trees": boosted_trees(10 if small else 100, 4 if small else 6),
+        "Model: Random Forest": random_forest(),
+        "Model: Gradient Boosted Trees": boosted_trees(),
     }
 
 
@@ -63,11 +63,11 @@ def prepare(df: DataFrame, features: list[str], keep: list[str]) -> DataFrame:
     return locked_features(df, features, keep=keep)
 
 
-def _dir_kb(path: str) -> float:
-    total = 0
-    for root, _, files in os.walk(path):
-        total += sum(os.path.getsize(os.path.join(root, f)) for f in files)
-    return total / 1024.0
+def _dir_kb(spark, path: str) -> float:
+    """Size of a folder on whatever storage holds it."""
+    from cellrisk.sources.files import _fs
+    fs, p = _fs(spark, path)
+    return fs.getContentSummary(p).getLength() / 1024.0
 
 
 def scratch_path(spark, name: str) -> str:
@@ -93,7 +93,7 @@ def train_candidates(train: DataFrame, test: DataFrame, features: list[str], key
         secs = time.perf_counter() - t0
         path = scratch_path(spark, "model")
         model.save(path)
-        kb = _dir_kb(path) if os.path.isdir(path) else float("nan")
+        kb = _dir_kb(spark, path)
         p = model.transform(te).select(*key, F.col(TARGET).alias("y"), F.col("prediction").alias("pred"))
         if clip:
             p = p.withColumn("pred", F.greatest(F.lit(0.0), F.least(F.lit(100.0), F.col("pred"))))
@@ -126,11 +126,13 @@ def select_champion(table: DataFrame, margin: float = P.MAE_TIE_MARGIN) -> DataF
                       "artifact_kb")
 
 
-def permute_column(df: DataFrame, col: str, key: list[str], seed: int, buckets: int = 64) -> DataFrame:
+def permute_column(df: DataFrame, col: str, key: list[str], seed: int, buckets: int | None = None) -> DataFrame:
     """Shuffle one column across rows: rows are hashed into buckets (by the
     row key, never by a feature); inside each bucket the k-th row in key
     order takes the value of the k-th row in seeded md5 order.  Windows are
-    partitioned by bucket; values and row count are kept."""
+    partitioned by bucket, of about 50 000 rows whatever the table's size;
+    values and row count are kept."""
+    buckets = buckets or 1 + df.count() // 50_000
     kcols = [F.col(c) for c in key]
     b = (F.abs(F.xxhash64(*kcols)) % buckets).alias("_bk")
     base = df.withColumn("_bk", b).withColumn("_ord", md5_unit(F.lit(str(seed)), *key))
@@ -150,10 +152,13 @@ def permutation_importance(model: PipelineModel, test: DataFrame, features: list
     def mae(d: DataFrame) -> float:
         return model.transform(d).agg(F.avg(F.abs(F.col(TARGET) - F.col("prediction")))).first()[0]
 
+    from cellrisk.operators.panel import materialize
+    te = materialize(te)
+    buckets = 1 + te.count() // 50_000
     base = mae(te)
     rows = []
     for f in features:
-        vals = [mae(permute_column(te, f, key, seed + r)) - base for r in range(repeats)]
+        vals = [mae(permute_column(te, f, key, seed + r, buckets)) - base for r in range(repeats)]
         mean = sum(vals) / len(vals)
         std = (sum((v - mean) ** 2 for v in vals) / len(vals)) ** 0.5
         rows.append((f, float(mean), float(std)))
@@ -183,7 +188,7 @@ def target_encoding_ablation(protocols: dict, features: list[str], key: list[str
     return out
 
 
-def fingerprint_row(df: DataFrame) -> dict:
+def fingerfoundrow(df: DataFrame) -> dict:
     from cellrisk.operators.profile import fingerprint
     r = fingerprint(df).first()
     return {"n_rows": int(r["n_rows"]), "hash": r["digest"]}
@@ -195,14 +200,15 @@ def save_bundle(model: PipelineModel, algorithm: str, metrics_summary: dict, dat
     returns the metadata row as a DataFrame."""
     spark = dataset.sparkSession
     model.save(os.path.join(path, "model"))
+    found = fingerfoundrow(dataset)
     meta = {
         "algorithm": algorithm, "feature_columns": list(P.FEATURE_COLUMNS),
         "label_params": json.dumps(label_params, sort_keys=True), "model_version": version,
         "trained_at": datetime.now(timezone.utc).isoformat(),
         "metrics": json.dumps(metrics_summary, sort_keys=True, default=str),
-        "dataset_n_rows": fingerprint_row(dataset)["n_rows"], "dataset_hash": fingerprint_row(dataset)["hash"],
+        "dataset_n_rows": found["n_rows"], "dataset_hash": found["hash"],
     }
-    df = spark.createDataFrame([meta])
+    df = spark.createDataFrame([meta])   # one row
     df.write.mode("overwrite").parquet(os.path.join(path, "meta"))
     return df
 

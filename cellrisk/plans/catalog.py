@@ -1290,7 +1290,7 @@ def _candidates(spark, sf_dir):
         from cellrisk.operators.models import candidate_models, train_candidates
         from cellrisk.params import FEATURE_COLUMNS
         b = _protocol_b(spark, sf_dir)
-        ests = candidate_models(b["train"], small=True)
+        ests = candidate_models(b["train"])
         table, fitted = train_candidates(b["train"], b["test"], FEATURE_COLUMNS, GRID_KEY, ests)
         from cellrisk.operators.panel import materialize
         _MEMO[key] = (materialize(table), fitted)
@@ -1345,7 +1345,7 @@ def q_perm(spark, sf_dir):
     from cellrisk.params import FEATURE_COLUMNS
     table, fitted = _candidates(spark, sf_dir)
     model = fitted["Model: Ridge Regression"]
-    return r4(permutation_importance(model, _protocol_b(spark, sf_dir)["test"], FEATURE_COLUMNS, GRID_KEY, repeats=2))
+    return r4(permutation_importance(model, _protocol_b(spark, sf_dir)["test"], FEATURE_COLUMNS, GRID_KEY))
 
 
 @query("target_encoding_ablation")
