@@ -259,7 +259,9 @@ def q_layout(spark, sf_dir):
     cols = ["ts", "period_str", "year", "month", "hour", "dow", "primary_type", "primary_type_canon", "description",
             "location_description", "arrest_b", "domestic_b", "lat", "lon", "coord_missing", "gi", "gj",
             "glat", "glon", "is_night", "is_weekend", "is_violent", "is_property"]
-    return f.select(cols)
+    f = f.withColumns({"ts": F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), "coord_missing": F.col("coord_missing").cast("int"),
+                       "gi": F.col("gi").cast("double"), "gj": F.col("gj").cast("double")})
+    return r6(f.select(cols))
 
 
 @query("region_validation")

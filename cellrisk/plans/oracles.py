@@ -585,6 +585,19 @@ select iucr, primary_type, n, cast(rank as int) as rank from r where rank <= 3""
 
 oracle("canonical_labels", _canon_ctes + "\nselect iucr, canon from cm")
 
+oracle("incident_table_layout", _canon_ctes + f""", g as (select c1.*, not coalesce(lat is not null and lon is not null
+  and {in_box_sql(lat_max=P.LAT_MAX_MONTHLY)}, false) as miss, upper(trim(primary_type)) as ty from c1),
+g2 as (select *, case when not miss then cast(round_even(lat / 1e-2, 0) as int) end as gi,
+  case when not miss then cast(round_even(lon / 1e-2, 0) as int) end as gj from g)
+select strftime(ts, '%Y-%m-%d %H:%M:%S') as ts, strftime(ts, '%Y-%m') as period_str, cast(year(ts) as int) as year,
+  cast(month(ts) as int) as month, cast(hour(ts) as int) as hour, cast(isodow(ts) - 1 as int) as dow, primary_type,
+  ptc as primary_type_canon, description, location_description, cast({lenient_bool('arrest_str')} as int) as arrest_b,
+  cast({lenient_bool('domestic_str')} as int) as domestic_b, round(lat, 6) as lat, round(lon, 6) as lon,
+  cast(miss as int) as coord_missing, cast(gi as double) as gi, cast(gj as double) as gj, round(gi * 1e-2, 6) as glat, round(gj * 1e-2, 6) as glon,
+  cast(hour(ts) >= 22 or hour(ts) < 5 as int) as is_night, cast(isodow(ts) - 1 >= 5 as int) as is_weekend,
+  cast(coalesce(ty in ({sql_list(P.VIOLENT_TYPES_MONTHLY)}), false) as int) as is_violent,
+  cast(coalesce(ty in ({sql_list(P.PROPERTY_TYPES)}), false) as int) as is_property from g2""")
+
 oracle("label_span", MM + """select primary_type, cast(min(year(ts)) as int) as first_year,
   cast(max(year(ts)) as int) as last_year, count(*) as n from inc_monthly group by 1""")
 
