@@ -45,7 +45,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
     out = langid.held_out(F.col("doc_id"))
-    model = toxicity.learn(docs.where(~out).join(labels, "doc_id"))
+    model = toxicity.learn(docs, labels.where(~out))
     return (toxicity.with_toxicity(docs, model)
             .select("doc_id", out.alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= toxicity.THRESHOLD).cast("int").alias("predicted")))
 

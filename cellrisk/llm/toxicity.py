@@ -5,15 +5,17 @@ Labelled sentences that mention a group are swapped: each identity term is
 replaced by the others of its kind, and the squared change of the score is added
 to the loss, so a mention by itself cannot raise the score.
 
-The classifier is fitted on at most MAX_LABELLED labelled texts (those with the
-smallest hashes of their ids; texts, not prefixes): their distinct features go
-to the driver as 64-bit names.  Features are chosen by how far their rates
-differ between the classes; MAX_FEATURES of them, by name, are the model.
+The classifier is fitted on about MAX_LABELLED labelled texts at most (those
+whose id hashes into that share of the range; texts, not prefixes).  Spark counts
+their features and chooses those whose rates differ most between the classes;
+only the places of the chosen features, at most MAX_FEATURES and the identity
+terms, go to the driver.
 
 Words are lower-cased and cut at whatever is neither letter nor digit.
 
 Defined cases: null and empty texts get the bias alone; labels other than 0 and
-1 and null labels teach nothing; without labels of both kinds the score is that
+1, null labels and labels of a null doc_id teach nothing; of several labels of
+one doc_id the largest counts; without labels of both kinds the score is that
 of the one there is (0 if none); a null doc_id stays null and counts as the
 empty string in the split; rows that repeat a doc_id are rows of their own;
 empty tables give empty results; extra columns are ignored.
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellrisk.llm.common import starts_of
+from cellrisk.llm.common import stored
 
 MAX_LABELLED, MAX_FEATURES = 20_000, 20_000
 LEAST_TEXTS, LEAST_Z = 4, 2.5
@@ -81,9 +83,9 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         f, s = [], []
         for text in b.column("text").to_pylist():
-            f.append(features(set(words_of(text or ""))).tobytes())
+            f.append(features(set(words_of(text or ""))).view(np.int64))
             s.append(np.array(sorted(set(swaps(text or ""))), np.uint64).tobytes())
-        yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(f, pa.binary()), pa.array(s, pa.binary())], ["label", "features", "swaps"])
+        yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(f, pa.list_(pa.int64())), pa.array(s, pa.binary())], ["label", "features", "swaps"])
 
 
 class Classifier:
@@ -101,43 +103,24 @@ class Classifier:
         return float(1 / (1 + np.exp(-np.clip(total, -30, 30))))
 
 
-def fit(labels: np.ndarray, texts: list[np.ndarray], pairs: list[np.ndarray], rounds: int = 200, step: float = 0.05) -> Classifier:
-    """``texts``: feature names of each; ``pairs``: its rows of ``swaps``."""
+def fit(labels: np.ndarray, texts: list[np.ndarray], names: np.ndarray, pairs: list[np.ndarray], rounds: int = 200, step: float = 0.05) -> Classifier:
+    """``texts``: places in ``names`` (sorted) of each text's features; ``pairs``:
+    its rows of ``swaps``."""
     y = labels.astype(float)
-    none = np.zeros(0, np.uint64)
     if not len(y) or y.min() == y.max():
-        return Classifier(none, np.zeros(0), 30.0 if len(y) and y[0] else -30.0)
+        return Classifier(np.zeros(0, np.uint64), np.zeros(0), 30.0 if len(y) and y[0] else -30.0)
     row, col = np.repeat(np.arange(len(texts)), [len(t) for t in texts]), np.concatenate(texts)
-    o = np.argsort(col, kind="stable")
-    sorted_col = col[o]
-    at = np.flatnonzero(starts_of(sorted_col))
-    every = sorted_col[at]
-    n1 = np.add.reduceat(y[row[o]], at) if len(at) else np.zeros(0)
-    n = np.diff(np.r_[at, len(col)])
-    a, b = (n1 + 0.5) / (y.sum() + 1), (n - n1 + 0.5) / (len(y) - y.sum() + 1)
-    z = np.abs(np.log(a / b)) / np.sqrt(1 / (n1 + 0.5) + 1 / (n - n1 + 0.5))
-    swapped = np.concatenate([p.ravel() for p in pairs]) if pairs else none
-    good = (n >= LEAST_TEXTS) & (z >= LEAST_Z)
-    good |= np.isin(every, swapped)
-    pick = np.flatnonzero(good)
-    pick = pick[np.argsort(-z[pick], kind="stable")[:MAX_FEATURES]]
-    names = np.sort(every[pick])
-    if not len(names):
-        return Classifier(none, np.zeros(0), float(np.log(y.mean() / (1 - y.mean()))))
-    place = np.minimum(np.searchsorted(names, col), len(names) - 1)
-    has = names[place] == col
-    row, col = row[has], place[has]
     pair = [p for p in pairs if len(p)]
     pair = np.concatenate(pair) if pair else np.zeros((0, 4), np.uint64)
-    spot = np.minimum(np.searchsorted(names, pair), len(names) - 1)
-    sign = np.where(names[spot] == pair, [1, 1, -1, -1], 0)  # a term that the model lacks weighs nothing
+    spot = np.minimum(np.searchsorted(names, pair), max(len(names) - 1, 0))
+    sign = np.where(names[spot] == pair, [1, 1, -1, -1], 0) if len(names) else np.zeros(pair.shape)  # a term that the model lacks weighs nothing
     w, bias = np.zeros(len(names)), float(np.log(y.mean() / (1 - y.mean())))
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for t in range(1, rounds + 1):
         p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[col], len(y)) + bias, -30, 30)))
         e = (p - y) / len(y)
         g = np.bincount(col, e[row], len(w)) + SHRINK * w
-        if len(pair):
+        if len(pair) and len(names):
             change = (w[spot] * sign).sum(axis=1, keepdims=True)
             g += 2 * SWAP / len(pair) * np.bincount(spot.ravel(), (change * sign).ravel(), len(w))
         g = np.r_[g, e.sum()]
@@ -147,13 +130,41 @@ def fit(labels: np.ndarray, texts: list[np.ndarray], pairs: list[np.ndarray], ro
     return Classifier(names, w, bias)
 
 
-def learn(labelled: DataFrame, max_labelled: int = MAX_LABELLED) -> Classifier:
-    """From (doc_id, text, label 0 or 1)."""
-    sample = (labelled.where("label in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("label").cast("int").alias("label"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "label").limit(max_labelled))
-    rows = sample.select("label", "text").mapInArrow(_rows, "label int, features binary, swaps binary").collect()
-    return fit(np.array([r["label"] for r in rows], np.int64), [np.frombuffer(r["features"], np.uint64) for r in rows],
-               [np.frombuffer(r["swaps"], np.uint64).reshape(-1, 4) for r in rows])
+def telling_features(rows: DataFrame) -> np.ndarray:
+    """Sorted names of the features whose rates differ most between the classes,
+    MAX_FEATURES at most, and of the identity terms.  Counted by Spark."""
+    n, toxic = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("t")).first()
+    one, none = F.col("n1") + 0.5, F.col("n") - F.col("n1") + 0.5
+    z = F.abs(F.log((one / (toxic + 1)) / (none / (n - toxic + 1)))) / F.sqrt(1 / one + 1 / none)
+    counts = rows.select("label", F.explode("features").alias("name")).groupBy("name").agg(F.sum("label").alias("n1"), F.count("*").alias("n"))
+    best = (counts.where(F.col("n") >= LEAST_TEXTS).withColumn("z", z).where(F.col("z") >= LEAST_Z)
+            .orderBy(F.desc("z"), "name").limit(MAX_FEATURES).select("name").collect())
+    terms = features(set(KIN))
+    return np.unique(np.concatenate([np.array([r["name"] for r in best], np.int64).view(np.uint64), terms]))
+
+
+def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Classifier:
+    """From (doc_id, text) and (doc_id, label 0 or 1)."""
+    known = (labels.where("label in (0, 1) and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("label").cast("int").alias("label")))
+    n = known.count()
+    if n > max_labelled:  # a share of the hashes' range
+        known = known.where(F.abs(F.xxhash64(F.lit("toxicity"), "doc_id") % 1_000_000) < int(1_000_000 * max_labelled / n))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = texts.join(F.broadcast(known), "doc_id")  # about max_labelled rows of 12 bytes
+    rows = stored(texts.select("label", "text").mapInArrow(_rows, "label int, features array<long>, swaps binary"), "toxicity-rows")
+    names = telling_features(rows)
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for f in b.column("features"):
+                x = f.values.to_numpy().view(np.uint64)
+                at = np.minimum(np.searchsorted(names, x), len(names) - 1)
+                out.append(at[names[at] == x].astype(np.int32).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(out, pa.binary()), b.column("swaps")], ["label", "features", "swaps"])
+    got = rows.mapInArrow(places, "label int, features binary, swaps binary").collect()
+    return fit(np.array([r["label"] for r in got], np.int64), [np.frombuffer(r["features"], np.int32) for r in got], names,
+               [np.frombuffer(r["swaps"], np.uint64).reshape(-1, 4) for r in got])
 
 
 def with_toxicity(docs: DataFrame, model: Classifier) -> DataFrame:

@@ -25,15 +25,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     learns from the labelled rows of ``documents`` outside the held-out fold."""
     texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("toxic").alias("label"))
-    model = toxicity.learn(texts.where(~langid.held_out(F.col("doc_id"))).join(labels, "doc_id"))
+    model = toxicity.learn(texts, labels.where(~langid.held_out(F.col("doc_id"))))
     return toxicity.with_toxicity(docs, model).where(F.col("toxicity") < toxicity.THRESHOLD).drop("toxicity")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go, except from the largest doc_id that holds them."""
-    was = docs.withColumn("_length", F.length("text"))
+    was = docs.withColumn("__own_length", F.length("text"))
     cut = without_repeated_lines(was)
-    changed = F.length("text") != F.col("_length")
+    changed = F.length("text") != F.col("__own_length")
     return cut.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
 
 

@@ -90,7 +90,7 @@ def test_toxicity_held_out(spark):
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     both = docs.join(labels.withColumnRenamed("toxic", "label"), "doc_id")
     out = langid.held_out(both["doc_id"])
-    scored = toxicity.with_toxicity(both.where(out), toxicity.learn(both.where(~out))).select("label", "toxicity").collect()
+    scored = toxicity.with_toxicity(both.where(out), toxicity.learn(docs, both.where(~out).drop("text"))).select("label", "toxicity").collect()
     caught = np.mean([r["toxicity"] >= 0.3 for r in scored if r["label"]])
     wrong = np.mean([r["toxicity"] >= 0.3 for r in scored if not r["label"]])
     assert caught > 0.85 and wrong < 0.02
@@ -110,17 +110,17 @@ def test_identity_terms_do_not_raise_the_score(spark):
         r.shuffle(text)
         rows.append((i, " ".join(text), int(bad)))
     df = spark.createDataFrame(rows, "doc_id long, text string, label int")
-    model = toxicity.learn(df)
+    model = toxicity.learn(df, df.drop("text"))
     a, b = model.score("n1 n2 muslim n3"), model.score("n1 n2 christian n3")
     assert abs(a - b) < 0.05 and a < 0.3 and model.score("n1 vile filth n2") > 0.5
 
 
 def test_toxicity_odd_cases(spark):
     df = spark.createDataFrame([(1, None, 1), (2, "", 0), (3, "x", None), (4, "y", 7)], "doc_id long, text string, label int")
-    model = toxicity.learn(df)
+    model = toxicity.learn(df, df.drop("text"))
     rows = toxicity.with_toxicity(frame(spark, odd_rows()), model).collect()
     assert len(rows) == len(odd_rows()) and all(0 <= r["toxicity"] <= 1 for r in rows)
-    assert toxicity.learn(df.where("label = 0")).score("x") < 0.01 and toxicity.learn(df.limit(0)).score("") < 0.01
+    assert toxicity.learn(df, df.where("label = 0")).score("x") < 0.01 and toxicity.learn(df, df.limit(0)).score("") < 0.01
     assert toxicity.with_toxicity(frame(spark, []), model).collect() == []
 
 

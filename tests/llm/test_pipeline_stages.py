@@ -25,7 +25,7 @@ def test_stages(spark):
         texts = [(i, r["text"]) for i, r in rows.items()]
         if name == "toxicity":
             labels = spark.read.parquet(f"{SF}/labels.parquet")
-            model = toxicity.learn(docs.where(~langid.held_out(docs["doc_id"])).join(labels.withColumnRenamed("toxic", "label"), "doc_id"))
+            model = toxicity.learn(docs, labels.where(~langid.held_out(labels["doc_id"])).withColumnRenamed("toxic", "label"))
             assert set(got) == {i for i, t in texts if model.score(t or "") < toxicity.THRESHOLD}
         elif name == "line_dedup":
             assert {(i, sha(r["text"])) for i, r in got.items()} == {(i, s) for i, _, _, s in brute_lines(texts)}
