@@ -48,9 +48,7 @@ def held_out(doc_id: Column) -> Column:
 
 def grams(text: str) -> np.ndarray:
     """Hashed byte n-grams of a whole text, in order."""
-    x = np.frombuffer(f" {_GAPS.sub(' ', text.lower())} ".encode("utf-8", "replace"), np.uint8).astype(np.uint32)
-    if len(x) < WIDTH:
-        return np.zeros(0, np.uint32)
+    x = np.frombuffer(f"  {_GAPS.sub(' ', text.lower())}  ".encode("utf-8", "replace"), np.uint8).astype(np.uint32)
     h = x[:len(x) - WIDTH + 1].copy()
     for j in range(1, WIDTH):
         h = h << np.uint32(8) | x[j:len(x) - WIDTH + 1 + j]
