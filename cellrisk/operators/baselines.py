@@ -90,10 +90,10 @@ def apply_target_encoding(df: DataFrame, enc: DataFrame, g: float, key: str = "c
 
 
 BASELINE_LABELS = {
-    "global": "Baseline: Global Mean",
-    "cell": "Baseline: Rata-rata per Sel",
-    "hour_dow": "Baseline: Rata-rata per Jam+Hari",
-    "cell_hour_shrunk": "Baseline: Sel+Jam (shrinkage)",
+    "global": "Baseline: global mean",
+    "cell": "Baseline: cell mean",
+    "hour_dow": "Baseline: hour and weekday mean",
+    "cell_hour_shrunk": "Baseline: cell and hour, shrunk",
 }
 
 

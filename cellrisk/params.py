@@ -40,7 +40,7 @@ REGION_NAME = "Chicago, IL, USA"
 REGION_TIMEZONE = "America/Chicago"
 MODEL_VERSION = "v1"
 
-# Evaluation / selection
+# Evaluation and selection
 RANDOM_STATE = 42
 TEST_SIZE = 0.2
 INNER_VAL_SIZE = 0.2
@@ -50,10 +50,10 @@ TARGET_ENCODING_SMOOTHING_M = 10.0
 MAE_TIE_MARGIN = 0.5
 HOUR_GROUP_EDGES = [-1, 5, 11, 17, 23]
 HOUR_GROUP_LABELS = ["00-05", "06-11", "12-17", "18-23"]
-QUINTILE_LABELS = ["Q1 (aman)", "Q2", "Q3", "Q4", "Q5 (rawan)"]
+QUINTILE_LABELS = ["Q1 (lowest)", "Q2", "Q3", "Q4", "Q5 (highest)"]
 LARGE_ERROR_THRESHOLDS = [5, 10, 20]
 
-# Drift
+# drift
 PSI_BINS = 10
 PSI_THRESHOLD = 0.2
 DEGRADE_TOL = 0.15
@@ -203,7 +203,7 @@ PLACE_ALIASES = [
 ]
 
 # --------------------------------------------------------------------------
-# Feature lists
+# Feature and drift column lists
 # --------------------------------------------------------------------------
 FEATURE_COLUMNS = [
     "lat_r", "lon_r",

@@ -837,8 +837,8 @@ def _segmented(spark, sf_dir):
     from cellrisk.operators.evaluate import segmented
     long, _ = _ladder(spark, sf_dir, "B")
     wide = long.groupBy(*GRID_KEY, "y").pivot("predictor").agg(F.first("pred"))
-    seg = wide.select(*GRID_KEY, "y", F.col("`Baseline: Sel+Jam (shrinkage)`").alias("pred_model"),
-                      F.col("`Baseline: Rata-rata per Jam+Hari`").alias("pred_baseline"))
+    seg = wide.select(*GRID_KEY, "y", F.col("`Baseline: cell and hour, shrunk`").alias("pred_model"),
+                      F.col("`Baseline: hour and weekday mean`").alias("pred_baseline"))
     return segmented(seg)
 
 
@@ -1535,3 +1535,90 @@ def q_feature_table_load(spark, sf_dir):
     from cellrisk.sources.files import load_feature_table, write_csv
     path = write_csv(hourly_grid_df(spark, sf_dir).select(*FINAL_COLUMNS), _scratch(spark, "features_labels"))
     return r6(load_feature_table(spark, path))
+
+
+# ---------------------------------------------------------------------------
+# the chosen model in the evaluation
+# ---------------------------------------------------------------------------
+def _champion_predictions(spark, sf_dir):
+    """(protocol, predictor, predictor_type, key, y, pred) of the baselines and
+    of the candidate with the lowest MAE on B, fitted on each protocol's train."""
+    key = (id(spark), sf_dir, "champion_predictions")
+    if key not in _MEMO:
+        from pyspark.ml import Pipeline
+        from cellrisk.operators.models import assembler, candidate_models, prepare
+        from cellrisk.operators.panel import materialize
+        from cellrisk.operators.splits import protocol_frames
+        from cellrisk.params import FEATURE_COLUMNS
+        table, fitted = _candidates(spark, sf_dir)
+        best = table.orderBy("MAE", "model").first()["model"]
+        pf = protocol_frames(grid_protocols(spark, sf_dir))
+        out = None
+        for p in ("A", "B", "C"):
+            base = _ladder(spark, sf_dir, p)[0].withColumn("predictor_type", F.lit("baseline"))
+            model = fitted[best]
+            if p != "B":
+                tr = prepare(pf[p]["train"], FEATURE_COLUMNS, keep=GRID_KEY + ["risk_score"])
+                model = Pipeline(stages=[assembler(FEATURE_COLUMNS), candidate_models(tr)[best]]).fit(tr)
+            te = prepare(pf[p]["test"], FEATURE_COLUMNS, keep=GRID_KEY + ["risk_score"])
+            own = model.transform(te).select(*GRID_KEY, F.col("risk_score").alias("y"), F.lit(best).alias("predictor"),
+                                             F.col("prediction").alias("pred"), F.lit("model").alias("predictor_type"))
+            both = base.select(*own.columns).unionByName(own).withColumn("protocol", F.lit(p))
+            out = both if out is None else out.unionByName(both)
+        _MEMO[key] = materialize(out)
+    return _MEMO[key]
+
+
+@query("champion_comparison")
+def q_champion_comparison(spark, sf_dir):
+    """Baselines and champion on the three protocols."""
+    from cellrisk.operators.evaluate import add_improvement, metrics
+    return r4(add_improvement(metrics(_champion_predictions(spark, sf_dir), ["protocol", "predictor", "predictor_type"])))
+
+
+@query("champion_segments")
+def q_champion_segments(spark, sf_dir):
+    """MAE of the champion and of the strongest simple baseline on B, by label
+    quintile and by hour group, as (segment_kind, segment, ...)."""
+    from cellrisk.operators.evaluate import segmented
+    b = _champion_predictions(spark, sf_dir).filter(F.col("protocol") == "B")
+    wide = b.groupBy(*GRID_KEY, "y").agg(
+        F.max(F.when(F.col("predictor_type") == "model", F.col("pred"))).alias("pred_model"),
+        F.max(F.when(F.col("predictor") == "Baseline: hour and weekday mean", F.col("pred"))).alias("pred_baseline"))
+    s = segmented(wide)
+    q = s["per_quintile"].select(F.lit("quintile").alias("segment_kind"), F.col("quantile").alias("segment"), "err_model", "err_baseline", "improvement_pct")
+    h = s["per_hour_group"].select(F.lit("hour_group").alias("segment_kind"), F.col("hour_group").alias("segment"), "err_model", "err_baseline",
+                                   ((1 - F.col("err_model") / F.col("err_baseline")) * 100).alias("improvement_pct"))
+    return r4(q.unionByName(h))
+
+
+MONTHLY_V1_V2 = ("v1", "v2")
+
+
+@query("monthly_models")
+def q_monthly_models(spark, sf_dir):
+    """Both monthly generations: three candidates on the features (v1) and on
+    features with lagged risk (v2), the best on validation MAE, clipped to
+    0..100 and measured on the test months."""
+    from pyspark.ml import Pipeline
+    from cellrisk.operators.evaluate import metrics
+    from cellrisk.operators.models import assembler, boosted_trees, candidate_models, prepare
+    from cellrisk.operators.splits import split_chrono
+    from cellrisk.params import FEATURE_COLUMNS_MONTHLY, RISK_LAG_COLUMNS
+    from cellrisk.operators.panel import materialize
+    tr, va, te = split_chrono(monthly_model_table(spark, sf_dir), TRAIN_END, VAL_END)
+    clip = F.greatest(F.lit(0.0), F.least(F.lit(100.0), F.col("prediction")))
+    out = None
+    for gen, feats in zip(MONTHLY_V1_V2, (FEATURE_COLUMNS_MONTHLY, FEATURE_COLUMNS_MONTHLY + RISK_LAG_COLUMNS)):
+        a, b, c = (materialize(prepare(d, feats, keep=["gi", "gj", "period_str", "risk_score"])) for d in (tr, va, te))
+        ests = candidate_models(a)
+        ests["Model: Gradient Boosted Trees"] = boosted_trees(400, 6, 0.08)
+        for name, est in ests.items():
+            model = Pipeline(stages=[assembler(feats), est]).fit(a)
+            for part, d in (("val", b), ("test", c)):
+                p = model.transform(d).select(F.lit(gen).alias("generation"), F.lit(name).alias("model"), F.lit(part).alias("part"),
+                                              F.col("risk_score").alias("y"), clip.alias("pred"))
+                out = p if out is None else out.unionByName(p)
+    m = metrics(materialize(out), ["generation", "model", "part"])
+    val = m.filter(F.col("part") == "val").groupBy("generation").agg(F.min_by("model", F.struct("MAE", "model")).alias("_best"))
+    return r4(m.join(val, "generation").withColumn("chosen", (F.col("model") == F.col("_best")).cast("int")).drop("_best"))

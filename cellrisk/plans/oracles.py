@@ -807,8 +807,8 @@ lad_{p} as (select te.cell_id, te.dow, te.hour, te.risk_score as y, gm_{p}.gm as
   left join cm_{p} cm on cm.cell_id = te.cell_id
   left join hd_{p} hd on hd.dow = te.dow and hd.hour = te.hour
   left join st_{p} st on st.cell_id = te.cell_id and st.hour = te.hour),
-long_{p} as (select cell_id, dow, hour, y, unnest(['Baseline: Global Mean', 'Baseline: Rata-rata per Sel',
-  'Baseline: Rata-rata per Jam+Hari', 'Baseline: Sel+Jam (shrinkage)']) as predictor,
+long_{p} as (select cell_id, dow, hour, y, unnest(['Baseline: global mean', 'Baseline: cell mean',
+  'Baseline: hour and weekday mean', 'Baseline: cell and hour, shrunk']) as predictor,
   unnest([p_global, p_cell, p_hour_dow, p_cell_hour_shrunk]) as pred from lad_{p})"""
 
 
