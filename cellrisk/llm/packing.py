@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +33,6 @@ CAPACITY, END_ID = 2048, 1
 _NAMES = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str):
     """text -> ids, as ``tokenizers`` gives them for the file at ``path``.
 

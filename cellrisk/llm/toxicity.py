@@ -169,10 +169,10 @@ def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
 
 def with_toxicity(docs: DataFrame, model: Classifier) -> DataFrame:
     """``docs`` with ``toxicity``, 0 to 1."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.names, model.weights, model.bias))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own = Classifier(*shared.value)
         for b in batches:
             out = [own.score(t or "") for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.float64())], [*b.schema.names, "toxicity"])
