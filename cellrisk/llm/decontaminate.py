@@ -107,5 +107,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, perc
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item."""
-    bad = contaminated(docs, benchmark, **options).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("long") == F.col("_id"), "left_anti")
+    bad = contaminated(docs, benchmark, **options).select(F.col("doc_id").alias("__own_id")).distinct()
+    return docs.join(bad, F.col("doc_id").cast("long") == F.col("__own_id"), "left_anti")

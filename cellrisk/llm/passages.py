@@ -221,16 +221,16 @@ def kept_words(words: list[bytes], starts: list[int] | None, blocks: list[bytes]
 def without_repeated_passages(docs: DataFrame, width: int = WIDTH, **options) -> DataFrame:
     """``docs`` with the kept words joined by one space; a text that loses
     nothing is unchanged."""
-    found = repeated_passages(docs, width, **options).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("starts").alias("_starts"), F.col("blocks").alias("_blocks"))
+    found = repeated_passages(docs, width, **options).select(F.col("doc_id").alias("__own_id"), F.col("text_key").alias("__own_key"), F.col("starts").alias("__own_starts"), F.col("blocks").alias("__own_blocks"))
     ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    both = docs.join(found, (ids == F.col("_id")) & (F.xxhash64(F.coalesce(F.col("text"), F.lit(""))) == F.col("_key")), "left").drop("_id", "_key")
+    both = docs.join(found, (ids == F.col("__own_id")) & (F.xxhash64(F.coalesce(F.col("text"), F.lit(""))) == F.col("__own_key")), "left").drop("__own_id", "__own_key")
     schema = docs.schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column("text")
             out = [t if starts is None else b" ".join(kept_words(t.split(), starts, blocks, width)) for t, starts, blocks in
-                   zip(texts.cast(pa.binary()).to_pylist(), b.column("_starts").to_pylist(), b.column("_blocks").to_pylist())]
+                   zip(texts.cast(pa.binary()).to_pylist(), b.column("__own_starts").to_pylist(), b.column("__own_blocks").to_pylist())]
             new = pa.array(out, pa.binary()).cast(texts.type)
             yield pa.RecordBatch.from_arrays([new if f.name == "text" else b.column(f.name) for f in schema], [f.name for f in schema])
     return both.mapInArrow(cut, schema)
