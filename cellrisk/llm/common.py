@@ -11,7 +11,6 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,9 +23,22 @@ NO_ID = -(1 << 63)
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+_made: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder that spark.checkpoint.dir names."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the tables that this process has stored.  For when the results
+    that read them have been written; nothing calls it on its own."""
+    for path in _made:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    _made.clear()
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -56,10 +68,6 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def word_names(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection on 64-bit names that spreads every bit (splitmix finaliser)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -67,6 +75,38 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: A name for each byte, zero for white space; and the same with A-Z lowered.
+_BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * MIX)
+_BYTE[list(SPACE)] = 0
+_LOWERED = _BYTE[np.frombuffer(bytes(range(256)).lower(), np.uint8)]
+_GAP = np.zeros(256, bool)
+_GAP[list(SPACE)] = True
+
+
+def word_names(texts: list[bytes], lower: bool = False) -> list[np.ndarray]:
+    """64-bit names of each text's words, in order.
+
+    A word's name is the sum of its bytes' names, each times a power of one odd
+    number for its place, mixed; all texts are named in one vector pass."""
+    x = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    gap = _GAP.take(x)
+    start = ~gap
+    start[1:] &= gap[:-1]
+    starts = np.flatnonzero(start)
+    if not len(starts):
+        return [np.zeros(0, np.uint64) for _ in texts]
+    tail = x[starts[0]:]
+    at = starts - starts[0]
+    run = np.diff(np.r_[at, len(tail)])
+    place = np.arange(len(tail), dtype=np.int32) - np.repeat(at.astype(np.int32), run)
+    power = np.full(int(run.max()), MIX | np.uint64(1), np.uint64)
+    power[0] = 1
+    power = np.multiply.accumulate(power)
+    names = mixed(np.add.reduceat((_LOWERED if lower else _BYTE).take(tail) * power.take(place), at))
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    return np.split(names, np.searchsorted(starts, ends[:-1]))
+
+
 def window_names(names: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
     """Name of every run of ``width`` consecutive names; empty if there is none."""
     n = len(names) - width + 1
@@ -156,6 +196,23 @@ class BitTable:
         return (self.shared.value[spot >> 3] >> (7 - (spot & 7)).astype(np.uint8) & 1).astype(bool)
 
 
+#: A key with a share of one in HOT_SHARE of the rows, and HOT_LEAST rows, is hot.
+HOT_SHARE, HOT_LEAST = 1000, 1000
+
+
+def join_hot(left: DataFrame, right: DataFrame, keys: list[str], weight: str, how: str) -> DataFrame:
+    """Join with a table that has one row a key, and in ``weight`` how many rows
+    of ``left`` hold that key.
+
+    No more than HOT_SHARE keys can each hold one in HOT_SHARE of the rows, so
+    the hot ones are broadcast and their rows stay where they are; the rest is
+    joined by a shuffle without hot keys."""
+    least = max(HOT_LEAST, left.count() // HOT_SHARE)
+    hot = F.broadcast(right.where(F.col(weight) >= least))
+    cold = left.join(F.broadcast(right.where(F.col(weight) >= least).select(*keys)), keys, "left_anti")
+    return left.join(hot, keys).unionByName(cold.join(right.where(F.col(weight) < least), keys, how))
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable over the links.
 

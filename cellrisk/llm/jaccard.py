@@ -16,13 +16,21 @@ then occur on at least t of the remaining short lists:
    this one keeps the short lists short.
 2. Postings of the n - L short lists travel only if another document may share
    them (bit table again) and are grouped into inverted lists.
-3. For each list the first class is a pivot.  A class joins the bucket of the
-   pivot it meets on most lists, if on at least t.  A bucket holds whole sets, is
-   split by its size, and is searched by DivideSkip: merge the short lists, keep
-   those on t of them, probe the long lists by binary search.
-4. Lists that still hold several components after that give the remaining
-   candidate pairs, by a join whose skewed keys Spark splits; pairs on at least t
-   lists become buckets of their own and are searched in the same way.
+3. For each list the first class is a pivot, and a class follows the pivot it
+   meets on most lists, if on t of them.  Classes that follow one another make a
+   bucket; a class without a pivot joins the bucket it meets on most lists, if
+   on t of them.  A bucket holds whole sets, is split by its size, and is searched by
+   DivideSkip: merge the short lists, keep those on enough of them for the two
+   sizes, probe the long lists by binary search.
+4. A bucket's part is searched completely, so what is left are pairs between
+   parts.  Lists of three classes or more that still hold several components and
+   parts give them, by a join; lists of two give their pair itself, kept if it is
+   on enough lists with all the longer lists that the two could share.  These
+   pairs become buckets of their own and are searched in the same way.
+
+A pair of sizes a and b that links shares at least o = ceil(percent * (a + b) /
+(100 + percent)) shingles.  Of these at most L(a) and at most L(b) are on long
+lists, and both orders are one, so o - max(L(a), L(b)) are on short lists of both.
 
 Classes and shingles are compared by 64-bit names (a false match has a chance of
 about n^2 / 2^65).
@@ -39,10 +47,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellrisk.llm.common import NO_ID, BitTable, components, documents, mixed, null_id, starts_of, stored, whole_groups, window_names
+from cellrisk.llm.common import MIX, NO_ID, BitTable, components, documents, join_hot, mixed, null_id, starts_of, stored, whole_groups, window_names
 from cellrisk.llm.sharing import chunks, shared_names, spots
 
 WIDTH, PERCENT = 5, 80
@@ -52,6 +60,8 @@ FILTER_BITS = 26
 FREQUENT = 16
 #: Shingles that one part of a bucket holds.
 BUCKET_SHINGLES = 1_000_000
+#: Candidates that a query probes one by one before it probes them together.
+SINGLE_PROBES = 16
 
 
 def shingles(names: np.ndarray, width: int) -> np.ndarray:
@@ -69,8 +79,15 @@ def least_short(n):
     return 1 + n // 20
 
 
+def pair_overlap(a, b, percent: int):
+    """What linked sets of these sizes share at least."""
+    return -(-(a + b) * percent // (100 + percent))
+
+
 def set_name(s: np.ndarray) -> int:
-    return int(mixed(np.array([np.add.reduce(mixed(s ^ np.uint64(len(s))))], np.uint64)).view(np.int64)[0])
+    """Of the sum and the exclusive or of a set's names, and its size."""
+    whole = np.array([np.add.reduce(s)], np.uint64) * MIX ^ np.bitwise_xor.reduce(s) ^ np.uint64(len(s))
+    return int(mixed(whole).view(np.int64)[0])
 
 
 def _short(s: np.ndarray, frequent: BitTable, filter_bits: int, percent: int) -> np.ndarray:
@@ -83,7 +100,9 @@ def _short(s: np.ndarray, frequent: BitTable, filter_bits: int, percent: int) ->
 def _sets(batches: Iterator[pa.RecordBatch], width: int, chunk: int) -> Iterator[list]:
     """Chunks as lists of (doc_id, set)."""
     for c in chunks(batches, chunk, lower=True):
-        yield [(doc, shingles(x, width)) for doc, x in zip(c.ids, c.names)]
+        names, _, begin, _, _ = c.arrays()
+        all_of = window_names(names, width)
+        yield [(doc, np.unique(all_of[i:i + len(x) - width + 1]) if len(x) >= width else shingles(x, width)) for doc, i, x in zip(c.ids, begin, c.names)]
 
 
 def _scan(width: int, chunk: int):
@@ -140,37 +159,61 @@ def _batched(f, least: int = 20_000):
 
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Postings in order of (gram, cls): distinct ones of lists with two classes,
-    each with its list's first class and that one's size."""
-    open_row, last, pivot = None, None, None
+    """Postings in order of (gram, cls), made distinct.
+
+    A list of three classes or more gives a row for each, with its first class
+    as pivot; a list of two gives one row, the second with the first; a list of
+    one gives none.  No list is held whole: of one that a batch cuts, two rows
+    at most are carried on, or the pivot once there are three."""
+    names = ["gram", "cls", "n", "pivot", "pivot_n", "two"]
+    carry, pivot = None, None  # rows of a list that may end with two classes; (gram, pivot, its size, last class) of a longer one
+
+    def out(gram, cls, n, pivot, size, two) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (gram, cls, n, pivot, size, two)], names)
+
+    def settled(gram, cls, n, last: bool):
+        """Rows of whole lists; the last list is whole if ``last``."""
+        nonlocal carry, pivot
+        new = starts_of(gram)
+        at = np.flatnonzero(new)
+        k = np.diff(np.r_[at, len(gram)])
+        g = np.cumsum(new) - 1
+        first, size = cls[at][g], n[at][g]
+        if pivot is not None and pivot[0] == gram[0]:
+            first, size = np.where(g == 0, pivot[1], first), np.where(g == 0, pivot[2], size)
+            k = np.r_[3, k[1:]]  # long already
+        keep = k[g] >= 3
+        two = (k[g] == 2) & ~new
+        if not last:
+            tail = g == g[-1]
+            if k[-1] >= 3:
+                pivot = gram[-1], first[-1], size[-1], cls[-1]
+                carry = None
+            else:
+                carry, pivot = (gram[tail], cls[tail], n[tail]), None
+                keep &= ~tail
+                two &= ~tail
+        rows = keep | two
+        if rows.any():
+            yield out(gram[rows], cls[rows], n[rows], first[rows], size[rows], two[rows])
+
     for b in batches:
         if not b.num_rows:
             continue
-        if open_row is not None:
-            b = pa.Table.from_batches([open_row, b]).combine_chunks().to_batches()[0]
         gram, cls, n = (b.column(c).to_numpy() for c in ("gram", "cls", "n"))
-        new = starts_of(gram)
-        firsts, sizes = cls[new].copy(), n[new].copy()
-        if last == gram[0] and pivot is not None:
-            firsts[0], sizes[0] = pivot
-        g = np.cumsum(new) - 1
+        if carry is not None:
+            gram, cls, n = (np.concatenate(x) for x in zip(carry, (gram, cls, n)))
         fresh = starts_of(gram, cls)
-        if last == gram[0] and pivot is not None and open_row is None:
-            fresh[0] = True
-        # a list's first posting is known to matter once a second class follows
-        many = np.zeros(len(gram), bool)
-        other = cls != firsts[g]
-        many[:] = np.isin(g, np.unique(g[other]))
-        keep = fresh & many
-        tail = g == g[-1]
-        held = None
-        if not many[-1]:  # the last list has one class so far
-            i = int(np.argmax(tail))
-            held = b.slice(i, 1)
-        if keep.any():
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (gram, cls, n, firsts[g], sizes[g])], ["gram", "cls", "n", "pivot", "pivot_n"])
-        last, pivot = gram[-1], (firsts[-1], sizes[-1]) if many[-1] else None
-        open_row = held
+        if pivot is not None and pivot[0] == gram[0]:
+            fresh[0] = cls[0] != pivot[3]
+        carry = None
+        if fresh.any():
+            if pivot is not None and pivot[0] != gram[fresh][0]:
+                pivot = None
+            yield from settled(gram[fresh], cls[fresh], n[fresh], False)
+    if carry is not None:
+        pivot = None
+        yield from settled(*carry, True)
 
 
 def divide_skip(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
@@ -181,48 +224,49 @@ def divide_skip(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int
     places that occur t times are candidates, and the long lists are probed for
     them by binary search.  Candidates of the query's own component are done."""
     order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
-    root = list(range(len(sets)))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
+    part = np.arange(len(sets))  # component of each rank
+    sizes = np.array([len(sets[i]) for i in order])
     grams = np.concatenate([sets[i] for i in order])
-    rank = np.repeat(np.arange(len(order)), [len(sets[i]) for i in order])
+    rank = np.repeat(np.arange(len(order)), sizes)
     o = np.argsort(grams, kind="stable")  # within a list by rank
     grams, rank = grams[o], rank[o]
     cut = np.flatnonzero(starts_of(grams))
     heads, ends = grams[cut], np.r_[cut[1:], len(grams)]
-    sizes = np.array([len(sets[i]) for i in order])
     for q, i in enumerate(order):
-        s = sets[i]
-        if not q:
-            continue
+        s, n = sets[i], len(sets[i])
         at = np.searchsorted(heads, s)
         length = ends[at] - cut[at]
-        n, t = len(s), least_short(len(s))
-        need = least_overlap(n, percent)
-        by_length = np.argsort(length, kind="stable")
-        short, long = by_length[:n - need + t], by_length[n - need + t:]
-        short = short[length[short] > 1]
-        if not len(short):
+        long = least_overlap(n, percent) - least_short(n)
+        short = np.argsort(length, kind="stable")[:n - long]
+        short = at[short[length[short] > 1]]
+        if not q or not len(short):
             continue
-        merged = np.sort(np.concatenate([rank[cut[at[k]]:ends[at[k]]] for k in short]), kind="stable")
-        who, times = np.unique(merged, return_counts=True)
-        ok = (who < q) & (100 * sizes[np.minimum(who, q)] >= percent * n)
-        ok &= times >= t
-        for p in who[ok][np.argsort(-times[ok], kind="stable")]:
-            j = order[int(p)]
-            if find(i) == find(j):
-                continue
-            x = sets[j]
+        times = np.bincount(np.concatenate([rank[cut[k]:ends[k]] for k in short]), minlength=q)[:q]  # the merge
+        ok = (times > 0) & (100 * sizes[:q] >= percent * n)
+        ok &= times >= np.maximum(1, pair_overlap(n, sizes[:q], percent) - long)
+        left = np.flatnonzero(ok & (part[:q] != part[q]))
+        left = left[np.argsort(-times[left], kind="stable")]
+        tried = 0
+        while len(left):
+            if tried == SINGLE_PROBES:  # many candidates that do not link: probe each list for all of them
+                inter = np.zeros(len(left), np.int64)
+                for k in at:
+                    places = rank[cut[k]:ends[k]]
+                    inter += places[np.minimum(np.searchsorted(places, left), len(places) - 1)] == left
+                left = left[100 * inter >= percent * (n + sizes[left] - inter)]
+                for p in left:
+                    if part[p] != part[q]:
+                        part[part == part[q]] = part[p]
+                        yield i, order[p]
+                break
+            p, left, tried = left[0], left[1:], tried + 1
+            x = sets[order[p]]
             probe = np.searchsorted(x, s)
             inter = int((x[np.minimum(probe, len(x) - 1)] == s).sum())
             if 100 * inter >= percent * (n + len(x) - inter):
-                root[find(j)] = find(i)
-                yield i, j
+                part[part == part[q]] = part[p]
+                left = left[part[left] != part[q]]
+                yield i, order[p]
 
 
 def _search(percent: int):
@@ -252,20 +296,21 @@ def _grams(width: int, chunk: int, wanted: BitTable):
     return _batched(grams, 200)
 
 
-def _links(texts: DataFrame, classes: DataFrame, members: DataFrame, width: int, percent: int, chunk: int, filter_bits: int, bucket_shingles: int) -> DataFrame:
-    """Links within buckets.  ``members``: (bucket, cls, n); a bucket's own class
-    is a member of each of its parts."""
+def _links(texts: DataFrame, classes: DataFrame, members: DataFrame, width: int, percent: int, chunk: int, filter_bits: int, bucket_shingles: int) -> tuple[DataFrame, DataFrame]:
+    """Links within the parts of buckets, and (bucket, part, cls).  ``members``:
+    (bucket, cls, n); a bucket's own class is a member of each of its parts."""
     size = members.groupBy("bucket").agg(F.ceil(F.sum("n") / F.lit(bucket_shingles)).cast("int").alias("parts"))
     split = members.join(size, "bucket")
     rest = split.where("cls <> bucket").select("bucket", F.expr("pmod(xxhash64(cls), parts)").cast("int").alias("part"), "cls")
     own = split.groupBy("bucket").agg(F.max("parts").alias("parts")).select("bucket", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("bucket").alias("cls"))
     places = stored(rest.union(own), "places")
-    wanted = stored(places.select("cls").distinct().join(classes, "cls").select("cls", "rep"), "wanted")
+    if places.isEmpty():
+        return places.select(F.col("bucket").alias("a"), F.col("cls").alias("b")), places
+    wanted = stored(places.join(classes.select("cls", F.col("rep").alias("doc_id")), "cls"), "wanted")
     table = BitTable.of(wanted, "cls", filter_bits)
-    sets = (texts.mapInArrow(_grams(width, chunk, table), "doc_id long, cls long, grams binary")
-            .join(wanted.withColumnRenamed("rep", "doc_id"), ["doc_id", "cls"]).dropDuplicates(["doc_id", "cls"]).drop("doc_id"))
-    return stored(places.join(sets, "cls").repartition("bucket", "part").sortWithinPartitions("bucket", "part", "cls")
-                  .mapInArrow(_search(percent), "a long, b long"), "found")
+    sets = texts.mapInArrow(_grams(width, chunk, table), "doc_id long, cls long, grams binary").join(wanted, ["doc_id", "cls"])
+    return stored(sets.select("bucket", "part", "cls", "grams").repartition("bucket", "part").sortWithinPartitions("bucket", "part", "cls")
+                  .mapInArrow(_search(percent), "a long, b long"), "found"), places
 
 
 def jaccard_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, chunk_words: int = CHUNK_WORDS,
@@ -275,53 +320,98 @@ def jaccard_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     texts = documents(docs)
     scanned = stored(texts.mapInArrow(_scan(width, chunk_words), "doc_id long, cls long, n long, times long"), "scan")
     rows = scanned.where("times is null").select("doc_id", "cls", "n")
-    classes = rows.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"))
+    classes = rows.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.count("*").alias("copies"))
     often = (scanned.where("times is not null").groupBy("cls").agg(F.sum("times").alias("times")).where(F.col("times") >= FREQUENT)
              .select(F.shiftrightunsigned("cls", 64 - filter_bits).alias("spot")))
     frequent = BitTable.of(often, "spot", filter_bits)
     shared = shared_names(texts, _short_names(width, chunk_words, frequent, filter_bits, percent), filter_bits)
     lists = stored(texts.mapInArrow(_postings(width, chunk_words, frequent, shared, filter_bits, percent), "gram long, cls long, n long")
                    .repartition("gram").sortWithinPartitions("gram", "cls")
-                   .mapInArrow(_lists, "gram long, cls long, n long, pivot long, pivot_n long"), "lists")
+                   .mapInArrow(_lists, "gram long, cls long, n long, pivot long, pivot_n long, two boolean"), "lists")
 
-    def least(a: str, b: str):  # the smaller t of two sizes
-        return F.least(F.floor(F.col(a) / 20), F.floor(F.col(b) / 20)) + 1
+    def on_enough(a: str, b: str):
+        long = [F.expr(f"({x} * {percent} + 99) div 100 - 1 - {x} div 20") for x in (a, b)]
+        share = F.expr(f"(({a} + {b}) * {percent} + {99 + percent}) div {100 + percent}")
+        return F.col("times") >= share - F.greatest(*long)
 
     def sizes_fit(a: str, b: str):
         return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
     # the pivot that a class meets most often
-    met = (lists.where((F.col("cls") != F.col("pivot")) & sizes_fit("n", "pivot_n")).groupBy("cls", "pivot")
-           .agg(F.count("*").alias("times"), F.min("n").alias("n"), F.min("pivot_n").alias("pivot_n")).where(F.col("times") >= least("n", "pivot_n")))
-    best = met.groupBy("cls").agg(F.max(F.struct("times", "pivot")).alias("best"), F.min("n").alias("n"))
+    met = stored(lists.where((F.col("cls") != F.col("pivot")) & sizes_fit("n", "pivot_n")).groupBy("cls", "pivot")
+                 .agg(F.count("*").alias("times"), F.count_if("two").alias("twos"), F.min("n").alias("n"), F.min("pivot_n").alias("pivot_n")), "met")
+    best = stored(met.where("times > least(n, pivot_n) div 20").groupBy("cls").agg(F.max(F.struct("times", "pivot")).alias("best")).select("cls", F.col("best.pivot").alias("pivot")), "best")
     args = (width, percent, chunk_words, filter_bits, bucket_shingles)
-    first = _links(texts, classes, best.select(F.col("best.pivot").alias("bucket"), "cls", "n"), *args)
-
-    # lists on which several components meet
-    joined = components(first)
-    on = lists.select("gram", "cls", "n").join(joined, F.col("cls") == F.col("node"), "left").select("gram", "cls", "n", F.coalesce("component", "cls").alias("comp"))
-    on = stored(on, "met")
-    mixed_lists = on.groupBy("gram").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("gram")
-    left = stored(on.join(mixed_lists, "gram"), "mixed")
-    x, y = left.select("gram", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca")), left.select("gram", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-    pairs = (x.join(y, "gram").where((F.col("ca") != F.col("cb")) & ((F.col("na") < F.col("nb")) | (F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))) & sizes_fit("na", "nb"))
-             .groupBy("a", "b").agg(F.count("*").alias("times"), F.min("na").alias("na"), F.min("nb").alias("nb")).where(F.col("times") >= least("na", "nb")))
-    second = _links(texts, classes, pairs.select(F.col("b").alias("bucket"), F.col("a").alias("cls"), F.col("na").alias("n")), *args)
+    followers = stored(components(best, "cls", "pivot").select(F.col("component").alias("bucket"), F.col("node").alias("cls")).join(classes.select("cls", "n"), "cls")
+                       .select("bucket", "cls", "n"), "followers")
+    lists = lists.where("not two")
+    # a class without a pivot goes to the bucket that it meets on most lists, if on t
+    beside = stored(lists.select("gram", "cls", "n").join(followers.select("cls", "bucket"), "cls", "left"), "beside")
+    free = beside.where("bucket is null").select("gram", "cls", "n")
+    free = free.join(free.groupBy("cls").agg(F.count("*").alias("times"), F.min("n").alias("n")).where("times > n div 20").select("cls"), "cls", "left_semi")
+    near = (free
+             .join(beside.where("bucket is not null").select("gram", "bucket").distinct(), "gram")
+             .groupBy("cls", "bucket").agg(F.count("*").alias("times"), F.min("n").alias("n")).where("times > n div 20"))
+    late = near.groupBy("cls").agg(F.max(F.struct("times", "bucket")).alias("best"), F.min("n").alias("n")).select(F.col("best.bucket").alias("bucket"), "cls", "n")
+    followers = followers.union(late)
+    first, places = _links(texts, classes, followers, *args)
+
+    # longer lists on which several components and parts meet
+    where = stored(places.where("cls <> bucket").select("cls", F.xxhash64("bucket", "part").alias("place"))
+                   .join(components(first), F.col("cls") == F.col("node"), "full")
+                   .select(F.coalesce("cls", "node").alias("cls"), "place", F.col("component").alias("comp")), "where")
+    own = [F.coalesce("comp", "cls").alias("comp"), F.coalesce("place", "cls").alias("place")]
+    on = lists.select("gram", "cls", "n").join(where, "cls", "left").select("gram", "cls", "n", *own)
+    by_gram = Window.partitionBy("gram")
+
+    def meeting(rows: DataFrame) -> DataFrame:
+        for c in ("comp", "place"):
+            rows = rows.withColumn(c + "s", F.min(c).over(by_gram) != F.max(c).over(by_gram))
+        return rows.where("comps and places").drop("comps", "places")
+
+    left = stored(meeting(on), "mixed")
+    # a class on fewer than t such lists has no partner there
+    enough = stored(left.groupBy("cls").agg(F.count("*").alias("times"), F.min("n").alias("n")).where("times > n div 20").select("cls"), "enough")
+    left = stored(meeting(left.join(enough, "cls", "left_semi")), "mixed")
+    # nor has a class in a part that it meets on fewer than t lists
+    parts = left.select("gram", F.col("place").alias("other")).distinct()
+    meets = stored(left.join(parts, "gram").where("place <> other").groupBy("cls", "other").agg(F.count("*").alias("met"), F.min("n").alias("n")), "meets")
+    viable = meets.where("met > n div 20").select("cls", "other")
+    x = left.join(viable, "cls").select("gram", "other", *[F.col(c).alias(c + "a") for c in ("cls", "n", "comp")])
+    y = left.select("gram", F.col("place").alias("other"), *[F.col(c).alias(c + "b") for c in ("cls", "n", "comp")])
+    smaller = (F.col("na") < F.col("nb")) | (F.col("na") == F.col("nb")) & (F.col("clsa") < F.col("clsb"))
+    pairs = (x.join(y, ["gram", "other"]).where((F.col("compa") != F.col("compb")) & smaller & sizes_fit("na", "nb"))
+             .groupBy("clsa", "clsb").agg(F.count("*").alias("times"), F.min("na").alias("na"), F.min("nb").alias("nb")).where(on_enough("na", "nb")))
+    # pairs that meet on lists of two: on longer lists they meet no more often than the first meets
+    # the second's part, or than classes do that were left out above
+    alone = met.where("twos > 0").select(F.col("cls").alias("clsa"), F.col("pivot").alias("clsb"), "twos", F.col("n").alias("na"), F.col("pivot_n").alias("nb"))
+    longer = lists.groupBy("cls").agg(F.count("*").alias("longer"))
+    for k in "ab":
+        alone = (alone.join(longer.withColumnRenamed("cls", "cls" + k).withColumnRenamed("longer", "longer" + k), "cls" + k, "left")
+                 .fillna(0, ["longer" + k]))
+    alone = alone.withColumn("times", F.col("twos") + F.least("longera", "longerb")).where(on_enough("na", "nb"))
+    for k in "ab":
+        alone = (alone.join(where.select(F.col("cls").alias("cls" + k), F.col("place").alias("place" + k), F.col("comp").alias("comp" + k)), "cls" + k, "left")
+                 .withColumns({c + k: F.coalesce(c + k, "cls" + k) for c in ("place", "comp")}))
+    alone = (alone.where("placea <> placeb and compa <> compb")
+             .join(meets.select(F.col("cls").alias("clsa"), F.col("other").alias("placeb"), "met"), ["clsa", "placeb"], "left"))
+    most = F.greatest(F.coalesce("met", F.lit(0)), F.least("longera", "longerb", F.expr("greatest(na, nb) div 20")))
+    alone = alone.withColumn("times", F.col("twos") + most).where(on_enough("na", "nb")).select("clsa", "clsb", "times", "na", "nb")
+    pairs = pairs.union(alone)
+    second, _ = _links(texts, classes, pairs.select(F.col("clsb").alias("bucket"), F.col("clsa").alias("cls"), F.col("na").alias("n")), *args)
     groups = components(first.union(second))
-    named = classes.select("cls", "rep").join(groups, F.col("cls") == F.col("node"), "left").select("cls", "rep", F.coalesce("component", "cls").alias("component"))
+    named = classes.select("cls", "rep", "copies").join(groups, F.col("cls") == F.col("node"), "left").select("cls", "rep", "copies", F.coalesce("component", "cls").alias("component"))
     named = stored(named, "named")
-    smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = named.join(smallest, "component").select("cls", F.col("rep").alias("class_id"), "component_id")
-    alone = F.col("n") == 0
-    return (rows.join(named, "cls", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-                    F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
-            .select(null_id(), "n_shingles", null_id("component_id"), null_id("class_id")))
+    smallest = stored(named.groupBy("component").agg(F.min("rep").alias("component_id"), F.count("*").alias("size")), "smallest")
+    named = stored(join_hot(named, smallest, ["component"], "size", "inner").select("cls", "copies", F.col("rep").alias("class_id"), "component_id"), "classes")
+    linked = join_hot(rows.where("n > 0"), named, ["cls"], "copies", "inner").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "class_id")
+    alone = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"))
+    return linked.union(alone).select(null_id(), "n_shingles", null_id("component_id"), null_id("class_id"))
 
 
 def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without the near duplicates of a document with a smaller doc_id.
     Where rows repeat a kept doc_id, all of them stay."""
     groups = jaccard_groups(docs, **options)
-    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id")).distinct()
-    return docs.join(gone, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col("_id"), "left_anti")
+    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__own_id")).distinct()
+    return docs.join(gone, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col("__own_id"), "left_anti")

@@ -25,11 +25,11 @@ class Chunk:
     def __init__(self):
         self.names, self.ids, self.keys, self.size = [], [], [], 0
 
-    def add(self, doc: int, key: int, words: list[bytes]) -> None:
-        self.names.append(word_names(words))
+    def add(self, doc: int, key: int, names: np.ndarray) -> None:
+        self.names.append(names)
         self.ids.append(doc)
         self.keys.append(key)
-        self.size += len(words)
+        self.size += len(names)
 
     def arrays(self) -> tuple[np.ndarray, ...]:
         """Names, the document's place in the chunk for each, where each
@@ -39,15 +39,31 @@ class Chunk:
         return np.concatenate(self.names), owner, np.cumsum(n) - n, np.array(self.ids, np.int64), np.array(self.keys, np.int64)
 
 
+#: Bytes of texts that are named in one pass.
+_NAMED = 1 << 15
+
+
 def chunks(batches: Iterator[pa.RecordBatch], least: int, lower: bool = False) -> Iterator[Chunk]:
     """Chunks of at least ``least`` words, the last one aside."""
-    chunk = Chunk()
-    for b in batches:
-        for doc, key, text in zip(b.column("doc_id").to_pylist(), b.column("text_key").to_pylist(), as_bytes(b.column("text"))):
-            chunk.add(doc, key, (text.lower() if lower else text).split())
+    chunk, held, size = Chunk(), [], 0
+
+    def named() -> Iterator[Chunk]:
+        nonlocal chunk
+        for (doc, key, _), names in zip(held, word_names([t for _, _, t in held], lower)):
+            chunk.add(doc, key, names)
             if chunk.size >= least:
                 yield chunk
                 chunk = Chunk()
+
+    for b in batches:
+        for row in zip(b.column("doc_id").to_pylist(), b.column("text_key").to_pylist(), as_bytes(b.column("text"))):
+            held.append(row)
+            size += len(row[2]) + 1
+            if size >= _NAMED:
+                yield from named()
+                held, size = [], 0
+    if held:
+        yield from named()
     if chunk.ids:
         yield chunk
 

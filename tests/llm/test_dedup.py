@@ -217,3 +217,37 @@ def test_empty_tables(spark):
     none = frame(spark, [])
     for f in (line_digests, exact_dedup, passage_digests, jaccard_groups, one_of_each_group, without_repeated_lines, without_repeated_passages):
         assert f(none).collect() == []
+
+
+def test_equal_words_have_equal_names():
+    import random
+    from cellrisk.llm.common import word_names
+    r = random.Random(4)
+    bits = [" ", "\t", "\n", "\x0b", "\x0c", "\r", "a", "b", "A", "ab", "ba", "é", "É", " ", " ", "\x1c", "\x00", "word", "x" * 70]
+    texts = ["".join(r.choices(bits, k=r.randint(0, 25))) for _ in range(3000)] + ["", " "]
+    for lower in (False, True):
+        seen = {}
+        for t, names in zip(texts, word_names([t.encode() for t in texts], lower)):
+            own = (t.encode().lower() if lower else t.encode()).split()
+            assert len(own) == len(names)
+            for w, n in zip(own, names):
+                assert seen.setdefault(w, int(n)) == int(n)
+        assert len(set(seen.values())) == len(seen)
+
+
+def test_lists_do_not_depend_on_batches():
+    import pyarrow as pa
+    from cellrisk.llm.jaccard import _lists
+    rng = np.random.default_rng(6)
+    rows = sorted((int(g), int(c), int(c) % 7 + 1) for g, c in zip(rng.integers(0, 60, 400), rng.integers(0, 8, 400)))
+    want = []
+    for g in sorted({r[0] for r in rows}):
+        own = sorted({r for r in rows if r[0] == g})
+        if len(own) > 2:
+            want += [(*r, own[0][1], own[0][2], False) for r in own]
+        elif len(own) == 2:
+            want.append((*own[1], own[0][1], own[0][2], True))
+    for size in (1, 2, 3, 7, 50, 1000):
+        batches = [pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows[i:i + size])], ["gram", "cls", "n"]) for i in range(0, len(rows), size)]
+        got = [tuple(r.values()) for b in _lists(iter(batches)) for r in b.to_pylist()]
+        assert sorted(got) == sorted(want)
