@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellrisk.llm.common import SPACE, BitTable, as_bytes, documents, null_id, stored
+from cellrisk.llm.common import SPACE, BitTable, as_bytes, documents, join_hot, null_id, stored
 
 #: Quotient ranges (2**RANGE_BITS filters) and quotient bits inside one range.
 RANGE_BITS, QUOTIENT_BITS = 10, 16
@@ -197,9 +197,10 @@ def exact_dedup(docs: DataFrame, filter_bits: int = FILTER_BITS, chunk_bytes: in
                      .where("group_size > 1")
                      .select("fingerprint", "sha", "group_size", F.col("best.code_points").alias("most"), F.expr("-1 - best.back").alias("keep_id")), "classes")
     # of rows that repeat the kept one, the first
-    keepers = (digests.join(classes, ["fingerprint", "sha"]).where("doc_id = keep_id and code_points = most")
-               .groupBy("fingerprint", "sha").agg(F.min("row").alias("keep_row")))
-    both = digests.join(classes.join(keepers, ["fingerprint", "sha"]), ["fingerprint", "sha"], "left")
+    key = ["fingerprint", "sha"]
+    keepers = (join_hot(digests, classes, key, "group_size", "inner").where("doc_id = keep_id and code_points = most")
+               .groupBy(*key).agg(F.min("row").alias("keep_row")))
+    both = join_hot(digests, stored(classes.join(keepers, key), "kept"), key, "group_size", "left")
     return both.select(null_id(), F.when(F.col("keep_row").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
                        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
                        F.coalesce(F.col("row") == F.col("keep_row"), F.lit(True)).alias("kept"),
