@@ -1299,6 +1299,15 @@ def _candidates(spark, sf_dir):
     return _MEMO[key]
 
 
+def _champion_name(spark, sf_dir):
+    """The candidate that champion_selection names."""
+    key = (id(spark), sf_dir, "champion_name")
+    if key not in _MEMO:
+        from cellrisk.operators.models import select_champion
+        _MEMO[key] = select_champion(_candidates(spark, sf_dir)[0]).first()["champion"]
+    return _MEMO[key]
+
+
 @query("model_candidates")
 def q_model_candidates(spark, sf_dir):
     table, _ = _candidates(spark, sf_dir)
@@ -1363,18 +1372,29 @@ def q_ablation(spark, sf_dir):
     return r4(target_encoding_ablation(pf, FEATURE_COLUMNS, GRID_KEY, est).drop("train_seconds", "artifact_kb"))
 
 
-def _final_bundle(spark, sf_dir):
-    key = (id(spark), sf_dir, "bundle")
+def _final_model(spark, sf_dir):
+    """(name, model): the champion, fitted again on all rows."""
+    key = (id(spark), sf_dir, "final_model")
     if key not in _MEMO:
         from pyspark.ml import Pipeline
-        from cellrisk.operators.models import assembler, prepare, ridge, save_bundle, scratch_path
+        from cellrisk.operators.models import assembler, candidate_models, prepare
         from cellrisk.params import FEATURE_COLUMNS
-        g = hourly_grid_df(spark, sf_dir)
-        tr = prepare(g, FEATURE_COLUMNS, keep=GRID_KEY + ["risk_score"])
-        s = tr.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("risk_score").alias("sd")).first()
-        model = Pipeline(stages=[assembler(FEATURE_COLUMNS), ridge(1.0, s["n"], s["sd"])]).fit(tr)
+        name = _champion_name(spark, sf_dir)
+        tr = prepare(hourly_grid_df(spark, sf_dir), FEATURE_COLUMNS, keep=GRID_KEY + ["risk_score"])
+        _MEMO[key] = name, Pipeline(stages=[assembler(FEATURE_COLUMNS), candidate_models(tr)[name]]).fit(tr)
+    return _MEMO[key]
+
+
+def _final_bundle(spark, sf_dir):
+    """The final model, saved with the comparison rows of protocols A, B and C."""
+    key = (id(spark), sf_dir, "bundle")
+    if key not in _MEMO:
+        from cellrisk.operators.models import save_bundle, scratch_path
+        name, model = _final_model(spark, sf_dir)
+        rows = q_champion_comparison(spark, sf_dir).orderBy("protocol", "MAE", "predictor").collect()
+        summary = {f"protocol_{p}": [r.asDict() for r in rows if r["protocol"] == p] for p in ("A", "B", "C")}
         path = scratch_path(spark, "bundle")
-        meta = save_bundle(model, "Ridge", {"refit": "100% rows"}, g.select(*GRID_KEY, "risk_score"),
+        meta = save_bundle(model, name, summary, hourly_grid_df(spark, sf_dir).select(*GRID_KEY, "risk_score"),
                            {"half_life_days": 365.0, "sigma_km": 0.7}, path)
         _MEMO[key] = (model, meta, path)
     return _MEMO[key]
@@ -1393,7 +1413,7 @@ def q_bundle(spark, sf_dir):
 @query("batch_scoring")
 def q_batch_scoring(spark, sf_dir):
     from cellrisk.plans.serve import build_features_batch, predict_batch, score_rows, split_requests
-    model, _, _ = _final_bundle(spark, sf_dir)
+    _, model = _final_model(spark, sf_dir)
     r, _ = split_requests(_requests(spark, sf_dir))
     scored = predict_batch(model, build_features_batch(r, hourly_grid_df(spark, sf_dir)), last_updated=_reference_date(spark, sf_dir))
     return score_rows(scored)
@@ -1415,7 +1435,7 @@ def q_score_sheet(spark, sf_dir):
     from cellrisk.operators.evaluate import quantile_bins
     from cellrisk.operators.splits import seeded_unit
     from cellrisk.plans.serve import build_features_batch, predict_batch, resolve_requests, score_rows
-    model, _, _ = _final_bundle(spark, sf_dir)
+    _, model = _final_model(spark, sf_dir)
     g = hourly_grid_df(spark, sf_dir)
     cm = quantile_bins(g.groupBy("cell_id", "lat_r", "lon_r").agg(F.avg("risk_score").alias("m")), "m", 5)
     w = Window.partitionBy("quantile").orderBy(seeded_unit(42, "cell_id"), "cell_id")
@@ -1474,7 +1494,7 @@ def q_prod(spark, sf_dir):
 @query("stream_scoring")
 def q_stream_scoring(spark, sf_dir):
     from cellrisk.streaming.scoring import start_scoring
-    model, _, _ = _final_bundle(spark, sf_dir)
+    _, model = _final_model(spark, sf_dir)
     base = _scratch(spark, "stream")
     req = _requests(spark, sf_dir)
     req.filter(F.col("idx") % 2 == 0).write.mode("overwrite").parquet(base + "/in/part1")
@@ -1542,7 +1562,7 @@ def q_feature_table_load(spark, sf_dir):
 # ---------------------------------------------------------------------------
 def _champion_predictions(spark, sf_dir):
     """(protocol, predictor, predictor_type, key, y, pred) of the baselines and
-    of the candidate with the lowest MAE on B, fitted on each protocol's train."""
+    of the champion, fitted on each protocol's train."""
     key = (id(spark), sf_dir, "champion_predictions")
     if key not in _MEMO:
         from pyspark.ml import Pipeline
@@ -1550,8 +1570,8 @@ def _champion_predictions(spark, sf_dir):
         from cellrisk.operators.panel import materialize
         from cellrisk.operators.splits import protocol_frames
         from cellrisk.params import FEATURE_COLUMNS
-        table, fitted = _candidates(spark, sf_dir)
-        best = table.orderBy("MAE", "model").first()["model"]
+        _, fitted = _candidates(spark, sf_dir)
+        best = _champion_name(spark, sf_dir)
         pf = protocol_frames(grid_protocols(spark, sf_dir))
         out = None
         for p in ("A", "B", "C"):

@@ -74,3 +74,32 @@ def test_checkpoint_folder_has_to_be_named_on_a_cluster():
         conf, sparkContext = Conf(), Context()
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_dir(Session())
+
+
+def _fresh_models(monkeypatch):
+    """Forget fitted models; small candidates of which the boosted trees win."""
+    from cellrisk.operators import models as M
+    from cellrisk.plans import catalog as C
+    made = ("candidates", "champion_name", "champion_predictions", "final_model", "bundle", "monthly_predictions")
+    monkeypatch.setattr(C, "_MEMO", {k: v for k, v in C._MEMO.items() if k[2] not in made})
+    monkeypatch.setattr(M, "candidate_models", lambda train: {
+        "Model: Ridge Regression": M.ridge(1e12, 1, 1.0), "Model: Gradient Boosted Trees": M.GBTRegressor(labelCol="risk_score", maxIter=4, maxDepth=4, seed=1)})
+    return C
+
+
+def test_the_bundle_holds_the_champion_and_its_metrics(spark, monkeypatch):
+    import json
+    from pyspark.ml.regression import GBTRegressionModel
+    C = _fresh_models(monkeypatch)
+    name = C.QUERIES["champion_selection"](spark, SF001).first()["champion"]
+    assert name == "Model: Gradient Boosted Trees"
+    model, meta, _ = C._final_bundle(spark, SF001)
+    assert isinstance(model.stages[-1], GBTRegressionModel) and model.stages[-1].getNumTrees == 4
+    assert C.QUERIES["final_bundle_registry"](spark, SF001).first()["algorithm"] == name
+    found = json.loads(meta.first()["metrics"])
+    want = C.QUERIES["champion_comparison"](spark, SF001).collect()
+    assert sorted(found) == ["protocol_A", "protocol_B", "protocol_C"]
+    for r in want:
+        assert r.asDict() in found[f"protocol_{r['protocol']}"]
+    assert sum(map(len, found.values())) == len(want) and all(any(x["predictor"] == name for x in v) for v in found.values())
+    assert C._final_model(spark, SF001) == (name, model)   # what the serving queries score with
