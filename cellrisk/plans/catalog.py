@@ -1354,21 +1354,20 @@ def q_ridge(spark, sf_dir):
 def q_perm(spark, sf_dir):
     from cellrisk.operators.models import permutation_importance
     from cellrisk.params import FEATURE_COLUMNS
-    table, fitted = _candidates(spark, sf_dir)
-    model = fitted["Model: Ridge Regression"]
+    model = _candidates(spark, sf_dir)[1][_champion_name(spark, sf_dir)]
     return r4(permutation_importance(model, _protocol_b(spark, sf_dir)["test"], FEATURE_COLUMNS, GRID_KEY))
 
 
 @query("target_encoding_ablation")
 def q_ablation(spark, sf_dir):
-    from cellrisk.operators.models import ridge, target_encoding_ablation
+    from cellrisk.operators.models import candidate_models, target_encoding_ablation
     from cellrisk.operators.splits import protocol_frames
     from cellrisk.params import FEATURE_COLUMNS
     pf = protocol_frames(grid_protocols(spark, sf_dir))
+    name = _champion_name(spark, sf_dir)
 
     def est(df):
-        s = df.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("risk_score").alias("sd")).first()
-        return ridge(1.0, s["n"], s["sd"] or 1.0)
+        return candidate_models(df)[name]
     return r4(target_encoding_ablation(pf, FEATURE_COLUMNS, GRID_KEY, est).drop("train_seconds", "artifact_kb"))
 
 

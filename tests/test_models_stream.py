@@ -103,3 +103,15 @@ def test_the_bundle_holds_the_champion_and_its_metrics(spark, monkeypatch):
         assert r.asDict() in found[f"protocol_{r['protocol']}"]
     assert sum(map(len, found.values())) == len(want) and all(any(x["predictor"] == name for x in v) for v in found.values())
     assert C._final_model(spark, SF001) == (name, model)   # what the serving queries score with
+
+
+def test_importance_and_ablation_are_the_champions(spark, monkeypatch):
+    from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+    from cellrisk.operators import models as M
+    C = _fresh_models(monkeypatch)
+    seen = []
+    monkeypatch.setattr(M, "permutation_importance", lambda model, *a: seen.append(model.stages[-1]) or spark.range(0))
+    monkeypatch.setattr(M, "target_encoding_ablation", lambda pf, feats, key, est: seen.append(est(pf["B"]["train"])) or spark.createDataFrame([(1.0, 1.0)], "train_seconds double, artifact_kb double"))
+    C.QUERIES["permutation_importance"](spark, SF001)
+    C.QUERIES["target_encoding_ablation"](spark, SF001)
+    assert isinstance(seen[0], GBTRegressionModel) and isinstance(seen[1], GBTRegressor)
