@@ -933,8 +933,8 @@ def q_monthly_baselines(spark, sf_dir):
     return r4(metrics(long, ["model"], r2_zero_if_constant=False))
 
 
-@query("hard_cases")
-def q_hard_cases(spark, sf_dir):
+def _hard_case_rows(spark, sf_dir):
+    """Test rows with their baselines, once for each subset they belong to."""
     from cellrisk.operators.stats import quantiles
     p, gm, tr = _monthly_baselines(spark, sf_dir)
     d = p.withColumn("chg", F.abs(F.col("y") - F.col("Persistence")))
@@ -942,10 +942,14 @@ def q_hard_cases(spark, sf_dir):
     vol = tr.groupBy("gi", "gj").agg(F.stddev_samp("risk_score").alias("sd"))
     vthr = quantiles(vol, "sd", [0.75])[0]
     d = d.join(vol, ["gi", "gj"], "left").withColumn("sd", F.coalesce("sd", F.lit(0.0)))
-    tagged = d.select("y", "Persistence", "CellMean", F.explode(F.array(
+    return d.select("gi", "gj", "period_str", "y", "Persistence", "CellMean", F.explode(F.array(
         F.lit("all"), F.when(F.col("chg") >= thr, F.lit("large_change")),
         F.when(F.col("sd") >= vthr, F.lit("volatile_cells")))).alias("subset")).filter(F.col("subset").isNotNull())
-    return r4(tagged.groupBy("subset").agg(
+
+
+@query("hard_cases")
+def q_hard_cases(spark, sf_dir):
+    return r4(_hard_case_rows(spark, sf_dir).groupBy("subset").agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.abs(F.col("y") - F.col("CellMean"))).alias("MAE_cellmean"),
         F.avg(F.abs(F.col("y") - F.col("Persistence"))).alias("MAE_persistence")))
 
@@ -1597,34 +1601,42 @@ def q_champion_comparison(spark, sf_dir):
 
 @query("champion_segments")
 def q_champion_segments(spark, sf_dir):
-    """MAE of the champion and of the strongest simple baseline on B, by label
-    quintile and by hour group, as (segment_kind, segment, ...)."""
+    """The champion and the strongest simple baseline on B, as (segment_kind,
+    segment, ...): MAE by label quintile and by hour group, percentages of rows
+    with a large error, and the champion's worst cells with their row counts."""
     from cellrisk.operators.evaluate import segmented
+    from cellrisk.params import LARGE_ERROR_THRESHOLDS
     b = _champion_predictions(spark, sf_dir).filter(F.col("protocol") == "B")
     wide = b.groupBy(*GRID_KEY, "y").agg(
         F.max(F.when(F.col("predictor_type") == "model", F.col("pred"))).alias("pred_model"),
         F.max(F.when(F.col("predictor") == "Baseline: hour and weekday mean", F.col("pred"))).alias("pred_baseline"))
     s = segmented(wide)
-    q = s["per_quintile"].select(F.lit("quintile").alias("segment_kind"), F.col("quantile").alias("segment"), "err_model", "err_baseline", "improvement_pct")
-    h = s["per_hour_group"].select(F.lit("hour_group").alias("segment_kind"), F.col("hour_group").alias("segment"), "err_model", "err_baseline",
-                                   ((1 - F.col("err_model") / F.col("err_baseline")) * 100).alias("improvement_pct"))
-    return r4(q.unionByName(h))
+    none = F.lit(None).cast("double")
+    gain = ((1 - F.col("err_model") / F.col("err_baseline")) * 100).alias("improvement_pct")
+    n = F.lit(None).cast("long").alias("n")
+    q = s["per_quintile"].select(F.lit("quintile").alias("segment_kind"), F.col("quantile").alias("segment"), "err_model", "err_baseline", "improvement_pct", n)
+    h = s["per_hour_group"].select(F.lit("hour_group").alias("segment_kind"), F.col("hour_group").alias("segment"), "err_model", "err_baseline", gain, n)
+    large = s["large_error_fractions"].select(F.explode(F.array(*[
+        F.struct(F.lit(f"gt{t}").alias("segment"), F.col(f"`model_gt{t}`").alias("err_model"), F.col(f"`baseline_gt{t}`").alias("err_baseline"))
+        for t in LARGE_ERROR_THRESHOLDS])).alias("x")).select(F.lit("large_error_pct").alias("segment_kind"), "x.*").select("*", none.alias("improvement_pct"), n)
+    worst = s["worst_cells"].select(F.lit("worst_cell").alias("segment_kind"), F.col("cell_id").alias("segment"), F.col("mean").alias("err_model"),
+                                    none.alias("err_baseline"), none.alias("improvement_pct"), F.col("count").alias("n"))
+    return r4(q.unionByName(h).unionByName(large).unionByName(worst))
 
 
 MONTHLY_V1_V2 = ("v1", "v2")
 
 
-@query("monthly_models")
-def q_monthly_models(spark, sf_dir):
-    """Both monthly generations: three candidates on the features (v1) and on
-    features with lagged risk (v2), the best on validation MAE, clipped to
-    0..100 and measured on the test months."""
+@memo("monthly_predictions")
+def _monthly_predictions(spark, sf_dir):
+    """(generation, model, part, gi, gj, period_str, y, pred) of both monthly
+    generations: three candidates on the features (v1) and on features with
+    lagged risk (v2), clipped to 0..100, on the validation and test months."""
     from pyspark.ml import Pipeline
-    from cellrisk.operators.evaluate import metrics
     from cellrisk.operators.models import assembler, boosted_trees, candidate_models, prepare
+    from cellrisk.operators.panel import materialize
     from cellrisk.operators.splits import split_chrono
     from cellrisk.params import FEATURE_COLUMNS_MONTHLY, RISK_LAG_COLUMNS
-    from cellrisk.operators.panel import materialize
     tr, va, te = split_chrono(monthly_model_table(spark, sf_dir), TRAIN_END, VAL_END)
     clip = F.greatest(F.lit(0.0), F.least(F.lit(100.0), F.col("prediction")))
     out = None
@@ -1636,8 +1648,46 @@ def q_monthly_models(spark, sf_dir):
             model = Pipeline(stages=[assembler(feats), est]).fit(a)
             for part, d in (("val", b), ("test", c)):
                 p = model.transform(d).select(F.lit(gen).alias("generation"), F.lit(name).alias("model"), F.lit(part).alias("part"),
-                                              F.col("risk_score").alias("y"), clip.alias("pred"))
+                                              "gi", "gj", "period_str", F.col("risk_score").alias("y"), clip.alias("pred"))
                 out = p if out is None else out.unionByName(p)
-    m = metrics(materialize(out), ["generation", "model", "part"])
+    return out
+
+
+@memo("monthly_metrics")
+def _monthly_metrics(spark, sf_dir):
+    from cellrisk.operators.evaluate import metrics
+    m = metrics(_monthly_predictions(spark, sf_dir), ["generation", "model", "part"])
     val = m.filter(F.col("part") == "val").groupBy("generation").agg(F.min_by("model", F.struct("MAE", "model")).alias("_best"))
-    return r4(m.join(val, "generation").withColumn("chosen", (F.col("model") == F.col("_best")).cast("int")).drop("_best"))
+    return m.join(val, "generation").withColumn("chosen", (F.col("model") == F.col("_best")).cast("int")).drop("_best")
+
+
+@query("monthly_models")
+def q_monthly_models(spark, sf_dir):
+    """Both monthly generations' candidates, the best on validation MAE marked,
+    measured on the validation and test months."""
+    return r4(_monthly_metrics(spark, sf_dir))
+
+
+def _monthly_chosen(spark, sf_dir):
+    """Test predictions of each generation's chosen model."""
+    best = _monthly_metrics(spark, sf_dir).filter("chosen = 1 and part = 'test'").select("generation", "model")
+    return _monthly_predictions(spark, sf_dir).filter("part = 'test'").join(F.broadcast(best), ["generation", "model"])
+
+
+@query("monthly_model_hard_cases")
+def q_monthly_model_hard_cases(spark, sf_dir):
+    """The chosen monthly models beside the baselines on the hard-case subsets."""
+    own = _monthly_chosen(spark, sf_dir).select("generation", "model", "gi", "gj", "period_str", "pred")
+    d = _hard_case_rows(spark, sf_dir).join(own, ["gi", "gj", "period_str"])
+    return r4(d.groupBy("generation", "model", "subset").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(F.abs(F.col("y") - F.col("pred"))).alias("MAE_model"),
+        F.avg(F.abs(F.col("y") - F.col("CellMean"))).alias("MAE_cellmean"),
+        F.avg(F.abs(F.col("y") - F.col("Persistence"))).alias("MAE_persistence")))
+
+
+@query("monthly_model_tier_accuracy")
+def q_monthly_model_tier_accuracy(spark, sf_dir):
+    """Share of test rows whose tier the chosen monthly model hits."""
+    from cellrisk.functions.score import tier_right_closed
+    same = F.coalesce(tier_right_closed("y") == tier_right_closed("pred"), F.lit(False))
+    return r6(_monthly_chosen(spark, sf_dir).groupBy("generation", "model").agg(F.avg(same.cast("double")).alias("tier_accuracy")))

@@ -80,7 +80,7 @@ def _fresh_models(monkeypatch):
     """Forget fitted models; small candidates of which the boosted trees win."""
     from cellrisk.operators import models as M
     from cellrisk.plans import catalog as C
-    made = ("candidates", "champion_name", "champion_predictions", "final_model", "bundle", "monthly_predictions")
+    made = ("candidates", "champion_name", "champion_predictions", "final_model", "bundle", "monthly_predictions", "monthly_metrics")
     monkeypatch.setattr(C, "_MEMO", {k: v for k, v in C._MEMO.items() if k[2] not in made})
     monkeypatch.setattr(M, "candidate_models", lambda train: {
         "Model: Ridge Regression": M.ridge(1e12, 1, 1.0), "Model: Gradient Boosted Trees": M.GBTRegressor(labelCol="risk_score", maxIter=4, maxDepth=4, seed=1)})
@@ -115,3 +115,29 @@ def test_importance_and_ablation_are_the_champions(spark, monkeypatch):
     C.QUERIES["permutation_importance"](spark, SF001)
     C.QUERIES["target_encoding_ablation"](spark, SF001)
     assert isinstance(seen[0], GBTRegressionModel) and isinstance(seen[1], GBTRegressor)
+
+
+def test_models_are_evaluated_on_segments_hard_cases_and_tiers(spark, monkeypatch):
+    from cellrisk.operators import models as M
+    C = _fresh_models(monkeypatch)
+    small = M.GBTRegressor(labelCol="risk_score", maxIter=4, maxDepth=4, seed=1)
+    monkeypatch.setattr(M, "boosted_trees", lambda *a: small)
+    kinds = {}
+    for r in C.QUERIES["champion_segments"](spark, SF001).collect():
+        kinds.setdefault(r["segment_kind"], []).append(r)
+    assert set(kinds) >= {"quintile", "hour_group", "large_error_pct", "worst_cell"}
+    b = [(r["cell_id"], abs(r["y"] - r["pred"])) for r in C._champion_predictions(spark, SF001).filter("protocol = 'B' and predictor_type = 'model'").collect()]
+    for r in kinds["large_error_pct"]:
+        t = float(r["segment"].removeprefix("gt"))
+        assert math.isclose(r["err_model"], 100 * sum(e > t for _, e in b) / len(b), abs_tol=1e-3)
+    for r in kinds["worst_cell"]:
+        own = [e for c, e in b if c == r["segment"]]
+        assert len(own) == r["n"] >= 10 and math.isclose(r["err_model"], sum(own) / len(own), abs_tol=1e-3)
+    hard = {(r["generation"], r["subset"]): r for r in C.QUERIES["monthly_model_hard_cases"](spark, SF001).collect()}
+    base = {r["subset"]: r for r in C.QUERIES["hard_cases"](spark, SF001).collect()}
+    assert set(hard) == {(g, s) for g in ("v1", "v2") for s in base}
+    assert all(r["n"] == base[s]["n"] and r["MAE_persistence"] == base[s]["MAE_persistence"] for (_, s), r in hard.items())
+    for r in C.QUERIES["monthly_models"](spark, SF001).filter("chosen = 1 and part = 'test'").collect():
+        assert hard[r["generation"], "all"]["model"] == r["model"] and math.isclose(hard[r["generation"], "all"]["MAE_model"], r["MAE"], abs_tol=1e-3)
+    tiers = C.QUERIES["monthly_model_tier_accuracy"](spark, SF001).collect()
+    assert {r["generation"] for r in tiers} == {"v1", "v2"} and all(0 < r["tier_accuracy"] <= 1 for r in tiers)
