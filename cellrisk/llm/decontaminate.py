@@ -22,8 +22,9 @@ Defined cases: null and empty texts and items, and those without a letter or
 digit, match nothing; an item with fewer words than ``width`` is one shingle,
 which only a document of the same words holds; rows that repeat a doc_id count
 as one document with the shingles of all of them, rows that repeat an item_id as
-one item; null ids match nothing (they name no row); empty tables give empty
-results; extra columns, also of the same name on both sides, are ignored.
+one item; null ids match nothing in ``contaminated`` (they name no row), while
+``without_contaminated`` judges each text with a null doc_id as a document of
+its own; empty tables give empty results; extra columns, also of the same name on both sides, are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellrisk.llm.common import stored
+from cellrisk.llm.common import NO_ID, stored
 
 WIDTH, PERCENT = 5, 80
 MAX_BROADCAST = 1_000_000
@@ -82,6 +83,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, perc
     """(doc_id, item_id, n_shingles, n_shared, containment) of every document and
     item of which it holds at least ``percent`` %."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words_of(F.col("text").cast("string")).alias("words")).where("doc_id is not null")
+    return _search(texts, ["doc_id"], benchmark, width, percent, max_broadcast)
+
+
+def _search(texts: DataFrame, keys: list[str], benchmark: DataFrame, width: int = WIDTH, percent: int = PERCENT, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
+    """The same for ``texts`` of (keys, words); rows with equal keys are one document."""
     own = (benchmark.select(F.col("item_id").cast("long").alias("item_id"), words_of(F.col("text").cast("string")).alias("words")).where("item_id is not null")
            .select("item_id", F.explode(shingle_texts(F.col("words"), width)).alias("shingle")).distinct())
     own = stored(own, "item-shingles")
@@ -89,23 +95,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, perc
     sketch = sketches(items, width, percent).select("item_id", "needed", "hash")
     sketch = stored(sketch, "sketches")
     few = sketch.count() <= max_broadcast
-    probes = texts.select("doc_id", F.explode(shingle_hashes(F.col("words"), width)).alias("hash"))
-    hits = (probes.join(F.broadcast(sketch) if few else sketch, "hash").select("doc_id", "item_id", "needed", "hash").distinct()
-            .groupBy("doc_id", "item_id").agg(F.count("*").alias("found"), F.max("needed").alias("needed")).where("found >= needed"))
-    candidates = stored(hits.select("doc_id", "item_id"), "candidates")
-    suspects = candidates.select("doc_id").distinct()
-    held = (texts.join(suspects, "doc_id", "left_semi")
-            .select("doc_id", F.explode(shingle_texts(F.col("words"), width)).alias("shingle")))
+    probes = texts.select(*keys, F.explode(shingle_hashes(F.col("words"), width)).alias("hash"))
+    hits = (probes.join(F.broadcast(sketch) if few else sketch, "hash").select(*keys, "item_id", "needed", "hash").distinct()
+            .groupBy(*keys, "item_id").agg(F.count("*").alias("found"), F.max("needed").alias("needed")).where("found >= needed"))
+    candidates = stored(hits.select(*keys, "item_id"), "candidates")
+    suspects = candidates.select(*keys).distinct()
+    held = (texts.join(suspects, keys, "left_semi")
+            .select(*keys, F.explode(shingle_texts(F.col("words"), width)).alias("shingle")))
     sizes = own.groupBy("item_id").agg(F.count("*").alias("n_shingles"))
     few_own = own.count() <= max_broadcast
-    shared = (held.join(F.broadcast(own) if few_own else own, "shingle").select("doc_id", "item_id", "shingle").distinct()
-              .groupBy("doc_id", "item_id").agg(F.count("*").alias("n_shared")))
+    shared = (held.join(F.broadcast(own) if few_own else own, "shingle").select(*keys, "item_id", "shingle").distinct()
+              .groupBy(*keys, "item_id").agg(F.count("*").alias("n_shared")))
     return (shared.join(F.broadcast(sizes) if few_own else sizes, "item_id").where(F.col("n_shared") * 100 >= F.col("n_shingles") * percent)
-            .join(candidates, ["doc_id", "item_id"], "left_semi")
-            .select("doc_id", "item_id", "n_shingles", "n_shared", (F.col("n_shared") / F.col("n_shingles")).alias("containment")))
+            .join(candidates, [*keys, "item_id"], "left_semi")
+            .select(*keys, "item_id", "n_shingles", "n_shared", (F.col("n_shared") / F.col("n_shingles")).alias("containment")))
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item."""
-    bad = contaminated(docs, benchmark, **options).select(F.col("doc_id").alias("__own_id")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("long") == F.col("__own_id"), "left_anti")
+    row = {"__row_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
+           "__row_key": F.when(F.col("doc_id").isNull(), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))).otherwise(F.lit(0).cast("long"))}
+    texts = docs.select(row["__row_id"].alias("__own_id"), row["__row_key"].alias("__own_key"), words_of(F.col("text").cast("string")).alias("words"))
+    bad = _search(texts, ["__own_id", "__own_key"], benchmark, **options).select("__own_id", "__own_key").distinct()
+    return (docs.withColumns(row).join(bad, (F.col("__row_id") == F.col("__own_id")) & (F.col("__row_key") == F.col("__own_key")), "left_anti")
+            .select(docs.columns))

@@ -52,6 +52,18 @@ def test_contamination_matches_brute_force(spark, broadcast):
     assert contaminated(frame(spark, []), bench).collect() == [] == contaminated(frame(spark, docs), bench.limit(0)).collect()
 
 
+def test_a_text_without_an_id_is_searched_too(spark):
+    item = " ".join(f"q{k}" for k in range(20))
+    half, rest = " ".join(f"q{k}" for k in range(12)), " ".join(f"q{k}" for k in range(8, 20))
+    docs = [(None, "before " + item + " after"), (None, "an innocent text without an id"), (None, None), (1, "y " + item), (2, "clean text of five words"),
+            (3, half), (3, rest), (None, half), (None, rest)]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    left = without_contaminated(frame(spark, docs), bench)
+    assert left.columns == frame(spark, docs).columns
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=repr) == sorted([docs[1], docs[2], docs[4], docs[7], docs[8]], key=repr)
+    assert {r["doc_id"] for r in contaminated(frame(spark, docs), bench).collect()} == {1, 3}
+
+
 # language -----------------------------------------------------------------------
 
 def test_language_held_out_accuracy(spark):
