@@ -98,34 +98,34 @@ def _short(s: np.ndarray, frequent: BitTable, filter_bits: int, percent: int) ->
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int, chunk: int) -> Iterator[list]:
-    """Chunks as lists of (doc_id, set)."""
+    """Chunks as lists of (doc_id, set, text_key)."""
     for c in chunks(batches, chunk, lower=True):
         names, _, begin, _, _ = c.arrays()
         all_of = window_names(names, width)
-        yield [(doc, np.unique(all_of[i:i + len(x) - width + 1]) if len(x) >= width else shingles(x, width)) for doc, i, x in zip(c.ids, begin, c.names)]
+        yield [(doc, np.unique(all_of[i:i + len(x) - width + 1]) if len(x) >= width else shingles(x, width), key) for doc, key, i, x in zip(c.ids, c.keys, begin, c.names)]
 
 
 def _scan(width: int, chunk: int):
     """Rows of documents, and of shingles that classes of a chunk share."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for docs in _sets(batches, width, chunk):
-            cls = np.array([set_name(s) for _, s in docs], np.int64)
-            n = np.array([len(s) for _, s in docs], np.int64)
+            cls = np.array([set_name(s) for _, s, _ in docs], np.int64)
+            n = np.array([len(s) for _, s, _ in docs], np.int64)
             _, one = np.unique(cls, return_index=True)
             names, times = np.unique(np.concatenate([docs[i][1] for i in one]), return_counts=True)
             names, times = names[times > 1], times[times > 1]
             a, b = len(docs), len(names)
             yield pa.RecordBatch.from_arrays([
-                pa.array([d for d, _ in docs], pa.int64()), pa.array(cls), pa.array(n), pa.nulls(a, pa.int64())], ["doc_id", "cls", "n", "times"])
+                pa.array([d for d, _, _ in docs], pa.int64()), pa.array([k for _, _, k in docs], pa.int64()), pa.array(cls), pa.array(n), pa.nulls(a, pa.int64())], ["doc_id", "text_key", "cls", "n", "times"])
             if b:
-                yield pa.RecordBatch.from_arrays([pa.nulls(b, pa.int64()), pa.array(names.view(np.int64)), pa.nulls(b, pa.int64()), pa.array(times.astype(np.int64))], ["doc_id", "cls", "n", "times"])
+                yield pa.RecordBatch.from_arrays([pa.nulls(b, pa.int64()), pa.nulls(b, pa.int64()), pa.array(names.view(np.int64)), pa.nulls(b, pa.int64()), pa.array(times.astype(np.int64))], ["doc_id", "text_key", "cls", "n", "times"])
     return scan
 
 
 def _short_names(width: int, chunk: int, frequent: BitTable, filter_bits: int, percent: int):
     def names(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for docs in _sets(batches, width, chunk):
-            short = {set_name(s): _short(s, frequent, filter_bits, percent) for _, s in docs if len(s)}
+            short = {set_name(s): _short(s, frequent, filter_bits, percent) for _, s, _ in docs if len(s)}
             if short:
                 n = [len(x) for x in short.values()]
                 yield np.concatenate(list(short.values())), np.repeat(np.arange(len(n)), n)
@@ -135,7 +135,7 @@ def _short_names(width: int, chunk: int, frequent: BitTable, filter_bits: int, p
 def _postings(width: int, chunk: int, frequent: BitTable, shared: BitTable, filter_bits: int, percent: int):
     def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for docs in _sets(batches, width, chunk):
-            for cls, s in {set_name(s): s for _, s in docs if len(s)}.items():
+            for cls, s in {set_name(s): s for _, s, _ in docs if len(s)}.items():
                 x = _short(s, frequent, filter_bits, percent)
                 x = x[shared.has(spots(x, filter_bits))]
                 if k := len(x):
@@ -290,7 +290,7 @@ def _search(percent: int):
 def _grams(width: int, chunk: int, wanted: BitTable):
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for docs in _sets(batches, width, chunk):
-            cls = np.array([set_name(s) for _, s in docs], np.int64)
+            cls = np.array([set_name(s) for _, s, _ in docs], np.int64)
             for i in np.flatnonzero(wanted.has(cls)):
                 yield pa.RecordBatch.from_arrays([pa.array([docs[i][0]], pa.int64()), pa.array(cls[i:i + 1]), pa.array([docs[i][1].tobytes()], pa.binary())], ["doc_id", "cls", "grams"])
     return _batched(grams, 200)
@@ -313,13 +313,19 @@ def _links(texts: DataFrame, classes: DataFrame, members: DataFrame, width: int,
                   .mapInArrow(_search(percent), "a long, b long"), "found"), places
 
 
-def jaccard_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, chunk_words: int = CHUNK_WORDS,
-                   filter_bits: int = FILTER_BITS, bucket_shingles: int = BUCKET_SHINGLES) -> DataFrame:
+def jaccard_groups(docs: DataFrame, **options) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, and class_id (the
     smallest doc_id with the same set)."""
+    return _grouped(docs, **options).select(null_id(), "n_shingles", null_id("component_id"), null_id("class_id"))
+
+
+def _grouped(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, chunk_words: int = CHUNK_WORDS,
+             filter_bits: int = FILTER_BITS, bucket_shingles: int = BUCKET_SHINGLES) -> DataFrame:
+    """The same with NO_ID for null, text_key, and component: its name, which two
+    components never share; null where there is no shingle."""
     texts = documents(docs)
-    scanned = stored(texts.mapInArrow(_scan(width, chunk_words), "doc_id long, cls long, n long, times long"), "scan")
-    rows = scanned.where("times is null").select("doc_id", "cls", "n")
+    scanned = stored(texts.mapInArrow(_scan(width, chunk_words), "doc_id long, text_key long, cls long, n long, times long"), "scan")
+    rows = scanned.where("times is null").select("doc_id", "text_key", "cls", "n")
     classes = rows.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.count("*").alias("copies"))
     often = (scanned.where("times is not null").groupBy("cls").agg(F.sum("times").alias("times")).where(F.col("times") >= FREQUENT)
              .select(F.shiftrightunsigned("cls", 64 - filter_bits).alias("spot")))
@@ -403,15 +409,26 @@ def jaccard_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     named = classes.select("cls", "rep", "copies").join(groups, F.col("cls") == F.col("node"), "left").select("cls", "rep", "copies", F.coalesce("component", "cls").alias("component"))
     named = stored(named, "named")
     smallest = stored(named.groupBy("component").agg(F.min("rep").alias("component_id"), F.count("*").alias("size")), "smallest")
-    named = stored(join_hot(named, smallest, ["component"], "size", "inner").select("cls", "copies", F.col("rep").alias("class_id"), "component_id"), "classes")
-    linked = join_hot(rows.where("n > 0"), named, ["cls"], "copies", "inner").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "class_id")
-    alone = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"))
-    return linked.union(alone).select(null_id(), "n_shingles", null_id("component_id"), null_id("class_id"))
+    named = stored(join_hot(named, smallest, ["component"], "size", "inner").select("cls", "copies", F.col("rep").alias("class_id"), "component_id", "component"), "classes")
+    linked = join_hot(rows.where("n > 0"), named, ["cls"], "copies", "inner").select("doc_id", "text_key", F.col("n").alias("n_shingles"), "component_id", "class_id", "component")
+    alone = rows.where("n = 0").select("doc_id", "text_key", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"), F.lit(None).cast("long").alias("component"))
+    return linked.union(alone)
 
 
 def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without the near duplicates of a document with a smaller doc_id.
-    Where rows repeat a kept doc_id, all of them stay."""
-    groups = jaccard_groups(docs, **options)
-    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__own_id")).distinct()
-    return docs.join(gone, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col("__own_id"), "left_anti")
+    """``docs`` with one row of each group of near duplicates: that of the smallest
+    (doc_id, text_key).  Other rows with the id of a row that goes or stays are
+    judged by their own text; texts without shingles all stay."""
+    groups = stored(_grouped(docs, **options).where("component is not null").select("doc_id", "text_key", "component_id", "component"), "groups")
+    heads = stored(groups.where("doc_id = component_id").groupBy("component", "doc_id", "text_key").agg(F.count("*").alias("copies")), "heads")
+    kept = heads.groupBy("component").agg(F.min("text_key").alias("kept_key"), F.count("*").alias("texts"))
+    judged = stored(join_hot(heads, kept, ["component"], "texts", "inner"), "judged")
+    keys = [F.col("doc_id").alias("__own_id"), F.col("text_key").alias("__own_key")]
+    again = judged.where("text_key = kept_key and copies > 1").select(*keys)  # the kept row itself, repeated
+    gone = groups.where("doc_id <> component_id").union(judged.where("text_key <> kept_key").select(groups.columns[:2] + ["doc_id", "component"])).select(*keys).distinct()
+    own = docs.withColumns({"__row_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "__row_key": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+    same = (F.col("__row_id") == F.col("__own_id")) & (F.col("__row_key") == F.col("__own_key"))
+    if again.isEmpty():
+        return own.join(gone, same, "left_anti").select(docs.columns)
+    once = own.join(again, same, "left_semi").dropDuplicates(["__row_id", "__row_key"])
+    return own.join(gone.union(again), same, "left_anti").unionByName(once).select(docs.columns)

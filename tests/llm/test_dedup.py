@@ -189,6 +189,21 @@ def test_a_chain_of_near_copies_is_one_group(spark):
     assert [r["doc_id"] for r in one_of_each_group(frame(spark, rows)).collect()] == [76]
 
 
+def test_only_the_copies_of_a_repeated_or_null_id_go(spark):
+    def text(k, n=60):
+        return " ".join(f"{k}{i}" for i in range(n))
+    rows = [(6, text("a")), (7, text("a") + " end"), (7, text("b")), (7, text("c")), (8, text("c") + " end"),  # 7 repeats: a copy of 6, a clean text, and one with a copy
+            (None, text("d")), (None, text("d") + " end"), (None, text("e")), (None, text("f")), (None, text("f")), (None, None), (None, ""), (9, text("d") + " more"),
+            (10, text("g")), (10, text("g"))]
+    left = one_of_each_group(frame(spark, rows))
+    assert left.columns == frame(spark, rows).columns
+    got = [(r["doc_id"], r["text"]) for r in left.collect()]
+    d = [x for x in got if x[1] in (text("d"), text("d") + " end")]
+    assert len(d) == 1 and d[0][0] is None
+    want = [rows[0], rows[2], rows[3], d[0], rows[7], rows[8], rows[10], rows[11], rows[13]]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
 def test_divide_skip_finds_every_component():
     rng = np.random.default_rng(3)
     for _ in range(20):
