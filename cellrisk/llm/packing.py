@@ -21,6 +21,7 @@ give empty results; extra columns are ignored.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,14 +32,32 @@ from pyspark.sql import functions as F
 
 CAPACITY, END_ID = 2048, 1
 _NAMES = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
+#: White space of this length is beyond the stack of ``tiktoken``'s expressions by far less than it bears.
+_LONG_BLANK = re.compile(r"\s{10000}")
 
 
-def encoder(path: str):
-    """text -> ids, as ``tokenizers`` gives them for the file at ``path``.
+def byte_letters() -> dict[str, int]:
+    """The byte of each letter of a byte-level vocabulary: printable bytes are
+    written as themselves, the others from U+0100 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
+
+
+def encoder(path: str, special_strings: bool = True):
+    """text -> ids, as ``tokenizers`` gives them for the file at ``path``.  Strings
+    of special tokens inside a text are these tokens, or plain text if not
+    ``special_strings``.
 
     A byte-level BPE without a normaliser, whose ids rank its merges, is run by
     ``tiktoken`` over the file's own vocabulary: the same ids in a fifth of the
-    time.  Any other file is run by ``tokenizers`` itself."""
+    time.  Texts with very long white space, which overflow its stack, and any
+    other file are run by ``tokenizers`` itself."""
+    from tokenizers import Tokenizer
+    whole = Tokenizer.from_file(path)
+    whole.encode_special_tokens = not special_strings
+
+    def by_tokenizers(text: str) -> list[int]:
+        return whole.encode(text, add_special_tokens=False).ids
     spec = json.load(open(path, encoding="utf-8"))
     pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
     merges = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
@@ -46,20 +65,18 @@ def encoder(path: str):
     plain = (model.get("type") == "BPE" and pre == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True} and not spec.get("normalizer")
              and not model.get("dropout") and all(vocab.get(a + b) == 256 + i for i, (a, b) in enumerate(merges)))
     if not plain:
-        from tokenizers import Tokenizer
-        whole = Tokenizer.from_file(path)
-        return lambda text: whole.encode(text, add_special_tokens=False).ids
+        return by_tokenizers
     import public_tokenizers
     import tiktoken
-    # byte-level vocabularies write printable bytes as themselves, the others from U+0100 on
-    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
-    letter = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
+    letter = byte_letters()
     special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
     ranks = {bytes(letter[c] for c in word): i for word, i in vocab.items() if word not in special}
     bpe = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
     def ids(text: str) -> list[int]:
-        if any(s in text for s in special):
+        if _LONG_BLANK.search(text):
+            return by_tokenizers(text)
+        if special_strings and any(s in text for s in special):
             return bpe.encode(text, allowed_special="all")
         return bpe.encode_ordinary(text)
     return ids
