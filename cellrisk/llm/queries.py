@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellrisk.llm import langid, toxicity
+from cellrisk.llm.alignment import align_documents
 from cellrisk.llm.chat import format_conversations, formatted_digests
+from cellrisk.llm.chatrepair import repair_digests
 from cellrisk.llm.decontaminate import contaminated
 from cellrisk.llm.exactdedup import exact_dedup
 from cellrisk.llm.jaccard import jaccard_groups
 from cellrisk.llm.linededup import line_digests
 from cellrisk.llm.packing import pack_documents
 from cellrisk.llm.passages import passage_digests
+from cellrisk.llm.secretscan import secret_digests
 from cellrisk.llm.urlfilter import judge_urls, labelled_by_rules
 
 
@@ -75,6 +78,18 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, labelled_by_rules(pages)).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digests(_table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_digests(_table(spark, sf_dir, "conversations"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -86,6 +101,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_url_filter": op10_url_filter,
+    "op11_secret_scan": op11_secret_scan,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -94,7 +112,37 @@ SPACE = r"[\x20\x09-\x0D]"
 #: What the chat template escapes.
 CONTROL = r"\\|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>|<<ROLE>>|<<TEXT>>|<</ROLE>>"
 
+#: kind -> (pattern, measured part of a match, its least length), base kinds first.  RE2's (?i) folds beyond ASCII, hence the classes.
+SECRETS = {
+    "assign": (r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"'']?\x20*[:=]\x20*[\"'']?([A-Za-z0-9+/_.=-]+)", 2, 6),
+    "access": (r"AKIA[A-Z0-9]+", 0, 20),
+    "hex": (r"[0-9a-f]+", 0, 24),
+    "pem": (r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 0),
+    "forge": (r"gh[opsru]_[A-Za-z0-9]{36,}", 0, 0),
+    "chat": (r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
+    "cloud": (r"AIza[A-Za-z0-9_-]{35}", 0, 0),
+}
+
+
+def _secrets() -> str:
+    """A match's place is the length of what stands before it: the parts that the
+    pattern splits the text into, and the matches before."""
+    kinds = " UNION ALL ".join(f"""SELECT doc_id, '{kind}' AS kind, {i} AS o, {least} AS least, regexp_split_to_array(t, '{pattern}') AS parts,
+  regexp_extract_all(t, '{pattern}') AS found, regexp_extract_all(t, '{pattern}', {group}) AS measured FROM t""" for i, (kind, (pattern, group, least)) in enumerate(SECRETS.items()))
+    span = "kind || ':' || a || ':' || b"
+    return f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+k AS ({kinds}),
+m AS (SELECT doc_id, kind, o, least, unnest(found) AS f, unnest(measured) AS g, unnest(parts[1:len(found)]) AS before, generate_subscripts(found, 1) AS p FROM k WHERE len(found) > 0),
+s AS (SELECT *, CAST(sum(length(before) + length(f)) OVER (PARTITION BY doc_id, kind ORDER BY p) AS BIGINT) AS b FROM m),
+spans AS (SELECT doc_id, kind, o, b - length(f) AS a, b FROM s WHERE length(g) >= least)
+SELECT t.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+       sha256(coalesce(string_agg({span}, ',' ORDER BY a, o) FILTER (o < 3), '')) AS base_sha256, coalesce(string_agg({span}, ',' ORDER BY a, o), '') AS spans
+FROM t LEFT JOIN spans ON t.doc_id = spans.doc_id GROUP BY t.doc_id"""
+
+
 ORACLES: dict[str, str] = {
+    "op11_secret_scan": _secrets(),
     "op1_decontamination": r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
 v AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark),
