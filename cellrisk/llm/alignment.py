@@ -32,6 +32,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -80,66 +81,112 @@ def overlaps(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.searchsorted(a_end, ends), np.searchsorted(b_end, ends)
 
 
-def groups_text(a: list[int], b: list[int], ga: np.ndarray, gb: np.ndarray) -> str:
-    """``a1,a2|b1;a3|b2,b3``"""
-    cut_a, cut_b = (np.flatnonzero(starts_of(g)).tolist() + [len(g)] for g in (ga, gb))
-    return ";".join(",".join(map(str, a[i:j])) + "|" + ",".join(map(str, b[k:m])) for i, j, k, m in zip(cut_a, cut_a[1:], cut_b, cut_b[1:]))
+def runs(first: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... of each run, one after another."""
+    ends = np.cumsum(length)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + length, length)
+
+
+class _Column:
+    """Numbers that are appended to, in an array that doubles."""
+
+    def __init__(self):
+        self.held, self.size = np.zeros(1 << 10, np.int64), 0
+
+    def extend(self, x: np.ndarray) -> None:
+        while self.size + len(x) > len(self.held):
+            self.held = np.concatenate([self.held, np.zeros_like(self.held)])
+        self.held[self.size:self.size + len(x)] = x
+        self.size += len(x)
 
 
 class Aligner:
-    """Units and what they align to: (tokens of A, of B, groups, id pairs of the
-    links as a << 32 | b, text of the groups), None where bytes differ."""
+    """Units and what they align to: tokens of A, of B, groups, id pairs of the
+    links as a << 32 | b, and the text of the groups.  Unit 0 stands for those
+    whose bytes differ."""
 
     def __init__(self, a_path: str, b_path: str):
         import sentencepiece
         self.a, self.model = encoder(a_path, special_strings=False), sentencepiece.SentencePieceProcessor(model_file=b_path)
         self.a_bytes, self.b_bytes = byte_level_tokens(a_path), piece_tokens(self.model)
+        self.sizes = [np.zeros(max(t) + 1, np.int64) for t in (self.a_bytes, self.b_bytes)]
+        for size, t in zip(self.sizes, (self.a_bytes, self.b_bytes)):
+            size[list(t)] = [len(x) for x in t.values()]
+        self.written = [[f"{sep}{i}" for i in range(max(map(len, self.sizes)))] for sep in ",|;"]
         self.whole = any(re.search("[^▁]▁", self.model.id_to_piece(i)) for i in range(self.model.get_piece_size()))
-        self.units: dict[str, tuple | None] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.units: dict[str, int] = {}
+        self.text = [""]
+        self.n_a, self.n_b, self.n_groups, self.first, self.n_links, self.pairs = (_Column() for _ in range(6))
+        for c in (self.n_a, self.n_b, self.n_groups, self.first, self.n_links):
+            c.extend(np.zeros(1, np.int64))
 
-    def of(self, texts: list[str]) -> list[list[str]]:
-        """The texts' units, each of them aligned."""
+    def of(self, texts: list[str]) -> list[list[int]]:
+        """The places of the texts' units, all of them aligned."""
         if len(self.units) > MOST_UNITS:
-            self.units = {}
+            self.forget()
         cut = [[t] if self.whole else _CUT.split(t) for t in texts]
         fresh = {u for units in cut for u in units if u not in self.units}
         if fresh:
             self._align(list(fresh))
-        return cut
+        return [[self.units[u] for u in units] for units in cut]
 
     def _align(self, units: list[str]) -> None:
-        self.units.update(dict.fromkeys(units))
         wanted = [(" " + u).encode("utf-8", "replace") for u in units]
         a, b = [self.a(" " + u) for u in units], self.model.encode(units, num_threads=1)
-        same = [b"".join(map(self.a_bytes.__getitem__, x)) == w == b"".join(map(self.b_bytes.__getitem__, y)) for x, y, w in zip(a, b, wanted)]
-        keep = [i for i, ok in enumerate(same) if ok]
-        if not keep:
+        by_a, by_b = self.a_bytes.__getitem__, self.b_bytes.__getitem__
+        whole = b"".join(wanted)
+        if not b"".join(map(by_a, chain.from_iterable(a))) == whole == b"".join(map(by_b, chain.from_iterable(b))):
+            same = [b"".join(map(by_a, x)) == w == b"".join(map(by_b, y)) for x, y, w in zip(a, b, wanted)]
+            self.units.update((u, 0) for u, ok in zip(units, same) if not ok)
+            units, a, b = ([x for x, ok in zip(c, same) if ok] for c in (units, a, b))
+        if not units:
             return
-        ids_a, ids_b = (np.fromiter((t for i in keep for t in x[i]), np.int64) for x in (a, b))
-        end_a, end_b = (np.cumsum(np.fromiter((len(by[t]) for i in keep for t in x[i]), np.int64)) for x, by in ((a, self.a_bytes), (b, self.b_bytes)))
-        start = np.concatenate([np.r_[0, end_a[:-1]], np.r_[0, end_b[:-1]]])
-        end = np.concatenate([end_a, end_b])
+        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
+        ids = np.fromiter(chain(chain.from_iterable(a), chain.from_iterable(b)), np.int64)
+        tokens_a = int(n_a.sum())
+        ids_a, ids_b = ids[:tokens_a], ids[tokens_a:]
+        end_a, end_b = np.cumsum(self.sizes[0][ids_a]), np.cumsum(self.sizes[1][ids_b])
+        start, end = np.concatenate([end_a - self.sizes[0][ids_a], end_b - self.sizes[1][ids_b]]), np.concatenate([end_a, end_b])
         side = np.repeat([0, 1], [len(end_a), len(end_b)])
         order = np.lexsort((side, start))
         group = np.empty(len(order), np.int64)
         group[order] = coalesced(start[order], end[order])
-        ga, gb = group[:len(end_a)], group[len(end_a):]
-        pa_, pb = overlaps(end_a, end_b)
-        pairs = ids_a[pa_] << 32 | ids_b[pb]
-        # tokens and links of each unit: units end where groups do
-        cut_a, cut_b = (np.r_[0, np.cumsum([len(x[i]) for i in keep])] for x in (a, b))
-        cut_l = np.searchsorted(pa_, cut_a)
-        for k, i in enumerate(keep):
-            x, y = ga[cut_a[k]:cut_a[k + 1]], gb[cut_b[k]:cut_b[k + 1]]
-            self.units[units[i]] = (len(x), len(y), int(x[-1] - x[0]) + 1, pairs[cut_l[k]:cut_l[k + 1]], groups_text(a[i], b[i], x, y))
-
-    def document(self, units: list[str]) -> tuple[int, int, int, np.ndarray, str]:
-        """n_a, n_b, n_groups, id pairs of the links, groups_sha256."""
-        found = [self.units[u] for u in units]
-        if None in found:
-            return 0, 0, 0, np.zeros(0, np.int64), ""
-        a, b, g, pairs, text = zip(*found)
-        return sum(a), sum(b), sum(g), np.concatenate(pairs), hashlib.sha256(";".join(text).encode()).hexdigest()
+        at_a, at_b = overlaps(end_a, end_b)
+        # units end where groups do: their tokens, links and groups follow one another
+        last_a = np.cumsum(n_a)
+        cut_links = np.searchsorted(at_a, np.r_[0, last_a])
+        groups = np.diff(np.r_[-1, group[last_a - 1]])
+        place = len(self.text) + np.arange(len(units))
+        self.first.extend(self.pairs.size + cut_links[:-1])
+        for column, x in ((self.n_a, n_a), (self.n_b, n_b), (self.n_groups, groups), (self.n_links, np.diff(cut_links)), (self.pairs, ids_a[at_a] << 32 | ids_b[at_b])):
+            column.extend(x)
+        self.units.update(zip(units, place.tolist()))
+        # the text: tokens by group and side, each with what separates it from the one before
+        order = np.lexsort((side, group))
+        new, other = starts_of(group[order]), starts_of(group[order], side[order])
+        comma, bar, semi = self.written
+        written = [semi[i] if k == 2 else bar[i] if k else comma[i] for i, k in zip(ids[order].tolist(), (new.astype(np.int8) + other).tolist())]
+        cut = np.r_[0, np.cumsum(n_a + n_b)].tolist()
+        self.text.extend("".join(written[i:j]) for i, j in zip(cut, cut[1:]))
+
+    def documents(self, units: list[list[int]]) -> Iterator[tuple[int, int, int, np.ndarray, str]]:
+        """n_a, n_b, n_groups, id pairs of the links, groups_sha256 of each."""
+        n = np.array([len(x) for x in units])
+        if not len(n):
+            return
+        at = np.fromiter(chain.from_iterable(units), np.int64, int(n.sum()))
+        cut = np.cumsum(n) - n
+        ok = np.minimum.reduceat(at, cut) > 0
+        a, b, g, links = (np.add.reduceat(c.held[at], cut) for c in (self.n_a, self.n_b, self.n_groups, self.n_links))
+        pairs = np.split(self.pairs.held[runs(self.first.held[at], self.n_links.held[at])], np.cumsum(links)[:-1])
+        for i, x in enumerate(units):
+            if ok[i]:
+                yield int(a[i]), int(b[i]), int(g[i]), pairs[i], hashlib.sha256("".join(map(self.text.__getitem__, x))[1:].encode()).hexdigest()
+            else:
+                yield 0, 0, 0, np.zeros(0, np.int64), ""
 
 
 _CHUNK = "chunk long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, groups_sha256 array<string>, pairs binary, documents binary, links binary"
@@ -186,10 +233,9 @@ def _aligned(a_path: str | None, b_path: str | None, chunk_bytes: int):
             ids, texts = (batch.column(c).to_pylist() for c in ("doc_id", "text"))
             for i in range(0, len(texts), 64):
                 some = texts[i:i + 64]
-                units = iter(aligner.of([t for t in some if t]))
+                found = aligner.documents(aligner.of([t for t in some if t]))
                 for doc, t in zip(ids[i:i + 64], some):
-                    n_a, n_b, n_groups, links, sha = aligner.document(next(units)) if t else (0, 0, 0, np.zeros(0, np.int64), "")
-                    held.append((doc, n_a, n_b, n_groups, links, sha))
+                    held.append((doc, *(next(found) if t else (0, 0, 0, np.zeros(0, np.int64), ""))))
                     size += len(t or "") + 100
                     if size >= chunk_bytes:
                         yield _chunk_row(name, held)

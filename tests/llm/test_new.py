@@ -278,8 +278,7 @@ def test_units_encode_as_the_whole_text():
     import public_tokenizers as P
     aligner, r = Aligner(P.path(A), P.path(B)), random.Random(5)
     texts = ["".join(r.choices(" ab\n.é'1▁\t日", k=r.randint(1, 60))) for _ in range(3000)]
-    for (text, found), units in zip(zip(texts, tokens(texts)), aligner.of(texts)):
-        out = aligner.document(units)
+    for text, found, out in zip(texts, tokens(texts), aligner.documents(aligner.of(texts))):
         assert (out[0], out[1]) == ((len(found[0]), len(found[1])) if found else (0, 0)), text
 
 
