@@ -55,6 +55,38 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
     return big.join(side, on, how)
 
 
+#: A key with one in HOT_SHARE of the rows, and HOT_LEAST rows, is hot.
+HOT_SHARE, HOT_LEAST = 1000, 1000
+
+
+def join_hot(df: DataFrame, table: DataFrame, on: list[str], weight: str) -> DataFrame:
+    """Left join with a table of one row a key, whose ``weight`` says how many
+    rows of ``df`` hold that key.
+
+    At most HOT_SHARE keys can hold one in HOT_SHARE of the rows each: these are
+    broadcast and their rows stay where they are; the rest is shuffled, and no
+    key is hot among it."""
+    from cellrisk.operators.panel import materialize
+    table = materialize(table)
+    total = table.agg(F.sum(weight)).first()[0] or 0
+    least = max(HOT_LEAST, -(-total // HOT_SHARE))
+    hot, cold = table.filter(F.col(weight) >= least), table.filter(F.col(weight) < least)
+    if hot.isEmpty():
+        return df.join(cold, on, "left")
+    own = F.broadcast(hot)
+    return df.join(own, on).unionByName(df.join(F.broadcast(hot.select(*on)), on, "left_anti").join(cold, on, "left"))
+
+
+def lookup_measured(df: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
+    """Left join with a table of one row a key, after counting how many rows of
+    ``df`` hold each key (one pass over the keys, combined map-side).  A stream
+    is joined plainly."""
+    if df.isStreaming:
+        return df.join(table, on, "left")
+    asked = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_asked"))
+    return join_hot(df, asked.join(table, on, "left"), on, "_asked").drop("_asked")
+
+
 def lookup_with_default(df: DataFrame, table: DataFrame, on: list[str], value: str,
                         default, out: str | None = None) -> DataFrame:
     """Left lookup join, missing -> ``default`` (a literal or a column)."""

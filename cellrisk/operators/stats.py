@@ -2,13 +2,15 @@
 
 * ``scalars``: one aggregate row (a handful of numbers) brought to the driver
   to parametrise later expressions - bounded by construction.
-* ``running_counts``: every distinct value with how many rows lie before it.
-  Values are counted first (map-side, so ties cost one row), then numbered
-  inside buckets that are a fixed monotone function of the value; only the
-  bucket totals, at most ``2 * 2100 * BUCKETS_PER_OCTAVE`` rows whatever the
-  input, are ordered in one window.
+* ``ranges``: every distinct value with its count, cut into ranges of about
+  equally many values by splitters that Spark samples from the values
+  themselves (a range exchange), whatever their spread.  Values are counted
+  first (map-side, so ties cost one row).
+* ``running_counts``: the same with how many rows lie before each value; only
+  the ranges' totals, a row for each range, are ordered in one window.
 * ``quantile_table`` / ``quantiles``: exact linear-interpolated quantiles
-  (numpy ``percentile``), grouped or global, one method at every size.
+  (numpy ``percentile``), grouped or global, one method at every size; only
+  the ranges that hold a wanted rank are searched.
 * ``average_rank``: tie-averaged ranks (pandas ``rank()``).
 * ``spearman``: correlation of average ranks over distinct (x, y) pairs.
 """
@@ -21,9 +23,6 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS_PER_OCTAVE = 128
-
-
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -34,46 +33,58 @@ def scalars(df: DataFrame, **exprs: Column) -> dict:
     return row.asDict() if row is not None else {k: None for k in exprs}
 
 
-def value_bucket(x: Column) -> Column:
-    """Monotone bucket number of a finite double: BUCKETS_PER_OCTAVE equal
-    steps between two powers of two, mirrored below zero.  A power of two
-    that ``log2`` rounds to either side gets the same number both ways."""
-    a = F.greatest(F.abs(x), F.lit(1e-300))
-    e = F.floor(F.log2(a))
-    step = F.floor((a / F.pow(F.lit(2.0), e) - 1) * BUCKETS_PER_OCTAVE)
-    b = ((e + 1050) * BUCKETS_PER_OCTAVE + step).cast("long")
-    return F.when(x == 0, F.lit(0).cast("long")).otherwise(F.signum(x).cast("long") * b)
+def ranges(df: DataFrame, col: str, groups: Sequence[str] = ()) -> DataFrame:
+    """Distinct non-null, non-NaN values per group: (groups..., col, _cnt, _b).
+
+    ``_b`` numbers ranges of neighbouring values that grows with (groups, col).
+    The table is written once, so all that follows sees the same splitters."""
+    from cellrisk.operators.panel import materialize
+    x = F.col(col).cast("double")
+    vc = (df.select(*groups, x.alias(col)).filter(F.col(col).isNotNull() & ~F.isnan(col))
+          .groupBy(*groups, col).agg(F.count(F.lit(1)).alias("_cnt")))
+    return materialize(vc.repartitionByRange(*groups, col).withColumn("_b", F.spark_partition_id()))
+
+
+def _totals(ranged: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """(groups..., _b, _t, _off, _n): a range's rows, those before it, its group's."""
+    tot = ranged.groupBy(*groups, "_b").agg(F.sum("_cnt").alias("_t"))
+    whole = Window.partitionBy(*groups)
+    before = F.sum("_t").over(whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))
+    return tot.select(*groups, "_b", "_t", F.coalesce(before, F.lit(0)).alias("_off"), F.sum("_t").over(whole).alias("_n"))
+
+
+def _counted(ranged: DataFrame, totals: DataFrame, col: str, groups: Sequence[str]) -> DataFrame:
+    """Values of the ranges in ``totals``: (groups..., col, _cnt, _before, _n)."""
+    on = F.col("v._b") == F.col("t._b")
+    for c in groups:
+        on = on & F.col(f"v.{c}").eqNullSafe(F.col(f"t.{c}"))
+    j = ranged.alias("v").join(totals.alias("t"), on).select(*[F.col(f"v.{c}") for c in (*groups, col, "_cnt", "_b")], "_off", "_n")
+    # by range of range numbers: neighbours stay together and tasks get like shares
+    w = Window.partitionBy(*groups, "_b").orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
+    return (j.repartitionByRange("_b").withColumn("_before", F.col("_off") + F.sum("_cnt").over(w) - F.col("_cnt"))
+            .select(*groups, col, "_cnt", "_before", "_n"))
 
 
 def running_counts(df: DataFrame, col: str, groups: Sequence[str] = ()) -> DataFrame:
     """Distinct non-null, non-NaN values per group: (groups..., col, _cnt,
     _before, _n) - rows with the value, rows with a smaller one, all rows."""
-    g = list(groups)
-    x = F.col(col).cast("double")
-    vc = (df.select(*g, x.alias(col)).filter(F.col(col).isNotNull() & ~F.isnan(col))
-          .groupBy(*g, col).agg(F.count(F.lit(1)).alias("_cnt")).withColumn("_b", value_bucket(F.col(col))))
-    tot = vc.groupBy(*g, "_b").agg(F.sum("_cnt").alias("_t"))
-    whole = Window.partitionBy(*g)
-    tot = tot.select(*g, "_b", F.coalesce(F.sum("_t").over(whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
-                     F.sum("_t").over(whole).alias("_n"))
-    w = Window.partitionBy(*g, "_b").orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
-    on = [*(F.col(f"v.{c}").eqNullSafe(F.col(f"t.{c}")) for c in g), F.col("v._b") == F.col("t._b")]
-    cond = on[0]
-    for c in on[1:]:
-        cond = cond & c
-    j = vc.alias("v").join(tot.alias("t"), cond).select(*[F.col(f"v.{c}") for c in (*g, col, "_cnt", "_b")], "_off", "_n")
-    return j.withColumn("_before", F.col("_off") + F.sum("_cnt").over(w) - F.col("_cnt")).select(*g, col, "_cnt", "_before", "_n")
+    ranged = ranges(df, col, groups)
+    return _counted(ranged, _totals(ranged, groups), col, groups)
 
 
 def quantile_table(df: DataFrame, col: str, qs: Sequence[float], groups: Sequence[str] = (), out: str = "q") -> DataFrame:
     """(groups..., ``out``: array of the quantiles, ``n``), numpy-equal."""
-    rc = running_counts(df, col, groups)
-    n, before, cnt = F.col("_n"), F.col("_before"), F.col("_cnt")
+    ranged = ranges(df, col, groups)
+    n, ranks = F.col("_n"), []
+    for q in qs:
+        lo = F.floor(F.lit(float(q)) * (n - 1))
+        ranks += [lo, F.least(lo + 1, n - 1)]
+    wanted = F.exists(F.array(*ranks), lambda r: (F.col("_off") <= r) & (r < F.col("_off") + F.col("_t")))
+    rc = _counted(ranged, _totals(ranged, groups).filter(wanted), col, groups)
+    before, cnt = F.col("_before"), F.col("_cnt")
     aggs, parts = [F.max("_n").alias("n")], []
     for i, q in enumerate(qs):
-        pos = F.lit(float(q)) * (n - 1)
-        lo = F.floor(pos)
-        for k, rank in (("lo", lo), ("hi", F.least(lo + 1, n - 1))):
+        for k, rank in (("lo", ranks[2 * i]), ("hi", ranks[2 * i + 1])):
             aggs.append(F.max(F.when((before <= rank) & (rank < before + cnt), F.col(col))).alias(f"_{k}{i}"))
         p = F.lit(float(q)) * (F.col("n") - 1)
         parts.append(F.col(f"_lo{i}") + (p - F.floor(p)) * (F.col(f"_hi{i}") - F.col(f"_lo{i}")))
@@ -135,6 +146,8 @@ def spearman(df: DataFrame, x: str, y: str) -> float | None:
 
 
 def ranked(df: DataFrame, col: str, out: str = "rank") -> DataFrame:
-    """Rows of ``df`` with the average rank of ``col`` attached."""
-    ranks = average_rank(df, col, out).drop("_cnt").withColumnRenamed(col, "_v")
-    return df.join(ranks, F.col(col).cast("double") == F.col("_v"), "left").drop("_v")
+    """Rows of ``df`` with the average rank of ``col`` attached.  Rows of a value
+    that many share are ranked where they are."""
+    from cellrisk.operators.joins import join_hot
+    ranks = running_counts(df, col).select(F.col(col).alias("_v"), _rank().alias(out), "_cnt")
+    return join_hot(df.withColumn("_v", F.col(col).cast("double")), ranks, ["_v"], "_cnt").drop("_v", "_cnt")

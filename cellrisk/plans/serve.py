@@ -16,6 +16,7 @@ from cellrisk.functions import score as SC
 from cellrisk.functions import timefx as T
 from cellrisk.functions.space import grid_cells, in_box
 from cellrisk.operators.clean import locked_features
+from cellrisk.operators.joins import lookup_measured
 
 DISCLAIMER = ("Statistical estimate from historical incident patterns; not a prediction "
               "that an incident will occur.")
@@ -47,7 +48,7 @@ def build_features_batch(req: DataFrame, grid: DataFrame, ts: str = "local_ts",
     tf = T.time_features(ts)
     r = req.withColumns({"lat_r": g["lat_r"], "lon_r": g["lon_r"], "cell_id": g["cell_id"], **tf})
     lookup = grid.select("cell_id", "dow", "hour", *P.AGGREGATE_COLUMNS)
-    j = r.join(lookup, ["cell_id", "dow", "hour"], "left").fillna(0.0, subset=P.AGGREGATE_COLUMNS)
+    j = lookup_measured(r, lookup, ["cell_id", "dow", "hour"]).fillna(0.0, subset=P.AGGREGATE_COLUMNS)
     return j.withColumn("data_coverage", F.when(F.col("cell_total_count") > 0, "historical_data")
                         .otherwise("no_historical_data"))
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cellrisk.operators import neighbours as NB
 from cellrisk.operators.drift import psi_table
 from cellrisk.operators.joins import broadcast_threshold
-from cellrisk.operators.stats import average_rank, quantile_table, quantiles, spearman, value_bucket
+from cellrisk.operators.stats import average_rank, quantile_table, quantiles, ranges, ranked, spearman
 
 
 @pytest.mark.parametrize("ties", [0.0, 0.6, 1.0])
@@ -25,10 +25,37 @@ def test_quantiles_are_exact_with_ties(spark, ties):
     assert quantiles(df.limit(0), "x", [0.5]) == [None]
 
 
-def test_value_buckets_are_monotone(spark):
-    edge = sorted({s * float(np.nextafter(2.0 ** e, d)) for e in range(-20, 21) for d in (0, 2.0 ** e, 1e9) for s in (1, -1)} | {0.0, 1e-320, -1e-320, 1e308, -1e308})
-    got = [r["b"] for r in spark.createDataFrame([(i, v) for i, v in enumerate(edge)], "i int, v double").select("i", value_bucket(F.col("v")).alias("b")).orderBy("i").collect()]
-    assert got == sorted(got)
+@pytest.mark.parametrize("kind", ["latitude", "epoch", "mixed", "tied"])
+def test_ranges_hold_like_shares_of_narrow_values(spark, kind):
+    """Splitters come from the values, so no range grows with their narrowness."""
+    x = {"latitude": "41.6 + (id * 7919 % 1000003) / 2.5e6", "epoch": "1.7e9 + (id * 7919 % 1000003)", "mixed": "if(id % 2 = 0, 1, -1) * pow(10, id % 40 - 20) * id",
+         "tied": "if(id % 3 = 0, 5.0, (id * 7919 % 1000003) / 1e9)"}[kind]
+    df = spark.range(400_000).selectExpr(f"cast({x} as double) as x")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    was = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "false")
+        held = [r["n"] for r in ranges(df, "x").groupBy("_b").agg(F.count(F.lit(1)).alias("n")).collect()]
+    finally:
+        spark.conf.set(key, was)
+    assert len(held) == 8 and max(held) < 2 * sum(held) / len(held)
+    vals = [r["x"] for r in df.collect()]
+    assert np.allclose(quantiles(df, "x", [0.1, 0.5, 0.999]), np.percentile(vals, [10, 50, 99.9]), rtol=1e-12)
+
+
+def test_ranked_rows_of_a_hot_value(spark):
+    vals = [1.0] * 4000 + [float(i) for i in range(3000)]
+    got = [(r["x"], r["rank"]) for r in ranked(spark.createDataFrame([(v,) for v in vals] + [(None,)], "x double"), "x").collect()]
+    exp = pd.Series(vals).rank()
+    assert sorted(got, key=repr) == sorted([*zip(vals, exp), (None, None)], key=repr)
+
+
+def test_lookup_of_a_hot_slot(spark):
+    from cellrisk.operators.joins import lookup_measured
+    left = spark.createDataFrame([("hot", i) for i in range(3000)] + [(f"k{i % 7}", i) for i in range(500)] + [(None, 1)], "k string, i int")
+    table = spark.createDataFrame([("hot", 1.0), ("k1", 2.0), ("other", 3.0)], "k string, v double")
+    got = sorted(map(tuple, lookup_measured(left, table, ["k"]).select("k", "i", "v").collect()), key=repr)
+    assert got == sorted(map(tuple, left.join(table, "k", "left").select("k", "i", "v").collect()), key=repr) and len(got) == 3501
 
 
 def test_broadcast_threshold_notations(spark):
