@@ -61,26 +61,44 @@ def quantile_bins(df: DataFrame, col: str, q: int = 5, labels=None, out: str = "
     return df.withColumn(out, expr)
 
 
+def segments(seg: DataFrame, y: str = "y", pm: str = "pred_model", pb: str = "pred_baseline",
+             cell: str = "cell_id", hour: str = "hour") -> DataFrame:
+    """(kind, segment, n, err_model, err_baseline, model_gt*, baseline_gt*) per
+    label quintile, hour group and cell, and over all rows: grouping sets of one
+    aggregate."""
+    s = seg.withColumns({"err_model": F.abs(F.col(y) - F.col(pm)),
+                         "err_baseline": F.abs(F.col(y) - F.col(pb))})
+    s = quantile_bins(s, y, 5, P.QUINTILE_LABELS).withColumn("hour_group", hour_group(F.col(hour)))
+    sides = {"quantile": "quantile", "hour_group": "hour_group", "cell": cell}
+    s = s.select("err_model", "err_baseline", *[F.col(c).cast("string").alias(k) for k, c in sides.items()])
+    aggs = [F.count(F.lit(1)).alias("n"), F.avg("err_model").alias("err_model"), F.avg("err_baseline").alias("err_baseline")]
+    aggs += [(F.avg((F.col(f"err_{who}") > t).cast("double")) * 100).alias(f"{who}_gt{t}")
+             for t in P.LARGE_ERROR_THRESHOLDS for who in ("model", "baseline")]
+    kind, segment = F.lit("all"), F.lit(None).cast("string")
+    for k in sides:
+        kind, segment = F.when(F.grouping(k) == 0, F.lit(k)).otherwise(kind), F.when(F.grouping(k) == 0, F.col(k)).otherwise(segment)
+    sets = [[F.col(k)] for k in sides] + [[]]
+    got = s.groupingSets(sets, *[F.col(k) for k in sides]).agg(kind.alias("kind"), segment.alias("segment"), *aggs)
+    return got.drop(*sides)
+
+
 def segmented(seg: DataFrame, y: str = "y", pm: str = "pred_model", pb: str = "pred_baseline",
               cell: str = "cell_id", hour: str = "hour") -> dict[str, DataFrame]:
     """MAE per label quintile and per hour group (model vs baseline), large
-    error shares and worst cells."""
-    s = seg.withColumns({"err_model": F.abs(F.col(y) - F.col(pm)),
-                         "err_baseline": F.abs(F.col(y) - F.col(pb))})
-    s = quantile_bins(s, y, 5, P.QUINTILE_LABELS)
-    s = s.withColumn("hour_group", hour_group(F.col(hour)))
-    per_q = (s.groupBy("quantile").agg(F.avg("err_model").alias("err_model"),
-                                      F.avg("err_baseline").alias("err_baseline"))
-             .withColumn("improvement_pct", (1 - F.col("err_model") / F.col("err_baseline")) * 100))
-    per_h = s.groupBy("hour_group").agg(F.avg("err_model").alias("err_model"),
-                                       F.avg("err_baseline").alias("err_baseline"))
-    large = s.agg(*[x for t in P.LARGE_ERROR_THRESHOLDS for x in (
-        (F.avg((F.col("err_model") > t).cast("double")) * 100).alias(f"model_gt{t}"),
-        (F.avg((F.col("err_baseline") > t).cast("double")) * 100).alias(f"baseline_gt{t}"))])
-    worst = (s.groupBy(cell).agg(F.avg("err_model").alias("mean"), F.count(F.lit(1)).alias("count"))
-             .filter(F.col("count") >= 10).orderBy(F.desc("mean"), F.asc(cell)).limit(5))
+    error shares, worst cells and both predictors' rank correlation with the
+    label, all but the last from one aggregated table."""
+    from cellrisk.operators.panel import materialize
+    s = materialize(segments(seg, y, pm, pb, cell, hour))
+    gain = (1 - F.col("err_model") / F.col("err_baseline")) * 100
+    per_q = s.filter("kind = 'quantile'").select(F.col("segment").alias("quantile"), "err_model", "err_baseline", gain.alias("improvement_pct"))
+    per_h = s.filter("kind = 'hour_group'").select(F.col("segment").alias("hour_group"), "err_model", "err_baseline")
+    large = s.filter("kind = 'all'").select(*[f"{who}_gt{t}" for t in P.LARGE_ERROR_THRESHOLDS for who in ("model", "baseline")])
+    worst = (s.filter((F.col("kind") == "cell") & (F.col("n") >= 10)).select(F.col("segment").alias(cell), F.col("err_model").alias("mean"), F.col("n").alias("count"))
+             .orderBy(F.desc("mean"), F.asc(cell)).limit(5))
+    both = seg.select(F.col(y).alias("y"), F.explode(F.array(*[F.struct(F.lit(who).alias("predictor"), F.col(c).cast("double").alias("pred")) for who, c in (("model", pm), ("baseline", pb))])).alias("p"))
+    rank = spearman_by(both.select("y", "p.*"), ["predictor"], "pred", "y", "spearman")
     return {"per_quintile": per_q, "per_hour_group": per_h, "large_error_fractions": large,
-            "worst_cells": worst}
+            "worst_cells": worst, "spearman": rank}
 
 
 def tier_accuracy(df: DataFrame, a: str, b: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Models on MLlib: candidates, selection, importance, ablation, bundles.
 
-Fits are distributed MLlib estimators; metrics are one grouped aggregate
+Fits are distributed MLlib estimators, kept in the model store
+(``modelstore``); metrics are one grouped aggregate
 over a long predictions table (``evaluate.metrics``).  The driver only
 loops over a handful of candidate names.
 """
@@ -9,11 +10,10 @@ from __future__ import annotations
 
 import json
 import os
-import time
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, Window
@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from cellrisk import params as P
 from cellrisk.operators.clean import locked_features
 from cellrisk.operators.evaluate import metrics
-from cellrisk.operators.splits import md5_unit
 
 TARGET = P.TARGET_COLUMN
 
@@ -35,8 +34,11 @@ def ridge(alpha: float = 1.0, n: int = 1, y_std: float = 1.0, standardize: bool
 
 
 def random_forest(num_trees: int = 200, min_leaf: int = 2, max_depth: int = 30, seed: int = P.RANDOM_STATE):
+    """Rows carry the node they are in (checkpointed to the shared folder every
+    few levels), so the trees grown so far are not shipped with each level."""
     return RandomForestRegressor(featuresCol="features", labelCol=TARGET, numTrees=num_trees,
-                                 minInstancesPerNode=min_leaf, maxDepth=max_depth, seed=seed, maxMemoryInMB=1024)
+                                 minInstancesPerNode=min_leaf, maxDepth=max_depth, seed=seed, maxMemoryInMB=1024,
+                                 cacheNodeIds=True, checkpointInterval=10)
 
 
 def boosted_trees(max_iter: int = 100, max_depth: int = 6, step: float = 0.3, seed: int = P.RANDOM_STATE):
@@ -44,6 +46,19 @@ def boosted_trees(max_iter: int = 100, max_depth: int = 6, step: float = 0.3, se
                         stepSize=step, seed=seed)
 
 
+#: Rows of one training partition.  Each partition of a level holds bin
+#: statistics of every open node, so too many cost more than they share.
+ROWS_PER_PARTITION = 5_000
+
+
+def training_rows(df: DataFrame, n: int | None = None) -> DataFrame:
+    """Rows in partitions of a size that suits a fit, written once: a fit of
+    hundreds of rounds starts each from a flat scan."""
+    from cellrisk.operators.panel import materialize
+    n = df.count() if n is None else n
+    return materialize(df.repartition(max(1, -(-n // ROWS_PER_PARTITION))))
+
+
 def candidate_models(train: DataFrame) -> dict:
     """Name -> unfitted estimator (the three candidate families, full size)."""
     s = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(TARGET).alias("sd")).first()
@@ -79,26 +94,21 @@ def scratch_path(spark, name: str) -> str:
 
 def train_candidates(train: DataFrame, test: DataFrame, features: list[str], key: list[str],
                      estimators: dict | None = None, clip: bool = False):
-    """Fit every candidate, collect metrics, fit seconds and artefact size.
-    Returns (metrics DataFrame, {name: fitted PipelineModel})."""
+    """Fit every candidate, or load it from the model store; metrics, fit
+    seconds and artefact size.  Returns (metrics DataFrame, {name: fitted PipelineModel})."""
+    from cellrisk.operators.modelstore import fitted as stored_fit
     spark = train.sparkSession
     tr = prepare(train, features, keep=key + [TARGET])
     te = prepare(test, features, keep=key + [TARGET])
     estimators = estimators or candidate_models(tr)
     fitted, preds, extra = {}, [], []
     for name, est in estimators.items():
-        pipe = Pipeline(stages=[assembler(features), est])
-        t0 = time.perf_counter()
-        model = pipe.fit(tr)
-        secs = time.perf_counter() - t0
-        path = scratch_path(spark, "model")
-        model.save(path)
-        kb = _dir_kb(spark, path)
+        model, made = stored_fit(tr, features, est)
         p = model.transform(te).select(*key, F.col(TARGET).alias("y"), F.col("prediction").alias("pred"))
         if clip:
             p = p.withColumn("pred", F.greatest(F.lit(0.0), F.least(F.lit(100.0), F.col("pred"))))
         preds.append(p.withColumn("model", F.lit(name)))
-        extra.append((name, round(secs, 4), round(kb, 1)))
+        extra.append((name, made["train_seconds"], made["artifact_kb"]))
         fitted[name] = model
     allp = preds[0]
     for p in preds[1:]:
@@ -126,44 +136,49 @@ def select_champion(table: DataFrame, margin: float = P.MAE_TIE_MARGIN) -> DataF
                       "artifact_kb")
 
 
-def permute_column(df: DataFrame, col: str, key: list[str], seed: int, buckets: int | None = None) -> DataFrame:
-    """Shuffle one column across rows: rows are hashed into buckets (by the
-    row key, never by a feature); inside each bucket the k-th row in key
-    order takes the value of the k-th row in seeded md5 order.  Windows are
-    partitioned by bucket, of about 50 000 rows whatever the table's size;
-    values and row count are kept."""
-    buckets = buckets or 1 + df.count() // 50_000
-    kcols = [F.col(c) for c in key]
-    b = (F.abs(F.xxhash64(*kcols)) % buckets).alias("_bk")
-    base = df.withColumn("_bk", b).withColumn("_ord", md5_unit(F.lit(str(seed)), *key))
-    w_key = Window.partitionBy("_bk").orderBy(*kcols)
-    w_rnd = Window.partitionBy("_bk").orderBy("_ord", *kcols)
-    left = base.withColumn("_rn", F.row_number().over(w_key)).drop(col)
-    right = base.select("_bk", F.row_number().over(w_rnd).alias("_rn"), F.col(col))
-    return left.join(right, ["_bk", "_rn"]).drop("_bk", "_rn", "_ord")
+def numbered(df: DataFrame, by: list, out: str = "_rn") -> DataFrame:
+    """Rows with their place in the order of ``by``, from 0, over the whole
+    table: a range exchange, and offsets from the ranges' row counts (one small
+    row for each range)."""
+    from cellrisk.operators.panel import materialize
+    ranged = materialize(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33)
+    sizes = ranged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
+    w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(w), F.lit(0)).alias("_off"))
+    place = F.col("_off") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return ranged.withColumn("_part", part).join(F.broadcast(offsets), "_part").withColumn(out, place).drop("_part", "_off", "_at")
+
+
+def permuted(df: DataFrame, columns: list[str], key: list[str], repeats: int, seed: int) -> DataFrame:
+    """Every row ``repeats`` times (``_r``), each time with the ``columns`` of
+    another row beside its own, in the struct ``_other``: the k-th row in order
+    of the key meets the k-th in order of a seeded hash, so each repeat is one
+    permutation of the whole table."""
+    own = numbered(df, key)
+    n = own.count()
+    each = own.select(*columns, *key, F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("_r"))
+    each = each.withColumn("_hash", F.md5(F.concat_ws("|", F.col("_r") + F.lit(seed), *[F.col(c).cast("string") for c in key])))
+    others = numbered(each, ["_r", "_hash", *key]).select("_r", (F.col("_rn") - F.col("_r") * n).alias("_rn"), F.struct(*columns).alias("_other"))
+    return own.join(others, "_rn").drop("_rn")
 
 
 def permutation_importance(model: PipelineModel, test: DataFrame, features: list[str], key: list[str],
                            repeats: int = 5, seed: int = P.RANDOM_STATE) -> DataFrame:
-    """MAE increase when one feature is shuffled, mean and std over repeats."""
-    spark = test.sparkSession
-    te = prepare(test, features, keep=key + [TARGET])
-
-    def mae(d: DataFrame) -> float:
-        return model.transform(d).agg(F.avg(F.abs(F.col(TARGET) - F.col("prediction")))).first()[0]
+    """MAE increase when one feature is shuffled, mean and std over repeats.
 
-    from cellrisk.operators.panel import materialize
-    te = materialize(te)
-    buckets = 1 + te.count() // 50_000
-    base = mae(te)
-    rows = []
-    for f in features:
-        vals = [mae(permute_column(te, f, key, seed + r, buckets)) - base for r in range(repeats)]
-        mean = sum(vals) / len(vals)
-        std = (sum((v - mean) ** 2 for v in vals) / len(vals)) ** 0.5
-        rows.append((f, float(mean), float(std)))
-    return spark.createDataFrame(rows, "feature string, importance_mean double, importance_std double") \
-                .orderBy(F.desc("importance_mean"))
+    Rows, features and repeats are stacked: one transform scores them all and
+    one aggregate gives every error."""
+    te = prepare(test, features, keep=key + [TARGET])
+    both = permuted(te, features, key, repeats, seed)
+    # variant f has feature f of the other row; variant "" is the row itself
+    variants = F.array(*[F.struct(F.lit(v).alias("_feature"), *[(F.col(f"_other.{f}") if f == v else F.col(f)).alias(f) for f in features]) for v in ("", *features)])
+    stacked = both.select(F.col(TARGET).alias("_y"), "_r", F.explode(variants).alias("v")).select("_y", "_r", "v.*")
+    mae = (model.transform(stacked).groupBy("_feature", "_r").agg(F.avg(F.abs(F.col("_y") - F.col("prediction"))).alias("mae")))
+    base = mae.filter("_feature = ''").select("_r", F.col("mae").alias("base"))
+    return (mae.filter("_feature <> ''").join(F.broadcast(base), "_r").groupBy(F.col("_feature").alias("feature"))
+            .agg(F.avg(F.col("mae") - F.col("base")).alias("importance_mean"), F.stddev_pop(F.col("mae") - F.col("base")).alias("importance_std"))
+            .orderBy(F.desc("importance_mean")))
 
 
 def target_encoding_ablation(protocols: dict, features: list[str], key: list[str], estimator_fn) -> DataFrame:
@@ -188,7 +203,7 @@ def target_encoding_ablation(protocols: dict, features: list[str], key: list[str
     return out
 
 
-def fingerfoundrow(df: DataFrame) -> dict:
+def dataset_row(df: DataFrame) -> dict:
     from cellrisk.operators.profile import fingerprint
     r = fingerprint(df).first()
     return {"n_rows": int(r["n_rows"]), "hash": r["digest"]}
@@ -200,7 +215,7 @@ def save_bundle(model: PipelineModel, algorithm: str, metrics_summary: dict, dat
     returns the metadata row as a DataFrame."""
     spark = dataset.sparkSession
     model.save(os.path.join(path, "model"))
-    found = fingerfoundrow(dataset)
+    found = dataset_row(dataset)
     meta = {
         "algorithm": algorithm, "feature_columns": list(P.FEATURE_COLUMNS),
         "label_params": json.dumps(label_params, sort_keys=True), "model_version": version,

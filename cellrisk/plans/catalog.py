@@ -857,6 +857,11 @@ def q_seg_large(spark, sf_dir):
     return r6(_segmented(spark, sf_dir)["large_error_fractions"])
 
 
+@query("segmented_spearman")
+def q_seg_spearman(spark, sf_dir):
+    return r4(_segmented(spark, sf_dir)["spearman"])
+
+
 @query("worst_cells")
 def q_worst(spark, sf_dir):
     return r6(_segmented(spark, sf_dir)["worst_cells"])
@@ -1379,12 +1384,12 @@ def _final_model(spark, sf_dir):
     """(name, model): the champion, fitted again on all rows."""
     key = (id(spark), sf_dir, "final_model")
     if key not in _MEMO:
-        from pyspark.ml import Pipeline
-        from cellrisk.operators.models import assembler, candidate_models, prepare
+        from cellrisk.operators.models import candidate_models, prepare
+        from cellrisk.operators.modelstore import fitted
         from cellrisk.params import FEATURE_COLUMNS
         name = _champion_name(spark, sf_dir)
         tr = prepare(hourly_grid_df(spark, sf_dir), FEATURE_COLUMNS, keep=GRID_KEY + ["risk_score"])
-        _MEMO[key] = name, Pipeline(stages=[assembler(FEATURE_COLUMNS), candidate_models(tr)[name]]).fit(tr)
+        _MEMO[key] = name, fitted(tr, FEATURE_COLUMNS, candidate_models(tr)[name])[0]
     return _MEMO[key]
 
 
@@ -1568,8 +1573,8 @@ def _champion_predictions(spark, sf_dir):
     of the champion, fitted on each protocol's train."""
     key = (id(spark), sf_dir, "champion_predictions")
     if key not in _MEMO:
-        from pyspark.ml import Pipeline
-        from cellrisk.operators.models import assembler, candidate_models, prepare
+        from cellrisk.operators.models import candidate_models, prepare
+        from cellrisk.operators.modelstore import fitted as stored_fit
         from cellrisk.operators.panel import materialize
         from cellrisk.operators.splits import protocol_frames
         from cellrisk.params import FEATURE_COLUMNS
@@ -1582,7 +1587,7 @@ def _champion_predictions(spark, sf_dir):
             model = fitted[best]
             if p != "B":
                 tr = prepare(pf[p]["train"], FEATURE_COLUMNS, keep=GRID_KEY + ["risk_score"])
-                model = Pipeline(stages=[assembler(FEATURE_COLUMNS), candidate_models(tr)[best]]).fit(tr)
+                model, _ = stored_fit(tr, FEATURE_COLUMNS, candidate_models(tr)[best])
             te = prepare(pf[p]["test"], FEATURE_COLUMNS, keep=GRID_KEY + ["risk_score"])
             own = model.transform(te).select(*GRID_KEY, F.col("risk_score").alias("y"), F.lit(best).alias("predictor"),
                                              F.col("prediction").alias("pred"), F.lit("model").alias("predictor_type"))
@@ -1603,7 +1608,8 @@ def q_champion_comparison(spark, sf_dir):
 def q_champion_segments(spark, sf_dir):
     """The champion and the strongest simple baseline on B, as (segment_kind,
     segment, ...): MAE by label quintile and by hour group, percentages of rows
-    with a large error, and the champion's worst cells with their row counts."""
+    with a large error, the champion's worst cells with their row counts, and the
+    rank correlations with the label."""
     from cellrisk.operators.evaluate import segmented
     from cellrisk.params import LARGE_ERROR_THRESHOLDS
     b = _champion_predictions(spark, sf_dir).filter(F.col("protocol") == "B")
@@ -1621,7 +1627,9 @@ def q_champion_segments(spark, sf_dir):
         for t in LARGE_ERROR_THRESHOLDS])).alias("x")).select(F.lit("large_error_pct").alias("segment_kind"), "x.*").select("*", none.alias("improvement_pct"), n)
     worst = s["worst_cells"].select(F.lit("worst_cell").alias("segment_kind"), F.col("cell_id").alias("segment"), F.col("mean").alias("err_model"),
                                     none.alias("err_baseline"), none.alias("improvement_pct"), F.col("count").alias("n"))
-    return r4(q.unionByName(h).unionByName(large).unionByName(worst))
+    rank = s["spearman"].groupBy().agg(*[F.max(F.when(F.col("predictor") == who, F.col("spearman"))).alias(f"err_{who}") for who in ("model", "baseline")])
+    rank = rank.select(F.lit("spearman").alias("segment_kind"), F.lit("all").alias("segment"), "err_model", "err_baseline", none.alias("improvement_pct"), n)
+    return r4(q.unionByName(h).unionByName(large).unionByName(worst).unionByName(rank))
 
 
 MONTHLY_V1_V2 = ("v1", "v2")
@@ -1632,8 +1640,8 @@ def _monthly_predictions(spark, sf_dir):
     """(generation, model, part, gi, gj, period_str, y, pred) of both monthly
     generations: three candidates on the features (v1) and on features with
     lagged risk (v2), clipped to 0..100, on the validation and test months."""
-    from pyspark.ml import Pipeline
-    from cellrisk.operators.models import assembler, boosted_trees, candidate_models, prepare
+    from cellrisk.operators.models import boosted_trees, candidate_models, prepare
+    from cellrisk.operators.modelstore import fitted
     from cellrisk.operators.panel import materialize
     from cellrisk.operators.splits import split_chrono
     from cellrisk.params import FEATURE_COLUMNS_MONTHLY, RISK_LAG_COLUMNS
@@ -1645,7 +1653,7 @@ def _monthly_predictions(spark, sf_dir):
         ests = candidate_models(a)
         ests["Model: Gradient Boosted Trees"] = boosted_trees(400, 6, 0.08)
         for name, est in ests.items():
-            model = Pipeline(stages=[assembler(feats), est]).fit(a)
+            model, _ = fitted(a, feats, est)
             for part, d in (("val", b), ("test", c)):
                 p = model.transform(d).select(F.lit(gen).alias("generation"), F.lit(name).alias("model"), F.lit(part).alias("part"),
                                               "gi", "gj", "period_str", F.col("risk_score").alias("y"), clip.alias("pred"))

@@ -871,6 +871,9 @@ oracle("large_error_shares", SEG_CTES + "\nselect " + ", ".join(
     f"round(avg(cast(err_model > {t} as double)) * 100, 6) as model_gt{t}, "
     f"round(avg(cast(err_baseline > {t} as double)) * 100, 6) as baseline_gt{t}"
     for t in P.LARGE_ERROR_THRESHOLDS) + " from seg")
+oracle("segmented_spearman", SEG_CTES + f""", sr as (select {avg_rank_sql('seg', 'y', 'ry')}, {avg_rank_sql('seg', 'pred_model', 'rm')},
+  {avg_rank_sql('seg', 'pred_baseline', 'rb')} from seg)
+select 'model' as predictor, round(corr(ry, rm), 4) as spearman from sr union all select 'baseline', round(corr(ry, rb), 4) from sr""")
 oracle("worst_cells", SEG_CTES + """
 select cell_id, round(avg(err_model), 6) as mean, count(*) as count from seg group by 1 having count(*) >= 10
 order by mean desc, cell_id asc limit 5""")

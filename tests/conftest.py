@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -15,6 +16,7 @@ def spark():
     s = (SparkSession.builder.master("local[4]").appName("cellrisk-tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.driver.memory", "4g")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="cellrisk-warehouse-", dir="/tmp"))
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")

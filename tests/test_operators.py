@@ -137,10 +137,47 @@ def test_psi_matches_numpy(spark):
     assert math.isclose(got, float(np.sum((aa - ee) * np.log(aa / ee))), rel_tol=1e-9)
 
 
-def test_permutation_keeps_values(spark):
-    from cellrisk.operators.models import permute_column
-    df = spark.createDataFrame([(i, float(i % 17)) for i in range(500)], "k long, v double")
-    p = permute_column(df, "v", ["k"], seed=1, buckets=4)
-    assert p.count() == 500
-    assert sorted(r.v for r in p.collect()) == sorted(r.v for r in df.collect())
-    assert p.join(df.withColumnRenamed("v", "v0"), "k").filter("v <> v0").count() > 0
+def test_permutation_is_one_over_the_whole_table(spark):
+    from cellrisk.operators.models import numbered, permuted
+    df = spark.createDataFrame([(i, float(i % 17), float(i)) for i in range(500)], "k long, v double, u double").repartition(5)
+    assert [r["k"] for r in numbered(df, ["k"]).orderBy("_rn").collect()] == list(range(500))
+    out = permuted(df, ["v", "u"], ["k"], 3, 1).collect()
+    for r in range(3):
+        rows = [x for x in out if x["_r"] == r]
+        assert len(rows) == 500 and sorted(x["_other"]["u"] for x in rows) == sorted(x["u"] for x in rows)
+        assert sum(x["_other"]["u"] != x["u"] for x in rows) > 450
+    assert len({tuple(x["_other"]["u"] for x in sorted(out, key=lambda x: x["k"]) if x["_r"] == r) for r in range(3)}) == 3
+
+
+def test_permutation_importance_is_that_of_a_shuffle(spark):
+    from cellrisk.operators.models import assembler, permutation_importance, permuted
+    from pyspark.ml import Pipeline
+    from pyspark.ml.regression import LinearRegression
+    rnd = np.random.default_rng(2)
+    x = rnd.normal(size=(600, 3))
+    y = 3 * x[:, 0] + x[:, 1]
+    df = spark.createDataFrame([(i, *map(float, r), float(t)) for i, (r, t) in enumerate(zip(x, y))], "k long, a double, b double, c double, risk_score double")
+    model = Pipeline(stages=[assembler(["a", "b", "c"]), LinearRegression(labelCol="risk_score")]).fit(df)
+    got = {r["feature"]: r for r in permutation_importance(model, df, ["a", "b", "c"], ["k"], repeats=4, seed=9).collect()}
+    pairs = permuted(df, ["a", "b", "c"], ["k"], 4, 9).collect()
+    for f, w in (("a", 3.0), ("b", 1.0), ("c", 0.0)):
+        each = [np.mean([abs(w * (p["_other"][f] - p[f])) for p in pairs if p["_r"] == r]) for r in range(4)]  # by hand, on the same shuffles
+        assert math.isclose(got[f]["importance_mean"], np.mean(each), abs_tol=1e-6) and math.isclose(got[f]["importance_std"], np.std(each), abs_tol=1e-6)
+        assert math.isclose(got[f]["importance_mean"], w * 2 / math.sqrt(math.pi), abs_tol=0.1 * w + 1e-6)  # E|z - z'| of normals
+
+
+def test_segments_are_one_aggregate(spark):
+    from cellrisk.operators.evaluate import segmented, segments
+    rnd = np.random.default_rng(4)
+    rows = [(f"c{i % 9}", int(h), float(t), float(t + e), float(t - 2 * e)) for i, (h, t, e) in enumerate(zip(rnd.integers(0, 24, 400), rnd.uniform(0, 100, 400), rnd.normal(0, 8, 400)))]
+    df = spark.createDataFrame(rows, "cell_id string, hour int, y double, pred_model double, pred_baseline double")
+    plan = segments(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1 and "Expand" in plan
+    p = pd.DataFrame(rows, columns=df.columns)
+    p["em"], p["q"] = (p.y - p.pred_model).abs(), pd.qcut(p.y, 5, labels=False)
+    s = segmented(df)
+    assert np.allclose(sorted(r["err_model"] for r in s["per_quintile"].collect()), sorted(p.groupby("q").em.mean()))
+    assert s["per_hour_group"].count() == 4 and math.isclose(s["large_error_fractions"].first()["model_gt10"], 100 * (p.em > 10).mean())
+    assert [r["cell_id"] for r in s["worst_cells"].collect()] == list(p.groupby("cell_id").em.mean().nlargest(5).index)
+    rank = {r["predictor"]: r["spearman"] for r in s["spearman"].collect()}
+    assert math.isclose(rank["model"], p.y.rank().corr(p.pred_model.rank())) and math.isclose(rank["baseline"], p.y.rank().corr(p.pred_baseline.rank()))
