@@ -37,7 +37,7 @@ def random_forest(num_trees: int = 200, min_leaf: int = 2, max_depth: int = 30,
     """Rows carry the node they are in (checkpointed to the shared folder every
     few levels), so the trees grown so far are not shipped with each level."""
     return RandomForestRegressor(featuresCol="features", labelCol=TARGET, numTrees=num_trees,
-                                 minInstancesPerNode=min_leaf, maxDepth=max_depth, seed=seed, maxMemoryInMB=1024,
+                                 minInstancesPerNode=min_leaf, maxDepth=max_depth, seed=seed, maxMemoryInMB=256,
                                  cacheNodeIds=True, checkpointInterval=10)
 
 
@@ -96,19 +96,19 @@ def train_candidates(train: DataFrame, test: DataFrame, features: list[str], key
                      estimators: dict | None = None, clip: bool = False):
     """Fit every candidate, or load it from the model store; metrics, fit
     seconds and artefact size.  Returns (metrics DataFrame, {name: fitted PipelineModel})."""
-    from cellrisk.operators.modelstore import fitted as stored_fit
+    from cellrisk.operators.modelstore import fitted_all
     spark = train.sparkSession
     tr = prepare(train, features, keep=key + [TARGET])
     te = prepare(test, features, keep=key + [TARGET])
     estimators = estimators or candidate_models(tr)
     fitted, preds, extra = {}, [], []
-    for name, est in estimators.items():
-        model, made = stored_fit(tr, features, est)
+    made = fitted_all(spark, [(tr, features, est) for est in estimators.values()])
+    for name, (model, row) in zip(estimators, made):
         p = model.transform(te).select(*key, F.col(TARGET).alias("y"), F.col("prediction").alias("pred"))
         if clip:
             p = p.withColumn("pred", F.greatest(F.lit(0.0), F.least(F.lit(100.0), F.col("pred"))))
         preds.append(p.withColumn("model", F.lit(name)))
-        extra.append((name, made["train_seconds"], made["artifact_kb"]))
+        extra.append((name, row["train_seconds"], row["artifact_kb"]))
         fitted[name] = model
     allp = preds[0]
     for p in preds[1:]:

@@ -17,7 +17,9 @@ import hashlib
 import json
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,10 @@ INDEX = ("key string, algorithm string, features array<string>, params string, n
          "path string, train_seconds double, artifact_kb double, fitted_at timestamp")
 
 
+#: Fits that run beside each other: boosting waits for its rounds while a forest uses the cores.
+PARALLEL_FITS = 3
+
+
 def store_dir(spark: SparkSession) -> str:
     return spark.conf.get("cellrisk.models.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/cellrisk_models"
 
@@ -79,3 +85,9 @@ def fitted(rows: DataFrame, features: list[str], estimator) -> tuple[PipelineMod
     (spark.createDataFrame(row, INDEX.rpartition(",")[0]).withColumn("fitted_at", F.current_timestamp()).coalesce(1)
      .write.parquet(f"{store_dir(spark)}/index/{uuid.uuid4().hex}"))
     return model, index(spark).filter(F.col("key") == key).orderBy("fitted_at").first()
+
+
+def fitted_all(spark: SparkSession, jobs: list[tuple]) -> list[tuple[PipelineModel, Row]]:
+    """``fitted`` of several (rows, features, estimator), each a job of its own."""
+    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(fitted), *job) for job in jobs]]

@@ -1574,22 +1574,21 @@ def _champion_predictions(spark, sf_dir):
     key = (id(spark), sf_dir, "champion_predictions")
     if key not in _MEMO:
         from cellrisk.operators.models import candidate_models, prepare
-        from cellrisk.operators.modelstore import fitted as stored_fit
+        from cellrisk.operators.modelstore import fitted_all
         from cellrisk.operators.panel import materialize
         from cellrisk.operators.splits import protocol_frames
         from cellrisk.params import FEATURE_COLUMNS
         _, fitted = _candidates(spark, sf_dir)
         best = _champion_name(spark, sf_dir)
         pf = protocol_frames(grid_protocols(spark, sf_dir))
+        rows = {p: prepare(pf[p]["train"], FEATURE_COLUMNS, keep=GRID_KEY + ["risk_score"]) for p in ("A", "C")}
+        made = fitted_all(spark, [(tr, FEATURE_COLUMNS, candidate_models(tr)[best]) for tr in rows.values()])
+        models = {"B": fitted[best], **{p: model for p, (model, _) in zip(rows, made)}}
         out = None
         for p in ("A", "B", "C"):
             base = _ladder(spark, sf_dir, p)[0].withColumn("predictor_type", F.lit("baseline"))
-            model = fitted[best]
-            if p != "B":
-                tr = prepare(pf[p]["train"], FEATURE_COLUMNS, keep=GRID_KEY + ["risk_score"])
-                model, _ = stored_fit(tr, FEATURE_COLUMNS, candidate_models(tr)[best])
             te = prepare(pf[p]["test"], FEATURE_COLUMNS, keep=GRID_KEY + ["risk_score"])
-            own = model.transform(te).select(*GRID_KEY, F.col("risk_score").alias("y"), F.lit(best).alias("predictor"),
+            own = models[p].transform(te).select(*GRID_KEY, F.col("risk_score").alias("y"), F.lit(best).alias("predictor"),
                                              F.col("prediction").alias("pred"), F.lit("model").alias("predictor_type"))
             both = base.select(*own.columns).unionByName(own).withColumn("protocol", F.lit(p))
             out = both if out is None else out.unionByName(both)
@@ -1641,7 +1640,7 @@ def _monthly_predictions(spark, sf_dir):
     generations: three candidates on the features (v1) and on features with
     lagged risk (v2), clipped to 0..100, on the validation and test months."""
     from cellrisk.operators.models import boosted_trees, candidate_models, prepare
-    from cellrisk.operators.modelstore import fitted
+    from cellrisk.operators.modelstore import fitted_all
     from cellrisk.operators.panel import materialize
     from cellrisk.operators.splits import split_chrono
     from cellrisk.params import FEATURE_COLUMNS_MONTHLY, RISK_LAG_COLUMNS
@@ -1652,8 +1651,7 @@ def _monthly_predictions(spark, sf_dir):
         a, b, c = (materialize(prepare(d, feats, keep=["gi", "gj", "period_str", "risk_score"])) for d in (tr, va, te))
         ests = candidate_models(a)
         ests["Model: Gradient Boosted Trees"] = boosted_trees(400, 6, 0.08)
-        for name, est in ests.items():
-            model, _ = fitted(a, feats, est)
+        for name, (model, _) in zip(ests, fitted_all(spark, [(a, feats, est) for est in ests.values()])):
             for part, d in (("val", b), ("test", c)):
                 p = model.transform(d).select(F.lit(gen).alias("generation"), F.lit(name).alias("model"), F.lit(part).alias("part"),
                                               "gi", "gj", "period_str", F.col("risk_score").alias("y"), clip.alias("pred"))

@@ -76,6 +76,32 @@ def test_checkpoint_folder_has_to_be_named_on_a_cluster():
         checkpoint_dir(Session())
 
 
+def test_a_second_session_loads_what_the_first_fitted(spark, monkeypatch):
+    """Keyed by rows, features and parameters; the index row points at the artefact."""
+    import uuid
+    from pyspark.ml import Pipeline, PipelineModel
+    from cellrisk.operators import modelstore as S
+    from cellrisk.operators.models import random_forest
+    monkeypatch.setattr(S, "store_dir", lambda sp, d=f"{spark.conf.get('spark.sql.warehouse.dir')}/{uuid.uuid4().hex}": d)
+    fits, fit = [], Pipeline.fit
+    monkeypatch.setattr(Pipeline, "fit", lambda self, *a: fits.append(1) or fit(self, *a))
+    df = spark.createDataFrame([(float(i % 13), float(i % 7), float(i % 13 + 2 * (i % 7))) for i in range(600)], "a double, b double, risk_score double")
+
+    def est(trees=4):
+        return random_forest(trees, 2, 6)
+    model, row = S.fitted(df, ["a", "b"], est())
+    again, same = S.fitted(df.repartition(5).withColumn("a", F.col("a") + 1e-12), ["a", "b"], est())  # other order, other last bits
+    assert len(fits) == 1 and same == row and row["n_rows"] == 600 and row["algorithm"] == "RandomForestRegressor"
+    score = [[r["prediction"] for r in m.transform(df).orderBy("a", "b").collect()] for m in (model, again, PipelineModel.load(row["path"]))]
+    assert score[0] == score[1] == score[2]
+    S.fitted(df, ["a"], est())
+    S.fitted(df, ["a", "b"], est(5))
+    S.fitted(df.limit(599), ["a", "b"], est())
+    assert len(fits) == 4 and S.index(spark).count() == 4
+    S.fitted_all(spark, [(df, ["a", "b"], est()), (df, ["b"], est())])
+    assert len(fits) == 5
+
+
 def _fresh_models(monkeypatch):
     """Forget fitted models; small candidates of which the boosted trees win."""
     from cellrisk.operators import models as M
