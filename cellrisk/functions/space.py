@@ -51,7 +51,7 @@ def haversine_km(lat1, lon1, lat2, lon2, radius_km: float = EARTH_RADIUS_KM) ->
     dphi = p2 - p1
     dlmb = F.radians(_c(lon2)) - F.radians(_c(lon1))
     a = F.pow(F.sin(dphi / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dlmb / 2), 2)
-    return F.lit(2.0 * radius_km) * F.asin(F.sqrt(a))
+    return F.lit(2.0 * radius_km) * F.asin(F.least(F.lit(1.0), F.sqrt(a)))   # antipodes round past 1
 
 
 def gaussian_weight(d, sigma) -> Column:

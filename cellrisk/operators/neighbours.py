@@ -12,9 +12,8 @@ never on raw incidents, so a hot cell costs one row per period, not one row
 per incident.
 
 ``radius_pairs`` builds the in-radius cell pair table for the haversine
-kernel with a grid-bucket equi-join: each cell is exploded to the candidate
-offsets that can lie within the cutoff, so the join is an equi-join on
-integer keys and never a cross join.
+kernel with an equi-join on latitude bands and longitude cells: each row is
+exploded to the cells that its circle meets, never to all rows.
 """
 
 from __future__ import annotations
@@ -24,8 +23,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellrisk.functions.space import gaussian_weight, haversine_km, km_per_degree
-from cellrisk.params import CUTOFF_KM, EARTH_RADIUS_KM, GRID_STEP, SIGMA_KM
+from cellrisk.functions.space import gaussian_weight, haversine_km
+from cellrisk.params import CUTOFF_KM, EARTH_RADIUS_KM, SIGMA_KM
 
 
 def offsets(radius: int, include_self: bool = True) -> list[tuple[int, int]]:
@@ -118,44 +117,46 @@ def neighbour_mean(df: DataFrame, value: str, out: str, keys: list[str],
     return res.withColumn(out, m.cast("double")).drop("_s", "_k")
 
 
-def radius_reach(cutoff_km: float, lat_max_deg: float, step: float = GRID_STEP,
-                 radius_km: float = EARTH_RADIUS_KM) -> tuple[int, int]:
-    """Per-axis candidate reach in cells so no pair within ``cutoff_km`` is
-    missed: latitude step is fixed; a longitude step shrinks toward the pole,
-    so the widest reach is at the highest latitude of the data."""
-    k_lat, k_lon = km_per_degree(min(abs(lat_max_deg), 89.0), radius_km)
-    return (int(math.ceil(cutoff_km / (k_lat * step))) + 1,
-            int(math.ceil(cutoff_km / (k_lon * step))) + 1)
+def _band_cells(band: Column, reach: float) -> Column:
+    """Into how many longitude cells a latitude band is cut: each is at least as
+    wide as the reach of any point of the band and of those beside it; bands
+    from which the pole is in reach are one cell."""
+    edge = F.greatest(F.abs((band - 1) * reach - 90), F.abs((band + 2) * reach - 90))
+    return F.when(edge + reach >= 90, F.lit(1)).otherwise(F.greatest(F.lit(1), F.floor(F.lit(360.0) / _lon_reach(edge, reach)))).cast("int")
+
+
+def _lon_reach(lat: Column, reach: float) -> Column:
+    """Degrees of longitude that a circle of ``reach`` degrees around a point spans to each side."""
+    return F.when(F.abs(lat) + reach >= 90, F.lit(180.0)).otherwise(F.degrees(F.asin(F.least(F.lit(1.0), F.lit(math.sin(math.radians(reach))) / F.cos(F.radians(lat))))))
 
 
 def radius_pairs(cells: DataFrame, cutoff_km: float = CUTOFF_KM, sigma_km: float = SIGMA_KM,
-                 cell: str = "cell_id", lat: str = "lat_r", lon: str = "lon_r",
-                 step: float = GRID_STEP, lat_max_deg: float | None = None) -> DataFrame:
+                 cell: str = "cell_id", lat: str = "lat_r", lon: str = "lon_r") -> DataFrame:
     """All (cell, neighbour) pairs with haversine distance <= cutoff, with
-    the Gaussian weight.  ``cells`` holds one row per cell.
-
-    Plan: integer bucket (gx, gy) per cell; the probe side is exploded to the
-    (2a+1)(2b+1) candidate buckets, then an equi-join on (gx, gy) and a
-    distance filter.  Output size is the true pair count times a constant
-    candidate factor; there is no cross join.
+    the Gaussian weight, anywhere on the globe.  ``cells`` holds one row per cell;
+    cells without coordinates have no pairs.
+
+    Plan: latitude bands as high as the cutoff, each cut into longitude cells of
+    its own width, modulo 360.  A row is in one (band, cell); the probe side is
+    exploded to the cells that its circle meets in its own band and the two
+    beside it, from its own latitude; then an equi-join on integer keys and a
+    distance filter.
     """
-    if lat_max_deg is None:
-        lat_max_deg = cells.agg(F.max(F.abs(F.col(lat)))).first()[0] or 0.0
-    a, b = radius_reach(cutoff_km, float(lat_max_deg), step)
-    base = cells.select(F.col(cell), F.col(lat), F.col(lon),
-                        F.rint(F.col(lat) / step).cast("int").alias("gx"),
-                        F.rint(F.col(lon) / step).cast("int").alias("gy"))
-    probe = base.select(
-        F.col(cell).alias("src"), F.col(lat).alias("src_lat"), F.col(lon).alias("src_lon"),
-        F.explode(_offset_array([(i, j) for i in range(-a, a + 1) for j in range(-b, b + 1)])).alias("_o"),
-        "gx", "gy")
-    probe = probe.select("src", "src_lat", "src_lon",
-                         (F.col("gx") + F.col("_o.di")).alias("gx"),
-                         (F.col("gy") + F.col("_o.dj")).alias("gy"))
-    build = base.select(F.col(cell).alias("nbr"), F.col(lat).alias("nbr_lat"),
-                        F.col(lon).alias("nbr_lon"), "gx", "gy")
-    pairs = probe.join(build, ["gx", "gy"])
+    reach = min(180.0, math.degrees(cutoff_km / EARTH_RADIUS_KM) * (1 + 1e-9) + 1e-9)
+    turned = F.pmod(F.col(lon).cast("double"), F.lit(360.0))
+    base = (cells.select(F.col(cell), F.col(lat).cast("double").alias("_lat"), turned.alias("_lon"), F.col(lon).cast("double").alias("_own")).filter(F.col("_lat").isNotNull() & F.col("_lon").isNotNull())
+            .withColumn("_band", F.floor((F.col("_lat") + 90) / reach).cast("int")))
+
+    def place(at: Column, n: Column) -> Column:
+        return F.floor(at * n / 360).cast("int")
+    probe = base.select(F.col(cell).alias("src"), F.col("_lat").alias("src_lat"), F.col("_own").alias("src_lon"), "_lon",
+                        F.explode(F.sequence(F.col("_band") - 1, F.col("_band") + 1)).alias("_band"))
+    probe = probe.withColumns({"_n": _band_cells(F.col("_band"), reach), "_span": _lon_reach(F.col("src_lat"), reach) + 1e-9})
+    first, last = (place(F.col("_lon") + sign * F.col("_span"), F.col("_n")) for sign in (-1, 1))
+    met = F.sequence(first, F.least(last, first + F.col("_n") - 1))
+    probe = probe.select("src", "src_lat", "src_lon", "_band", "_n", F.explode(met).alias("_place")).withColumn("_place", F.pmod("_place", "_n"))
+    build = base.select(F.col(cell).alias("nbr"), F.col("_lat").alias("nbr_lat"), F.col("_own").alias("nbr_lon"), "_band",
+                        F.pmod(place(F.col("_lon"), _band_cells(F.col("_band"), reach)), _band_cells(F.col("_band"), reach)).alias("_place"))
     d = haversine_km("src_lat", "src_lon", "nbr_lat", "nbr_lon")
-    return (pairs.withColumn("d_km", d).filter(F.col("d_km") <= F.lit(cutoff_km))
-            .select(F.col("src").alias(cell), "nbr", "d_km",
-                    gaussian_weight(F.col("d_km"), sigma_km).alias("w")))
+    return (probe.join(build, ["_band", "_place"]).withColumn("d_km", d).filter(F.col("d_km") <= F.lit(cutoff_km))
+            .select(F.col("src").alias(cell), "nbr", "d_km", gaussian_weight(F.col("d_km"), sigma_km).alias("w")))

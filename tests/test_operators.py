@@ -104,23 +104,20 @@ def test_neighbour_mean_present_divisor(spark):
     assert got[(0, 0)] == 3.0 and got[(0, 1)] == 1.0 and got[(1, 1)] == 2.0 and got[(5, 5)] is None
 
 
-def test_radius_pairs_equal_brute_force(spark):
-    from cellrisk.functions.space import haversine_km  # noqa: F401
+@pytest.mark.parametrize("place,cutoff", [("city", 3.0), ("pole", 3.0), ("pole", 400.0), ("date line", 3.0), ("globe", 900.0), ("globe", 15000.0)])
+def test_radius_pairs_equal_brute_force(spark, place, cutoff):
     rnd = random.Random(5)
-    pts = {(round(41.80 + rnd.randint(0, 25) / 100, 2), round(-87.70 + rnd.randint(0, 25) / 100, 2))
-           for _ in range(120)}
-    rows = [(f"{a}_{b}", a, b) for a, b in pts]
-    df = spark.createDataFrame(rows, "cell_id string, lat_r double, lon_r double")
-    got = {(r.cell_id, r.nbr) for r in NB.radius_pairs(df, cutoff_km=3.0).collect()}
-    R = 6371.0088
-
-    def hv(a, b):
-        p1, p2 = math.radians(a[1]), math.radians(b[1])
-        dp, dl = p2 - p1, math.radians(b[2]) - math.radians(a[2])
-        h = math.sin(dp / 2) ** 2 + math.cos(p1) * math.cos(p2) * math.sin(dl / 2) ** 2
-        return 2 * R * math.asin(math.sqrt(h))
-    exp = {(a[0], b[0]) for a in rows for b in rows if hv(a, b) <= 3.0}
-    assert got == exp
+    pts = {"city": [(41.80 + rnd.randint(0, 25) / 100, -87.70 + rnd.randint(0, 25) / 100) for _ in range(120)],
+           "pole": [(rnd.choice([1, -1]) * (90 - rnd.random() ** 3 * 0.2), rnd.uniform(-180, 180)) for _ in range(150)] + [(90.0, 0.0), (90.0, 77.0), (89.9, 10.0), (89.9, -170.0), (-90.0, 5.0)],
+           "date line": [(rnd.uniform(51, 51.1), rnd.choice([179.98, -179.98, 180.0, -180.0]) + rnd.uniform(-0.01, 0.01)) for _ in range(150)],
+           "globe": [(math.degrees(math.asin(rnd.uniform(-1, 1))), rnd.uniform(-180, 360)) for _ in range(200)]}[place]
+    rows = [(f"{a}_{b}", a, b) for a, b in sorted({(round(a, 6), round(b, 6)) for a, b in pts})]
+    df = spark.createDataFrame(rows + [("none", None, 1.0)], "cell_id string, lat_r double, lon_r double")
+    found = [(r.cell_id, r.nbr) for r in NB.radius_pairs(df, cutoff_km=cutoff).collect()]
+    lat, lon = np.radians([r[1] for r in rows]), np.radians([r[2] for r in rows])
+    h = np.sin((lat[:, None] - lat) / 2) ** 2 + np.cos(lat)[:, None] * np.cos(lat) * np.sin((lon[:, None] - lon) / 2) ** 2
+    near = 2 * 6371.0088 * np.arcsin(np.sqrt(np.minimum(h, 1))) <= cutoff
+    assert len(found) == len(set(found)) and set(found) == {(rows[i][0], rows[j][0]) for i, j in zip(*np.nonzero(near))}
 
 
 def test_psi_matches_numpy(spark):
