@@ -24,8 +24,10 @@ then occur on at least t of the remaining short lists:
    sizes, probe the long lists by binary search.
 4. A bucket's part is searched completely, so what is left are pairs between
    parts.  Lists of three classes or more that still hold several components and
-   parts give them, by a join; lists of two give their pair itself, kept if it is
-   on enough lists with all the longer lists that the two could share.  These
+   parts give them; lists of two give their pair itself, kept if it is
+   on enough lists with all the longer lists that the two could share.  The pairs
+   of longer lists are counted in tasks: a class that meets a part on enough
+   lists is probed against the part's own lists there.  These
    pairs become buckets of their own and are searched in the same way.
 
 A pair of sizes a and b that links shares at least o = ceil(percent * (a + b) /
@@ -313,6 +315,71 @@ def _links(texts: DataFrame, classes: DataFrame, members: DataFrame, width: int,
                   .mapInArrow(_search(percent), "a long, b long"), "found"), places
 
 
+#: Postings of guests that one task probes a part's lists with, and pairs of postings that it counts at a time.
+GUEST_POSTINGS, COUNTED = 500_000, 2_000_000
+
+
+def _probe(percent: int):
+    """Rows sorted by (other, slice): the postings of a part's own classes, and of
+    classes from elsewhere (guests) that are probed against the part's lists.
+    Gives the pairs that are on enough lists, each once."""
+    names = ["clsa", "clsb", "times", "na", "nb"]
+
+    def pairs(own: tuple, guest: tuple) -> Iterator[pa.RecordBatch]:
+        """Of (gram, cls, n, comp) of each side."""
+        o = np.argsort(own[0], kind="stable")
+        gram, cls, n, comp = (x[o] for x in own)
+        _, first, member = np.unique(cls, return_index=True, return_inverse=True)
+        cls, n, comp = cls[first], n[first], comp[first]
+        o = np.argsort(guest[1], kind="stable")
+        g_gram, g_cls, g_n, g_comp = (x[o] for x in guest)
+        low, high = np.searchsorted(gram, g_gram), np.searchsorted(gram, g_gram, "right")
+        met = np.cumsum(high - low)
+        heads = np.flatnonzero(starts_of(g_cls))
+        i = 0
+        while i < len(heads):  # whole guests, as many as fit
+            base = met[heads[i] - 1] if heads[i] else 0
+            k = max(i + 1, int(np.searchsorted(met[np.r_[heads[1:], len(met)] - 1], base + COUNTED, "right")))
+            at = slice(heads[i], heads[k] if k < len(heads) else len(met))
+            length = high[at] - low[at]
+            ends = np.cumsum(length)
+            spot = np.arange(ends[-1]) + np.repeat(low[at] - ends + length, length)
+            code, times = np.unique(np.repeat(np.cumsum(starts_of(g_cls[at])) - 1, length) * len(cls) + member[spot], return_counts=True)
+            x, y = heads[i:k][code // len(cls)], code % len(cls)
+            na, nb = g_n[x], n[y]
+            least = pair_overlap(na, nb, percent) - np.maximum(*(least_overlap(m, percent) - least_short(m) for m in (na, nb)))
+            ok = (g_comp[x] != comp[y]) & ((na < nb) | (na == nb) & (g_cls[x] < cls[y])) & (100 * na >= percent * nb) & (times >= least)
+            if ok.any():
+                yield pa.RecordBatch.from_arrays([pa.array(c[ok]) for c in (g_cls[x], cls[y], times, na, nb)], names)
+            i = k
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, ["other", "slice"]):
+            other, piece, guest = (t[c].to_numpy() for c in ("other", "slice", "guest"))
+            columns = [t[c].to_numpy() for c in ("gram", "cls", "n", "comp")]
+            cut = np.flatnonzero(starts_of(other, piece))
+            for i, j in zip(cut, [*cut[1:], len(other)]):
+                g = guest[i:j] > 0
+                if g.any() and not g.all():
+                    yield from pairs(tuple(c[i:j][~g] for c in columns), tuple(c[i:j][g] for c in columns))
+    return probe
+
+
+def _met_pairs(left: DataFrame, parts: DataFrame, viable: DataFrame, percent: int) -> DataFrame:
+    """(clsa, clsb, times, na, nb): pairs of ``left`` (gram, cls, n, comp, place)
+    from two places whose first, the smaller, may have a partner in the second's
+    place (``viable``).  Rows grow with the postings: a class goes to a place
+    once with each list that the place is on (``parts``), the place's own
+    postings go to each slice of its guests, and the pairs are counted there."""
+    guests = left.join(viable, "cls").join(parts, ["gram", "other"], "left_semi").select("other", "gram", "cls", "n", "comp")
+    slices = stored(guests.groupBy("other").agg(F.ceil(F.count("*") / F.lit(GUEST_POSTINGS)).cast("int").alias("slices")), "slices")
+    guests = guests.join(slices, "other").select("other", F.expr("pmod(xxhash64(cls), slices)").cast("int").alias("slice"), F.lit(1).alias("guest"), "gram", "cls", "n", "comp")
+    own = (left.withColumnRenamed("place", "other").join(slices, "other")
+           .select("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(0).alias("guest"), "gram", "cls", "n", "comp"))
+    return (guests.union(own).repartition("other", "slice").sortWithinPartitions("other", "slice")
+            .mapInArrow(_probe(percent), "clsa long, clsb long, times long, na long, nb long"))
+
+
 def jaccard_groups(docs: DataFrame, **options) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, and class_id (the
     smallest doc_id with the same set)."""
@@ -383,11 +450,7 @@ def _grouped(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, chunk_
     parts = left.select("gram", F.col("place").alias("other")).distinct()
     meets = stored(left.join(parts, "gram").where("place <> other").groupBy("cls", "other").agg(F.count("*").alias("met"), F.min("n").alias("n")), "meets")
     viable = meets.where("met > n div 20").select("cls", "other")
-    x = left.join(viable, "cls").select("gram", "other", *[F.col(c).alias(c + "a") for c in ("cls", "n", "comp")])
-    y = left.select("gram", F.col("place").alias("other"), *[F.col(c).alias(c + "b") for c in ("cls", "n", "comp")])
-    smaller = (F.col("na") < F.col("nb")) | (F.col("na") == F.col("nb")) & (F.col("clsa") < F.col("clsb"))
-    pairs = (x.join(y, ["gram", "other"]).where((F.col("compa") != F.col("compb")) & smaller & sizes_fit("na", "nb"))
-             .groupBy("clsa", "clsb").agg(F.count("*").alias("times"), F.min("na").alias("na"), F.min("nb").alias("nb")).where(on_enough("na", "nb")))
+    pairs = stored(_met_pairs(left, parts, stored(viable, "viable"), percent), "pairs")
     # pairs that meet on lists of two: on longer lists they meet no more often than the first meets
     # the second's part, or than classes do that were left out above
     alone = met.where("twos > 0").select(F.col("cls").alias("clsa"), F.col("pivot").alias("clsb"), "twos", F.col("n").alias("na"), F.col("pivot_n").alias("nb"))
