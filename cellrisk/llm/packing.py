@@ -23,6 +23,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -52,12 +53,15 @@ def encoder(path: str, special_strings: bool = True):
     ``tiktoken`` over the file's own vocabulary: the same ids in a fifth of the
     time.  Texts with very long white space, which overflow its stack, and any
     other file are run by ``tokenizers`` itself."""
-    from tokenizers import Tokenizer
-    whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = not special_strings
+    @cache
+    def whole():
+        from tokenizers import Tokenizer
+        loaded = Tokenizer.from_file(path)
+        loaded.encode_special_tokens = not special_strings
+        return loaded
 
     def by_tokenizers(text: str) -> list[int]:
-        return whole.encode(text, add_special_tokens=False).ids
+        return whole().encode(text, add_special_tokens=False).ids
     spec = json.load(open(path, encoding="utf-8"))
     pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
     merges = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
