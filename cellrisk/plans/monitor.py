@@ -65,11 +65,13 @@ class Monitor:
             keep = keep & (F.col(self.period) < before)
         return prepare(table.filter(keep), self.features, keep=[self.period, self.target])
 
-    def _fit(self, df: DataFrame) -> tuple[PipelineModel, str]:
-        model = Pipeline(stages=[assembler(self.features), self.estimator_fn(df)]).fit(df)
+    def _fit(self, df: DataFrame) -> tuple[PipelineModel, str, str]:
+        """(model, where it is saved, the estimator's name)."""
+        estimator = self.estimator_fn(df)
+        model = Pipeline(stages=[assembler(self.features), estimator]).fit(df)
         path = f"{self.store}/models/{uuid.uuid4().hex}"
         model.save(path)
-        return model, path
+        return model, path, type(estimator).__name__
 
     def init(self, table: DataFrame, train_end: str, batch_id: str = "init") -> None:
         """The first champion, unless the log has one."""
@@ -77,8 +79,8 @@ class Monitor:
         if not self.decision_log(spark).filter(F.col("decision") == "INIT").isEmpty():
             return
         train = self._rows(table, train_end)
-        model, path = self._fit(train)
-        self._append(spark, seq=1, version=1, batch="init", train_end=train_end, n_train=train.count(), model_type="PipelineModel",
+        model, path, name = self._fit(train)
+        self._append(spark, seq=1, version=1, batch="init", train_end=train_end, n_train=train.count(), model_type=name,
                      drift_detected=False, decision="INIT", top_drift="-", reason="initial champion",
                      ref_mae=_scored(model, train, self.target)["mae"], model_path=path, batch_id=batch_id)
 
@@ -101,7 +103,7 @@ class Monitor:
         decided = drift_decision(F.col("psi_max"), F.lit(own["mae"]), F.lit(now["ref_mae"]), self.psi_threshold, self.degrade_tol)
         prof = drift_profile(psi_table(reference, arrived, names), names).withColumn("drift", decided).first()
         row = dict(seq=log.agg(F.max("seq")).first()[0] + 1, version=now["version"], batch=batch, batch_id=batch_id, train_end=now["train_end"],
-                   n_train=now["n_train"], model_type="PipelineModel", MAE_batch=round(own["mae"], 3), R2_batch=round(own["r2"], 3),
+                   n_train=now["n_train"], model_type=now["model_type"], MAE_batch=round(own["mae"], 3), R2_batch=round(own["r2"], 3),
                    psi_max=round(prof["psi_max"], 3), psi_mean=round(prof["psi_mean"], 3), top_drift=prof["top_drift"],
                    drift_detected=bool(prof["drift"]), holdout_start=now["holdout_start"], ref_mae=now["ref_mae"], model_path=now["model_path"])
         seen = f"psi_max={prof['psi_max']:.3f}"
@@ -113,11 +115,11 @@ class Monitor:
         last = window.select(self.period).distinct().orderBy(F.desc(self.period)).limit(self.holdout)
         bounds = last.agg(F.min(self.period).alias("lo"), F.max(self.period).alias("hi")).first()
         train, held = self._rows(table, end, bounds["lo"]), window.filter(F.col(self.period) >= bounds["lo"])
-        challenger, path = self._fit(train)
+        challenger, path, name = self._fit(train)
         a, b = _scored(champion, held, self.target)["mae"], _scored(challenger, held, self.target)["mae"]
         row |= dict(holdout_end=bounds["hi"])
         if b <= a:
-            row |= dict(version=now["version"] + 1, train_end=end, n_train=train.count(), holdout_start=bounds["lo"], ref_mae=b, model_path=path)
+            row |= dict(version=now["version"] + 1, train_end=end, n_train=train.count(), holdout_start=bounds["lo"], ref_mae=b, model_path=path, model_type=name)
         self._append(spark, **row | dict(decision="PROMOTED" if b <= a else "REJECTED",
                                         reason=f"drift ({seen}); challenger {b:.3f} {'<=' if b <= a else '>'} champion {a:.3f}"))
 

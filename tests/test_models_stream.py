@@ -57,6 +57,7 @@ def test_monitor_restart_keeps_the_log(spark):
     got = [(r["seq"], r["batch"], r["decision"]) for r in log.orderBy("seq").collect()]
     assert got == [(1, "init", "INIT"), (2, "2001", "KEEP"), (3, "2002", "PROMOTED")]
     assert champion_row(log).first()["version"] == 2
+    assert {r["model_type"] for r in log.collect()} == {"LinearRegression"}   # the estimator, not the pipeline around it
 
 
 def test_checkpoint_folder_has_to_be_named_on_a_cluster():
