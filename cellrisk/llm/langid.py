@@ -7,10 +7,12 @@ sets of the strongest languages the one with the best penalised likelihood is
 kept (half a log of the n-gram count for each further language), and the
 proportions over that set are the result.
 
-N-gram counts of every labelled text are summed by Spark; what reaches the
-driver and the workers is a table of 2**GRAM_BITS counts for each language, so
-it is bounded by the number of languages (at most MAX_LANGUAGES, those with the
-most labelled texts).
+N-gram counts of every labelled text are summed by Spark.  The model keeps the
+counts that are not zero, n-gram by n-gram, so every labelled language is
+learnt: what reaches the driver and the workers grows with the languages and
+the n-grams that each has (at most 2**GRAM_BITS), never with the documents.  A
+document's likelihoods are a small matrix of its n-grams and all languages, or,
+where that would be large, stay in the sparse form; both give the same numbers.
 
 Text is lower-cased; whatever is not a letter counts as one space.
 
@@ -32,7 +34,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 GRAM_BITS, WIDTH = 16, 4
-MAX_LANGUAGES = 200
+#: Cells (n-grams x languages) of a document that are laid out as a matrix.
+DENSE_CELLS = 1 << 20
+#: Counts that a task gathers before it adds equal ones up, and that it keeps before it passes them on.
+GATHERED = 1 << 20
 #: Added to each count, and the likelihood's temper: neighbouring n-grams overlap.
 SMOOTH, TEMPER = 0.05, 1 / WIDTH
 ROUNDS = 12
@@ -55,91 +60,137 @@ def grams(text: str) -> np.ndarray:
     return h * np.uint32(2654435761) >> np.uint32(32 - GRAM_BITS)
 
 
+def _added(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes and the sums of their counts."""
+    code, place = np.unique(np.concatenate(codes), return_inverse=True)
+    return code, np.bincount(place, np.concatenate(counts), len(code)).astype(np.int64)
+
+
 def _counts(languages: list[str]):
+    """(lang, gram, n), partial sums."""
+    place = {x: i for i, x in enumerate(languages)}
+
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros((len(languages), 1 << GRAM_BITS), np.int64)
-        place = {x: i for i, x in enumerate(languages)}
+        codes, times, held = [], [], 0
+
+        def rows() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array((codes[0] >> GRAM_BITS).astype(np.int32)), pa.array((codes[0] & (1 << GRAM_BITS) - 1).astype(np.int32)), pa.array(times[0])],
+                                              ["lang", "gram", "n"])
         for b in batches:
             for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
-                if text and lang in place:
-                    seen[place[lang]] += np.bincount(grams(text), minlength=1 << GRAM_BITS)
-        lang, gram = np.nonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(lang.astype(np.int32)), pa.array(gram.astype(np.int32)), pa.array(seen[lang, gram])], ["lang", "gram", "n"])
+                if not text:
+                    continue
+                gram, n = np.unique(grams(text), return_counts=True)
+                codes.append((place[lang] << GRAM_BITS) + gram.astype(np.int64))
+                times.append(n)
+                held += len(gram)
+                if held >= GATHERED:
+                    codes, times = ([x] for x in _added(codes, times))
+                    held = len(codes[0])
+                    if held >= GATHERED // 2:
+                        yield rows()
+                        codes, times, held = [], [], 0
+        if codes:
+            codes, times = ([x] for x in _added(codes, times))
+            yield rows()
     return counts
 
 
 class Languages:
-    """Names and log likelihoods of each language's n-grams."""
-
-    def __init__(self, names: list[str], counts: np.ndarray):
-        self.names = names
-        smooth = counts + SMOOTH
-        self.log = np.log(smooth / smooth.sum(axis=1, keepdims=True)).T.astype(np.float64)  # n-gram x language
-
-    def mixture(self, text: str) -> dict[str, float]:
+    """Names, and of each n-gram the languages that have it.  Where language l has
+    the n-gram c times, its likelihood is ``floor[l] * (1 + c / SMOOTH)``."""
+
+    def __init__(self, names: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray):
+        """``n``: counts of the distinct pairs (``lang``, ``gram``)."""
+        order = np.lexsort((lang, gram))
+        self.names, self.lang, self.more = names, lang[order].astype(np.int32), n[order] / SMOOTH
+        self.start = np.searchsorted(gram[order], np.arange((1 << GRAM_BITS) + 1))
+        self.floor = np.log(SMOOTH) - np.log(np.bincount(lang, n, len(names)) + SMOOTH * (1 << GRAM_BITS))
+
+    def _likelihoods(self, at: np.ndarray, c: np.ndarray, floor: np.ndarray, dense_cells: int):
+        """Functions of the languages' shares: (the n-grams' likelihoods in the
+        mixture, the languages' new shares); and each language's log likelihood
+        beside its floor."""
+        k = len(self.names)
+        has = self.start[at + 1] - self.start[at]
+        ends = np.cumsum(has)
+        spot = np.arange(ends[-1]) + np.repeat(self.start[at] - ends + has, has)
+        row, col, more = np.repeat(np.arange(len(at)), has), self.lang[spot], self.more[spot]
+        own = np.bincount(col, c[row] * np.log1p(more), k)
+        if len(at) * k <= dense_cells:
+            p = np.ones((len(at), k))
+            p[row, col] += more
+            p *= floor
+            return (lambda share: p @ share), (lambda share, per: share * (per @ p)), own
+
+        def mix(share: np.ndarray) -> np.ndarray:
+            part = floor * share
+            return part.sum() + np.bincount(row, more * part[col], len(at))
+
+        def new(share: np.ndarray, per: np.ndarray) -> np.ndarray:
+            return share * floor * (per.sum() + np.bincount(col, more * per[row], k))
+        return mix, new, own
+
+    def mixture(self, text: str, dense_cells: int = DENSE_CELLS) -> dict[str, float]:
         """Proportions of the languages of a text's set."""
         count = np.bincount(grams(text), minlength=1 << GRAM_BITS)
         at = np.flatnonzero(count)
-        if not len(at) or not self.names:
+        k = len(self.names)
+        if not len(at) or not k:
             return {}
-        c = count[at] * TEMPER
-        log = self.log[at]
-        own = c @ log
-        if len(self.names) == 1:
+        if k == 1:
             return {self.names[0]: 1.0}
-        top = log.max(axis=1, keepdims=True)
-        p = np.exp(log - top)
-        base, n = float(c @ top[:, 0]), float(c.sum())
+        c = count[at] * TEMPER
+        n, top = float(c.sum()), self.floor.max()
+        mix, new, own = self._likelihoods(at, c, np.exp(self.floor - top), dense_cells)
+        own = own + n * self.floor
 
         def em(chosen: np.ndarray) -> tuple[np.ndarray, float]:
-            q = p[:, chosen]
-            share = np.full(len(chosen), 1 / len(chosen))
+            """Shares of all languages (0 for those not chosen), log likelihood."""
+            share = np.zeros(k)
+            share[chosen] = 1 / len(chosen)
+            p = mix(share)
             for _ in range(ROUNDS):
-                mix = q @ share
-                new = share * ((c / mix) @ q) / n
-                done = np.abs(new - share).max() < 1e-3
-                share = new
-                if done:
+                before = share
+                share = new(share, c / p) / n
+                p = mix(share)
+                if np.abs(share - before).max() < 1e-3:
                     break
-            return share, base + float(c @ np.log(q @ share))
+            return share, n * top + float(c @ np.log(p))
 
-        share, whole = em(np.arange(len(self.names)))
+        share, whole = em(np.arange(k))
         order = np.argsort(-share, kind="stable")
         best = int(np.argmax(own))
-        chosen, kept, value = np.array([best]), np.ones(1), own[best]
+        kept, value = {best: 1.0}, own[best]
         fee = 0.5 * np.log(max(n, 2.0))
         if whole > value + fee:  # no set can beat the likelihood of all languages
-            for k in range(2, len(order) + 1):
-                some = order[:k]
-                s, v = (share[order], whole) if k == len(order) else em(some)
-                if v - fee * (k - 1) > value:
-                    chosen, kept, value = some, s, v - fee * (k - 1)
-                if whole - fee * k <= value:
+            for size in range(2, k + 1):
+                s, v = (share, whole) if size == k else em(order[:size])
+                if v - fee * (size - 1) > value:
+                    kept, value = {int(i): float(s[i]) for i in order[:size]}, v - fee * (size - 1)
+                if whole - fee * size <= value:
                     break
-        kept = kept / kept.sum()
-        return {self.names[i]: float(x) for i, x in zip(chosen, kept)}
+        total = sum(kept.values())
+        return {self.names[i]: x / total for i, x in kept.items()}
 
 
 def learn(labelled: DataFrame) -> Languages:
-    """From (text, lang) with non-null lang."""
-    rows = labelled.where("lang is not null").select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    names = sorted(r["lang"] for r in rows.groupBy("lang").agg(F.count("text").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect())
-    table = np.zeros((len(names), 1 << GRAM_BITS))
-    if names:
-        sums = rows.mapInArrow(_counts(names), "lang int, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-        got = sums.toPandas()
-        table[got["lang"].to_numpy(), got["gram"].to_numpy()] = got["n"].to_numpy()
-    return Languages(names, table)
+    """From (text, lang) with non-null lang; every value with a text is learnt."""
+    rows = labelled.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).where("lang is not null and text <> ''")
+    names = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
+    sums = rows.mapInArrow(_counts(names), "lang int, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    got = sums.toPandas()
+    return Languages(names, *(got[c].to_numpy(np.int64) for c in ("lang", "gram", "n")))
 
 
 def identify(docs: DataFrame, model: Languages) -> DataFrame:
     """Per row: doc_id, lang_pred, score (its proportion), languages (the set with
     proportions, as a map)."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.names, model.log))
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Languages.__new__(Languages)
-        own.names, own.log = shared.value
+        vars(own).update(shared.value)
         for b in batches:
             best, score, sets = [], [], []
             for text in b.column("text").to_pylist():

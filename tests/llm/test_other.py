@@ -1,6 +1,8 @@
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -89,6 +91,69 @@ def test_mixed_documents_and_odd_cases(spark):
     assert langid.identify(frame(spark, []), model).collect() == []
 
 
+def _every_set(counts: dict, text: str) -> dict:
+    """Plain EM over the nested sets, from the method's description."""
+    names = sorted(counts)
+    size = 1 << langid.GRAM_BITS
+    log = {x: {g: math.log((counts[x].get(g, 0) + langid.SMOOTH) / (sum(counts[x].values()) + langid.SMOOTH * size)) for g in set(langid.grams(text).tolist())} for x in names}
+    c = {g: n * langid.TEMPER for g, n in Counter(langid.grams(text).tolist()).items()}
+    total = sum(c.values())
+
+    def em(chosen):
+        share = {x: 1 / len(chosen) for x in chosen}
+        for _ in range(langid.ROUNDS):
+            mix = {g: sum(share[x] * math.exp(log[x][g]) for x in chosen) for g in c}
+            new = {x: sum(c[g] * share[x] * math.exp(log[x][g]) / mix[g] for g in c) / total for x in chosen}
+            done = max(abs(new[x] - share[x]) for x in chosen) < 1e-3
+            share = new
+            if done:
+                break
+        return share, sum(c[g] * math.log(sum(share[x] * math.exp(log[x][g]) for x in chosen)) for g in c)
+
+    first = max(names, key=lambda x: sum(c[g] * log[x][g] for g in c))
+    share, _ = em(names)
+    order = sorted(names, key=lambda x: -share[x])
+    fee = 0.5 * math.log(max(total, 2.0))
+    found = [({first: 1.0}, sum(c[g] * log[first][g] for g in c))]
+    for k in range(2, len(names) + 1):
+        s, v = em(order[:k])
+        found.append((s, v - fee * (k - 1)))
+    best = max(found, key=lambda x: x[1])[0]
+    return {x: v / sum(best.values()) for x, v in best.items()}
+
+
+def test_mixture_matches_plain_em_in_both_forms(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("lang is not null and text is not null").select("text", "lang")
+    model = langid.learn(docs)
+    counts = {}
+    for r in docs.collect():
+        counts.setdefault(r["lang"], Counter()).update(langid.grams(r["text"]).tolist())
+    by = {x: [r["text"] for r in docs.where(docs.lang == x).limit(6).collect()] for x in counts}
+    langs = sorted(by)
+    texts = [v[0][:700] for v in by.values()] + ["x", "Ein the der", by[langs[0]][1][:400] + " " + by[langs[-1]][2][:400], " ".join(v[3][:300] for v in by.values())]
+    for text in texts:
+        want = _every_set(counts, text)
+        for cells in (0, 1 << 40):
+            got = model.mixture(text, cells)
+            assert got.keys() == want.keys() and all(math.isclose(got[x], want[x], rel_tol=1e-6) for x in got), text
+
+
+def test_every_language_of_three_hundred_is_predicted(spark):
+    rng = np.random.default_rng(5)
+    words = {f"l{i:03d}": ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(40)] for i in range(300)}
+
+    def text(x, n):
+        return " ".join(rng.choice(words[x], n))
+    rows = [(text(x, 60), x) for x in words for _ in range(1 + (x == "l007") * 40)]
+    model = langid.learn(spark.createDataFrame(rows, "text string, lang string"))
+    assert model.names == sorted(words) and len(model.more) < 300 * 2000   # no dense table
+    asked = frame(spark, [(i, text(x, 25)) for i, x in enumerate(words)])
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(asked, model).collect()}
+    assert got == {i: x for i, x in enumerate(words)}
+    long = text("l001", 150_000) + " " + text("l299", 150_000)
+    assert set(model.mixture(long)) == {"l001", "l299"}
+
+
 def test_the_fold_is_that_of_crc32(spark):
     rows = spark.range(200).select("id", langid.held_out(F.col("id")).alias("x")).collect()
     assert all(r["x"] == (zlib.crc32(str(r["id"]).encode()) % 4 == 2) for r in rows)
