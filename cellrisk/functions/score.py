@@ -7,6 +7,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from cellrisk import params as P
+from cellrisk.functions.space import gaussian_weight
 
 
 def _c(c) -> Column:
@@ -22,6 +23,15 @@ def temporal_weight(age, half_life=P.HALF_LIFE_DAYS) -> Column:
     return F.pow(F.lit(0.5), _c(age) / _lit(half_life))
 
 
+def scenario_shares(half_life, sigma) -> list[Column]:
+    """One column for each case of ``SCENARIOS``: its weight in percent of the
+    first case's; a case without an incident is 0."""
+    def weight(age, km):
+        return temporal_weight(F.lit(age), half_life) * gaussian_weight(F.lit(km), sigma)
+    _, *first = P.SCENARIOS[0]
+    return [(F.lit(0.0) if age is None else F.lit(100.0) * weight(age, km) / weight(*first)).alias(name) for name, age, km in P.SCENARIOS]
+
+
 def power_score(raw, clip_value, exponent=P.SCORE_EXPONENT) -> Column:
     """``100 * (clip(raw, 0, c) / c) ** exponent``; ``c <= 0`` -> 0."""
     c = _lit(clip_value)

@@ -13,7 +13,7 @@ number of inner edges <= value (an array ``filter`` - no join); counts per
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellrisk import params as P
@@ -88,6 +88,23 @@ def drift_features(features: list[str], exclude=P.DRIFT_EXCLUDE) -> list[str]:
     return [f for f in features if f not in exclude]
 
 
+def challenger_windows(df: DataFrame, after: str, h: int = P.HOLDOUT_PERIODS, period: str = "period_str") -> DataFrame:
+    """``batch, <period>, role, n``: for every batch (a year with periods later
+    than ``after``) the periods up to its end, the last ``h`` of them as
+    ``holdout`` and the others as ``train``, with their row counts.
+
+    One aggregate of the rows; each period is then exploded to the batches that
+    see it, so the table is bounded by years x periods."""
+    n_of = df.groupBy(period).agg(F.count(F.lit(1)).alias("n")).withColumn("_year", F.substring(period, 1, 4).cast("int"))
+    batches = n_of.filter(F.col(period) > after).select(F.col("_year").alias("_batch")).distinct()
+    ends = batches.agg(F.min("_batch"), F.max("_batch")).first()   # two numbers; null where nothing arrives
+    seen = (n_of.filter(F.lit(ends[0] is not None)).filter(F.col("_year") <= F.lit(ends[1]))
+            .withColumn("_batch", F.explode(F.sequence(F.greatest("_year", F.lit(ends[0])), F.lit(ends[1]))))
+            .join(batches, "_batch", "left_semi"))
+    place = F.row_number().over(Window.partitionBy("_batch").orderBy(F.desc(period)))
+    return seen.select(F.format_string("%04d", "_batch").alias("batch"), period, F.when(place <= h, "holdout").otherwise("train").alias("role"), "n")
+
+
 def holdout_periods(df: DataFrame, window_end: str, h: int = P.HOLDOUT_PERIODS,
                     period: str = "period_str") -> DataFrame:
     """The last ``h`` distinct periods up to ``window_end`` (the time holdout

@@ -255,3 +255,13 @@ class LabelParams:
     score_exponent: float = SCORE_EXPONENT
     grid_decimals: int = GRID_DECIMALS
     feature_columns: list = field(default_factory=lambda: list(FEATURE_COLUMNS))
+
+# Cases of the decay scenarios (name, age in days, distance in km)
+# and the (half-life, sigma) combinations they are compared over
+SCENARIOS = [
+    ("yesterday_same_cell", 1.0, 0.0),
+    ("two_years_same_cell", 730.0, 0.0),
+    ("yesterday_next_cell", 1.0, 1.11),
+    ("no_incident", None, None),
+]
+SCENARIO_GRID = [(180, 0.7), (180, 1.0), (365, 0.7), (365, 1.0), (730, 0.7), (730, 1.0)]

@@ -10,6 +10,7 @@ engines compare equal.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -816,6 +817,17 @@ def q_comparison(spark, sf_dir):
     return r4(add_improvement(m))
 
 
+@query("champion_order")
+def q_champion_order(spark, sf_dir):
+    """The champion's order on figures that do not depend on the clock: of the
+    baselines of each protocol, ties in MAE go to the lower RMSE."""
+    from cellrisk.operators.models import select_champion
+    rows = q_comparison(spark, sf_dir).select("protocol", F.col("predictor").alias("model"), "MAE", F.col("RMSE").alias("train_seconds"),
+                                              F.col("n").cast("double").alias("artifact_kb"))
+    return reduce(DataFrame.unionByName, [select_champion(rows.filter(F.col("protocol") == p)).select(F.lit(p).alias("protocol"), "champion", "MAE")
+                                          for p in ("A", "B", "C")])
+
+
 @query("target_encoding")
 def q_target_enc(spark, sf_dir):
     from cellrisk.operators.baselines import target_encoding
@@ -975,6 +987,12 @@ def q_last_periods(spark, sf_dir):
     return holdout_periods(t, "1997-12", 6)
 
 
+@query("challenger_windows")
+def q_windows(spark, sf_dir):
+    from cellrisk.operators.drift import challenger_windows
+    return challenger_windows(monthly_model_table(spark, sf_dir), TRAIN_END)
+
+
 @query("batch_slice_by_year")
 def q_batch_slice(spark, sf_dir):
     t = monthly_model_table(spark, sf_dir)
@@ -1287,6 +1305,22 @@ def q_sweep(spark, sf_dir):
     return r6(ex.groupBy(F.col("p.H").alias("H"), F.col("p.sigma").alias("sigma")).agg(F.sum(v).alias("total_value")))
 
 
+@query("decay_scenarios")
+def q_scenarios(spark, sf_dir):
+    """Relative contribution (%) of one incident in four cases for each (H,
+    sigma), and that of the table's incidents on average."""
+    from cellrisk.functions.score import scenario_shares, temporal_weight
+    from cellrisk.functions.space import gaussian_weight, haversine_km
+    from cellrisk.params import HALF_LIFE_DAYS, SCENARIO_GRID, SIGMA_KM
+    ev = hourly_events(spark, sf_dir)
+    grid = F.array(*[F.struct(F.lit(float(h)).alias("H"), F.lit(float(s)).alias("sigma")) for h, s in SCENARIO_GRID])
+    ex = ev.select("age_days", haversine_km("lat", "lon", "lat_r", "lon_r").alias("d_km"), F.explode(grid).alias("p"))
+    w = temporal_weight("age_days", F.col("p.H")) * gaussian_weight(F.col("d_km"), F.col("p.sigma"))
+    seen = ex.groupBy(F.col("p.H").alias("H"), F.col("p.sigma").alias("sigma")).agg((F.avg(w) * 100).alias("mean_incident"))
+    used = (F.col("H") == HALF_LIFE_DAYS) & (F.col("sigma") == SIGMA_KM)
+    return r6(seen.select("H", "sigma", *scenario_shares("H", "sigma"), "mean_incident", used.cast("int").alias("used")))
+
+
 # ---------------------------------------------------------------------------
 # 2.13 models and evaluation (rows-only checks: no SQL form for MLlib fits)
 # ---------------------------------------------------------------------------
@@ -1522,7 +1556,7 @@ def q_stream_monitor(spark, sf_dir):
     from cellrisk.operators.models import ridge
     from cellrisk.plans.monitor import Monitor
     from cellrisk.params import FEATURE_COLUMNS_MONTHLY, RISK_LAG_COLUMNS
-    from cellrisk.streaming.scoring import start_period_monitor
+    from cellrisk.streaming.scoring import start_period_monitor, step_arrived
     t = monthly_model_table(spark, sf_dir)
     base = _scratch(spark, "arrivals")
     hist = t.filter(F.col("period_str") <= TRAIN_END)
@@ -1538,6 +1572,7 @@ def q_stream_monitor(spark, sf_dir):
         if y:
             t.filter(F.col("period_str").startswith(y)).write.mode("overwrite").parquet(f"{base}/in/{y}")
         start_period_monitor(spark, base + "/in/*", t.schema, monitor(), hist, base + "/ckpt").awaitTermination()
+    step_arrived(spark, monitor(), t.schema, hist, closing=True)   # the last year may be a part of one
     return monitor().decision_log(spark).select("seq", "version", "batch", "decision")
 
 

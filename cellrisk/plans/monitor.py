@@ -20,13 +20,14 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from cellrisk import params as P
-from cellrisk.operators.drift import drift_decision, drift_features, drift_profile, psi_table
+from cellrisk.operators.drift import drift_decision, drift_features, drift_profile, holdout_periods, psi_table
 from cellrisk.operators.models import assembler, prepare
 
 LOG_SCHEMA = ("seq int, version int, batch string, train_end string, n_train long, model_type string, "
               "MAE_batch double, R2_batch double, psi_max double, psi_mean double, drift_detected boolean, "
               "decision string, top_drift string, reason string, holdout_end string, "
-              "holdout_start string, ref_mae double, model_path string, batch_id string")
+              "holdout_start string, ref_mae double, model_path string, batch_id string, "
+              "features array<string>, target string, psi_threshold double, degrade_tol double")
 
 
 def _scored(model, df: DataFrame, target: str) -> Row:
@@ -57,6 +58,7 @@ class Monitor:
 
     def _append(self, spark, **row) -> None:
         names = [f.split()[0] for f in LOG_SCHEMA.split(", ")]
+        row |= dict(features=list(self.features), target=self.target, psi_threshold=self.psi_threshold, degrade_tol=self.degrade_tol)
         spark.createDataFrame([tuple(row.get(n) for n in names)], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.store}/log")
 
     def _rows(self, table: DataFrame, upto: str, before: str | None = None) -> DataFrame:
@@ -112,7 +114,7 @@ class Monitor:
             return
         end = f"{batch}-12"
         window = self._rows(table, end)
-        last = window.select(self.period).distinct().orderBy(F.desc(self.period)).limit(self.holdout)
+        last = holdout_periods(window, end, self.holdout, self.period)
         bounds = last.agg(F.min(self.period).alias("lo"), F.max(self.period).alias("hi")).first()
         train, held = self._rows(table, end, bounds["lo"]), window.filter(F.col(self.period) >= bounds["lo"])
         challenger, path, name = self._fit(train)
@@ -130,7 +132,7 @@ def champion_row(log: DataFrame) -> DataFrame:
 
 
 def current_champion(log: DataFrame) -> DataFrame:
-    """The production version: latest INIT / PROMOTED row."""
-    return (log.filter(F.col("decision").isin("INIT", "PROMOTED"))
-            .agg(F.max_by("version", "seq").alias("production_version"),
-                 F.max_by("train_end", "seq").alias("train_end")))
+    """The production record, seven fields of the latest INIT / PROMOTED row: it
+    is part of the decision's own append, so the two never disagree.  No row in
+    an empty log."""
+    return champion_row(log).select(F.col("version").alias("production_version"), "train_end", "model_type", "features", "target", "psi_threshold", "degrade_tol")

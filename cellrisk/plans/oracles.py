@@ -944,6 +944,12 @@ select round(avg(cast(coalesce({_tier_rc('y')} = {_tier_rc('Persistence')}, fals
 oracle("last_periods_holdout", TT_CTES + """
 select distinct period_str from tt where period_str <= '1997-12' order by period_str desc limit 6""")
 
+oracle("challenger_windows", TT_CTES + """, per as (select period_str, count(*) as n from tt group by 1),
+bt as (select distinct substr(period_str, 1, 4) as batch from per where period_str > '1995-12'),
+w as (select bt.batch, per.period_str, per.n, row_number() over (partition by bt.batch order by per.period_str desc) as place
+  from bt join per on per.period_str <= bt.batch || '-12')
+select batch, period_str, case when place <= 6 then 'holdout' else 'train' end as role, n from w""")
+
 oracle("batch_slice_by_year", TT_CTES + """
 select substr(period_str, 1, 4) as batch, count(*) as rows, count(distinct period_str) as periods from tt group by 1""")
 
@@ -1133,6 +1139,15 @@ select round(pg.H, 6) as H, round(pg.sigma, 6) as sigma,
 from sw cross join pg group by all""")
 
 
+oracle("decay_scenarios", HOURLY_CLEAN_CTES + f""", sw as (select age_days, {_sweep_hv} as d_km from ev2),
+pg as (select * from (values {', '.join(f'({dbl(h)}, {dbl(s)})' for h in (180, 365, 730) for s in (0.7, 1.0))}) as t(H, sigma))
+select round(pg.H, 6) as H, round(pg.sigma, 6) as sigma, 100e0 as yesterday_same_cell,
+  round(100e0 * pow(0.5e0, 729e0 / pg.H), 6) as two_years_same_cell,
+  round(100e0 * exp(-(1.11e0 * 1.11e0) / (2e0 * pg.sigma * pg.sigma)), 6) as yesterday_next_cell, 0e0 as no_incident,
+  round(100e0 * avg(pow(0.5e0, age_days / pg.H) * exp(-(d_km * d_km) / (2e0 * pg.sigma * pg.sigma))), 6) as mean_incident,
+  case when pg.H = 365e0 and pg.sigma = 0.7e0 then 1 else 0 end as used
+from sw cross join pg group by pg.H, pg.sigma""")
+
 oracle("average_rank", HOURLY_GRID_CTES + """
 select cell_id, dow, hour, rank() over (order by crime_count) + (count(*) over (partition by crime_count) - 1) / 2e0 as rank
 from grid""")
@@ -1141,6 +1156,11 @@ oracle("score_anchor", HOURLY_GRID_CTES + """
 select count(*) as n_rows, count(distinct cell_id) as n_cells, round(quantile_cont(risk_raw, 0.99), 6) as score_clip_value
 from grid""")
 
+oracle("champion_order", "with c as (" + ORACLES["baseline_comparison"] + f"""), near as (
+select *, min(MAE) over (partition by protocol) as best from c)
+select protocol, predictor as champion, MAE from near where MAE <= best + {dbl(P.MAE_TIE_MARGIN)}
+qualify row_number() over (partition by protocol order by RMSE, n, predictor) = 1""")
+
 oracle("json_sink_sanitized", "select protocol, predictor, MAE, Spearman from (" + ORACLES["baseline_comparison"] + ")")
 
 oracle("feature_table_load", ORACLES["features_labels"])

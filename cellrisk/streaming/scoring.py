@@ -9,8 +9,9 @@ rows.
 
 ``start_period_monitor``: arriving monthly rows drive ``Monitor.step`` from
 ``foreachBatch``.  Each micro-batch overwrites its own partition of the history
-table and steps append to the decision log under the batch id, so a replayed
-batch changes nothing.
+table, which merges the parts of a year however it is split; a year is decided
+once, when it is complete, so neither a split arrival nor a replayed micro-batch
+makes a second decision.
 """
 
 from __future__ import annotations
@@ -51,18 +52,26 @@ def start_scoring(spark: SparkSession, requests_dir: str, out_dir: str, checkpoi
     return q1, q2
 
 
+def step_arrived(spark: SparkSession, monitor, schema, base: DataFrame, period: str = "period_str", closing: bool = False) -> None:
+    """Steps, in order, the years that are complete: those whose December or a
+    later year is in the history; with ``closing`` (the end of the stream) the
+    last one too.  A year in the log is not stepped again; rows that come after
+    its decision only count as history of later years."""
+    arrived = spark.read.schema(schema).parquet(f"{monitor.store}/history/*")
+    table = base.unionByName(arrived, allowMissingColumns=True)
+    years = arrived.groupBy(F.substring(period, 1, 4).alias("y")).agg(F.max(period).alias("last")).orderBy("y").collect()   # a row for each year
+    for i, r in enumerate(years):
+        if closing or i + 1 < len(years) or r["last"] >= f"{r['y']}-12":
+            monitor.step(table, r["y"])
+
+
 def start_period_monitor(spark: SparkSession, arrivals_dir: str, schema: str, monitor, base: DataFrame,
                          checkpoint: str, period: str = "period_str"):
     """Each micro-batch of arriving rows is added to the history (``base`` and
-    what arrived before) and its batches (year prefixes) are stepped once."""
-    history = f"{monitor.store}/history"
-
+    what arrived before), then ``step_arrived`` decides what is complete."""
     def handle(df: DataFrame, batch_id: int) -> None:
-        sp = df.sparkSession
-        df.write.mode("overwrite").parquet(f"{history}/arrival={batch_id}")
-        table = base.unionByName(sp.read.schema(schema).parquet(f"{history}/*"), allowMissingColumns=True)
-        for r in df.select(F.substring(period, 1, 4).alias("y")).distinct().orderBy("y").collect():
-            monitor.step(table, r["y"], f"{batch_id}")
+        df.write.mode("overwrite").parquet(f"{monitor.store}/history/arrival={batch_id}")
+        step_arrived(df.sparkSession, monitor, schema, base, period)
 
     stream = spark.readStream.schema(schema).parquet(arrivals_dir)
     return (stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)

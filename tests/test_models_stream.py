@@ -60,6 +60,76 @@ def test_monitor_restart_keeps_the_log(spark):
     assert {r["model_type"] for r in log.collect()} == {"LinearRegression"}   # the estimator, not the pipeline around it
 
 
+def test_the_production_record_is_the_decisions_own(spark):
+    from cellrisk.plans.monitor import LOG_SCHEMA, current_champion
+    names = [f.split()[0] for f in LOG_SCHEMA.split(", ")]
+
+    def row(**known):
+        return tuple(known.get(n) for n in names)
+    own = dict(target="y", psi_threshold=0.2, degrade_tol=0.15)
+    log = spark.createDataFrame([
+        row(seq=1, version=1, decision="INIT", train_end="2000-12", model_type="A", features=["x"], **own),
+        row(seq=2, version=2, decision="PROMOTED", train_end="2001-12", model_type="B", features=["x", "z"], **own),
+        row(seq=3, version=2, decision="REJECTED", train_end="2001-12", model_type="B", features=["x", "z"], **own),
+        row(seq=4, version=2, decision="KEEP", train_end="2001-12", model_type="B", features=["x", "z"], **own)], LOG_SCHEMA)
+    assert [tuple(r) for r in current_champion(log).collect()] == [(2, "2001-12", "B", ["x", "z"], "y", 0.2, 0.15)]
+    assert [r["model_type"] for r in current_champion(log.filter("seq = 1")).collect()] == ["A"]
+    assert current_champion(log.filter("seq < 0")).collect() == []
+
+
+def test_champion_order_on_a_literal_table(spark):
+    """Within 0.5 of the best MAE the fastest fit wins, then the smallest artefact, then the name."""
+    from cellrisk.operators.models import select_champion
+
+    def won(*rows):
+        return select_champion(spark.createDataFrame(rows, "model string, MAE double, train_seconds double, artifact_kb double")).first()["champion"]
+    assert won(("a", 5.0, 9.0, 9.0), ("b", 5.5, 1.0, 9.0), ("c", 5.51, 0.1, 0.1)) == "b"
+    assert won(("a", 5.0, 9.0, 9.0), ("b", 5.6, 1.0, 1.0)) == "a"
+    assert won(("a", 5.0, 1.0, 9.0), ("b", 5.2, 1.0, 8.0)) == "b"
+    assert won(("b", 5.0, 1.0, 8.0), ("a", 5.2, 1.0, 8.0)) == "a"
+
+
+def test_challenger_windows(spark):
+    from cellrisk.operators.drift import challenger_windows
+    periods = ["2000-01", "2000-02", "2001-05", "2001-06", "2003-01"]   # nothing in 2002
+    t = spark.createDataFrame([(p,) for p in periods for _ in range(2)], "period_str string")
+    got = {(r["batch"], r["period_str"]): (r["role"], r["n"]) for r in challenger_windows(t, "2000-12", 2).collect()}
+    want = {("2001", p): ("holdout" if p > "2000-12" else "train", 2) for p in periods[:4]}
+    want |= {("2003", p): ("holdout" if p > "2001-05" else "train", 2) for p in periods}
+    assert got == want
+    assert challenger_windows(t, "2003-12", 2).collect() == []
+
+
+def test_split_and_replayed_arrivals_give_one_decision(spark):
+    from pyspark.ml.regression import LinearRegression
+    from cellrisk.plans import catalog as C
+    from cellrisk.plans.monitor import Monitor
+    from cellrisk.streaming.scoring import start_period_monitor, step_arrived
+    rows = [(f"{y}-{m:02d}", float(m + i), float(3 * m + i)) for y in (2000, 2001, 2002) for m in range(1, 13 if y < 2002 else 5) for i in range(20)]
+    t = spark.createDataFrame(rows, "period_str string, x double, risk_score double")
+    base, own = C._scratch(spark, "split-arrivals"), t.filter("period_str <= '2000-12'")
+
+    def monitor():
+        return Monitor(features=["x"], estimator_fn=lambda df: LinearRegression(labelCol="risk_score"), store=base + "/store")
+
+    def arrive(name, lo, hi):
+        if name:
+            t.filter(f"period_str between '{lo}' and '{hi}'").write.mode("overwrite").parquet(f"{base}/in/{name}")
+        start_period_monitor(spark, base + "/in/*", t.schema, monitor(), own, base + "/ckpt").awaitTermination()
+        return [(r["batch"], r["decision"]) for r in monitor().decision_log(spark).collect()]
+    monitor().init(own, "2000-12")
+    first = [("init", "INIT")]
+    assert arrive("a", "2001-01", "2001-06") == first            # half a year: not decided yet
+    done = arrive("b", "2001-07", "2001-12")
+    assert [b for b, _ in done] == ["init", "2001"]
+    assert arrive(None, None, None) == done                      # nothing new
+    step_arrived(spark, monitor(), t.schema, own)                # a replay
+    assert arrive("c", "2002-01", "2002-04") == done
+    for _ in range(2):
+        step_arrived(spark, monitor(), t.schema, own, closing=True)
+        assert [r["batch"] for r in monitor().decision_log(spark).collect()] == ["init", "2001", "2002"]
+
+
 def test_checkpoint_folder_has_to_be_named_on_a_cluster():
     import pytest
     from cellrisk.session import checkpoint_dir
