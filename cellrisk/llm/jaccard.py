@@ -62,6 +62,8 @@ FILTER_BITS = 26
 FREQUENT = 16
 #: Shingles that one part of a bucket holds.
 BUCKET_SHINGLES = 1_000_000
+#: Rows of (class, its document, bucket, part) up to which they are broadcast: 28 bytes each.
+BROADCAST_ROWS = 1_000_000
 #: Candidates that a query probes one by one before it probes them together.
 SINGLE_PROBES = 16
 
@@ -310,7 +312,9 @@ def _links(texts: DataFrame, classes: DataFrame, members: DataFrame, width: int,
         return places.select(F.col("bucket").alias("a"), F.col("cls").alias("b")), places
     wanted = stored(places.join(classes.select("cls", F.col("rep").alias("doc_id")), "cls"), "wanted")
     table = BitTable.of(wanted, "cls", filter_bits)
-    sets = texts.mapInArrow(_grams(width, chunk, table), "doc_id long, cls long, grams binary").join(wanted, ["doc_id", "cls"])
+    # whole sets move once where the table of their places is small, and twice beyond that
+    to = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    sets = texts.mapInArrow(_grams(width, chunk, table), "doc_id long, cls long, grams binary").join(to, ["doc_id", "cls"])
     return stored(sets.select("bucket", "part", "cls", "grams").repartition("bucket", "part").sortWithinPartitions("bucket", "part", "cls")
                   .mapInArrow(_search(percent), "a long, b long"), "found"), places
 
@@ -368,11 +372,11 @@ def _probe(percent: int):
 def _met_pairs(left: DataFrame, parts: DataFrame, viable: DataFrame, percent: int) -> DataFrame:
     """(clsa, clsb, times, na, nb): pairs of ``left`` (gram, cls, n, comp, place)
     from two places whose first, the smaller, may have a partner in the second's
-    place (``viable``).  Rows grow with the postings: a class goes to a place
+    place (``viable``, with the number of lists on which it meets that place).  Rows grow with the postings: a class goes to a place
     once with each list that the place is on (``parts``), the place's own
     postings go to each slice of its guests, and the pairs are counted there."""
-    guests = left.join(viable, "cls").join(parts, ["gram", "other"], "left_semi").select("other", "gram", "cls", "n", "comp")
-    slices = stored(guests.groupBy("other").agg(F.ceil(F.count("*") / F.lit(GUEST_POSTINGS)).cast("int").alias("slices")), "slices")
+    guests = left.join(viable.select("cls", "other"), "cls").join(parts, ["gram", "other"], "left_semi").select("other", "gram", "cls", "n", "comp")
+    slices = stored(viable.groupBy("other").agg(F.ceil(F.sum("met") / F.lit(GUEST_POSTINGS)).cast("int").alias("slices")), "slices")
     guests = guests.join(slices, "other").select("other", F.expr("pmod(xxhash64(cls), slices)").cast("int").alias("slice"), F.lit(1).alias("guest"), "gram", "cls", "n", "comp")
     own = (left.withColumnRenamed("place", "other").join(slices, "other")
            .select("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(0).alias("guest"), "gram", "cls", "n", "comp"))
@@ -449,7 +453,7 @@ def _grouped(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, chunk_
     # nor has a class in a part that it meets on fewer than t lists
     parts = left.select("gram", F.col("place").alias("other")).distinct()
     meets = stored(left.join(parts, "gram").where("place <> other").groupBy("cls", "other").agg(F.count("*").alias("met"), F.min("n").alias("n")), "meets")
-    viable = meets.where("met > n div 20").select("cls", "other")
+    viable = meets.where("met > n div 20").select("cls", "other", "met")
     pairs = stored(_met_pairs(left, parts, stored(viable, "viable"), percent), "pairs")
     # pairs that meet on lists of two: on longer lists they meet no more often than the first meets
     # the second's part, or than classes do that were left out above

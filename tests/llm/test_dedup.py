@@ -178,6 +178,14 @@ def test_groups_match_brute_force(spark, seed, chunk, bucket, vocab):
     assert got(out.select("doc_id", "n_shingles", "component_id")) == brute_groups(rows)
 
 
+def test_groups_do_not_depend_on_what_is_broadcast(spark, monkeypatch):
+    rows = random_rows(6, vocab=8) + odd_rows()
+    monkeypatch.setattr("cellrisk.llm.jaccard.BROADCAST_ROWS", 0)
+    monkeypatch.setattr("cellrisk.llm.jaccard.GUEST_POSTINGS", 5)
+    out = jaccard_groups(frame(spark, rows), chunk_words=40, bucket_shingles=100, filter_bits=20)
+    assert got(out.drop("class_id")) == brute_groups(rows)
+
+
 def test_a_chain_of_near_copies_is_one_group(spark):
     base = [f"v{i}" for i in range(60)]
     rows = []
