@@ -43,6 +43,13 @@ def canonical_type(df: DataFrame, code: str = "iucr", ptype: str = "primary_type
     return j.withColumn(out, normalise(F.coalesce(F.col("_canon"), F.col(ptype)))).drop("_canon")
 
 
+def since_year(df: DataFrame, year, first: int | None) -> DataFrame:
+    """Rows of the year ``first`` or later (``year``: a column or its name); all rows for None."""
+    if first is None:
+        return df
+    return df.filter((F.col(year) if isinstance(year, str) else year) >= first)
+
+
 def null_outlier_coords(df: DataFrame, lat: str, lon: str, extra: list[str] | None = None,
                         region: P.Region = P.MONTHLY_REGION) -> DataFrame:
     """Coordinates present but outside the box -> the coordinate columns are

@@ -345,6 +345,15 @@ def fingerprint(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.substring(F.md5(total.cast("string")), 1, 16).alias("digest"))
 
 
+def key_fingerprint(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Row count + the sum of the rows' 60-bit md5 prefixes over exact columns
+    (text and whole numbers), which any engine computes alike."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    part = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
+    total = F.coalesce(F.sum(part), F.lit(0).cast("decimal(38,0)"))
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), total.cast("string").alias("digest"))
+
+
 def check_list(df: DataFrame, key: str, ts: str, lat: str, lon: str, code: str, label: str,
                region: P.Region = P.HOURLY_REGION) -> DataFrame:
     """Pass/fail rows of a run: (check, seen, passed), ``seen`` counts the rows

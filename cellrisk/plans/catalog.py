@@ -192,8 +192,9 @@ def q_geocoded(spark, sf_dir):
 
 @query("start_year_filter")
 def q_start_year(spark, sf_dir):
+    from cellrisk.operators.clean import since_year
     m = inc_monthly(spark, sf_dir)
-    return m.filter(F.year("ts") >= 1997).select("l_orderkey", "l_linenumber",
+    return since_year(m, F.year("ts"), 1997).select("l_orderkey", "l_linenumber",
                                                  F.date_format("ts", "yyyy-MM-dd").alias("d"))
 
 
@@ -743,6 +744,13 @@ def q_fingerprint(spark, sf_dir):
     return fingerprint(hourly_grid_df(spark, sf_dir).select(*HOURLY_GRID_COLS))
 
 
+@query("grid_key_fingerprint")
+def q_key_fingerprint(spark, sf_dir):
+    from cellrisk.operators.profile import key_fingerprint
+    g = hourly_grid_df(spark, sf_dir).withColumns({c: F.col(c).cast("long") for c in ("crime_count", "cell_total_count")})
+    return key_fingerprint(g, [*GRID_KEY, "crime_count", "cell_total_count"])
+
+
 # ---------------------------------------------------------------------------
 # 2.12 splits, baselines, encodings (hour-of-week grid)
 # ---------------------------------------------------------------------------
@@ -1130,8 +1138,8 @@ def _raw_frame(spark, sf_dir):
                     F.lit("(x, y)").alias("Location"))
 
 
-def _csv_written(spark, sf_dir, drop=None):
-    path = _scratch(spark, "raw_csv")
+def _csv_written(spark, sf_dir, drop=None, ending=""):
+    path = _scratch(spark, "raw_csv") + ending
     df = _raw_frame(spark, sf_dir)
     if drop:
         df = df.drop(*drop)
@@ -1170,6 +1178,16 @@ def q_first_existing(spark, sf_dir):
     return df.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.lit(src.rsplit("/", 1)[-1]).alias("source"))
 
 
+@query("csv_second_choice")
+def q_csv_second(spark, sf_dir):
+    """No candidate is there as Parquet; the second is there as CSV."""
+    from cellrisk.sources.files import RAW_SCHEMA, first_existing
+    path = _csv_written(spark, sf_dir, ending=".csv")
+    df, src = first_existing(spark, [f"{sf_dir}/no_such_table.parquet", path[:-len("csv")] + "parquet"], RAW_SCHEMA)
+    return (df.groupBy(F.col("IUCR").alias("iucr"))
+            .agg(F.count(F.lit(1)).alias("n"), F.count("Latitude").alias("n_lat"), F.lit(src.rsplit(".", 1)[-1]).alias("source")))
+
+
 @query("recursive_lookup")
 def q_recursive(spark, sf_dir):
     from cellrisk.sources.files import find_recursive
@@ -1192,6 +1210,13 @@ def q_params_json(spark, sf_dir):
     return read_params(spark, path, defaults={"risk_lag_cols": ["risk_lag_1", "risk_lag_3", "risk_lag_12"]})
 
 
+@query("label_params_record")
+def q_label_params(spark, sf_dir):
+    """The frozen label parameters as read back from JSON, lists as text."""
+    row = q_params_json(spark, sf_dir).withColumn("reference_date", F.substring("reference_date", 1, 19))
+    return r6(row.withColumns({c: F.array_join(c, ",") for c in ("feature_columns", "label_ingredient_columns", "risk_lag_cols")}))
+
+
 def _grid_with_clip(spark, sf_dir):
     from cellrisk.operators.stats import quantiles
     g = hourly_grid_df(spark, sf_dir)

@@ -31,7 +31,7 @@ from cellrisk.functions.space import grid_cells, grid_index, in_box
 from cellrisk.functions.text import normalize_text, parse_bool_strict
 from cellrisk.operators import neighbours as NB
 from cellrisk.operators import panel as PN
-from cellrisk.operators.clean import canonical_type
+from cellrisk.operators.clean import canonical_type, since_year
 from cellrisk.operators.joins import join_small
 from cellrisk.operators.stats import quantiles, scalars
 
@@ -45,9 +45,7 @@ def clean_incidents(inc: DataFrame, lat: str = "lat", lon: str = "lon", ts: str
     """Required fields present, inside the box, optional start year; the
     canonical type (last year's mode per code) and normalised description
     attached; arrest parsed strictly."""
-    df = inc
-    if start_year is not None:
-        df = df.filter(F.col(year) >= start_year)
+    df = since_year(inc, year, start_year)
     df = df.dropna(subset=[lat, lon, ts]).filter(in_box(lat, lon, region))
     df = canonical_type(df, code=code, ptype=ptype, year=year, out="primary_type_canon")
     return df.withColumns({"desc_canon": normalize_text(desc),

@@ -1092,6 +1092,9 @@ oracle("csv_profile_subset", H + """select id, strftime(ts, '%m/%d/%Y %I:%M:%S %
 oracle("parquet_first_existing", """select l_returnflag, count(*) as n, 'lineitem.parquet' as source
 from lineitem group by 1""")
 
+oracle("csv_second_choice", H + """select iucr, count(*) as n, count(lat) as n_lat, 'csv' as source
+from inc_hourly group by 1""")
+
 oracle("recursive_lookup", "select l_returnflag, count(*) as n from lineitem group by 1")
 
 oracle("hash_sample", H + f"select id, event_type from inc_hourly where {md5u(42, 'id')} < 0.1")
@@ -1156,6 +1159,20 @@ oracle("score_anchor", HOURLY_GRID_CTES + """
 select count(*) as n_rows, count(distinct cell_id) as n_cells, round(quantile_cont(risk_raw, 0.99), 6) as score_clip_value
 from grid""")
 
+oracle("label_params_record", HOURLY_GRID_CTES + f"""
+select (select strftime(max(ts), '%Y-%m-%d %H:%M:%S') from ev2) as reference_date, {P.GRID_DECIMALS} as grid_decimals,
+  {dbl(P.HALF_LIFE_DAYS)} as half_life_days, {dbl(P.SIGMA_KM)} as sigma_km, {dbl(P.CUTOFF_KM)} as cutoff_km,
+  {dbl(P.CLIP_PERCENTILE)} as clip_percentile, round(quantile_cont(risk_raw, 0.99), 6) as score_clip_value,
+  {dbl(P.SCORE_EXPONENT)} as score_exponent, count(distinct cell_id) as n_cells, count(*) as n_rows,
+  '{",".join(P.FEATURE_COLUMNS)}' as feature_columns, 'risk_score' as target,
+  'base_value,risk_raw' as label_ingredient_columns, 'risk_lag_1,risk_lag_3,risk_lag_12' as risk_lag_cols
+from grid""")
+
+oracle("grid_key_fingerprint", HOURLY_GRID_CTES + """
+select count(*) as n_rows, cast(sum(('0x' || substr(md5(concat_ws('|', cell_id, cast(dow as varchar), cast(hour as varchar),
+  cast(cast(crime_count as bigint) as varchar), cast(cast(cell_total_count as bigint) as varchar))), 1, 15))::bigint) as varchar) as digest
+from grid""")
+
 oracle("champion_order", "with c as (" + ORACLES["baseline_comparison"] + f"""), near as (
 select *, min(MAE) over (partition by protocol) as best from c)
 select protocol, predictor as champion, MAE from near where MAE <= best + {dbl(P.MAE_TIE_MARGIN)}
