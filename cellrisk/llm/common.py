@@ -63,6 +63,17 @@ def null_id(name: str = "doc_id"):
     return F.when(F.col(name) != F.lit(NO_ID), F.col(name)).alias(name)
 
 
+def free_names(docs: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores behind it until no column of ``docs`` has it."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column, null as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

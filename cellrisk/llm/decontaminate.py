@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellrisk.llm.common import NO_ID, stored
+from cellrisk.llm.common import NO_ID, free_names, stored
 
 WIDTH, PERCENT = 5, 80
 MAX_BROADCAST = 1_000_000
@@ -113,9 +113,10 @@ def _search(texts: DataFrame, keys: list[str], benchmark: DataFrame, width: int
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item."""
-    row = {"__row_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
-           "__row_key": F.when(F.col("doc_id").isNull(), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))).otherwise(F.lit(0).cast("long"))}
-    texts = docs.select(row["__row_id"].alias("__own_id"), row["__row_key"].alias("__own_key"), words_of(F.col("text").cast("string")).alias("words"))
-    bad = _search(texts, ["__own_id", "__own_key"], benchmark, **options).select("__own_id", "__own_key").distinct()
-    return (docs.withColumns(row).join(bad, (F.col("__row_id") == F.col("__own_id")) & (F.col("__row_key") == F.col("__own_key")), "left_anti")
+    own_id, own_key, row_id, row_key = free_names(docs, "__own_id", "__own_key", "__row_id", "__row_key")
+    row = {row_id: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
+           row_key: F.when(F.col("doc_id").isNull(), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))).otherwise(F.lit(0).cast("long"))}
+    texts = docs.select(row[row_id].alias(own_id), row[row_key].alias(own_key), words_of(F.col("text").cast("string")).alias("words"))
+    bad = _search(texts, [own_id, own_key], benchmark, **options).select(own_id, own_key).distinct()
+    return (docs.withColumns(row).join(bad, (F.col(row_id) == F.col(own_id)) & (F.col(row_key) == F.col(own_key)), "left_anti")
             .select(docs.columns))

@@ -52,7 +52,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellrisk.llm.common import MIX, NO_ID, BitTable, components, documents, join_hot, mixed, null_id, starts_of, stored, whole_groups, window_names
+from cellrisk.llm.common import MIX, NO_ID, BitTable, components, documents, free_names, join_hot, mixed, null_id, starts_of, stored, whole_groups, window_names
 from cellrisk.llm.sharing import chunks, shared_names, spots
 
 WIDTH, PERCENT = 5, 80
@@ -490,12 +490,13 @@ def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
     heads = stored(groups.where("doc_id = component_id").groupBy("component", "doc_id", "text_key").agg(F.count("*").alias("copies")), "heads")
     kept = heads.groupBy("component").agg(F.min("text_key").alias("kept_key"), F.count("*").alias("texts"))
     judged = stored(join_hot(heads, kept, ["component"], "texts", "inner"), "judged")
-    keys = [F.col("doc_id").alias("__own_id"), F.col("text_key").alias("__own_key")]
+    own_id, own_key, row_id, row_key = free_names(docs, "__own_id", "__own_key", "__row_id", "__row_key")
+    keys = [F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key)]
     again = judged.where("text_key = kept_key and copies > 1").select(*keys)  # the kept row itself, repeated
     gone = groups.where("doc_id <> component_id").union(judged.where("text_key <> kept_key").select(groups.columns[:2] + ["doc_id", "component"])).select(*keys).distinct()
-    own = docs.withColumns({"__row_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "__row_key": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
-    same = (F.col("__row_id") == F.col("__own_id")) & (F.col("__row_key") == F.col("__own_key"))
+    own = docs.withColumns({row_id: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), row_key: F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+    same = (F.col(row_id) == F.col(own_id)) & (F.col(row_key) == F.col(own_key))
     if again.isEmpty():
         return own.join(gone, same, "left_anti").select(docs.columns)
-    once = own.join(again, same, "left_semi").dropDuplicates(["__row_id", "__row_key"])
+    once = own.join(again, same, "left_semi").dropDuplicates([row_id, row_key])
     return own.join(gone.union(again), same, "left_anti").unionByName(once).select(docs.columns)

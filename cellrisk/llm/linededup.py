@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellrisk.llm.common import NO_ID, SPACE, as_bytes, documents, null_id, starts_of, stored, whole_groups
+from cellrisk.llm.common import NO_ID, SPACE, as_bytes, documents, free_names, null_id, starts_of, stored, whole_groups
 
 MIN_CHARS, MIN_DOCS = 40, 5
 #: Lines that a task settles among themselves before it sends rows.
@@ -124,16 +124,17 @@ def line_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
 
 def without_repeated_lines(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with the kept lines as text; a text that loses nothing is unchanged."""
-    maps = line_bitmaps(docs, **options).select(F.col("doc_id").alias("__own_id"), F.col("text_key").alias("__own_key"), F.col("keep_bitmap").alias("__own_keep"))
+    own_id, own_key, own_keep = free_names(docs, "__own_id", "__own_key", "__own_keep")
+    maps = line_bitmaps(docs, **options).select(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key), F.col("keep_bitmap").alias(own_keep))
     ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    both = docs.join(maps, (ids == F.col("__own_id")) & (F.xxhash64(F.coalesce(F.col("text"), F.lit(""))) == F.col("__own_key")), "left").drop("__own_id", "__own_key")
+    both = docs.join(maps, (ids == F.col(own_id)) & (F.xxhash64(F.coalesce(F.col("text"), F.lit(""))) == F.col(own_key)), "left").drop(own_id, own_key)
     schema = docs.schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column("text")
             out = [t if k is None else b"\n".join(kept_lines(t.split(b"\n"), k)) for t, k in
-                   zip(texts.cast(pa.binary()).to_pylist(), b.column("__own_keep").to_pylist())]
+                   zip(texts.cast(pa.binary()).to_pylist(), b.column(own_keep).to_pylist())]
             new = pa.array(out, pa.binary()).cast(texts.type)
             yield pa.RecordBatch.from_arrays([new if f.name == "text" else b.column(f.name) for f in schema], [f.name for f in schema])
     return both.mapInArrow(cut, schema)

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellrisk.llm.common import MIX, NO_ID, BitTable, as_bytes, documents, mixed, null_id, starts_of, window_names
+from cellrisk.llm.common import MIX, NO_ID, BitTable, as_bytes, documents, free_names, mixed, null_id, starts_of, window_names
 from cellrisk.llm.sharing import Chunk, chunks, shared_names, spots
 
 WIDTH = 13
@@ -221,16 +221,17 @@ def kept_words(words: list[bytes], starts: list[int] | None, blocks: list[bytes]
 def without_repeated_passages(docs: DataFrame, width: int = WIDTH, **options) -> DataFrame:
     """``docs`` with the kept words joined by one space; a text that loses
     nothing is unchanged."""
-    found = repeated_passages(docs, width, **options).select(F.col("doc_id").alias("__own_id"), F.col("text_key").alias("__own_key"), F.col("starts").alias("__own_starts"), F.col("blocks").alias("__own_blocks"))
+    own_id, own_key, own_starts, own_blocks = free_names(docs, "__own_id", "__own_key", "__own_starts", "__own_blocks")
+    found = repeated_passages(docs, width, **options).select(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key), F.col("starts").alias(own_starts), F.col("blocks").alias(own_blocks))
     ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    both = docs.join(found, (ids == F.col("__own_id")) & (F.xxhash64(F.coalesce(F.col("text"), F.lit(""))) == F.col("__own_key")), "left").drop("__own_id", "__own_key")
+    both = docs.join(found, (ids == F.col(own_id)) & (F.xxhash64(F.coalesce(F.col("text"), F.lit(""))) == F.col(own_key)), "left").drop(own_id, own_key)
     schema = docs.schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column("text")
             out = [t if starts is None else b" ".join(kept_words(t.split(), starts, blocks, width)) for t, starts, blocks in
-                   zip(texts.cast(pa.binary()).to_pylist(), b.column("__own_starts").to_pylist(), b.column("__own_blocks").to_pylist())]
+                   zip(texts.cast(pa.binary()).to_pylist(), b.column(own_starts).to_pylist(), b.column(own_blocks).to_pylist())]
             new = pa.array(out, pa.binary()).cast(texts.type)
             yield pa.RecordBatch.from_arrays([new if f.name == "text" else b.column(f.name) for f in schema], [f.name for f in schema])
     return both.mapInArrow(cut, schema)

@@ -167,14 +167,14 @@ def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
                [np.frombuffer(r["swaps"], np.uint64).reshape(-1, 4) for r in got])
 
 
-def with_toxicity(docs: DataFrame, model: Classifier) -> DataFrame:
-    """``docs`` with ``toxicity``, 0 to 1."""
+def with_toxicity(docs: DataFrame, model: Classifier, column: str = "toxicity") -> DataFrame:
+    """``docs`` with ``column``, 0 to 1, in place of one of that name."""
     shared = docs.sparkSession.sparkContext.broadcast((model.names, model.weights, model.bias))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Classifier(*shared.value)
         for b in batches:
             out = [own.score(t or "") for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.float64())], [*b.schema.names, "toxicity"])
-    plain = docs.drop("toxicity")
-    return plain.mapInArrow(score, T.StructType([*plain.schema.fields, T.StructField("toxicity", T.DoubleType())]))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.float64())], [*b.schema.names, column])
+    plain = docs.drop(column)
+    return plain.mapInArrow(score, T.StructType([*plain.schema.fields, T.StructField(column, T.DoubleType())]))

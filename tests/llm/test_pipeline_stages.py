@@ -4,7 +4,8 @@ import numpy as np
 
 import corpus_pipeline as P
 from cellrisk.llm import langid, toxicity
-from .test_dedup import brute_groups, brute_lines, sha
+from .fixtures import odd_rows
+from .test_dedup import brute_groups, brute_lines, line_rows, sha
 from .test_other import brute_contaminated
 
 SF = "/root/testdata/sf0.001"
@@ -41,3 +42,28 @@ def test_stages(spark):
     total = {r["doc_id"]: r["doc_tokens"] for r in pieces}
     assert sum(total.values()) == sum(r["length"] for r in pieces)
     assert np.all([r["length"] <= 2048 for r in pieces])
+
+
+CLASHING = {"toxicity": "keep", "__own_id": 7, "__own_key": "k", "__own_keep": "b", "__OWN_LENGTH": 1, "__row_id": 8, "__row_key": "r"}
+
+
+def test_stages_keep_odd_rows_and_clashing_columns(spark):
+    schema = "doc_id long, text string, " + ", ".join(f"`{c}` {'string' if isinstance(v, str) else 'long'}" for c, v in CLASHING.items())
+    rows = odd_rows() + [(None if i is None else i + 100, t) for i, t in line_rows()]
+    docs = spark.createDataFrame([(*r, *CLASHING.values()) for r in rows], schema).repartition(3)
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        got = out.collect()
+        assert {tuple(r)[2:] for r in got} == {tuple(CLASHING.values())}
+        texts = sorted(((r["doc_id"], r["text"] or "") for r in got), key=repr)
+        if name == "line_dedup":
+            assert {(i, sha(t)) for i, t in texts} == {(i, s) for i, _, _, s in brute_lines(rows)}
+        elif name == "ngram_jaccard_join":
+            kept = {t for _, t in texts}
+            assert {t or "" for _, t in rows if not (t or "").strip()} <= kept and "one" in kept
+            assert sum(t == "one" for _, t in texts) == 1 and len(texts) < len(rows)
+        else:  # nothing here is toxic or a benchmark item
+            assert texts == sorted(((i, t or "") for i, t in rows), key=repr)
+        assert stage(spark, docs.limit(0), SF).count() == 0
+    assert P.STAGES[-1][1](spark, docs.limit(0), SF).count() == 0
