@@ -3,8 +3,11 @@ benchmark decontamination, packing.
 
 Every stage takes (spark, docs, sf_dir) and gets what the stage before it kept;
 all but the last return the columns of ``documents``, with ``n_chars`` following
-a changed text.  ``run`` writes each stage's result as Parquet in the shared
-folder and reads it back for the next.
+a changed text.  Null, empty and blank texts pass all filtering stages; rows that
+repeat a doc_id or have none are judged by their own text (decontamination judges
+rows of one doc_id together); other columns, whatever their names, are kept; an
+empty table gives an empty result.  ``run`` writes each stage's result as Parquet
+in the shared folder and reads it back for the next.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellrisk.llm import langid, toxicity
-from cellrisk.llm.common import stored
+from cellrisk.llm.common import free_names, stored
 from cellrisk.llm.decontaminate import without_contaminated
 from cellrisk.llm.jaccard import one_of_each_group
 from cellrisk.llm.linededup import without_repeated_lines
@@ -26,14 +29,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("toxic").alias("label"))
     model = toxicity.learn(texts, labels.where(~langid.held_out(F.col("doc_id"))))
-    return toxicity.with_toxicity(docs, model).where(F.col("toxicity") < toxicity.THRESHOLD).drop("toxicity")
+    score, = free_names(docs, "toxicity")
+    return toxicity.with_toxicity(docs, model, score).where(F.col(score) < toxicity.THRESHOLD).drop(score)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go, except from the largest doc_id that holds them."""
-    was = docs.withColumn("__own_length", F.length("text"))
-    cut = without_repeated_lines(was)
-    changed = F.length("text") != F.col("__own_length")
+    if "n_chars" not in docs.columns:
+        return without_repeated_lines(docs)
+    was, = free_names(docs, "__own_length")
+    cut = without_repeated_lines(docs.withColumn(was, F.length("text")))
+    changed = F.length("text") != F.col(was)
     return cut.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
 
 
