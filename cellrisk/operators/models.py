@@ -46,9 +46,10 @@ def boosted_trees(max_iter: int = 100, max_depth: int = 6, step: float = 0.3, se
                         stepSize=step, seed=seed)
 
 
-#: Rows of one training partition.  Each partition of a level holds bin
-#: statistics of every open node, so too many cost more than they share.
-ROWS_PER_PARTITION = 5_000
+#: Rows of one training partition.  Each partition of a level holds and moves bin
+#: statistics of every open node, so too many cost more than they share: fits of
+#: few rows use the cores by running beside each other.
+ROWS_PER_PARTITION = 50_000
 
 
 def training_rows(df: DataFrame, n: int | None = None) -> DataFrame:
@@ -173,6 +174,7 @@ def permutation_importance(model: PipelineModel, test: DataFrame, features: list
     both = permuted(te, features, key, repeats, seed)
     # variant f has feature f of the other row; variant "" is the row itself
     variants = F.array(*[F.struct(F.lit(v).alias("_feature"), *[(F.col(f"_other.{f}") if f == v else F.col(f)).alias(f) for f in features]) for v in ("", *features)])
+    both = both.repartition(both.sparkSession.sparkContext.defaultParallelism)   # each row is scored often
     stacked = both.select(F.col(TARGET).alias("_y"), "_r", F.explode(variants).alias("v")).select("_y", "_r", "v.*")
     mae = (model.transform(stacked).groupBy("_feature", "_r").agg(F.avg(F.abs(F.col("_y") - F.col("prediction"))).alias("mae")))
     base = mae.filter("_feature = ''").select("_r", F.col("mae").alias("base"))

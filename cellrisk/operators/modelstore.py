@@ -31,7 +31,7 @@ INDEX = ("key string, algorithm string, features array<string>, params string, n
 
 
 #: Fits that run beside each other: boosting waits for its rounds while a forest uses the cores.
-PARALLEL_FITS = 3
+PARALLEL_FITS = 6
 
 
 def store_dir(spark: SparkSession) -> str:
@@ -67,7 +67,8 @@ def artefact_key(found: Row, features: list[str], estimator) -> tuple[str, str]:
 def fitted(rows: DataFrame, features: list[str], estimator) -> tuple[PipelineModel, Row]:
     """The pipeline of (assembler, ``estimator``) fitted on ``rows`` (features
     and target), and its index row."""
-    from cellrisk.operators.models import _dir_kb, assembler, training_rows
+    from cellrisk.operators.forest import fit_forest, in_groups
+    from cellrisk.operators.models import _dir_kb, assembler, scratch_path, training_rows
     spark = rows.sparkSession
     own = rows.select(*features, estimator.getLabelCol())
     found = data_fingerprint(own)
@@ -77,7 +78,10 @@ def fitted(rows: DataFrame, features: list[str], estimator) -> tuple[PipelineMod
         return PipelineModel.load(known["path"]), known
     ready = training_rows(own, found["n_rows"])
     start = time.perf_counter()
-    model = Pipeline(stages=[assembler(features), estimator]).fit(ready)
+    if in_groups(estimator, found["n_rows"]):
+        model = fit_forest(ready, features, estimator, found["n_rows"], scratch_path(spark, "forest"))
+    else:
+        model = Pipeline(stages=[assembler(features), estimator]).fit(ready)
     seconds = time.perf_counter() - start
     path = f"{store_dir(spark)}/models/{uuid.uuid4().hex}"
     model.save(path)
