@@ -1706,16 +1706,18 @@ def _monthly_predictions(spark, sf_dir):
     from cellrisk.params import FEATURE_COLUMNS_MONTHLY, RISK_LAG_COLUMNS
     tr, va, te = split_chrono(monthly_model_table(spark, sf_dir), TRAIN_END, VAL_END)
     clip = F.greatest(F.lit(0.0), F.least(F.lit(100.0), F.col("prediction")))
-    out = None
+    out, gens, jobs = None, [], []
     for gen, feats in zip(MONTHLY_V1_V2, (FEATURE_COLUMNS_MONTHLY, FEATURE_COLUMNS_MONTHLY + RISK_LAG_COLUMNS)):
         a, b, c = (materialize(prepare(d, feats, keep=["gi", "gj", "period_str", "risk_score"])) for d in (tr, va, te))
         ests = candidate_models(a)
         ests["Model: Gradient Boosted Trees"] = boosted_trees(400, 6, 0.08)
-        for name, (model, _) in zip(ests, fitted_all(spark, [(a, feats, est) for est in ests.values()])):
-            for part, d in (("val", b), ("test", c)):
-                p = model.transform(d).select(F.lit(gen).alias("generation"), F.lit(name).alias("model"), F.lit(part).alias("part"),
-                                              "gi", "gj", "period_str", F.col("risk_score").alias("y"), clip.alias("pred"))
-                out = p if out is None else out.unionByName(p)
+        gens += [(gen, name, b, c) for name in ests]
+        jobs += [(a, feats, est) for est in ests.values()]
+    for (gen, name, b, c), (model, _) in zip(gens, fitted_all(spark, jobs)):
+        for part, d in (("val", b), ("test", c)):
+            p = model.transform(d).select(F.lit(gen).alias("generation"), F.lit(name).alias("model"), F.lit(part).alias("part"),
+                                          "gi", "gj", "period_str", F.col("risk_score").alias("y"), clip.alias("pred"))
+            out = p if out is None else out.unionByName(p)
     return out
 
 
