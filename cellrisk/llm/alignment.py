@@ -46,6 +46,8 @@ from cellrisk.llm.packing import byte_letters, encoder
 #: Bytes of text that make a chunk, and units that a task remembers.
 CHUNK_BYTES, MOST_UNITS = 8 << 20, 300_000
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+#: A blank that is no cut.
+_UNCUT = re.compile(r"^ | $|\s | \s")
 
 
 def byte_level_tokens(path: str) -> dict[int, bytes]:
@@ -81,6 +83,10 @@ def overlaps(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.searchsorted(a_end, ends), np.searchsorted(b_end, ends)
 
 
+def cut_units(text: str) -> list[str]:
+    return _CUT.split(text) if _UNCUT.search(text) else text.split(" ")
+
+
 def runs(first: np.ndarray, length: np.ndarray) -> np.ndarray:
     """first, first + 1, ... of each run, one after another."""
     ends = np.cumsum(length)
@@ -127,11 +133,11 @@ class Aligner:
         """The places of the texts' units, all of them aligned."""
         if len(self.units) > MOST_UNITS:
             self.forget()
-        cut = [[t] if self.whole else _CUT.split(t) for t in texts]
-        fresh = {u for units in cut for u in units if u not in self.units}
+        cut = [[t] if self.whole else cut_units(t) for t in texts]
+        fresh = set().union(*cut).difference(self.units)
         if fresh:
             self._align(list(fresh))
-        return [[self.units[u] for u in units] for units in cut]
+        return [list(map(self.units.__getitem__, units)) for units in cut]
 
     def _align(self, units: list[str]) -> None:
         wanted = [(" " + u).encode("utf-8", "replace") for u in units]
@@ -212,8 +218,10 @@ def _chunk_row(name: int, docs: list[tuple]) -> pa.RecordBatch:
     """Of (doc_id, n_a, n_b, n_groups, links, sha) of a chunk's documents."""
     links = [d[4] for d in docs]
     n = np.array([len(x) for x in links], np.int64)
-    pairs, place, times = np.unique(np.concatenate(links), return_inverse=True, return_counts=True)
-    common = np.argsort(-times, kind="stable")
+    found = pa.array(np.concatenate(links)).dictionary_encode()
+    pairs, place = found.dictionary.to_numpy(), found.indices.to_numpy()
+    times = np.bincount(place, minlength=len(pairs))
+    common = np.lexsort((pairs, -times))
     rank = np.empty(len(common), np.int64)
     rank[common] = np.arange(len(common))
     pairs, place = pairs[common], rank[place]

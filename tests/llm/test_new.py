@@ -294,3 +294,25 @@ def test_long_texts_align(spark):
     text = "one" + " " * 1_000_000 + "two" + "\n" * 200_000 + "a" * 200_000
     rows = got(align_documents(frame(spark, [(1, text), (2, "one two")])))
     assert rows[0][1] > 100_000 and rows[0][2] > 10_000 and rows[1][4] > 0 and SCHEMA
+
+
+def test_plain_texts_are_cut_as_others():
+    """Without the expression that looks around each blank where no blank stands
+    beside white space; the units are the same."""
+    from cellrisk.llm import alignment
+    odd = ["a b c", "a", " a b", "a b ", "a  b c", "a \nb c", "a\n b c", "a\xa0 b c", "a  b", "a\n\nb c", " ", "\n", "a b \n", "　 x y", "a\x85 b"]
+    assert [alignment.cut_units(t) for t in odd] == [alignment._CUT.split(t) for t in odd]
+    assert [bool(alignment._UNCUT.search(t)) for t in odd[:6]] == [False, False, True, True, True, True]
+
+
+def test_a_chunk_holds_its_pairs_commonest_first():
+    import numpy as np
+    from cellrisk.llm import alignment
+    links = [np.array([9, 7, 7, 3]), np.array([], np.int64), np.array([3, 9, 2, 9])]
+    row = alignment._chunk_row(5, [(i, 1, 1, 1, x, "") for i, x in enumerate(links)]).to_pylist()[0]
+    pairs = np.frombuffer(row["pairs"], "<i8")
+    assert pairs.tolist() == [9, 3, 7, 2]   # by occurrences, then by pair
+    assert alignment._spread(row["documents"]).tolist() == [2, 2, 1, 1]
+    assert pairs[alignment._spread(row["links"])].tolist() == np.concatenate(links).tolist() and row["n_links"] == [4, 0, 4]
+    none = alignment._chunk_row(6, [(1, 0, 0, 0, np.zeros(0, np.int64), "")]).to_pylist()[0]
+    assert none["pairs"] == b"" and none["n_links"] == [0]
