@@ -202,6 +202,10 @@ class BitTable:
                 .collect())
         return cls(names.sparkSession, bits, rows)
 
+    def drop(self) -> None:
+        """For when nothing that reads it will run again."""
+        self.shared.destroy()
+
     def has(self, names: np.ndarray) -> np.ndarray:
         spot = names.astype(np.int64, copy=False) & ((1 << self.bits) - 1)
         return (self.shared.value[spot >> 3] >> (7 - (spot & 7)).astype(np.uint8) & 1).astype(bool)
@@ -224,28 +228,58 @@ def join_hot(left: DataFrame, right: DataFrame, keys: list[str], weight: str, ho
     return left.join(hot, keys).unionByName(cold.join(right.where(F.col(weight) < least), keys, how))
 
 
+#: Links that a task joins at a time.
+STAR_LINKS = 500_000
+
+
+def stars(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (u, v) of each block of the task as stars: every node but the
+    smallest of its component in the block, with that smallest one."""
+    def joined(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        ends = [np.concatenate([b.column(c).to_numpy() for b in held]) for c in ("u", "v")]
+        nodes, at = np.unique(np.concatenate(ends), return_inverse=True)
+        a, b = np.split(at, 2)
+        root = np.arange(len(nodes))
+        while (root[a] != root[b]).any():
+            x, y = root[a], root[b]
+            np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+            while (root[root] != root).any():
+                root = root[root]
+        far = root != np.arange(len(nodes))
+        return pa.RecordBatch.from_arrays([pa.array(nodes[far]), pa.array(nodes[root[far]])], ["u", "v"])
+
+    held, rows = [], 0
+    for b in batches:
+        held.append(b)
+        rows += b.num_rows
+        if rows >= STAR_LINKS:
+            yield joined(held)
+            held, rows = [], 0
+    if rows:
+        yield joined(held)
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable over the links.
 
-    Large-star and small-star rounds: each round is two grouped minima and two
-    joins, so no component is ever held by one task.  Rounds grow with the
-    logarithm of a component's size; every round ends in a stored table."""
-    spark = edges.sparkSession
-    e = stored(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "links")
-    before = None
+    Large-star and small-star rounds until all links are stars: each round is two
+    grouped minima and two joins, so no component is ever held by one task.  Tasks
+    join the links that they hold before these are stored, so few links take no
+    round, and rounds grow with the logarithm of a component's size at most."""
+    def kept(links: DataFrame) -> DataFrame:
+        return stored(links.distinct().mapInArrow(stars, "u long, v long"), "links")
+
+    e = kept(edges.select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v")).where("u <> v"))
     while True:
+        # a star's nodes have one smaller neighbour, and are nobody's
+        ends = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.lit(None).cast("long").alias("v")))
+        if ends.groupBy("u").agg(F.min("v").alias("least"), F.max("v").alias("most"), F.count_if(F.col("v").isNull()).alias("above")).where("least <> most or least is not null and above > 0").isEmpty():
+            break
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         m = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(m, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        down = e.groupBy("u").agg(F.min("v").alias("m"))
-        large = stored(large.distinct(), "links")
+        large = stored(both.where("v > u").join(m, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "links")
         down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-                 .union(down.select("u", F.col("m").alias("v"))).distinct())
-        e = stored(small, "links")
-        now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == before:
-            break
-        before = now
+        e = kept(large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+                 .union(down.select("u", F.col("m").alias("v"))))
     return (e.select(F.col("u").alias("node"), F.col("v").alias("component"))
             .union(e.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct())

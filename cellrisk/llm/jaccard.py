@@ -315,8 +315,10 @@ def _links(texts: DataFrame, classes: DataFrame, members: DataFrame, width: int,
     # whole sets move once where the table of their places is small, and twice beyond that
     to = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
     sets = texts.mapInArrow(_grams(width, chunk, table), "doc_id long, cls long, grams binary").join(to, ["doc_id", "cls"])
-    return stored(sets.select("bucket", "part", "cls", "grams").repartition("bucket", "part").sortWithinPartitions("bucket", "part", "cls")
-                  .mapInArrow(_search(percent), "a long, b long"), "found"), places
+    found = stored(sets.select("bucket", "part", "cls", "grams").repartition("bucket", "part").sortWithinPartitions("bucket", "part", "cls")
+                   .mapInArrow(_search(percent), "a long, b long"), "found")
+    table.drop()
+    return found, places
 
 
 #: Postings of guests that one task probes a part's lists with, and pairs of postings that it counts at a time.
@@ -405,6 +407,8 @@ def _grouped(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, chunk_
     lists = stored(texts.mapInArrow(_postings(width, chunk_words, frequent, shared, filter_bits, percent), "gram long, cls long, n long")
                    .repartition("gram").sortWithinPartitions("gram", "cls")
                    .mapInArrow(_lists, "gram long, cls long, n long, pivot long, pivot_n long, two boolean"), "lists")
+    frequent.drop()
+    shared.drop()
 
     def on_enough(a: str, b: str):
         long = [F.expr(f"({x} * {percent} + 99) div 100 - 1 - {x} div 20") for x in (a, b)]

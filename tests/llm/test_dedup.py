@@ -274,3 +274,47 @@ def test_lists_do_not_depend_on_batches():
         batches = [pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows[i:i + size])], ["gram", "cls", "n"]) for i in range(0, len(rows), size)]
         got = [tuple(r.values()) for b in _lists(iter(batches)) for r in b.to_pylist()]
         assert sorted(got) == sorted(want)
+
+
+def _reached(links):
+    """(node, smallest reachable) by plain union."""
+    root = {x: x for ab in links for x in ab}
+    for _ in root:
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    return {x: r for x, r in root.items() if any(x in ab and ab[0] != ab[1] for ab in links)}
+
+
+def test_few_links_take_no_round(spark, monkeypatch):
+    """Each round is three jobs with joins that the driver plans and broadcasts:
+    links that one task holds are joined before the first."""
+    from cellrisk.llm import common
+    links = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 100), (7, 7), (200, 150), (150, 120)]
+    names, kept = [], common.stored
+    monkeypatch.setattr(common, "stored", lambda df, name: names.append(name) or kept(df, name))
+    got = common.components(spark.createDataFrame(links, "a long, b long").coalesce(1)).collect()
+    assert {r["node"]: r["component"] for r in got} == _reached(links) and len(got) == len(_reached(links))
+    assert names == ["links"]
+
+
+def test_links_of_many_tasks_are_joined_in_rounds(spark):
+    from cellrisk.llm import common
+    links = [(i * 37 % 101, (i + 1) * 37 % 101) for i in range(60)] + [(500 + i, 500) for i in range(30)] + [(-5, -9)]
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        got = common.components(spark.createDataFrame(links, "a long, b long")).collect()
+        none = common.components(spark.createDataFrame([], "a long, b long")).collect()
+    finally:
+        spark.conf.unset(key)
+    assert {r["node"]: r["component"] for r in got} == _reached(links) and len(got) == len(_reached(links))
+    assert none == []
+
+
+def test_a_task_joins_its_links_block_by_block(monkeypatch):
+    import pyarrow as pa
+    from cellrisk.llm import common
+    monkeypatch.setattr(common, "STAR_LINKS", 3)
+    batch = lambda *uv: pa.RecordBatch.from_arrays([pa.array([u for u, _ in uv], pa.int64()), pa.array([v for _, v in uv], pa.int64())], ["u", "v"])
+    got = [b.to_pylist() for b in common.stars([batch((9, 8), (8, 4)), batch(), batch((7, 4), (3, 2)), batch((2, 1))])]
+    assert got == [[{"u": u, "v": v} for u, v in block] for block in ([(3, 2), (7, 4), (8, 4), (9, 4)], [(2, 1)])]
