@@ -28,7 +28,7 @@ from cellrisk.functions import score as SC
 from cellrisk.functions import severity as SEV
 from cellrisk.functions import timefx as T
 from cellrisk.functions.space import grid_cells, grid_index, in_box
-from cellrisk.functions.text import normalize_text, parse_bool_strict
+from cellrisk.functions.text import normalize_text, parse_bool_strict, upper_strip
 from cellrisk.operators import neighbours as NB
 from cellrisk.operators import panel as PN
 from cellrisk.operators.clean import canonical_type, since_year
@@ -61,17 +61,18 @@ def event_values(clean: DataFrame, ts: str = "ts", half_life: float = P.HALF_LIF
     g = grid_cells(lat, lon)
     out = clean.withColumns({
         "lat_r": g["lat_r"], "lon_r": g["lon_r"],
+        "_type": upper_strip("primary_type_canon"), "_desc": upper_strip("desc_canon"),
     }).withColumns({
         "cell_id": F.concat_ws("_", F.col("lat_r").cast("string"), F.col("lon_r").cast("string")),
         "gx": grid_index("lat_r"), "gy": grid_index("lon_r"),
         "hour": F.hour(ts).cast("int"), "dow": F.weekday(ts).cast("int"),
-        "severity": SEV.layered_severity("primary_type_canon", "desc_canon"),
-        "sev_layer": SEV.severity_layer("primary_type_canon", "desc_canon"),
+        "severity": SEV.stripped_severity("_type", "_desc"),
+        "sev_layer": SEV.stripped_layer("_type", "_desc"),
         "is_violent": F.coalesce(F.col("primary_type_canon").isin(*P.VIOLENT_TYPES), F.lit(False)),
         "age_days": F.timestamp_diff("MICROSECOND", F.col(ts).cast("timestamp_ntz"),
                                      F.lit(str(reference_ts)).cast("timestamp_ntz")) / F.lit(86400e6),
     })
-    return out.withColumns({"w_time": SC.temporal_weight("age_days", half_life)}) \
+    return out.drop("_type", "_desc").withColumns({"w_time": SC.temporal_weight("age_days", half_life)}) \
               .withColumn("event_value", F.col("severity") * F.col("w_time"))
 
 
