@@ -14,8 +14,10 @@ the order that MLlib saves nodes, a node's left child being the next one).
 
 from __future__ import annotations
 
+import gc
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from threading import Lock
 
 import numpy as np
 import pandas as pd
@@ -27,14 +29,27 @@ from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Fits of trees that run beside each other, of all forests of the process.
+#: Fits of trees that the driver has room for, of all forests of the process.
 FITS_AT_ONCE = 8
 
 #: Nodes that those fits may hold in the driver together: a tree has a node for
 #: each row at most (with two rows a leaf), so more rows make smaller fits.
 NODES_AT_ONCE = 600_000
 
-_FITS = ThreadPoolExecutor(FITS_AT_ONCE)
+#: Fits that run beside each other: fewer than there is room for, as one that is
+#: being saved holds its nodes again as rows.
+FITS_RUNNING = 5
+
+_FITS = ThreadPoolExecutor(FITS_RUNNING)
+_RELEASING = Lock()
+
+
+def _release() -> None:
+    """Python's handle of a model's writer is in a reference cycle; until that is
+    collected the driver's JVM keeps the model.  One at a time: a collection that
+    meets another does nothing."""
+    with _RELEASING:
+        gc.collect()
 
 
 def trees_per_fit(n_rows: int) -> int:
@@ -47,14 +62,18 @@ def in_groups(estimator, n_rows: int) -> bool:
     return isinstance(estimator, RandomForestRegressor) and estimator.getNumTrees() > trees_per_fit(n_rows)
 
 
-def _nodes(spark, path: str, first: int) -> DataFrame:
-    """(tree, id, right, feature, value) of a saved MLlib forest; a leaf has no
-    right child and its prediction as value."""
+def _trees(spark, path: str, firsts: list[int]) -> DataFrame:
+    """(tree, right, feature, value) of the MLlib forests saved under ``path``; a leaf
+    has no right child and its prediction as value.  The first tree of each fit is read
+    from its folder's name, so one plan packs all of them."""
     n, leaf = F.col("nodeData"), F.col("nodeData.leftChild") < 0
-    return spark.read.parquet(path + "/data").select(
-        (F.col("treeID") + F.lit(first)).alias("tree"), n["id"].alias("id"), F.when(leaf, 0).otherwise(n["rightChild"]).alias("right"),
+    saved = spark.read.option("basePath", path).parquet(*[f"{path}/first={k}/data" for k in firsts])
+    nodes = saved.select(
+        (F.col("treeID") + F.col("first").cast("int")).alias("tree"), n["id"].alias("id"), F.when(leaf, 0).otherwise(n["rightChild"]).alias("right"),
         F.when(leaf, 0).otherwise(n["split"]["featureIndex"]).cast("short").alias("feature"),
         F.when(leaf, n["prediction"]).otherwise(n["split"]["leftCategoriesOrThreshold"][0]).alias("value"))
+    return (nodes.groupBy("tree").agg(F.sort_array(F.collect_list(F.struct("id", "right", "feature", "value"))).alias("n"))
+            .select("tree", "n.right", "n.feature", "n.value"))
 
 
 def fit_forest(rows: DataFrame, features: list[str], estimator, n_rows: int, path: str) -> PipelineModel:
@@ -64,16 +83,15 @@ def fit_forest(rows: DataFrame, features: list[str], estimator, n_rows: int, pat
     spark, size, total = rows.sparkSession, trees_per_fit(n_rows), estimator.getNumTrees()
     ready = materialize(assembler(features).transform(rows).select(estimator.getFeaturesCol(), estimator.getLabelCol()))
 
-    def part(first: int) -> str:
+    def part(first: int) -> None:
         own = estimator.copy({estimator.numTrees: min(size, total - first), estimator.seed: estimator.getSeed() + first})
-        out = f"{path}/part-{first}"
-        own.fit(ready).save(out)
-        # packed at once: a small table for each fit
-        (_nodes(spark, out, first).groupBy("tree").agg(F.sort_array(F.collect_list(F.struct("id", "right", "feature", "value"))).alias("n"))
-         .select("tree", "n.right", "n.feature", "n.value").coalesce(1).write.parquet(f"{path}/trees-{first}"))
-        return f"{path}/trees-{first}"
-    made = [f.result() for f in [_FITS.submit(inheritable_thread_target(spark)(part), first) for first in range(0, total, size)]]
-    forest = ForestModel(spark.read.parquet(*made))
+        own.fit(ready).save(f"{path}/first={first}")
+        _release()
+    firsts = list(range(0, total, size))
+    for f in [_FITS.submit(inheritable_thread_target(spark)(part), first) for first in firsts]:
+        f.result()
+    _trees(spark, path, firsts).write.parquet(f"{path}/trees")
+    forest = ForestModel(spark.read.parquet(f"{path}/trees"))
     forest._set(featuresCol=estimator.getFeaturesCol(), predictionCol=estimator.getPredictionCol())
     return PipelineModel([assembler(features), forest])
 

@@ -1,10 +1,12 @@
 """Forests in fits of a few trees."""
+import gc
 import math
 import uuid
+import weakref
 
 import numpy as np
 from pyspark.ml import PipelineModel
-from pyspark.ml.regression import RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import functions as F
 
 FEATURES = ["a", "b"]
@@ -37,6 +39,26 @@ def test_no_fit_holds_more_trees_than_the_rows_allow(spark, monkeypatch):
     assert len({tuple(r["value"]) for r in trees}) == 10   # no tree is another's copy
 
 
+def test_the_driver_lets_go_of_each_fit_once_saved(spark, monkeypatch):
+    """No MLlib writer, which holds its model, waits for Python's own collections."""
+    from cellrisk.operators.models import random_forest
+    R, S = _small_fits(monkeypatch, spark, 600 * 8 * 2)
+    made, write = [], RandomForestRegressionModel.write
+
+    def seen(self):
+        writer = write(self)
+        made.append(weakref.ref(writer._jwrite))
+        return writer
+    monkeypatch.setattr(RandomForestRegressionModel, "write", seen)
+    gc.disable()
+    try:
+        model, _ = S.fitted(_rows(spark), FEATURES, random_forest(6, 2, 6))
+        assert len(made) == 3 and all(r() is None for r in made)
+    finally:
+        gc.enable()
+    assert model.stages[-1].getNumTrees == 6
+
+
 def test_a_forest_scores_as_its_mllib_parts_do(spark, monkeypatch):
     from cellrisk.operators.models import assembler, random_forest
     R, S = _small_fits(monkeypatch, spark, 600 * 8 * 2)
