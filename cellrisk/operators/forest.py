@@ -111,6 +111,8 @@ def walk(right: np.ndarray, feature: np.ndarray, value: np.ndarray, x: np.ndarra
 class ForestModel(Model, HasFeaturesCol, HasPredictionCol, MLWritable, MLReadable):
     """Mean of the trees of a table (tree, right, feature, value)."""
 
+    mean = True
+
     def __init__(self, trees: DataFrame | None = None):
         super().__init__()
         self.trees, self._sent = trees, None
@@ -125,12 +127,12 @@ class ForestModel(Model, HasFeaturesCol, HasPredictionCol, MLWritable, MLReadabl
             table = self.trees.orderBy("tree").toArrow()
             arrays = [[np.asarray(r.values) for r in table.column(c)] for c in ("right", "feature", "value")]
             self._sent = spark.sparkContext.broadcast(list(zip(*arrays)))
-        sent = self._sent
+        sent, mean = self._sent, self.mean
 
         @F.pandas_udf("double")
         def predict(features: pd.Series) -> pd.Series:
             x = np.stack(features.to_numpy()) if len(features) else np.zeros((0, 1))
-            return pd.Series(reduce(np.add, (walk(*tree, x) for tree in sent.value)) / len(sent.value))
+            return pd.Series(reduce(np.add, (walk(*tree, x) for tree in sent.value)) / (len(sent.value) if mean else 1))
         return dataset.withColumn(self.getPredictionCol(), predict(vector_to_array(F.col(self.getFeaturesCol()))))
 
     def write(self) -> MLWriter:
@@ -141,6 +143,12 @@ class ForestModel(Model, HasFeaturesCol, HasPredictionCol, MLWritable, MLReadabl
         return _ForestReader(cls)
 
 
+class BoostedModel(ForestModel):
+    """Sum of the trees of a table, whose leaves hold their step."""
+
+    mean = False
+
+
 class _ForestWriter(MLWriter):
     def __init__(self, instance: ForestModel):
         super().__init__()

@@ -69,6 +69,7 @@ def fitted(rows: DataFrame, features: list[str], estimator) -> tuple[PipelineMod
     and target), and its index row."""
     from cellrisk.operators.forest import fit_forest, in_groups
     from cellrisk.operators.models import _dir_kb, assembler, scratch_path, training_rows
+    from cellrisk.operators.trees import fit_in_tasks, in_tasks
     spark = rows.sparkSession
     own = rows.select(*features, estimator.getLabelCol())
     found = data_fingerprint(own)
@@ -76,9 +77,11 @@ def fitted(rows: DataFrame, features: list[str], estimator) -> tuple[PipelineMod
     known = index(spark).filter(F.col("key") == key).orderBy("fitted_at").first()
     if known is not None:
         return PipelineModel.load(known["path"]), known
-    ready = training_rows(own, found["n_rows"])
+    ready = own if in_tasks(estimator, found["n_rows"]) else training_rows(own, found["n_rows"])
     start = time.perf_counter()
-    if in_groups(estimator, found["n_rows"]):
+    if ready is own:
+        model = fit_in_tasks(own, features, estimator, scratch_path(spark, "trees"))
+    elif in_groups(estimator, found["n_rows"]):
         model = fit_forest(ready, features, estimator, found["n_rows"], scratch_path(spark, "forest"))
     else:
         model = Pipeline(stages=[assembler(features), estimator]).fit(ready)
