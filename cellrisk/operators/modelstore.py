@@ -77,17 +77,19 @@ def fitted(rows: DataFrame, features: list[str], estimator) -> tuple[PipelineMod
     known = index(spark).filter(F.col("key") == key).orderBy("fitted_at").first()
     if known is not None:
         return PipelineModel.load(known["path"]), known
-    ready = own if in_tasks(estimator, found["n_rows"]) else training_rows(own, found["n_rows"])
+    path = f"{store_dir(spark)}/models/{uuid.uuid4().hex}"
+    tasks = in_tasks(estimator, found["n_rows"])
+    ready = own if tasks else training_rows(own, found["n_rows"])
     start = time.perf_counter()
-    if ready is own:
-        model = fit_in_tasks(own, features, estimator, scratch_path(spark, "trees"))
+    if tasks:
+        model = fit_in_tasks(own, features, estimator, path)
     elif in_groups(estimator, found["n_rows"]):
         model = fit_forest(ready, features, estimator, found["n_rows"], scratch_path(spark, "forest"))
     else:
         model = Pipeline(stages=[assembler(features), estimator]).fit(ready)
     seconds = time.perf_counter() - start
-    path = f"{store_dir(spark)}/models/{uuid.uuid4().hex}"
-    model.save(path)
+    if not tasks:
+        model.save(path)
     row = [(key, type(estimator).__name__, list(features), params, int(found["n_rows"]), found["digest"], path, round(seconds, 4), round(_dir_kb(spark, path), 1))]
     (spark.createDataFrame(row, INDEX.rpartition(",")[0]).withColumn("fitted_at", F.current_timestamp()).coalesce(1)
      .write.parquet(f"{store_dir(spark)}/index/{uuid.uuid4().hex}"))

@@ -201,7 +201,8 @@ def _packed(rows: DataFrame, features: list[str], label: str, max_bins: int) ->
 
 
 def fit_in_tasks(rows: DataFrame, features: list[str], estimator, path: str) -> PipelineModel:
-    """(assembler, trees) of ``estimator`` fitted on ``rows``, kept under ``path``."""
+    """(assembler, trees) of ``estimator`` fitted on ``rows``: the tasks that grow trees save
+    them under ``path``, as part of the model."""
     from cellrisk.operators.forest import BoostedModel, ForestModel
     from cellrisk.operators.models import assembler
     spark = rows.sparkSession
@@ -223,8 +224,8 @@ def fit_in_tasks(rows: DataFrame, features: list[str], estimator, path: str) ->
                     yield pa.RecordBatch.from_arrays([pa.array([first], pa.int32()), pa.array([right], pa.list_(pa.int32())),
                                                       pa.array([feature], pa.list_(pa.int16())), pa.array([value], pa.list_(pa.float64()))], ["tree", "right", "feature", "value"])
                     first += 1
-    asked.mapInArrow(made, TREES).write.parquet(f"{path}/trees")
-    sent.destroy()
-    model = (BoostedModel if boosting else ForestModel)(spark.read.parquet(f"{path}/trees"))
+    model = (BoostedModel if boosting else ForestModel)(asked.mapInArrow(made, TREES))
     model._set(featuresCol=estimator.getFeaturesCol(), predictionCol=estimator.getPredictionCol())
-    return PipelineModel([assembler(features), model])
+    PipelineModel([assembler(features), model]).save(path)
+    sent.destroy()
+    return PipelineModel.load(path)
