@@ -18,11 +18,12 @@ import gc
 import pickle
 import zlib
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
+from functools import cached_property, reduce
 from threading import Lock
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -111,17 +112,22 @@ def walk(right: np.ndarray, feature: np.ndarray, value: np.ndarray, x: np.ndarra
 
 
 class _Packed:
-    """Trees that are compressed on their way: a broadcast is a file on the driver and on each executor."""
+    """Trees as tasks compressed them, unpacked where they score: the driver only passes them on,
+    and a broadcast is a file on the driver and on each executor."""
 
-    def __init__(self, trees: list):
-        self.trees = trees
+    def __init__(self, packed: list):
+        self._packed = packed
 
-    def __reduce__(self):
-        return _unpacked, (zlib.compress(pickle.dumps(self.trees, 5), 1),)
+    @cached_property
+    def trees(self) -> list:
+        return [pickle.loads(zlib.decompress(t)) for t in self._packed]
 
 
-def _unpacked(data: bytes) -> _Packed:
-    return _Packed(pickle.loads(zlib.decompress(data)))
+def _pack(batches):
+    for batch in batches:
+        arrays = [[np.asarray(r.values) for r in batch.column(c)] for c in ("right", "feature", "value")]
+        packed = [zlib.compress(pickle.dumps(t, 5), 1) for t in zip(*arrays)]
+        yield pa.RecordBatch.from_arrays([batch.column("tree").cast(pa.int32()), pa.array(packed, pa.binary())], ["tree", "packed"])
 
 
 class ForestModel(Model, HasFeaturesCol, HasPredictionCol, MLWritable, MLReadable):
@@ -140,9 +146,8 @@ class ForestModel(Model, HasFeaturesCol, HasPredictionCol, MLWritable, MLReadabl
     def _transform(self, dataset: DataFrame) -> DataFrame:
         spark = dataset.sparkSession
         if self._sent is None:
-            table = self.trees.orderBy("tree").toArrow()
-            arrays = [[np.asarray(r.values) for r in table.column(c)] for c in ("right", "feature", "value")]
-            self._sent = spark.sparkContext.broadcast(_Packed(list(zip(*arrays))))
+            packed = sorted(tuple(r) for r in self.trees.select("tree", "right", "feature", "value").mapInArrow(_pack, "tree int, packed binary").collect())
+            self._sent = spark.sparkContext.broadcast(_Packed([bytes(t) for _, t in packed]))
         sent, mean = self._sent, self.mean
 
         @F.pandas_udf("double")
@@ -151,6 +156,18 @@ class ForestModel(Model, HasFeaturesCol, HasPredictionCol, MLWritable, MLReadabl
             return pd.Series(reduce(np.add, (walk(*tree, x) for tree in trees)) / (len(trees) if mean else 1))
         return dataset.withColumn(self.getPredictionCol(), predict(vector_to_array(F.col(self.getFeaturesCol()))))
 
+    def copy(self, extra=None) -> ForestModel:
+        """A copy sends its trees for itself."""
+        that = super().copy(extra)
+        that._sent = None
+        return that
+
+    def release(self) -> None:
+        """Let go of the trees that were sent; what they score has to be written by then."""
+        if self._sent is not None:
+            self._sent.destroy()
+            self._sent = None
+
     def write(self) -> MLWriter:
         return _ForestWriter(self)
 
@@ -165,6 +182,13 @@ class BoostedModel(ForestModel):
     mean = False
 
 
+def release(models) -> None:
+    """``ForestModel.release`` of fitted pipelines."""
+    for stage in (stage for m in models for stage in m.stages):
+        if isinstance(stage, ForestModel):
+            stage.release()
+
+
 class _ForestWriter(MLWriter):
     def __init__(self, instance: ForestModel):
         super().__init__()

@@ -1362,8 +1362,10 @@ def _candidates(spark, sf_dir):
         b = _protocol_b(spark, sf_dir)
         ests = candidate_models(b["train"])
         table, fitted = train_candidates(b["train"], b["test"], FEATURE_COLUMNS, GRID_KEY, ests)
+        from cellrisk.operators.forest import release
         from cellrisk.operators.panel import materialize
         _MEMO[key] = (materialize(table), fitted)
+        release(fitted.values())
     return _MEMO[key]
 
 
@@ -1633,6 +1635,7 @@ def _champion_predictions(spark, sf_dir):
     of the champion, fitted on each protocol's train."""
     key = (id(spark), sf_dir, "champion_predictions")
     if key not in _MEMO:
+        from cellrisk.operators.forest import release
         from cellrisk.operators.models import candidate_models, prepare
         from cellrisk.operators.modelstore import fitted_all
         from cellrisk.operators.panel import materialize
@@ -1643,7 +1646,7 @@ def _champion_predictions(spark, sf_dir):
         pf = protocol_frames(grid_protocols(spark, sf_dir))
         rows = {p: prepare(pf[p]["train"], FEATURE_COLUMNS, keep=GRID_KEY + ["risk_score"]) for p in ("A", "C")}
         made = fitted_all(spark, [(tr, FEATURE_COLUMNS, candidate_models(tr)[best]) for tr in rows.values()])
-        models = {"B": fitted[best], **{p: model for p, (model, _) in zip(rows, made)}}
+        models = {"B": fitted[best].copy(), **{p: model for p, (model, _) in zip(rows, made)}}
         out = None
         for p in ("A", "B", "C"):
             base = _ladder(spark, sf_dir, p)[0].withColumn("predictor_type", F.lit("baseline"))
@@ -1653,6 +1656,7 @@ def _champion_predictions(spark, sf_dir):
             both = base.select(*own.columns).unionByName(own).withColumn("protocol", F.lit(p))
             out = both if out is None else out.unionByName(both)
         _MEMO[key] = materialize(out)
+        release(models.values())
     return _MEMO[key]
 
 
@@ -1694,11 +1698,12 @@ def q_champion_segments(spark, sf_dir):
 MONTHLY_V1_V2 = ("v1", "v2")
 
 
-@memo("monthly_predictions")
+@memo("monthly_predictions", materialized=False)
 def _monthly_predictions(spark, sf_dir):
     """(generation, model, part, gi, gj, period_str, y, pred) of both monthly
     generations: three candidates on the features (v1) and on features with
     lagged risk (v2), clipped to 0..100, on the validation and test months."""
+    from cellrisk.operators.forest import release
     from cellrisk.operators.models import boosted_trees, candidate_models, prepare
     from cellrisk.operators.modelstore import fitted_all
     from cellrisk.operators.panel import materialize
@@ -1713,11 +1718,14 @@ def _monthly_predictions(spark, sf_dir):
         ests["Model: Gradient Boosted Trees"] = boosted_trees(400, 6, 0.08)
         gens += [(gen, name, b, c) for name in ests]
         jobs += [(a, feats, est) for est in ests.values()]
-    for (gen, name, b, c), (model, _) in zip(gens, fitted_all(spark, jobs)):
+    made = fitted_all(spark, jobs)
+    for (gen, name, b, c), (model, _) in zip(gens, made):
         for part, d in (("val", b), ("test", c)):
             p = model.transform(d).select(F.lit(gen).alias("generation"), F.lit(name).alias("model"), F.lit(part).alias("part"),
                                           "gi", "gj", "period_str", F.col("risk_score").alias("y"), clip.alias("pred"))
             out = p if out is None else out.unionByName(p)
+    out = materialize(out)
+    release(model for model, _ in made)
     return out
 
 

@@ -1,5 +1,6 @@
 """Forests and boosted trees grown inside tasks."""
 import math
+import os
 import random
 import uuid
 
@@ -136,3 +137,17 @@ def test_each_node_is_split_where_the_variance_falls_most(seed):
         assert right[at] == at + 1 + n
         return 1 + n + check(right[at], m & ~go, depth + 1)
     assert check(0, np.ones(60, bool), 0) == len(right) > 5
+
+
+def test_sent_trees_are_let_go_and_sent_anew(spark, store):
+    """What was scored and written stays; a copy and a later call send the trees themselves."""
+    from cellrisk.operators.forest import release
+    from cellrisk.operators.models import boosted_trees
+    df = _rows(spark, _values(100))
+    model, _ = store.fitted(df, FEATURES, boosted_trees(20, 4, 0.1))
+    own = model.copy()
+    want, later = _predictions(model, df), own.transform(df)
+    sent = model.stages[-1]._sent._path
+    release([model])
+    assert model.stages[-1]._sent is None and not os.path.exists(sent)
+    assert {(r["a"], r["b"], r["c"]): r["prediction"] for r in later.collect()} == want == _predictions(model, df)
